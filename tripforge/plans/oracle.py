@@ -260,7 +260,7 @@ SELECT trip_id, TRY_CAST(pickup_text AS TIMESTAMP) AS pickup_parsed,
   round({D(100)} * quarantined_rows / NULLIF(raw_rows, 0), 4) AS quarantined_pct FROM acct"""
     q["transform_report"] = B + f"""SELECT taxi_type, file_month, valid_rows AS input_rows, feature_rows AS output_rows,
   dropped_rows, COALESCE(round({D(100)} * feature_rows / NULLIF(valid_rows, 0), 4), {D(0)}) AS output_pct,
-  n_partitions, '{",".join(TRIPS_COLS + FEATURE_COLS)}' AS feature_columns FROM acct"""
+  n_partitions, '{",".join(["trip_id"] + RAW_COLS + ["taxi_type", "file_month"] + FEATURE_COLS)}' AS feature_columns FROM acct"""
     q["partition_counts"] = B + "SELECT file_month, pickup_date, COUNT(*) AS n_rows FROM features GROUP BY file_month, pickup_date"
     q["month_overview"] = B + ("SELECT file_month, COALESCE(raw_rows, 0) AS raw_rows, valid_rows, feature_rows, "
                                "retention_pct FROM acct")

@@ -1,8 +1,8 @@
 """Scanning monthly trip files.
 
 Many monthly files are read by ONE scan; the month and taxi type come from the
-file name (``{taxi_type}_tripdata_{YYYY-MM}.parquet``) through the hidden
-``_metadata`` column, so no per-file loop runs on the driver and filters on
+file name (``{taxi_type}_tripdata_{YYYY-MM}.parquet``, a file or a directory of part
+files) through the hidden ``_metadata`` column, so no per-file loop runs on the driver and filters on
 ``file_month`` prune whole files.
 """
 
@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 FILE_RE_MONTH = r"(\d{4}-\d{2})\.parquet$"
 FILE_RE_TYPE = r"^([A-Za-z0-9]+)_tripdata_"
+# On a full path: a monthly file, or a directory of part files named like one.
+PATH_RE = r"([A-Za-z0-9]+)_tripdata_(\d{4}-\d{2})\.parquet(/|$)"
 
 
 def trip_file_name(taxi_type: str, month: str) -> str:
@@ -45,8 +47,8 @@ def read_trips(spark: SparkSession, paths: str | Iterable[str], *,
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
     df = reader.parquet(*list(paths))
-    name = F.col("_metadata.file_name")
+    path = F.col("_metadata.file_path")
     df = df.select("*",
-                   F.regexp_extract(name, FILE_RE_TYPE, 1).alias("taxi_type"),
-                   F.regexp_extract(name, FILE_RE_MONTH, 1).alias("file_month"))
+                   F.regexp_extract(path, PATH_RE, 1).alias("taxi_type"),
+                   F.regexp_extract(path, PATH_RE, 2).alias("file_month"))
     return normalise_nan(df)
