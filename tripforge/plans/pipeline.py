@@ -134,16 +134,8 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
 
 def run_files(spark: SparkSession, paths: Iterable[str], out_root: str,
               thresholds: Thresholds = DEFAULT_THRESHOLDS) -> PipelineResult:
-    """Run the pipeline over landed monthly files; months come from file names."""
-    from tripforge.sources.trips import FILE_RE_MONTH, FILE_RE_TYPE
-    import re
+    """Run the pipeline over flat monthly files; months come from file names."""
+    from tripforge.sources.trips import parse_file_name
     paths = list(paths)
-    months = []
-    for p in paths:
-        name = p.rstrip("/").rsplit("/", 1)[-1]
-        t, m = re.search(FILE_RE_TYPE, name), re.search(FILE_RE_MONTH, name)
-        if not (t and m):
-            raise ValueError(f"not a monthly trip file name: {name}")
-        months.append((t.group(1), m.group(1)))
-    return run_months(spark, read_trips(spark, paths), out_root, sorted(set(months)),
-                      thresholds=thresholds)
+    months = sorted({parse_file_name(p.rstrip("/").rsplit("/", 1)[-1]) for p in paths})
+    return run_months(spark, read_trips(spark, paths), out_root, months, thresholds=thresholds)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripforge.session import shared_root
-from tripforge.sources.trips import normalise_nan, read_trips, trip_file_name
+from tripforge.sources.trips import land, normalise_nan, read_landed
 
 # Fixed test-fixture definition (shared with the oracle; do not edit).
 TRIPS_BASE_SQL = """SELECT event_id AS trip_id,
@@ -62,37 +62,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 FIXTURE_MONTHS = ("2024-01", "2024-02", "2024-03")
 FIXTURE_TAXI_TYPE = "yellow"
-_LANDED: dict[str, list[str]] = {}
+_LANDED: dict[str, str] = {}
 
 
-def land_trips(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Materialise the view as landed monthly files, once per input version.
+def land_trips(spark: SparkSession, sf_dir: str) -> str:
+    """Materialise the view as a landing zone, once per input version.
 
-    Real trips arrive as ``{taxi_type}_tripdata_{month}.parquet`` files; the
-    fixture is written the same way (one directory per month under the
-    shared checkpoint root) so every trip query exercises the real scan (S1)
-    instead of a view whose CASE expressions Catalyst would inline into all
-    31 rule predicates."""
+    Real trips arrive as monthly files; the fixture is landed the same way
+    (Hive layout ``taxi_type=/file_month=`` under the shared checkpoint root,
+    one job) so every trip query exercises the real scan (S1) instead of a
+    view whose CASE expressions Catalyst would inline into all 31 rule
+    predicates."""
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
     st = os.stat(events_path) if os.path.exists(events_path) else None
     tag = f"{os.path.abspath(events_path)}|{st.st_size if st else ''}|{st.st_mtime_ns if st else ''}"
     key = hashlib.sha1(tag.encode()).hexdigest()[:16]
     root = f"{shared_root(spark)}/tripforge/landing-{key}"
-    paths = [f"{root}/{trip_file_name(FIXTURE_TAXI_TYPE, m)}" for m in FIXTURE_MONTHS]
-    if _LANDED.get(key) == paths:
-        return paths
-    done = f"{root}/_LANDED"
+    if _LANDED.get(key) == root:
+        return root
     from tripforge.sources.sinks import _fs_exists
-    if not _fs_exists(spark, done):
-        view = trips_from_events(spark, read_table(spark, sf_dir, "events"))
-        for m, p in zip(FIXTURE_MONTHS, paths):
-            (view.filter(F.col("file_month") == m).drop("file_month", "taxi_type")
-                 .write.mode("overwrite").parquet(p))
-        spark.createDataFrame([(key,)], "k string").write.mode("overwrite").parquet(done)
-    _LANDED[key] = paths
-    return paths
+    if not _fs_exists(spark, f"{root}/_SUCCESS"):
+        land(trips_from_events(spark, read_table(spark, sf_dir, "events")), root)
+    _LANDED[key] = root
+    return root
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trips fixture as landed monthly files (with taxi_type, file_month)."""
-    return read_trips(spark, land_trips(spark, sf_dir))
+    """The trips fixture as a landed dataset (with taxi_type, file_month)."""
+    return read_landed(spark, land_trips(spark, sf_dir))
