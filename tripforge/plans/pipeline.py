@@ -15,6 +15,7 @@ the five columns they need.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Iterable, Sequence
 
@@ -75,6 +76,12 @@ def _only(df: DataFrame, months: Sequence[tuple[str, str]]) -> DataFrame:
     return df.filter(cond) if cond is not None else df
 
 
+def _long(df: DataFrame, kind: str, key_col: str | None, n_col: str) -> DataFrame:
+    key = F.col(key_col).cast("string") if key_col else F.lit(None).cast("string")
+    return df.select(*MONTH_KEYS, F.lit(kind).alias("kind"), key.alias("key"),
+                     F.col(n_col).cast("long").alias("n"))
+
+
 def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
                months: Sequence[tuple[str, str]],
                contract: Contract = TRIP_CONTRACT,
@@ -84,51 +91,76 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
 
     ``raw`` must carry ``taxi_type`` and ``file_month``; rows of other months
     are ignored.  The month list is metadata (from the landing listing), it
-    never comes from collecting data."""
+    never comes from collecting data.  Independent jobs (the feature write
+    and the statistics) are submitted concurrently."""
     run_id = uuid.uuid4().hex[:12]
-    shared_root(spark)  # checkpoint directory for the tiny report relations
+    shared_root(spark)  # checkpoint directory for the tiny statistics
     validated_root = f"{out_root}/validated"
     features_root = f"{out_root}/features"
     raw = _only(raw, months)
 
+    # ---- job 1: contract -> valid + quarantined partitions -----------------
     S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.VALID}",
                                            f"{S.STATUS_COL}={S.QUARANTINED}"], months)
     validate_stage(raw, validated_root, contract)
 
-    S.clear_months(spark, features_root, [""], months)
-    transform_stage(spark, validated_root, features_root, months, thresholds)
-
-    # ---- accounting from the outputs ------------------------------------
-    status = _only(spark.read.parquet(validated_root), months)
-    status = status.withColumn("file_month", F.col("file_month").cast("string"))
-    counts = (status.groupBy(*MONTH_KEYS).agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(F.col(S.STATUS_COL) == S.VALID).alias("valid_rows")))
-    feats = _only(S.read_features(spark, features_root), months)
-    per_month = (feats.groupBy(*MONTH_KEYS, "pickup_date").agg(F.count(F.lit(1)).alias("n"))
-                      .groupBy(*MONTH_KEYS).agg(F.sum("n").alias("feature_rows"),
-                                                F.count(F.lit(1)).alias("n_partitions")))
+    def features_job() -> DataFrame:
+        S.clear_months(spark, features_root, [""], months)
+        transform_stage(spark, validated_root, features_root, months, thresholds)
+        feats = _only(S.read_features(spark, features_root), months)
+        # partition columns only: answered from parquet footers
+        return (feats.groupBy(*MONTH_KEYS, "pickup_date").agg(F.count(F.lit(1)).alias("n"))
+                     .groupBy(*MONTH_KEYS).agg(F.sum("n").alias("feature_rows"),
+                                               F.count(F.lit(1)).alias("n_partitions")))
+
+    def stats_job() -> DataFrame:
+        status = _only(spark.read.parquet(validated_root)
+                       .withColumn("file_month", F.col("file_month").cast("string")), months)
+        counts = status.groupBy(*MONTH_KEYS).agg(
+            F.count(F.lit(1)).alias("raw_rows"),
+            F.count_if(F.col(S.STATUS_COL) == S.VALID).alias("valid_rows"))
+        parts = [_long(counts, "raw_rows", None, "raw_rows"),
+                 _long(counts, "valid_rows", None, "valid_rows")]
+        quarantine = S.read_quarantine(spark, validated_root)
+        if quarantine is not None:
+            # valid rows hit no rule: re-evaluating the rules on the small
+            # quarantine gives exact per-rule counts
+            fc = Q.failure_counts(_only(quarantine, months).drop(S.REASONS_COL),
+                                  list(MONTH_KEYS), contract)
+            parts.append(_long(fc, "rule", "rule", "n"))
+        valid = _only(S.read_valid(spark, validated_root), months)
+        dr = X.dropped_by_reason(X.featured(valid), list(MONTH_KEYS), thresholds)
+        parts.append(_long(dr, "drop", "reason", "n"))
+        long = parts[0]
+        for p in parts[1:]:
+            long = long.unionByName(p)
+        return long.checkpoint(eager=True)
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_feat, f_stats = pool.submit(features_job), pool.submit(stats_job)
+        per_month, stats = f_feat.result(), f_stats.result()
+
+    counts = (stats.filter(F.col("kind").isin("raw_rows", "valid_rows"))
+                   .groupBy(*MONTH_KEYS).pivot("kind", ["raw_rows", "valid_rows"]).agg(F.sum("n")))
     months_df = accounting_rows(counts.join(per_month, list(MONTH_KEYS), "left")).checkpoint(eager=True)
+    failures = (stats.filter(F.col("kind") == "rule")
+                     .select(*MONTH_KEYS, F.col("key").alias("rule"), "n"))
+    drops = (stats.filter(F.col("kind") == "drop")
+                  .select(*MONTH_KEYS, F.col("key").alias("reason"), "n"))
 
-    quarantine = S.read_quarantine(spark, validated_root)
-    if quarantine is not None:
-        failures = Q.failure_counts(_only(quarantine, months).drop(S.REASONS_COL),
-                                    list(MONTH_KEYS), contract)
-    else:
-        failures = spark.createDataFrame([], "taxi_type string, file_month string, rule string, n bigint")
-    failures = failures.checkpoint(eager=True)
-    valid = _only(S.read_valid(spark, validated_root), months)
-    drops = X.dropped_by_reason(X.featured(valid), list(MONTH_KEYS), thresholds).checkpoint(eager=True)
-
-    feature_cols = [c for c in X.build_features(valid, thresholds).columns]
+    valid_schema = S.read_valid(spark, validated_root)
+    feature_cols = X.build_features(valid_schema, thresholds).columns
     validation = RP.validation_report(months_df, failures)
     transform = RP.transform_report(months_df, feature_cols, drops)
     if write_reports:
         rep = f"{out_root}/reports"
-        S.write_report(validation, f"{rep}/validation/run_id={run_id}")
-        S.write_report(transform, f"{rep}/transform/run_id={run_id}")
-        S.write_report(RP.run_summary(months_df, failures, drops, feature_cols),
-                       f"{rep}/run_summary/run_id={run_id}")
+        jobs = [(validation, f"{rep}/validation/run_id={run_id}"),
+                (transform, f"{rep}/transform/run_id={run_id}"),
+                (RP.run_summary(months_df, failures, drops, feature_cols),
+                 f"{rep}/run_summary/run_id={run_id}")]
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            for f in [pool.submit(S.write_report, df, path) for df, path in jobs]:
+                f.result()
     return PipelineResult(out_root, run_id, months_df, failures, drops, validation, transform)
 
 
