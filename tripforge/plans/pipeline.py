@@ -60,8 +60,9 @@ def validate_stage(raw: DataFrame, validated_root: str,
 
 def transform_stage(spark: SparkSession, validated_root: str, features_root: str,
                     months: Sequence[tuple[str, str]],
-                    thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    valid = _only(S.read_valid(spark, validated_root), months)
+                    thresholds: Thresholds = DEFAULT_THRESHOLDS,
+                    validated_schema=None) -> DataFrame:
+    valid = _only(S.read_valid(spark, validated_root, validated_schema), months)
     feats = X.build_features(valid, thresholds)
     S.write_features(feats, features_root)
     return feats
@@ -98,6 +99,10 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     validated_root = f"{out_root}/validated"
     features_root = f"{out_root}/features"
     raw = _only(raw, months)
+    # output schemas are known from the plan: reads never depend on inference
+    v_schema = S.validated_schema(raw.schema)
+    f_schema = S.with_partitions_last(X.build_features(Q.valid_rows(raw, contract), thresholds).schema,
+                                      S.FEATURE_PARTITIONS)
 
     # ---- job 1: contract -> valid + quarantined partitions -----------------
     S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.VALID}",
@@ -106,29 +111,26 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
 
     def features_job() -> DataFrame:
         S.clear_months(spark, features_root, [""], months)
-        transform_stage(spark, validated_root, features_root, months, thresholds)
-        feats = _only(S.read_features(spark, features_root), months)
+        transform_stage(spark, validated_root, features_root, months, thresholds, v_schema)
+        feats = _only(S.read_features(spark, features_root, f_schema), months)
         # partition columns only: answered from parquet footers
         return (feats.groupBy(*MONTH_KEYS, "pickup_date").agg(F.count(F.lit(1)).alias("n"))
                      .groupBy(*MONTH_KEYS).agg(F.sum("n").alias("feature_rows"),
                                                F.count(F.lit(1)).alias("n_partitions")))
 
     def stats_job() -> DataFrame:
-        status = _only(spark.read.parquet(validated_root)
-                       .withColumn("file_month", F.col("file_month").cast("string")), months)
+        status = _only(S.read_validated(spark, validated_root, v_schema), months)
         counts = status.groupBy(*MONTH_KEYS).agg(
             F.count(F.lit(1)).alias("raw_rows"),
             F.count_if(F.col(S.STATUS_COL) == S.VALID).alias("valid_rows"))
         parts = [_long(counts, "raw_rows", None, "raw_rows"),
                  _long(counts, "valid_rows", None, "valid_rows")]
-        quarantine = S.read_quarantine(spark, validated_root)
-        if quarantine is not None:
-            # valid rows hit no rule: re-evaluating the rules on the small
-            # quarantine gives exact per-rule counts
-            fc = Q.failure_counts(_only(quarantine, months).drop(S.REASONS_COL),
-                                  list(MONTH_KEYS), contract)
-            parts.append(_long(fc, "rule", "rule", "n"))
-        valid = _only(S.read_valid(spark, validated_root), months)
+        # valid rows hit no rule: re-evaluating the rules on the (small)
+        # quarantine partitions gives exact per-rule counts
+        quarantine = _only(S.read_quarantine(spark, validated_root, v_schema), months)
+        fc = Q.failure_counts(quarantine.drop(S.REASONS_COL), list(MONTH_KEYS), contract)
+        parts.append(_long(fc, "rule", "rule", "n"))
+        valid = _only(S.read_valid(spark, validated_root, v_schema), months)
         dr = X.dropped_by_reason(X.featured(valid), list(MONTH_KEYS), thresholds)
         parts.append(_long(dr, "drop", "reason", "n"))
         long = parts[0]
@@ -148,8 +150,7 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     drops = (stats.filter(F.col("kind") == "drop")
                   .select(*MONTH_KEYS, F.col("key").alias("reason"), "n"))
 
-    valid_schema = S.read_valid(spark, validated_root)
-    feature_cols = X.build_features(valid_schema, thresholds).columns
+    feature_cols = [f.name for f in f_schema.fields]
     validation = RP.validation_report(months_df, failures)
     transform = RP.transform_report(months_df, feature_cols, drops)
     if write_reports:

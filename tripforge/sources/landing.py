@@ -68,15 +68,28 @@ def months_spanned(df: DataFrame, month_cols: Sequence[str]) -> DataFrame:
 
 # -- S3: landing listing and per-file stats -----------------------------------
 
-def landing_listing(spark: SparkSession, root: str, pattern: str = "*_tripdata_*.parquet") -> DataFrame:
-    """Landed files (path, size, mtime, taxi_type, month) - file content is not read."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+def landing_listing(spark: SparkSession, root: str) -> DataFrame:
+    """Landed monthly units (taxi_type, month, path, size, mtime); content is not read.
+
+    A unit is a ``*_tripdata_YYYY-MM.parquet`` file or a directory of that name
+    holding part files (what a Spark writer produces); sizes are summed."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
              .option("recursiveFileLookup", "true").load(root)
-             .select("path", F.col("length").alias("size_bytes"), "modificationTime"))
+             .select("path", "length", "modificationTime"))
     name = F.element_at(F.split("path", "/"), -1)
-    return files.select("path", name.alias("file_name"), "size_bytes", "modificationTime",
-                        F.regexp_extract(name, FILE_RE_TYPE, 1).alias("taxi_type"),
-                        F.regexp_extract(name, FILE_RE_MONTH, 1).alias("month"))
+    parent = F.element_at(F.split("path", "/"), -2)
+    unit_name = F.when(name.contains("_tripdata_"), name).otherwise(parent)
+    unit_path = F.when(name.contains("_tripdata_"), F.col("path")).otherwise(
+        F.regexp_extract("path", r"^(.*)/[^/]+$", 1))
+    units = (files.select(unit_path.alias("path"), unit_name.alias("file_name"), "length",
+                          "modificationTime")
+                  .filter(F.col("file_name").rlike(r"^[A-Za-z0-9]+_tripdata_\d{4}-\d{2}\.parquet$"))
+                  .groupBy("path", "file_name")
+                  .agg(F.sum("length").alias("size_bytes"),
+                       F.max("modificationTime").alias("modificationTime")))
+    return units.select("path", "file_name", "size_bytes", "modificationTime",
+                        F.regexp_extract("file_name", FILE_RE_TYPE, 1).alias("taxi_type"),
+                        F.regexp_extract("file_name", FILE_RE_MONTH, 1).alias("month"))
 
 
 def file_stats(spark: SparkSession, paths: Iterable[str]) -> DataFrame:

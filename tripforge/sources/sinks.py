@@ -63,8 +63,27 @@ def write_validated(tagged: DataFrame, root: str) -> None:
            .parquet(root))
 
 
-def _read_partitioned(spark: SparkSession, path: str, base: str) -> DataFrame:
-    df = spark.read.option("basePath", base).parquet(path)
+def with_partitions_last(schema: T.StructType, partition_cols: Sequence[str]) -> T.StructType:
+    """Schema as Spark reads a partitioned table back: data, then partitions."""
+    data = [f for f in schema.fields if f.name not in partition_cols]
+    parts = [T.StructField(c, T.StringType(), True) for c in partition_cols]
+    return T.StructType(data + parts)
+
+
+def validated_schema(raw_schema: T.StructType) -> T.StructType:
+    fields = [f for f in raw_schema.fields if f.name not in (BAD_COL, REASONS_COL)]
+    fields.append(T.StructField(REASONS_COL, T.StringType(), True))
+    return with_partitions_last(T.StructType(fields), (STATUS_COL, "taxi_type", "file_month"))
+
+
+def _read_partitioned(spark: SparkSession, path: str, base: str,
+                      schema: T.StructType | None = None) -> DataFrame:
+    reader = spark.read.option("basePath", base)
+    if schema is not None:
+        # explicit schema: an empty output reads as an empty table (no
+        # inference over zero files) and partition values stay strings
+        reader = reader.schema(schema)
+    df = reader.parquet(path)
     # Partition values are text in the contract (no DATE inference)
     for c in ("taxi_type", "file_month", "pickup_date", STATUS_COL):
         if c in df.columns:
@@ -72,18 +91,23 @@ def _read_partitioned(spark: SparkSession, path: str, base: str) -> DataFrame:
     return df
 
 
-def read_valid(spark: SparkSession, root: str) -> DataFrame:
-    """S8 read-back: valid rows without the reason column."""
-    df = _read_partitioned(spark, f"{root}/{STATUS_COL}={VALID}", f"{root}/{STATUS_COL}={VALID}")
-    return df.drop(REASONS_COL)
+def read_validated(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    return _read_partitioned(spark, root, root, schema)
 
 
-def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
-    """S9 read-back: quarantined rows with ``_quarantine_reasons``."""
-    path = f"{root}/{STATUS_COL}={QUARANTINED}"
-    if not _fs_exists(spark, path):
-        return None
-    return _read_partitioned(spark, path, path)
+def read_valid(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """S8 read-back: valid rows without the reason column.
+
+    A filter on the status partition column prunes the quarantine at listing
+    time, so this reads exactly the valid files."""
+    df = read_validated(spark, root, schema)
+    return df.filter(F.col(STATUS_COL) == VALID).drop(STATUS_COL, REASONS_COL)
+
+
+def read_quarantine(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """S9 read-back: quarantined rows with ``_quarantine_reasons`` (may be empty)."""
+    df = read_validated(spark, root, schema)
+    return df.filter(F.col(STATUS_COL) == QUARANTINED).drop(STATUS_COL)
 
 
 def write_features(features: DataFrame, root: str) -> None:
@@ -98,8 +122,11 @@ def write_features(features: DataFrame, root: str) -> None:
              .parquet(root))
 
 
-def read_features(spark: SparkSession, root: str) -> DataFrame:
-    return _read_partitioned(spark, root, root)
+FEATURE_PARTITIONS = ("taxi_type", "file_month", "pickup_date")
+
+
+def read_features(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    return _read_partitioned(spark, root, root, schema)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -62,10 +62,14 @@ def read_trips(spark: SparkSession, paths: str | Iterable[str], *,
     reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
     df = reader.parquet(*paths)
     name = F.col("_metadata.file_name")
+    # a monthly "file" written by Spark is a directory of part files: then
+    # the monthly name is the parent directory
+    parent = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)
+    seg = F.when(F.instr(name, "_tripdata_") > 0, name).otherwise(parent)
     # "<type>_tripdata_YYYY-MM.parquet": month = the 7 chars before ".parquet"
     df = df.select("*",
-                   F.substring_index(name, "_tripdata_", 1).alias("taxi_type"),
-                   F.substring(name, -15, 7).alias("file_month"))
+                   F.substring_index(seg, "_tripdata_", 1).alias("taxi_type"),
+                   F.substring(seg, -15, 7).alias("file_month"))
     return normalise_nan(df)
 
 
