@@ -67,7 +67,7 @@ def transform_report(months: DataFrame, feature_columns: Sequence[str],
     )
     if drops is not None:
         dr = (drops.groupBy(*MONTH_KEYS)
-                   .agg(F.map_from_entries(F.collect_list(F.struct("reason", "n")))
+                   .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("reason", "n"))))
                         .alias("dropped_by_reason")))
         rep = rep.join(dr, list(MONTH_KEYS), "left")
     return rep

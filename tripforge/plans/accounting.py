@@ -66,28 +66,45 @@ def day_stats_wide(raw: DataFrame, contract: Contract = TRIP_CONTRACT,
     return wide, rules, orules
 
 
+def stats_long(raw: DataFrame, contract: Contract = TRIP_CONTRACT,
+               thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """(taxi_type, file_month, pickup_date, kind, key, n) for every counter.
+
+    Every report branch filters this one relation, so all branches share an
+    identical scan -> partial aggregate -> exchange subtree, which Spark
+    reuses (per-branch column pruning of the wide aggregate would otherwise
+    make each branch a different plan and re-scan the input)."""
+    wide, rules, orules = day_stats_wide(raw, contract, thresholds)
+    entries = [F.struct(F.lit(k).alias("kind"), F.lit(None).cast("string").alias("key"),
+                        F.col(k).alias("n")) for k in ("raw_rows", "valid_rows", "feature_rows")]
+    entries += [F.struct(F.lit("rule").alias("kind"), F.lit(r.key).alias("key"), F.col(f"_r{i}").alias("n"))
+                for i, r in enumerate(rules)]
+    entries += [F.struct(F.lit("drop").alias("kind"), F.lit(name).alias("key"), F.col(f"_o{i}").alias("n"))
+                for i, (name, _) in enumerate(orules)]
+    return wide.select(*MONTH_KEYS, "pickup_date", F.inline(F.array(*entries)))
+
+
 def pipeline_stats(raw: DataFrame, contract: Contract = TRIP_CONTRACT,
                    thresholds: Thresholds = DEFAULT_THRESHOLDS,
                    materialize: bool = False) -> PipelineStats:
     """All counters of a pipeline run in one scan of ``raw``.
 
-    ``materialize`` checkpoints the tiny wide relation into the shared
-    checkpoint directory so the three derived relations reuse it without
-    re-scanning (and survive executor loss)."""
-    wide, rules, orules = day_stats_wide(raw, contract, thresholds)
+    ``materialize`` checkpoints the tiny long relation into the shared
+    checkpoint directory (cuts lineage; survives executor loss)."""
+    long = stats_long(raw, contract, thresholds)
     if materialize:
-        wide = wide.checkpoint(eager=True)
-    days = wide.select(*MONTH_KEYS, "pickup_date", "raw_rows", "valid_rows", "feature_rows")
-    month_wide = wide.groupBy(*MONTH_KEYS).agg(
-        *[F.sum(f"_r{i}").alias(f"_r{i}") for i in range(len(rules))],
-        *[F.sum(f"_o{i}").alias(f"_o{i}") for i in range(len(orules))])
-    failures = month_wide.select(*MONTH_KEYS, F.inline(F.array(*[
-        F.struct(F.lit(i + 1).alias("rule_no"), F.lit(r.key).alias("rule"),
-                 F.col(f"_r{i}").alias("n"))
-        for i, r in enumerate(rules)])))
-    drops = month_wide.select(*MONTH_KEYS, F.inline(F.array(*[
-        F.struct(F.lit(name).alias("reason"), F.col(f"_o{i}").alias("n"))
-        for i, (name, _) in enumerate(orules)])))
+        long = long.checkpoint(eager=True)
+    kinds = ["raw_rows", "valid_rows", "feature_rows"]
+    days = (long.filter(F.col("kind").isin(*kinds))
+                .groupBy(*MONTH_KEYS, "pickup_date").pivot("kind", kinds).agg(F.sum("n")))
+    rule_order = {r.key: i + 1 for i, r in enumerate(Q._active_rules(raw, contract))}
+    failures = (long.filter(F.col("kind") == "rule")
+                    .groupBy(*MONTH_KEYS, F.col("key").alias("rule")).agg(F.sum("n").alias("n")))
+    failures = failures.select(*MONTH_KEYS, F.element_at(
+        F.create_map(*[x for k, i in rule_order.items() for x in (F.lit(k), F.lit(i))]),
+        F.col("rule")).alias("rule_no"), "rule", "n")
+    drops = (long.filter(F.col("kind") == "drop")
+                 .groupBy(*MONTH_KEYS, F.col("key").alias("reason")).agg(F.sum("n").alias("n")))
     return PipelineStats(days=days, failures=failures, drops=drops)
 
 

@@ -274,6 +274,29 @@ SELECT trip_id, TRY_CAST(pickup_text AS TIMESTAMP) AS pickup_parsed,
     q["top_outlier_reasons"] = B + """SELECT file_month, reason, CAST(n AS BIGINT) AS n, CAST(rank AS INTEGER) AS rank FROM (
   SELECT file_month, reason, n, row_number() OVER (PARTITION BY file_month ORDER BY n DESC, reason ASC) AS rank
   FROM drops WHERE n > 0) WHERE rank <= 5"""
+    fcols = ", ".join(f"'{c}'" for c in ["trip_id"] + RAW_COLS + ["taxi_type", "file_month"] + FEATURE_COLS)
+    q["run_summary"] = B + f""", fc AS (SELECT file_month, map_from_entries(list(struct_pack(k := rule, v := CAST(n AS BIGINT)) ORDER BY rule)) AS failure_counts
+             FROM rule_hits WHERE n > 0 GROUP BY file_month),
+dr AS (SELECT file_month, map_from_entries(list(struct_pack(k := reason, v := CAST(n AS BIGINT)) ORDER BY reason)) AS dropped_by_reason
+       FROM drops GROUP BY file_month),
+mm AS (SELECT a.*, fc.failure_counts, dr.dropped_by_reason FROM acct a LEFT JOIN fc USING (file_month) LEFT JOIN dr USING (file_month))
+SELECT COUNT(*) AS months_processed, CAST(SUM(raw_rows) AS BIGINT) AS raw_rows, CAST(SUM(feature_rows) AS BIGINT) AS feature_rows,
+  to_json(struct_pack(
+    months_processed := COUNT(*),
+    totals := struct_pack(raw_rows := CAST(SUM(raw_rows) AS BIGINT), feature_rows := CAST(SUM(feature_rows) AS BIGINT),
+                          overall_retention_pct := round({D(100)} * SUM(feature_rows) / NULLIF(SUM(raw_rows), 0), 4)),
+    months := list(struct_pack(
+        month := file_month, taxi_type := taxi_type, raw_rows := raw_rows, valid_rows := valid_rows,
+        feature_rows := feature_rows, end_to_end_retention_pct := retention_pct,
+        validation := struct_pack(total_rows := raw_rows, valid_rows := valid_rows, quarantined_rows := quarantined_rows,
+            valid_pct := round({D(100)} * valid_rows / NULLIF(raw_rows, 0), 4),
+            quarantined_pct := round({D(100)} * quarantined_rows / NULLIF(raw_rows, 0), 4),
+            failure_counts := failure_counts),
+        transform := struct_pack(input_rows := valid_rows, output_rows := feature_rows, dropped_rows := dropped_rows,
+            output_pct := COALESCE(round({D(100)} * feature_rows / NULLIF(valid_rows, 0), 4), {D(0)}),
+            dropped_by_reason := dropped_by_reason, feature_columns := [{fcols}], n_partitions := n_partitions))
+      ORDER BY file_month))) AS summary_json
+FROM mm"""
     q["dq_digest"] = B + f"""SELECT file_month, 'validation' AS section, item, CAST(value AS DOUBLE) AS value FROM (
     SELECT file_month, 'total_rows' AS item, raw_rows AS value FROM acct
     UNION ALL SELECT file_month, 'valid_rows', valid_rows FROM acct

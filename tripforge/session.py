@@ -18,6 +18,10 @@ ENGINE_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Month outputs are replaced partition by partition, never the whole root.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The contract is one wide OR of 31 predicates reused by several
+    # aggregates; inferring constraints from it only bloats planning (and can
+    # exhaust driver memory) while it can never prune a scan.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
