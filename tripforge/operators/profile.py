@@ -74,16 +74,17 @@ def null_fractions(df: DataFrame, digits: int = 4) -> DataFrame:
 
 @dataclass
 class _Target:
+    """Selection state of one column: a value bracket and the ranks inside it."""
+
     column: str
-    rank: int                      # 0-based rank among non-null values
+    ranks: list                    # 0-based ranks (among non-null values) still open
     lo: float | None = None        # bracket; None = unbounded
     hi: float | None = None
     lo_open: bool = False
     hi_open: bool = False
     below: int = 0                 # values strictly left of the bracket
     inside: int = 0                # values inside the bracket
-    value: float | None = None
-    done: bool = False
+    values: dict = None
 
     def in_bracket(self) -> Column:
         c = F.col(self.column)
@@ -98,13 +99,17 @@ class _Target:
 def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
                     counts: dict[str, int] | None = None, accuracy: int = 10000,
                     collect_cap: int = 100_000, max_rounds: int = 16) -> dict[str, float | None]:
-    """Exact linear-interpolated quantile per column (pandas/``quantile_cont``)."""
+    """Exact linear-interpolated quantile per column (pandas/``quantile_cont``).
+
+    All columns advance together: each round is one sketch aggregate and one
+    exact-count aggregate over the whole input; the driver keeps only the
+    bracket bounds and counts of every column."""
     if counts is None:
         row = df.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(columns)]).first()
         counts = {c: row[f"_n{i}"] for i, c in enumerate(columns)}
     result: dict[str, float | None] = {}
-    targets: dict[tuple[str, int], _Target] = {}
     plan: dict[str, tuple[int, int, float]] = {}
+    targets: list[_Target] = []
     for c in columns:
         n = counts[c]
         if not n:
@@ -114,54 +119,58 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
         k0 = int(math.floor(pos))
         k1 = min(k0 + 1, n - 1) if pos > k0 else k0
         plan[c] = (k0, k1, pos - k0)
-        for k in {k0, k1}:
-            targets[(c, k)] = _Target(c, k, inside=n)
+        targets.append(_Target(c, sorted({k0, k1}), inside=n, values={}))
 
     work = df.select(*[F.col(c).cast("double").alias(c) for c in plan])
     for _ in range(max_rounds):
-        big = [t for t in targets.values() if not t.done and t.inside > collect_cap]
+        big = [t for t in targets if t.ranks and t.inside > collect_cap]
         if not big:
             break
-        # (1) bracket each target rank with the approximate sketch
+        # (1) bracket the open ranks of each column with one bounded sketch
         exprs = []
         for i, t in enumerate(big):
-            m, r = t.inside, t.rank - t.below
+            m = t.inside
             slack = 2.0 * m / accuracy + 1
-            p_lo = min(max(0.0, (r - slack) / m), 1.0)
-            p_hi = min(max(0.0, (r + slack) / m), 1.0)
+            p_lo = min(max(0.0, (t.ranks[0] - t.below - slack) / m), 1.0)
+            p_hi = min(max(0.0, (t.ranks[-1] - t.below + slack) / m), 1.0)
             exprs.append(F.percentile_approx(F.when(t.in_bracket(), F.col(t.column)),
                                              [p_lo, p_hi], accuracy).alias(f"_a{i}"))
         approx = work.agg(*exprs).first()
-        # (2) exact placement of the new bracket
+        # (2) exact placement of every new bracket in one pass
         exprs, cand = [], []
         for i, t in enumerate(big):
             pair = approx[f"_a{i}"]
             lo, hi = (pair[0], pair[1]) if pair else (t.lo, t.hi)
             cand.append((lo, hi))
             c = F.col(t.column)
-            exprs += [
-                F.count_if(c < F.lit(lo)).alias(f"_lt{i}"),
-                F.count_if(c == F.lit(lo)).alias(f"_elo{i}"),
-                F.count_if(c <= F.lit(hi)).alias(f"_le{i}"),
-                F.count_if(c == F.lit(hi)).alias(f"_ehi{i}"),
-            ]
+            exprs += [F.count_if(c < F.lit(lo)).alias(f"_lt{i}"),
+                      F.count_if(c == F.lit(lo)).alias(f"_elo{i}"),
+                      F.count_if(c <= F.lit(hi)).alias(f"_le{i}"),
+                      F.count_if(c == F.lit(hi)).alias(f"_ehi{i}")]
         cnt = work.agg(*exprs).first()
         for i, t in enumerate(big):
             lo, hi = cand[i]
             lt, elo, le, ehi = (cnt[f"_lt{i}"], cnt[f"_elo{i}"], cnt[f"_le{i}"], cnt[f"_ehi{i}"])
-            k = t.rank
-            if lt <= k < lt + elo:
-                t.value, t.done = lo, True
-            elif le - ehi <= k < le:
-                t.value, t.done = hi, True
-            elif lt + elo <= k < le - ehi:
+            still = []
+            for k in t.ranks:
+                if lt <= k < lt + elo:            # inside the run of ties at lo
+                    t.values[k] = lo
+                elif le - ehi <= k < le:          # inside the run of ties at hi
+                    t.values[k] = hi
+                elif lt + elo <= k < le - ehi:    # strictly between lo and hi
+                    still.append(k)
+                else:                             # sketch missed: tighten it
+                    still = None
+                    break
+            if still is None:
+                accuracy = min(accuracy * 10, 10_000_000)
+                continue
+            t.ranks = still
+            if still:
                 t.lo, t.hi, t.lo_open, t.hi_open = lo, hi, True, True
                 t.below, t.inside = lt + elo, le - ehi - lt - elo
-            else:
-                # sketch missed (should not happen): tighten the accuracy
-                accuracy = min(accuracy * 10, 10_000_000)
-    # (3) small brackets: sort the bounded set and pick the element
-    rest = [t for t in targets.values() if not t.done]
+    # (3) small brackets: sort the bounded set and pick the elements
+    rest = [t for t in targets if t.ranks]
     if rest:
         if any(t.inside > collect_cap for t in rest):
             raise RuntimeError("exact quantile did not converge")
@@ -169,52 +178,70 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
                  .alias(f"_s{i}") for i, t in enumerate(rest)]
         row = work.agg(*exprs).first()
         for i, t in enumerate(rest):
-            t.value, t.done = row[f"_s{i}"][t.rank - t.below], True
+            for k in t.ranks:
+                t.values[k] = row[f"_s{i}"][k - t.below]
+    by_col = {t.column: t.values for t in targets}
     for c, (k0, k1, frac) in plan.items():
-        v0, v1 = targets[(c, k0)].value, targets[(c, k1)].value
+        v0, v1 = by_col[c][k0], by_col[c][k1]
         result[c] = v0 if k0 == k1 else v0 + (v1 - v0) * frac
     return result
 
 
-def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4,
-                  collect_cap: int = 100_000) -> DataFrame:
-    """Min, max, mean (rounded) and exact median p50 (rounded) per numeric column."""
-    cols = list(columns) if columns is not None else numeric_columns(df)
-    spark = df.sparkSession
-    if not cols:
-        return spark.createDataFrame([], "column_name string, min double, max double, mean double, p50 double")
+def _stats_row(df: DataFrame, cols: Sequence[str], with_nulls: bool):
+    """ONE aggregate: null share of every column + min/max/avg/count of ``cols``."""
     aggs = []
+    if with_nulls:
+        aggs += [F.avg(F.col(c).isNull().cast("double")).alias(f"_p{i}") for i, c in enumerate(df.columns)]
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.min(x).alias(f"_mn{i}"), F.max(x).alias(f"_mx{i}"),
                  F.avg(x).alias(f"_av{i}"), F.count(x).alias(f"_n{i}")]
-    stats = df.agg(*aggs).cache()
-    try:
-        row = stats.first()
-        counts = {c: row[f"_n{i}"] for i, c in enumerate(cols)}
-        med = exact_quantiles(df, cols, 0.5, counts=counts, collect_cap=collect_cap)
-        out = []
-        for i, c in enumerate(cols):
-            p50 = med[c]
-            out.append((c, row[f"_mn{i}"], row[f"_mx{i}"],
-                        None if row[f"_av{i}"] is None else row[f"_av{i}"],
-                        p50))
-    finally:
-        stats.unpersist()
-    res = spark.createDataFrame(out, "column_name string, min double, max double, mean double, p50 double")
-    return res.select("column_name", "min", "max",
-                      F.round("mean", digits).alias("mean"), F.round("p50", digits).alias("p50"))
+    return df.agg(*aggs).first()
+
+
+STATS_SCHEMA = "column_name string, min double, max double, mean double, p50 double"
+
+
+def _numeric_rows(df, cols, row, digits, collect_cap):
+    counts = {c: row[f"_n{i}"] for i, c in enumerate(cols)}
+    med = exact_quantiles(df, cols, 0.5, counts=counts, collect_cap=collect_cap)
+    rnd = lambda v: None if v is None else _round_half_up(v, digits)
+    return {c: (row[f"_mn{i}"], row[f"_mx{i}"], rnd(row[f"_av{i}"]), rnd(med[c]))
+            for i, c in enumerate(cols)}
+
+
+def _round_half_up(v: float, digits: int) -> float:
+    """Spark's ``round`` on a double (HALF_UP on the shortest decimal text)."""
+    from decimal import ROUND_HALF_UP, Decimal
+    return float(Decimal(repr(v)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+
+def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4,
+                  collect_cap: int = 100_000) -> DataFrame:
+    """Min, max, mean (rounded) and exact median p50 (rounded) per numeric column.
+
+    Only one number per column and statistic reaches the driver."""
+    cols = list(columns) if columns is not None else numeric_columns(df)
+    spark = df.sparkSession
+    if not cols:
+        return spark.createDataFrame([], STATS_SCHEMA)
+    stats = _numeric_rows(df, cols, _stats_row(df, cols, False), digits, collect_cap)
+    return spark.createDataFrame([(c, *stats[c]) for c in cols], STATS_SCHEMA)
 
 
 def profile(df: DataFrame, digits: int = 4, collect_cap: int = 100_000) -> DataFrame:
-    """P1-P3 in one relation: one row per column."""
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    nulls = null_fractions(df, digits)
-    nums = numeric_stats(df, digits=digits, collect_cap=collect_cap)
-    order = df.sparkSession.createDataFrame(
-        [(i, c, types[c]) for i, c in enumerate(df.columns)],
-        "ordinal int, column_name string, dtype string")
-    return (order.join(nulls, "column_name", "left")
-                 .join(nums, "column_name", "left")
-                 .select("ordinal", "column_name", "dtype", "null_fraction",
-                         "min", "max", "mean", "p50"))
+    """P1-P3 in one relation: one row per column (null share for all, stats
+    for numeric ones).  One aggregate for the simple statistics, then the
+    exact-median selection jobs."""
+    cols = numeric_columns(df)
+    row = _stats_row(df, cols, True)
+    stats = _numeric_rows(df, cols, row, digits, collect_cap) if cols else {}
+    out = []
+    for i, f in enumerate(df.schema.fields):
+        p = row[f"_p{i}"]
+        out.append((i, f.name, f.dataType.simpleString(),
+                    None if p is None else _round_half_up(p, digits),
+                    *stats.get(f.name, (None, None, None, None))))
+    return df.sparkSession.createDataFrame(
+        out, "ordinal int, column_name string, dtype string, null_fraction double, "
+             "min double, max double, mean double, p50 double")
