@@ -87,3 +87,21 @@ def test_landing_listing_and_file_stats(spark, make_trips, tmp_out):
     stats = L.file_stats(spark, [f"{root}/yellow_tripdata_2024-01.parquet"]).collect()
     assert sum(r.row_count for r in stats) == 2 and stats[0].size_bytes > 0
     assert "VendorID" in stats[0].columns
+
+
+def test_ingest_records_only_new_months(spark, make_trips, tmp_out):
+    from conftest import trip
+    root, man = f"{tmp_out}/raw", f"{tmp_out}/manifest"
+    make_trips(trip(), trip()).drop("taxi_type", "file_month").write.parquet(f"{root}/yellow_tripdata_2024-01.parquet")
+    make_trips(trip()).drop("taxi_type", "file_month").write.parquet(f"{root}/yellow_tripdata_2024-02.parquet")
+    req = L.month_range(spark, "2023-12", "2024-02").withColumn("taxi_type", F.lit("yellow"))
+    plan1 = {r.month: (r.landed, r.skipped, r.row_count) for r in L.ingest(spark, root, man, req).collect()}
+    assert plan1 == {"2023-12": (False, False, None), "2024-01": (True, False, 2), "2024-02": (True, False, 1)}
+    m = L.read_manifest(spark, man)
+    assert m.count() == 2 and "VendorID" in m.collect()[0].columns
+    plan2 = {r.month: r.skipped for r in L.ingest(spark, root, man, req).collect()}
+    assert plan2 == {"2023-12": False, "2024-01": True, "2024-02": True}
+    assert L.read_manifest(spark, man).count() == 2                     # nothing re-recorded
+    L.ingest(spark, root, man, req, force=True).collect()
+    assert L.read_manifest(spark, man).count() == 4                     # force re-records
+    assert L.manifest_latest(L.read_manifest(spark, man)).count() == 2

@@ -134,3 +134,16 @@ def test_bad_file_name_rejected(spark):
 def test_missing_input_raises(spark):
     with pytest.raises(Exception):
         read_trips(spark, ["/nowhere/yellow_tripdata_2024-01.parquet"]).count()
+
+
+def test_run_range_skips_missing_months(spark, make_trips, tmp_out):
+    from tripforge.plans.pipeline import run_range
+    from tripforge.sources.trips import land
+    landing = f"{tmp_out}/landing"
+    land(make_trips(trip(), trip(VendorID=99), month="2024-01")
+         .unionByName(make_trips(trip(), month="2024-03")), landing)
+    r = run_range(spark, landing, f"{tmp_out}/out", "2023-12", "2024-03")
+    got = {m.file_month: (m.raw_rows, m.valid_rows) for m in r.months.collect()}
+    assert got == {"2024-01": (2, 1), "2024-03": (1, 1)}
+    with pytest.raises(FileNotFoundError):
+        run_range(spark, landing, f"{tmp_out}/out2", "2023-12", "2024-03", fail_fast=True)

@@ -172,3 +172,25 @@ def run_files(spark: SparkSession, paths: Iterable[str], out_root: str,
     paths = list(paths)
     months = sorted({parse_file_name(p.rstrip("/").rsplit("/", 1)[-1]) for p in paths})
     return run_months(spark, read_trips(spark, paths), out_root, months, thresholds=thresholds)
+
+
+def run_range(spark: SparkSession, landing_root: str, out_root: str, start: str, end: str,
+              thresholds: Thresholds = DEFAULT_THRESHOLDS, fail_fast: bool = False,
+              taxi_type: str = "yellow") -> PipelineResult | None:
+    """``run --start --end``: every landed month of the inclusive range in one
+    set-based job; missing months are skipped (or raise with ``fail_fast``).
+
+    Only the list of available months (bounded by the requested range)
+    reaches the driver."""
+    from tripforge.sources.landing import availability, month_range
+    from tripforge.sources.trips import read_landed
+    req = month_range(spark, start, end).withColumn("taxi_type", F.lit(taxi_type))
+    raw = read_landed(spark, landing_root)
+    landed = (raw.groupBy("taxi_type", F.col("file_month").alias("month"))
+                 .agg(F.count(F.lit(1)).alias("row_count")))
+    avail = availability(req, landed, fail_fast=fail_fast)
+    months = [(r.taxi_type, r.month) for r in
+              avail.filter(F.col("status") == "ok").select("taxi_type", "month").collect()]
+    if not months:
+        return None
+    return run_months(spark, raw, out_root, months, thresholds=thresholds)

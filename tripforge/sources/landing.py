@@ -68,6 +68,14 @@ def months_spanned(df: DataFrame, month_cols: Sequence[str]) -> DataFrame:
 
 # -- S3: landing listing and per-file stats -----------------------------------
 
+def _unit(path: "F.Column", name: "F.Column") -> tuple:
+    """(unit path, unit name): a monthly file, or the directory of part files."""
+    is_file = name.contains("_tripdata_")
+    unit_path = F.when(is_file, path).otherwise(F.regexp_extract(path, r"^(.*)/[^/]+$", 1))
+    unit_name = F.when(is_file, name).otherwise(F.element_at(F.split(path, "/"), -2))
+    return unit_path, unit_name
+
+
 def landing_listing(spark: SparkSession, root: str) -> DataFrame:
     """Landed monthly units (taxi_type, month, path, size, mtime); content is not read.
 
@@ -76,11 +84,7 @@ def landing_listing(spark: SparkSession, root: str) -> DataFrame:
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
              .option("recursiveFileLookup", "true").load(root)
              .select("path", "length", "modificationTime"))
-    name = F.element_at(F.split("path", "/"), -1)
-    parent = F.element_at(F.split("path", "/"), -2)
-    unit_name = F.when(name.contains("_tripdata_"), name).otherwise(parent)
-    unit_path = F.when(name.contains("_tripdata_"), F.col("path")).otherwise(
-        F.regexp_extract("path", r"^(.*)/[^/]+$", 1))
+    unit_path, unit_name = _unit(F.col("path"), F.element_at(F.split("path", "/"), -1))
     units = (files.select(unit_path.alias("path"), unit_name.alias("file_name"), "length",
                           "modificationTime")
                   .filter(F.col("file_name").rlike(r"^[A-Za-z0-9]+_tripdata_\d{4}-\d{2}\.parquet$"))
@@ -103,6 +107,20 @@ def file_stats(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
               .withColumn("columns", cols))
 
 
+def unit_stats(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """Row count and bytes per monthly unit (file or directory of parts), one
+    footer-only scan over all of them."""
+    df = spark.read.parquet(*list(paths))
+    cols = F.array(*[F.lit(c) for c in df.columns])
+    unit_path, _ = _unit(F.col("_metadata.file_path"), F.col("_metadata.file_name"))
+    per_file = (df.select(unit_path.alias("path"), F.col("_metadata.file_path").alias("f"),
+                          F.col("_metadata.file_size").alias("size"))
+                  .groupBy("path", "f", "size").agg(F.count(F.lit(1)).alias("n")))
+    return (per_file.groupBy("path").agg(F.sum("n").alias("row_count"),
+                                         F.sum("size").alias("size_bytes"))
+                    .withColumn("columns", cols))
+
+
 # -- S5: manifest ---------------------------------------------------------------
 
 def manifest_latest(manifest: DataFrame) -> DataFrame:
@@ -181,3 +199,29 @@ def availability(requested: DataFrame, landed: DataFrame, fail_fast: bool = Fals
         if missing:
             raise FileNotFoundError(f"{missing} requested month(s) have no landed file")
     return out
+
+
+def ingest(spark: SparkSession, landing_root: str, manifest_path: str,
+           requested: DataFrame, force: bool = False) -> DataFrame:
+    """S4-S6 end to end: plan the requested months against the landing zone
+    and the manifest, record the newly loaded months (append), return the plan.
+
+    ``requested`` has (pos, taxi_type, month).  Row counts and sizes come from
+    one footer-only scan of the landed units; nothing is downloaded."""
+    units = landing_listing(spark, landing_root)
+    paths = [r.path for r in units.select("path").collect()]   # the listing: one path per month
+    if paths:
+        stats = unit_stats(spark, paths)
+        landed = (units.select("path", "taxi_type", "month").join(stats, "path")
+                       .select("taxi_type", "month", "path", "row_count", "size_bytes", "columns"))
+    else:
+        landed = spark.createDataFrame([], "taxi_type string, month string, path string, "
+                                           "row_count bigint, size_bytes bigint, columns array<string>")
+    manifest = manifest_latest(read_manifest(spark, manifest_path))
+    plan = ingest_plan(requested, landed.drop("path", "columns"), manifest, force)
+    new = (plan.filter(F.col("landed") & ~F.col("skipped"))
+               .join(landed.select("taxi_type", "month", "path", "columns"), KEYS)
+               .select("month", "taxi_type", F.col("path").alias("file"), "size_bytes", "row_count",
+                       "columns", F.localtimestamp().alias("ingested_at")))
+    record(new, manifest_path)
+    return plan
