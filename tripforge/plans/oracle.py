@@ -281,7 +281,7 @@ dr AS (SELECT file_month, map_from_entries(list(struct_pack(k := reason, v := CA
        FROM drops GROUP BY file_month),
 mm AS (SELECT a.*, fc.failure_counts, dr.dropped_by_reason FROM acct a LEFT JOIN fc USING (file_month) LEFT JOIN dr USING (file_month))
 SELECT COUNT(*) AS months_processed, CAST(SUM(raw_rows) AS BIGINT) AS raw_rows, CAST(SUM(feature_rows) AS BIGINT) AS feature_rows,
-  to_json(struct_pack(
+  CAST(to_json(struct_pack(
     months_processed := COUNT(*),
     totals := struct_pack(raw_rows := CAST(SUM(raw_rows) AS BIGINT), feature_rows := CAST(SUM(feature_rows) AS BIGINT),
                           overall_retention_pct := round({D(100)} * SUM(feature_rows) / NULLIF(SUM(raw_rows), 0), 4)),
@@ -295,7 +295,7 @@ SELECT COUNT(*) AS months_processed, CAST(SUM(raw_rows) AS BIGINT) AS raw_rows,
         transform := struct_pack(input_rows := valid_rows, output_rows := feature_rows, dropped_rows := dropped_rows,
             output_pct := COALESCE(round({D(100)} * feature_rows / NULLIF(valid_rows, 0), 4), {D(0)}),
             dropped_by_reason := dropped_by_reason, feature_columns := [{fcols}], n_partitions := n_partitions))
-      ORDER BY file_month))) AS summary_json
+      ORDER BY file_month))) AS VARCHAR) AS summary_json
 FROM mm"""
     q["dq_digest"] = B + f"""SELECT file_month, 'validation' AS section, item, CAST(value AS DOUBLE) AS value FROM (
     SELECT file_month, 'total_rows' AS item, raw_rows AS value FROM acct
