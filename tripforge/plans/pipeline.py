@@ -104,14 +104,19 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     f_schema = S.with_partitions_last(X.build_features(Q.valid_rows(raw, contract), thresholds).schema,
                                       S.FEATURE_PARTITIONS)
 
-    # ---- job 1: contract -> valid + quarantined partitions -----------------
-    S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.VALID}",
-                                           f"{S.STATUS_COL}={S.QUARANTINED}"], months)
-    validate_stage(raw, validated_root, contract)
+    # ---- jobs 1+2 (concurrent, one scan of raw each) -------------------------
+    #   1: contract -> valid + quarantined partitions
+    #   2: contract -> coerce -> features -> outlier filter -> day partitions
+    # Job 2 derives the valid rows itself instead of waiting for job 1's
+    # output: the same rows, the same bytes read, but no serial dependency.
+    def validate_job() -> None:
+        S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.VALID}",
+                                               f"{S.STATUS_COL}={S.QUARANTINED}"], months)
+        validate_stage(raw, validated_root, contract)
 
     def features_job() -> DataFrame:
         S.clear_months(spark, features_root, [""], months)
-        transform_stage(spark, validated_root, features_root, months, thresholds, v_schema)
+        S.write_features(X.build_features(Q.valid_rows(raw, contract), thresholds), features_root)
         feats = _only(S.read_features(spark, features_root, f_schema), months)
         # partition columns only: answered from parquet footers
         return (feats.groupBy(*MONTH_KEYS, "pickup_date").agg(F.count(F.lit(1)).alias("n"))
@@ -130,6 +135,7 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
         quarantine = _only(S.read_quarantine(spark, validated_root, v_schema), months)
         fc = Q.failure_counts(quarantine.drop(S.REASONS_COL), list(MONTH_KEYS), contract)
         parts.append(_long(fc, "rule", "rule", "n"))
+        # drop reasons read only the five columns their rules need
         valid = _only(S.read_valid(spark, validated_root, v_schema), months)
         dr = X.dropped_by_reason(X.featured(valid), list(MONTH_KEYS), thresholds)
         parts.append(_long(dr, "drop", "reason", "n"))
@@ -139,8 +145,10 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
         return long.checkpoint(eager=True)
 
     with ThreadPoolExecutor(max_workers=2) as pool:
-        f_feat, f_stats = pool.submit(features_job), pool.submit(stats_job)
-        per_month, stats = f_feat.result(), f_stats.result()
+        f_feat = pool.submit(features_job)
+        validate_job()
+        stats = stats_job()          # needs job 1's output only
+        per_month = f_feat.result()
 
     counts = (stats.filter(F.col("kind").isin("raw_rows", "valid_rows"))
                    .groupBy(*MONTH_KEYS).pivot("kind", ["raw_rows", "valid_rows"]).agg(F.sum("n")))
