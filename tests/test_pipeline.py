@@ -147,3 +147,12 @@ def test_run_range_skips_missing_months(spark, make_trips, tmp_out):
     assert got == {"2024-01": (2, 1), "2024-03": (1, 1)}
     with pytest.raises(FileNotFoundError):
         run_range(spark, landing, f"{tmp_out}/out2", "2023-12", "2024-03", fail_fast=True)
+
+
+def test_report_paths(spark, fixture_run):
+    v = fixture_run.validation.orderBy("file_month").collect()[0]
+    assert v.valid_path.endswith("_dq_status=valid/taxi_type=yellow/file_month=2024-01")
+    assert v.quarantine_path is not None
+    t = fixture_run.transform.orderBy("file_month").collect()[0]
+    assert t.output_path.endswith("features/taxi_type=yellow/file_month=2024-01")
+    assert dict(t.dropped_by_reason)["duration_too_short"] > 0

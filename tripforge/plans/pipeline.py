@@ -159,8 +159,16 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
                   .select(*MONTH_KEYS, F.col("key").alias("reason"), "n"))
 
     feature_cols = [f.name for f in f_schema.fields]
-    validation = RP.validation_report(months_df, failures)
-    transform = RP.transform_report(months_df, feature_cols, drops)
+    def month_path(root: str, prefix: str = "") -> "F.Column":
+        return F.concat(F.lit(f"{root}/{prefix}taxi_type="), F.col("taxi_type"),
+                        F.lit("/file_month="), F.col("file_month"))
+
+    validation = RP.validation_report(months_df, failures).select(
+        "*", month_path(validated_root, f"{S.STATUS_COL}={S.VALID}/").alias("valid_path"),
+        F.when(F.col("quarantined_rows") > 0,
+               month_path(validated_root, f"{S.STATUS_COL}={S.QUARANTINED}/")).alias("quarantine_path"))
+    transform = RP.transform_report(months_df, feature_cols, drops).select(
+        "*", month_path(features_root).alias("output_path"))
     if write_reports:
         rep = f"{out_root}/reports"
         jobs = [(validation, f"{rep}/validation/run_id={run_id}"),
