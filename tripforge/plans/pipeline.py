@@ -101,8 +101,7 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     raw = _only(raw, months)
     # output schemas are known from the plan: reads never depend on inference
     v_schema = S.validated_schema(raw.schema)
-    f_schema = S.with_partitions_last(X.build_features(Q.valid_rows(raw, contract), thresholds).schema,
-                                      S.FEATURE_PARTITIONS)
+    f_schema_box: list = []
 
     # ---- jobs 1+2 (concurrent, one scan of raw each) -------------------------
     #   1: contract -> valid + quarantined partitions
@@ -116,7 +115,10 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
 
     def features_job() -> DataFrame:
         S.clear_months(spark, features_root, [""], months)
-        S.write_features(X.build_features(Q.valid_rows(raw, contract), thresholds), features_root)
+        features = X.build_features(Q.valid_rows(raw, contract), thresholds)
+        f_schema = S.with_partitions_last(features.schema, S.FEATURE_PARTITIONS)
+        f_schema_box.append(f_schema)
+        S.write_features(features, features_root)
         feats = _only(S.read_features(spark, features_root, f_schema), months)
         # partition columns only: answered from parquet footers
         return (feats.groupBy(*MONTH_KEYS, "pickup_date").agg(F.count(F.lit(1)).alias("n"))
@@ -158,7 +160,7 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     drops = (stats.filter(F.col("kind") == "drop")
                   .select(*MONTH_KEYS, F.col("key").alias("reason"), "n"))
 
-    feature_cols = [f.name for f in f_schema.fields]
+    feature_cols = [f.name for f in f_schema_box[0].fields]
     def month_path(root: str, prefix: str = "") -> "F.Column":
         return F.concat(F.lit(f"{root}/{prefix}taxi_type="), F.col("taxi_type"),
                         F.lit("/file_month="), F.col("file_month"))
