@@ -139,31 +139,30 @@ def dq_digest(months: DataFrame, failures: DataFrame, drops: DataFrame,
 
     Sections: validation numbers, top quarantine reasons, transform numbers,
     top outlier reasons, end-to-end retention (absent when undefined)."""
-    m = months
-
-    def long(section, items):
-        return m.select("file_month", F.inline(F.array(*[
-            F.struct(F.lit(section).alias("section"), F.lit(name).alias("item"),
-                     expr.cast("double").alias("value"))
-            for name, expr in items])))
-
-    val = long("validation", [
-        ("total_rows", F.col("raw_rows")), ("valid_rows", F.col("valid_rows")),
-        ("quarantined_rows", F.col("quarantined_rows")),
-        ("valid_pct", _pct(F.col("valid_rows"), F.col("raw_rows"), 2)),
-        ("quarantined_pct", _pct(F.col("quarantined_rows"), F.col("raw_rows"), 2))])
-    tra = long("transform", [
-        ("input_rows", F.col("valid_rows")), ("output_rows", F.col("feature_rows")),
-        ("dropped_rows", F.col("dropped_rows")),
-        ("output_pct", F.coalesce(_pct(F.col("feature_rows"), F.col("valid_rows"), 2), F.lit(0.0))),
-        ("n_partitions", F.col("n_partitions"))])
-    ret = long("retention", [
-        ("retention_pct", _pct(F.col("feature_rows"), F.col("raw_rows"), 2))]
-    ).filter(F.col("value").isNotNull())
+    items = [
+        ("validation", "total_rows", F.col("raw_rows")),
+        ("validation", "valid_rows", F.col("valid_rows")),
+        ("validation", "quarantined_rows", F.col("quarantined_rows")),
+        ("validation", "valid_pct", _pct(F.col("valid_rows"), F.col("raw_rows"), 2)),
+        ("validation", "quarantined_pct", _pct(F.col("quarantined_rows"), F.col("raw_rows"), 2)),
+        ("transform", "input_rows", F.col("valid_rows")),
+        ("transform", "output_rows", F.col("feature_rows")),
+        ("transform", "dropped_rows", F.col("dropped_rows")),
+        ("transform", "output_pct",
+         F.coalesce(_pct(F.col("feature_rows"), F.col("valid_rows"), 2), F.lit(0.0))),
+        ("transform", "n_partitions", F.col("n_partitions")),
+        ("retention", "retention_pct", _pct(F.col("feature_rows"), F.col("raw_rows"), 2)),
+    ]
+    # every per-month number in ONE projection over the month rows
+    numbers = (months.select("file_month", F.inline(F.array(*[
+        F.struct(F.lit(sec).alias("section"), F.lit(name).alias("item"),
+                 expr.cast("double").alias("value"))
+        for sec, name, expr in items])))
+        .filter((F.col("section") != "retention") | F.col("value").isNotNull()))
     tq = top_reasons(failures, ["file_month"], "rule", k=k).select(
         "file_month", F.lit("top_quarantine_reason").alias("section"),
         F.col("rule").alias("item"), F.col("n").cast("double").alias("value"))
     to = top_reasons(drops, ["file_month"], "reason", k=k).select(
         "file_month", F.lit("top_outlier_reason").alias("section"),
         F.col("reason").alias("item"), F.col("n").cast("double").alias("value"))
-    return val.unionByName(tq).unionByName(tra).unionByName(to).unionByName(ret)
+    return numbers.unionByName(tq).unionByName(to)
