@@ -22,6 +22,11 @@ ENGINE_CONF = {
     # aggregates; inferring constraints from it only bloats planning (and can
     # exhaust driver memory) while it can never prune a scan.
     "spark.sql.constraintPropagation.enabled": "false",
+    # HotSpot does not JIT-compile methods above 8000 bytes of bytecode: the
+    # 31-rule projection otherwise produces one huge whole-stage method that
+    # runs interpreted (5-8x slower measured).  Above this size Spark falls
+    # back to per-expression generated code, which the JIT does compile.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
