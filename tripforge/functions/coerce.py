@@ -23,18 +23,24 @@ def parse_datetime(c: Column, dtype: T.DataType) -> Column:
     return c.try_cast(T.TimestampNTZType())
 
 
-def coerce_projection(schema: T.StructType) -> list[Column]:
+def coerce_sql(schema: T.StructType) -> list[str]:
     """Projection keeping every column, coercing only those that are present."""
     out = []
     for f in schema.fields:
-        c = F.col(f.name)
-        if f.name in DATETIME_COLS:
-            c = parse_datetime(c, f.dataType)
+        c = "`" + f.name.replace("`", "``") + "`"
+        if f.name in DATETIME_COLS and not isinstance(f.dataType, T.TimestampNTZType):
+            e = f"try_cast({c} AS TIMESTAMP_NTZ)"
         elif f.name in INT8_COLS:
-            c = c.try_cast(T.ByteType())
+            e = f"try_cast({c} AS TINYINT)"
         elif f.name in INT16_COLS:
-            c = F.bround(c, 0).try_cast(T.ShortType())
+            e = f"try_cast(bround({c}, 0) AS SMALLINT)"
         elif f.name in ROUNDED_INT8_COLS:
-            c = F.bround(c, 0).try_cast(T.ByteType())
-        out.append(c.alias(f.name))
+            e = f"try_cast(bround({c}, 0) AS TINYINT)"
+        else:
+            e = c
+        out.append(f"{e} AS {c}")
     return out
+
+
+def coerce_projection(schema: T.StructType) -> list[Column]:
+    return [F.expr(s) for s in coerce_sql(schema)]

@@ -1,7 +1,9 @@
-"""Derived feature expressions.
+"""Derived feature expressions (F1-F13), as Spark SQL expression text.
 
 Undefined ratios are NULL (never NaN, never a division error): every division
-is guarded by a ``when`` on its denominator.
+is guarded by a CASE on its denominator.  The projection is one
+``selectExpr`` (a single call from Python), repeated sub-expressions such as
+the duration are shared by Catalyst's subexpression elimination.
 """
 
 from __future__ import annotations
@@ -20,53 +22,49 @@ FEATURE_COLUMNS = (
     "fare_per_mile", "tip_pct", "cost_per_min", "is_airport_trip", "pickup_date",
 )
 
+P, D_ = f"`{PICKUP}`", f"`{DROPOFF}`"
+# F1: exact microsecond difference in minutes (wall-clock, zone-free for NTZ)
+DURATION = f"(timestampdiff(MICROSECOND, {P}, {D_}) / CAST(1000000 AS DOUBLE) / CAST(60 AS DOUBLE))"
+HOUR = f"hour({P})"
+WEEKDAY = f"weekday({P})"  # Monday = 0
 
-def duration_min(pickup: Column, dropoff: Column) -> Column:
-    """F1: exact microsecond difference in minutes; may be <= 0."""
-    micros = F.timestamp_diff("MICROSECOND", pickup, dropoff)
-    return micros / F.lit(1_000_000.0) / F.lit(60.0)
 
-
-def time_of_day(hour: Column) -> Column:
+def time_of_day_sql(hour: str = HOUR) -> str:
     """half-open hour buckets."""
-    expr = None
-    for start, end, label in C.TIME_OF_DAY_BUCKETS:
-        cond = (hour >= start) & (hour < end)
-        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
-    return expr
+    arms = " ".join(f"WHEN {hour} >= {lo} AND {hour} < {hi} THEN '{label}'"
+                    for lo, hi, label in C.TIME_OF_DAY_BUCKETS)
+    return f"CASE {arms} END"
 
 
-def rush_hour(weekday: Column, hour: Column) -> Column:
+def rush_hour_sql(weekday: str = WEEKDAY, hour: str = HOUR) -> str:
     """F8: Monday-Friday and hour inside one of the inclusive windows."""
-    windows = None
-    for lo, hi in C.RUSH_HOURS:
-        w = hour.between(lo, hi)
-        windows = w if windows is None else (windows | w)
-    return (weekday < 5) & windows
+    windows = " OR ".join(f"{hour} BETWEEN {lo} AND {hi}" for lo, hi in C.RUSH_HOURS)
+    return f"({weekday} < 5 AND ({windows}))"
 
 
-def feature_projection(columns: list[str]) -> list[Column]:
-    """The 13 derived columns, in output order, for a frame with ``columns``."""
-    pick, drop = F.col(PICKUP), F.col(DROPOFF)
-    dist, fare = F.col("trip_distance"), F.col("fare_amount")
-    dur = duration_min(pick, drop)
-    dur_h = dur / F.lit(60.0)
-    hour = F.hour(pick)
-    wd = F.weekday(pick)  # Monday = 0
-    airport = (F.coalesce(F.col("Airport_fee"), F.lit(0.0)) > 0
-               if "Airport_fee" in columns else F.lit(False))
+def feature_sql(columns: list[str]) -> list[str]:
+    """The 13 derived columns as ``<expr> AS <name>``, in output order."""
+    dur, dist, fare = DURATION, "`trip_distance`", "`fare_amount`"
+    dur_h = f"({dur} / CAST(60 AS DOUBLE))"
+    airport = ("coalesce(`Airport_fee`, CAST(0 AS DOUBLE)) > 0"
+               if "Airport_fee" in columns else "FALSE")
     return [
-        dur.alias("trip_duration_min"),                                       # F1
-        F.when(dur_h > 0, dist / dur_h).alias("trip_speed_mph"),              # F2
-        hour.cast("tinyint").alias("pickup_hour"),                            # F3
-        wd.cast("tinyint").alias("pickup_dayofweek"),                         # F4
-        F.date_format(pick, "EEEE").alias("pickup_day_name"),                 # F5
-        (wd >= 5).alias("is_weekend"),                                        # F6
-        time_of_day(hour).alias("time_of_day"),                               # F7
-        rush_hour(wd, hour).alias("is_rush_hour"),                            # F8
-        F.when(dist > 0, fare / dist).alias("fare_per_mile"),                 # F9
-        F.when(fare > 0, F.lit(100.0) * F.col("tip_amount") / fare).alias("tip_pct"),  # F10
-        F.when(dur > 0, F.col("total_amount") / dur).alias("cost_per_min"),   # F11
-        airport.alias("is_airport_trip"),                                     # F12
-        F.date_format(pick, "yyyy-MM-dd").alias("pickup_date"),               # F13
+        f"{dur} AS trip_duration_min",                                                   # F1
+        f"CASE WHEN {dur_h} > 0 THEN {dist} / {dur_h} END AS trip_speed_mph",            # F2
+        f"CAST({HOUR} AS TINYINT) AS pickup_hour",                                       # F3
+        f"CAST({WEEKDAY} AS TINYINT) AS pickup_dayofweek",                               # F4
+        f"date_format({P}, 'EEEE') AS pickup_day_name",                                  # F5
+        f"({WEEKDAY} >= 5) AS is_weekend",                                               # F6
+        f"{time_of_day_sql()} AS time_of_day",                                           # F7
+        f"{rush_hour_sql()} AS is_rush_hour",                                            # F8
+        f"CASE WHEN {dist} > 0 THEN {fare} / {dist} END AS fare_per_mile",               # F9
+        f"CASE WHEN {fare} > 0 THEN CAST(100 AS DOUBLE) * `tip_amount` / {fare} END AS tip_pct",  # F10
+        f"CASE WHEN {dur} > 0 THEN `total_amount` / {dur} END AS cost_per_min",          # F11
+        f"({airport}) AS is_airport_trip",                                               # F12
+        f"date_format({P}, 'yyyy-MM-dd') AS pickup_date",                                # F13
     ]
+
+
+def feature_projection(columns: list[str]) -> list[Column]:
+    """The same 13 columns as ``Column`` objects."""
+    return [F.expr(s) for s in feature_sql(columns)]

@@ -5,6 +5,10 @@ is TRUE when the row violates the rule, FALSE when it passes and NULL when the
 rule does not apply (a null value never fails a value check, only
 ``not_nullable``).  Inside ``when`` a NULL predicate simply drops out, which
 gives exactly the "ignore missing values" semantics of a column contract.
+
+Rules compile to Spark SQL expression text (``Rule.sql``): a list of 31
+predicates then costs one ``F.expr`` call instead of hundreds of py4j round
+trips for ``F.col``/``F.lit``/operators; Catalyst sees the same expressions.
 """
 
 from __future__ import annotations
@@ -20,6 +24,25 @@ from pyspark.sql import types as T
 NULL_TEXT = "None"
 
 
+def ident(name: str) -> str:
+    """Quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_literal(v: Any) -> str:
+    """SQL literal with the Python type kept (floats as DOUBLE, not DECIMAL)."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return f"CAST('{v!r}' AS DOUBLE)"
+    s = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{s}'"
+
+
 @dataclass(frozen=True)
 class Rule:
     """One contract rule.  ``kind`` is one of not_nullable/isin/ge/le/before/expr."""
@@ -39,22 +62,30 @@ class Rule:
             return (self.column, self.arg)
         return (self.column,)
 
-    def bad(self) -> Column:
-        c = F.col(self.column)
+    @property
+    def sql(self) -> str | None:
+        """Predicate as SQL text (None only for Column-factory custom rules)."""
+        c = ident(self.column)
         if self.kind == "not_nullable":
-            return c.isNull()
+            return f"({c} IS NULL)"
         if self.kind == "isin":
-            return ~c.isin(*self.arg)
+            return f"(NOT ({c} IN ({', '.join(sql_literal(v) for v in self.arg)})))"
         if self.kind == "ge":
-            return c < F.lit(self.arg)
+            return f"({c} < {sql_literal(self.arg)})"
         if self.kind == "le":
-            return c > F.lit(self.arg)
+            return f"({c} > {sql_literal(self.arg)})"
         if self.kind == "before":
-            return c < F.col(self.arg)
+            return f"({c} < {ident(self.arg)})"
         if self.kind == "expr":
-            return self.arg() if callable(self.arg) else F.expr(self.arg)
+            return f"({self.arg})" if isinstance(self.arg, str) else None
         raise ValueError(f"unknown rule kind {self.kind!r}")
 
+    def bad(self) -> Column:
+        s = self.sql
+        if s is not None:
+            return F.expr(s)
+        return self.arg()
+
 
 # -- rule builders -----------------------------------------------------------
 
@@ -94,21 +125,29 @@ def applicable(rules: Sequence[Rule], columns: Iterable[str]) -> list[Rule]:
     return [r for r in rules if all(c in present for c in r.columns())]
 
 
-def value_text(rule: Rule, schema: T.StructType) -> Column:
-    """Failing value rendered like a Python repr: strings quoted, null as None."""
+def all_sql(rules: Sequence[Rule]) -> bool:
+    return all(r.sql is not None for r in rules)
+
+
+def _is_string(rule: Rule, schema: T.StructType) -> bool:
     field = next((f for f in schema.fields if f.name == rule.column), None)
-    c = F.col(rule.column)
-    if field is not None and isinstance(field.dataType, T.StringType):
-        text = F.concat(F.lit("'"), c, F.lit("'"))
-    else:
-        text = c.cast("string")
-    return F.coalesce(text, F.lit(NULL_TEXT))
+    return field is not None and isinstance(field.dataType, T.StringType)
 
 
-def reason_text(rule: Rule, schema: T.StructType) -> Column:
+def reason_sql(rule: Rule, schema: T.StructType) -> str:
+    """``column:check=value`` with the value rendered like a Python repr."""
+    key = sql_literal(rule.key)
     if not rule.show_value:
-        return F.lit(rule.key)
-    return F.concat(F.lit(rule.key + "="), value_text(rule, schema))
+        return key
+    c = ident(rule.column)
+    text = f"concat('''', {c}, '''')" if _is_string(rule, schema) else f"CAST({c} AS STRING)"
+    return f"concat({sql_literal(rule.key + '=')}, coalesce({text}, {sql_literal(NULL_TEXT)}))"
+
+
+def any_true_sql(rules: Sequence[Rule]) -> str:
+    if not rules:
+        return "FALSE"
+    return "(" + " OR ".join(f"coalesce({r.sql}, FALSE)" for r in rules) + ")"
 
 
 def any_true(predicates: Sequence[Column]) -> Column:
@@ -118,11 +157,45 @@ def any_true(predicates: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, [F.coalesce(p, F.lit(False)) for p in predicates])
 
 
+def any_bad(rules: Sequence[Rule]) -> Column:
+    """TRUE when at least one rule is violated (never NULL)."""
+    if all_sql(rules):
+        return F.expr(any_true_sql(rules))
+    return any_true([r.bad() for r in rules])
+
+
 def reasons_column(rules: Sequence[Rule], schema: T.StructType, sep: str = "; ") -> Column:
     """All violated rules of a row joined in rule order; '' when none.
 
-    ``concat_ws`` skips the NULLs produced by non-matching ``when``s, so this
+    ``concat_ws`` skips the NULLs produced by non-matching CASEs, so this
     stays a flat codegen'd expression (no lambdas, no arrays)."""
     if not rules:
         return F.lit("")
-    return F.concat_ws(sep, *[F.when(r.bad(), reason_text(r, schema)) for r in rules])
+    if all_sql(rules):
+        parts = ", ".join(f"CASE WHEN {r.sql} THEN {reason_sql(r, schema)} END" for r in rules)
+        return F.expr(f"concat_ws({sql_literal(sep)}, {parts})")
+    texts = []
+    for r in rules:
+        texts.append(F.when(r.bad(), F.expr(reason_sql(r, schema))))
+    return F.concat_ws(sep, *texts)
+
+
+def violated_codes(rules: Sequence[Rule]) -> Column:
+    """Comma-separated numbers (1-based) of the violated rules."""
+    if all_sql(rules):
+        parts = ", ".join(f"CASE WHEN {r.sql} THEN '{i}' END" for i, r in enumerate(rules, start=1))
+        return F.expr(f"concat_ws(',', {parts})")
+    return F.concat_ws(",", *[F.when(r.bad(), F.lit(str(i))) for i, r in enumerate(rules, start=1)])
+
+
+def count_exprs(rules: Sequence[Rule], prefix: str, extra: str | None = None) -> list[Column]:
+    """``count_if`` per rule (optionally AND-ed with ``extra`` SQL), aliased prefix+i."""
+    out = []
+    for i, r in enumerate(rules):
+        if r.sql is not None:
+            cond = r.sql if extra is None else f"({extra}) AND {r.sql}"
+            out.append(F.expr(f"count_if({cond}) AS {prefix}{i}"))
+        else:
+            cond = r.bad() if extra is None else (F.expr(extra) & r.bad())
+            out.append(F.count_if(cond).alias(f"{prefix}{i}"))
+    return out

@@ -34,7 +34,7 @@ def _active_rules(df: DataFrame, contract: Contract) -> list[R.Rule]:
 
 def is_bad(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> Column:
     """TRUE when the row violates at least one rule (never NULL)."""
-    return R.any_true([r.bad() for r in _active_rules(df, contract)])
+    return R.any_bad(_active_rules(df, contract))
 
 
 def reasons(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> Column:
@@ -72,15 +72,15 @@ def violations(df: DataFrame, id_cols: Sequence[str],
     ``concat_ws`` string that is split and exploded (flat, cheap to compile);
     rule names come from constant arrays indexed by rule number."""
     rules = _active_rules(df, contract)
-    codes = F.concat_ws(",", *[F.when(r.bad(), F.lit(str(i))) for i, r in enumerate(rules, start=1)])
-    col_names = F.array(*[F.lit(r.column) for r in rules])
-    check_names = F.array(*[F.lit(r.check) for r in rules])
-    no = F.col("_c").cast("int")
+    codes = R.violated_codes(rules)
+    col_names = "array(" + ", ".join(R.sql_literal(r.column) for r in rules) + ")"
+    check_names = "array(" + ", ".join(R.sql_literal(r.check) for r in rules) + ")"
+    ids = [R.ident(c) for c in id_cols]
     return (df.filter(is_bad(df, contract))
               .select(*id_cols, F.explode(F.split(codes, ",")).alias("_c"))
-              .select(*id_cols, no.alias("rule_no"),
-                      F.element_at(col_names, no).alias("column_name"),
-                      F.element_at(check_names, no).alias("check_name")))
+              .selectExpr(*ids, "CAST(_c AS INT) AS rule_no",
+                          f"element_at({col_names}, CAST(_c AS INT)) AS column_name",
+                          f"element_at({check_names}, CAST(_c AS INT)) AS check_name"))
 
 
 def rule_hits(df: DataFrame, group_cols: Sequence[str] = (),
@@ -90,15 +90,13 @@ def rule_hits(df: DataFrame, group_cols: Sequence[str] = (),
     One aggregate with a ``count_if`` per rule (partial aggregation on the map
     side, tiny shuffle), then an ``inline`` turns the wide row into rows."""
     rules = _active_rules(df, contract)
-    aggs = [F.count_if(r.bad()).alias(f"_n{i}") for i, r in enumerate(rules, start=1)]
+    aggs = R.count_exprs(rules, "_n")
     wide = df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
-    entries = F.array(*[
-        F.struct(F.lit(i).alias("rule_no"), F.lit(r.key).alias("rule"),
-                 F.lit(r.column).alias("column_name"), F.lit(r.check).alias("check_name"),
-                 F.col(f"_n{i}").alias("n"))
-        for i, r in enumerate(rules, start=1)
-    ])
-    out = wide.select(*group_cols, F.inline(entries))
+    entries = "inline(array(" + ", ".join(
+        f"named_struct('rule_no', {i + 1}, 'rule', {R.sql_literal(r.key)}, "
+        f"'column_name', {R.sql_literal(r.column)}, 'check_name', {R.sql_literal(r.check)}, 'n', _n{i})"
+        for i, r in enumerate(rules)) + "))"
+    out = wide.selectExpr(*[R.ident(c) for c in group_cols], entries)
     if only_positive:
         out = out.filter(F.col("n") > 0)
     return out

@@ -8,50 +8,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripforge.config import DEFAULT_THRESHOLDS, Thresholds
-from tripforge.functions.coerce import coerce_projection
-from tripforge.functions.features import feature_projection
-from tripforge.functions.outliers import outlier_rules
-from tripforge.functions.rules import any_true
+from tripforge.functions.coerce import coerce_sql
+from tripforge.functions.features import feature_sql
+from tripforge.functions.outliers import any_outlier_sql, outlier_sql
 
 
 def coerce_types(df: DataFrame) -> DataFrame:
     """T1-T4 as one projection; absent columns are skipped."""
-    return df.select(*coerce_projection(df.schema))
+    return df.selectExpr(*coerce_sql(df.schema))
 
 
 def add_features(df: DataFrame) -> DataFrame:
     """F1-F13 appended after the existing columns."""
-    return df.select("*", *feature_projection(df.columns))
+    return df.selectExpr("*", *feature_sql(df.columns))
 
 
 def outlier_flags(df: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS,
                   keep: Sequence[str] | None = None) -> DataFrame:
     """One non-null boolean per outlier rule."""
-    base = [F.col(c) for c in (keep if keep is not None else df.columns)]
-    flags = [F.coalesce(p, F.lit(False)).alias(name) for name, p in outlier_rules(thresholds)]
-    return df.select(*base, *flags)
+    base = ["`" + c + "`" for c in (keep if keep is not None else df.columns)]
+    flags = [f"coalesce({p}, FALSE) AS {name}" for name, p in outlier_sql(thresholds)]
+    return df.selectExpr(*base, *flags)
 
 
 def filter_outliers(df: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """Drop a row when any rule holds (once, however many hold)."""
-    return df.filter(~any_true([p for _, p in outlier_rules(thresholds)]))
+    return df.filter(f"NOT {any_outlier_sql(thresholds)}")
 
 
 def is_outlier(thresholds: Thresholds = DEFAULT_THRESHOLDS):
-    return any_true([p for _, p in outlier_rules(thresholds)])
+    return F.expr(any_outlier_sql(thresholds))
 
 
 def dropped_by_reason(df: DataFrame, group_cols: Sequence[str] = ("file_month",),
                       thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """Rows violating each rule, counted independently; all keys present."""
-    rules = outlier_rules(thresholds)
-    aggs = [F.count_if(p).alias(f"_o{i}") for i, (_, p) in enumerate(rules)]
+    rules = outlier_sql(thresholds)
+    aggs = [F.expr(f"count_if({p}) AS _o{i}") for i, (_, p) in enumerate(rules)]
     wide = df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
-    entries = F.array(*[
-        F.struct(F.lit(name).alias("reason"), F.col(f"_o{i}").alias("n"))
-        for i, (name, _) in enumerate(rules)
-    ])
-    return wide.select(*group_cols, F.inline(entries))
+    entries = "inline(array(" + ", ".join(
+        f"named_struct('reason', '{name}', 'n', _o{i})" for i, (name, _) in enumerate(rules)) + "))"
+    return wide.selectExpr(*["`" + c + "`" for c in group_cols], entries)
 
 
 def build_features(valid: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:

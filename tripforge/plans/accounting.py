@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tripforge.config import DEFAULT_THRESHOLDS, Thresholds
 from tripforge.functions import rules as R
 from tripforge.functions.contract import TRIP_CONTRACT, Contract
-from tripforge.functions.outliers import outlier_rules
+from tripforge.functions.outliers import any_outlier_sql, outlier_sql
 from tripforge.operators import quarantine as Q
 from tripforge.operators import transform as X
 
@@ -46,22 +46,16 @@ class PipelineStats:
 def day_stats_wide(raw: DataFrame, contract: Contract = TRIP_CONTRACT,
                    thresholds: Thresholds = DEFAULT_THRESHOLDS) -> tuple[DataFrame, list, list]:
     rules = Q._active_rules(raw, contract)
-    orules = outlier_rules(thresholds)
-    bad = R.any_true([r.bad() for r in rules])
+    orules = outlier_sql(thresholds)
     # rule flags are evaluated on the raw columns, outlier flags on the coerced
     # + featured projection of the same row (only counted for valid rows)
-    flagged = raw.select("*", bad.alias("_bad"),
+    flagged = raw.select("*", R.any_bad(rules).alias("_bad"),
                          *[r.bad().alias(f"_r{i}") for i, r in enumerate(rules)])
     feats = X.featured(flagged)
-    valid = ~F.col("_bad")
-    kept = valid & ~X.is_outlier(thresholds)
-    aggs = [
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(valid).alias("valid_rows"),
-        F.count_if(kept).alias("feature_rows"),
-    ]
-    aggs += [F.count_if(F.col(f"_r{i}")).alias(f"_r{i}") for i in range(len(rules))]
-    aggs += [F.count_if(valid & p).alias(f"_o{i}") for i, (_, p) in enumerate(orules)]
+    aggs = [F.expr("count(1) AS raw_rows"), F.expr("count_if(NOT _bad) AS valid_rows"),
+            F.expr(f"count_if(NOT _bad AND NOT {any_outlier_sql(thresholds)}) AS feature_rows")]
+    aggs += [F.expr(f"count_if(_r{i}) AS _r{i}") for i in range(len(rules))]
+    aggs += [F.expr(f"count_if(NOT _bad AND {p}) AS _o{i}") for i, (_, p) in enumerate(orules)]
     wide = feats.groupBy(*MONTH_KEYS, "pickup_date").agg(*aggs)
     return wide, rules, orules
 
@@ -75,13 +69,13 @@ def stats_long(raw: DataFrame, contract: Contract = TRIP_CONTRACT,
     reuses (per-branch column pruning of the wide aggregate would otherwise
     make each branch a different plan and re-scan the input)."""
     wide, rules, orules = day_stats_wide(raw, contract, thresholds)
-    entries = [F.struct(F.lit(k).alias("kind"), F.lit(None).cast("string").alias("key"),
-                        F.col(k).alias("n")) for k in ("raw_rows", "valid_rows", "feature_rows")]
-    entries += [F.struct(F.lit("rule").alias("kind"), F.lit(r.key).alias("key"), F.col(f"_r{i}").alias("n"))
+    entries = [f"named_struct('kind', '{k}', 'key', CAST(NULL AS STRING), 'n', {k})"
+               for k in ("raw_rows", "valid_rows", "feature_rows")]
+    entries += [f"named_struct('kind', 'rule', 'key', {R.sql_literal(r.key)}, 'n', _r{i})"
                 for i, r in enumerate(rules)]
-    entries += [F.struct(F.lit("drop").alias("kind"), F.lit(name).alias("key"), F.col(f"_o{i}").alias("n"))
+    entries += [f"named_struct('kind', 'drop', 'key', '{name}', 'n', _o{i})"
                 for i, (name, _) in enumerate(orules)]
-    return wide.select(*MONTH_KEYS, "pickup_date", F.inline(F.array(*entries)))
+    return wide.selectExpr(*MONTH_KEYS, "pickup_date", "inline(array(" + ", ".join(entries) + "))")
 
 
 def pipeline_stats(raw: DataFrame, contract: Contract = TRIP_CONTRACT,
@@ -100,9 +94,8 @@ def pipeline_stats(raw: DataFrame, contract: Contract = TRIP_CONTRACT,
     rule_order = {r.key: i + 1 for i, r in enumerate(Q._active_rules(raw, contract))}
     failures = (long.filter(F.col("kind") == "rule")
                     .groupBy(*MONTH_KEYS, F.col("key").alias("rule")).agg(F.sum("n").alias("n")))
-    failures = failures.select(*MONTH_KEYS, F.element_at(
-        F.create_map(*[x for k, i in rule_order.items() for x in (F.lit(k), F.lit(i))]),
-        F.col("rule")).alias("rule_no"), "rule", "n")
+    order_map = "map(" + ", ".join(f"{R.sql_literal(k)}, {i}" for k, i in rule_order.items()) + ")"
+    failures = failures.selectExpr(*MONTH_KEYS, f"element_at({order_map}, rule) AS rule_no", "rule", "n")
     drops = (long.filter(F.col("kind") == "drop")
                  .groupBy(*MONTH_KEYS, F.col("key").alias("reason")).agg(F.sum("n").alias("n")))
     return PipelineStats(days=days, failures=failures, drops=drops)

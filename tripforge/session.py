@@ -27,6 +27,11 @@ ENGINE_CONF = {
     # runs interpreted (5-8x slower measured).  Above this size Spark falls
     # back to per-expression generated code, which the JIT does compile.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A write task touching a few partitions (months x status, or the days
+    # of a rebalanced bucket) keeps a writer per partition open instead of
+    # sorting its rows by partition first; beyond 16 Spark falls back to the
+    # sort-based writer, which bounds writer memory.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 
