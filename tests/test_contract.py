@@ -155,3 +155,27 @@ def test_valid_plus_quarantined_equals_total(spark):
     assert v.count() + q.count() == total
     assert q.count() == 738                       # known answer (SURVEY §5)
     assert not math.isnan(float(total))
+
+
+def test_sql_literals_and_identifiers():
+    from tripforge.functions.rules import ident, sql_literal
+    assert sql_literal(0.05) == "CAST('0.05' AS DOUBLE)"
+    assert sql_literal(7) == "7" and sql_literal(True) == "TRUE" and sql_literal(None) == "NULL"
+    assert sql_literal("it's") == "'it\\'s'"
+    assert ident("a`b") == "`a``b`"
+
+
+def test_custom_rules_sql_and_column(spark):
+    from pyspark.sql import functions as F
+    from tripforge.functions import rules as R
+    from tripforge.functions.contract import Contract
+    df = spark.createDataFrame([(1, "x y", 5.0), (2, "ok", -1.0), (3, None, 2.0)], "id int, `odd name` string, v double")
+    c = Contract(rules=(R.custom("v", "positive", "v <= 0"),
+                        R.custom("odd name", "no_space", lambda: F.col("`odd name`").contains(" ")),
+                        R.isin("odd name", ["x y", "it's"])))
+    got = {r.id: r[Q.REASONS_COL] for r in Q.quarantine_rows(df, c).collect()}
+    assert got == {1: "odd name:no_space='x y'", 2: "v:positive=-1.0; odd name:isin='ok'"}
+    hits = {r.rule: r.n for r in Q.rule_hits(df, contract=c).collect()}
+    assert hits == {"v:positive": 1, "odd name:no_space": 1, "odd name:isin": 1}
+    v = {(r.id, r.column_name, r.check_name) for r in Q.violations(df, ["id"], c).collect()}
+    assert v == {(1, "odd name", "no_space"), (2, "v", "positive"), (2, "odd name", "isin")}

@@ -1,15 +1,17 @@
 """B1: the end-to-end pipeline as a set-based job over all requested months.
 
-    raw files --(scan, contract)--> validated/{valid,quarantined}   job 1
-    validated/valid --(coerce, features, outliers)--> features       job 2
-    outputs --(footer counts + small scans)--> reports (JSON)        jobs 3..
-
-No per-month loop: months are a column.  Each stage reads what the previous
-stage wrote (a written table cuts lineage, so an executor loss recomputes at
-most one stage).  Row accounting comes from the outputs themselves: counts of
-partition-column-only scans are answered from parquet footers, failure
-counts re-evaluate the rules on the (small) quarantine, drop reasons read
-the five columns they need.
+    raw --(contract)--> validated/{valid,quarantined}                     job 1
+    raw --(contract, coerce, features, outliers)--> features/day=...     job 2 (concurrent)
+    validated --(footer counts, rules on quarantine, 5-column scan)--> stats  job 3
+    stats + feature footer counts --> reports (JSON, written concurrently)
+
+No per-month loop: months are a column.  Job 2 derives the valid rows from
+the same raw scan instead of waiting for job 1's output (same rows, same bytes
+read).  Row accounting comes from the outputs: partition-column-only scans are
+answered from parquet footers, failure counts re-evaluate the rules on the
+(small) quarantine, drop reasons read the five columns they need.  Counts are
+never taken with ``observe``/accumulators, whose map-stage updates can be
+applied twice when a stage is retried after an executor loss.
 """
 
 from __future__ import annotations
@@ -24,7 +26,6 @@ from pyspark.sql import functions as F
 
 from tripforge.config import DEFAULT_THRESHOLDS, Thresholds
 from tripforge.functions.contract import TRIP_CONTRACT, Contract
-from tripforge.functions.features import FEATURE_COLUMNS
 from tripforge.operators import quarantine as Q
 from tripforge.operators import reports as RP
 from tripforge.operators import transform as X

@@ -27,23 +27,21 @@ ENGINE_CONF = {
     # runs interpreted (5-8x slower measured).  Above this size Spark falls
     # back to per-expression generated code, which the JIT does compile.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # A write task touching a few partitions (months x status, or the days
-    # of a rebalanced bucket) keeps a writer per partition open instead of
-    # sorting its rows by partition first; beyond 16 Spark falls back to the
-    # sort-based writer, which bounds writer memory.
-    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tripforge") -> SparkSession:
+                  app_name: str = "tripforge", driver_memory: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine settings applied.
 
-    On a cluster ``master`` is left to spark-submit; tests pass ``local[*]``.
+    On a cluster ``master`` and memory are left to spark-submit; local runs
+    (one JVM doing all the work) should pass ``driver_memory``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
