@@ -44,3 +44,18 @@ def test_head_sample(spark):
     df = spark.range(100).withColumnRenamed("id", "k")
     assert [r.k for r in P.head_sample(df, 3, ["k"]).collect()] == [0, 1, 2]
     assert P.head_sample(df, 0).count() == 100
+
+
+@pytest.mark.parametrize("seed", [0, 3])
+def test_histogram_path_matches_numpy(spark, seed):
+    rng = np.random.default_rng(seed)
+    n = 4000
+    a = rng.exponential(size=n) * 1000          # skewed spread
+    b = np.where(rng.random(n) < 0.4, -3.0, rng.normal(size=n))   # heavy tie
+    c = np.concatenate([rng.normal(size=n - 1), [1e12]])           # extreme outlier
+    df = spark.createDataFrame([(float(x), float(y), float(z)) for x, y, z in zip(a, b, c)],
+                               "a double, b double, c double")
+    bounds = {k: (float(v.min()), float(v.max())) for k, v in (("a", a), ("b", b), ("c", c))}
+    got = P.exact_quantiles(df, ["a", "b", "c"], 0.5, collect_cap=30, bounds=bounds, buckets=64)
+    for name, arr in (("a", a), ("b", b), ("c", c)):
+        assert got[name] == pytest.approx(float(np.quantile(arr, 0.5)), abs=1e-9)

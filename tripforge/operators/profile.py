@@ -96,14 +96,74 @@ class _Target:
         return cond
 
 
+def _histogram_step(work: DataFrame, targets: list, bounds: dict, buckets: int) -> None:
+    """Place every open rank in an exact equal-width histogram bucket.
+
+    One aggregate over all columns (partial aggregation per task; the result
+    has at most columns x buckets rows).  A bucket holding a single distinct
+    value resolves its ranks at once, however many rows share that value."""
+    spec, live = [], []
+    for i, t in enumerate(targets):
+        lo, hi = bounds.get(t.column, (None, None))
+        if lo is None or hi is None:
+            continue
+        c = f"`{t.column}`"
+        width = (hi - lo) / buckets
+        if hi > lo and math.isfinite(width) and width > 0:
+            b = (f"CAST(least({buckets - 1}, greatest(0, floor(({c} - CAST('{lo!r}' AS DOUBLE)) "
+                 f"/ CAST('{width!r}' AS DOUBLE)))) AS INT)")
+        else:
+            b = "0"
+        spec.append(f"named_struct('c', {i}, 'b', CASE WHEN {c} IS NOT NULL THEN {b} END, 'v', {c})")
+        live.append(i)
+    if not spec:
+        return
+    hist = (work.selectExpr(f"inline(array({', '.join(spec)}))")
+                .filter("b IS NOT NULL")
+                .groupBy("c", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"),
+                                       F.max("v").alias("mx"))
+                .collect())                       # <= columns x buckets rows
+    per: dict[int, list] = {}
+    for r in hist:
+        per.setdefault(r.c, []).append((r.b, r.n, r.mn, r.mx))
+    for i in live:
+        t = targets[i]
+        rows = sorted(per.get(i, []))
+        cum, spans = 0, []
+        for _, n, mn, mx in rows:
+            spans.append((cum, cum + n, mn, mx))
+            cum += n
+        still, lo_b, hi_b = [], None, None
+        for k in t.ranks:
+            for start, end, mn, mx in spans:
+                if start <= k < end:
+                    if mn == mx:
+                        t.values[k] = mn
+                    else:
+                        still.append(k)
+                        lo_b = start if lo_b is None else min(lo_b, start)
+                        hi_b = end if hi_b is None else max(hi_b, end)
+                    break
+        t.ranks = still
+        if still:
+            first = next(sp for sp in spans if sp[0] == lo_b)
+            last = next(sp for sp in spans if sp[1] == hi_b)
+            t.lo, t.hi, t.lo_open, t.hi_open = first[2], last[3], False, False
+            t.below, t.inside = lo_b, hi_b - lo_b
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
                     counts: dict[str, int] | None = None, accuracy: int = 10000,
-                    collect_cap: int = 100_000, max_rounds: int = 16) -> dict[str, float | None]:
+                    collect_cap: int = 100_000, max_rounds: int = 16,
+                    bounds: dict[str, tuple] | None = None,
+                    buckets: int = 4096) -> dict[str, float | None]:
     """Exact linear-interpolated quantile per column (pandas/``quantile_cont``).
 
-    All columns advance together: each round is one sketch aggregate and one
-    exact-count aggregate over the whole input; the driver keeps only the
-    bracket bounds and counts of every column."""
+    All columns advance together.  With known (min, max) ``bounds`` one exact
+    histogram pass usually narrows every rank to a bucket small enough to
+    sort; otherwise (or for pathological spreads) each round is one sketch
+    aggregate and one exact-count aggregate.  The driver keeps only bracket
+    bounds and counts of every column."""
     if counts is None:
         row = df.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(columns)]).first()
         counts = {c: row[f"_n{i}"] for i, c in enumerate(columns)}
@@ -122,6 +182,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
         targets.append(_Target(c, sorted({k0, k1}), inside=n, values={}))
 
     work = df.select(*[F.col(c).cast("double").alias(c) for c in plan])
+    if bounds:
+        _histogram_step(work, [t for t in targets if t.inside > collect_cap], bounds, buckets)
     for _ in range(max_rounds):
         big = [t for t in targets if t.ranks and t.inside > collect_cap]
         if not big:
@@ -204,7 +266,8 @@ STATS_SCHEMA = "column_name string, min double, max double, mean double, p50 dou
 
 def _numeric_rows(df, cols, row, digits, collect_cap):
     counts = {c: row[f"_n{i}"] for i, c in enumerate(cols)}
-    med = exact_quantiles(df, cols, 0.5, counts=counts, collect_cap=collect_cap)
+    bounds = {c: (row[f"_mn{i}"], row[f"_mx{i}"]) for i, c in enumerate(cols)}
+    med = exact_quantiles(df, cols, 0.5, counts=counts, collect_cap=collect_cap, bounds=bounds)
     rnd = lambda v: None if v is None else _round_half_up(v, digits)
     return {c: (row[f"_mn{i}"], row[f"_mx{i}"], rnd(row[f"_av{i}"]), rnd(med[c]))
             for i, c in enumerate(cols)}
