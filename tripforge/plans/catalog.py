@@ -289,4 +289,14 @@ def queries() -> dict[str, Query]:
         "partition_counts_orders": q_partition_counts_orders,
         "top_reasons_by_flag": q_top_reasons_by_flag,
     }
-    return q
+    return {name: _with_engine_conf(fn) for name, fn in q.items()}
+
+
+def _with_engine_conf(fn: Query) -> Query:
+    """Every query runs with the engine's SQL settings on the caller's session."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_engine_conf(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
