@@ -67,6 +67,9 @@ def shared_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on the cluster's shared "
+                               "file system; a machine-local folder would lose data with its executor")
         root = tempfile.mkdtemp(prefix="tripforge-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
