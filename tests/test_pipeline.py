@@ -39,8 +39,9 @@ def test_outputs_match_lazy_plan(spark, fixture_run):
 
 def test_sinks_roundtrip_counts(spark, fixture_run):
     assert S.read_valid(spark, fixture_run.validated_root).count() == 9262
-    q = S.read_quarantine(spark, fixture_run.validated_root)
+    q = S.read_quarantine_table(spark, fixture_run.quarantine_root)
     assert q.count() == 738 and S.REASONS_COL in q.columns
+    assert S.read_quarantine(spark, fixture_run.validated_root).count() == 0   # compacted away
     assert S.REASONS_COL not in S.read_valid(spark, fixture_run.validated_root).columns
     feats = S.read_features(spark, fixture_run.features_root)
     assert feats.count() == 7513
@@ -75,11 +76,11 @@ def test_failure_and_drop_stats_match_lazy(spark, fixture_run):
 def test_rerun_replaces_and_clears_stale_quarantine(spark, make_trips, tmp_out):
     bad = make_trips(trip(), trip(VendorID=99), month="2024-01")
     run_months(spark, bad, tmp_out, [("yellow", "2024-01")], write_reports=False)
-    assert S.read_quarantine(spark, f"{tmp_out}/validated").count() == 1
+    assert S.read_quarantine_table(spark, f"{tmp_out}/quarantine").count() == 1
     good = make_trips(trip(), trip(), month="2024-01")
     r = run_months(spark, good, tmp_out, [("yellow", "2024-01")], write_reports=False)
-    q = S.read_quarantine(spark, f"{tmp_out}/validated")
-    assert q is None or q.count() == 0                              # H11
+    q_schema = S.quarantine_schema(S.validated_schema(good.schema))
+    assert S.read_quarantine_table(spark, f"{tmp_out}/quarantine", q_schema).count() == 0   # H11
     assert S.read_valid(spark, f"{tmp_out}/validated").count() == 2     # replaced, not appended
     assert S.read_features(spark, f"{tmp_out}/features").count() == 2
     assert r.months.collect()[0].feature_rows == 2
@@ -152,7 +153,7 @@ def test_run_range_skips_missing_months(spark, make_trips, tmp_out):
 def test_report_paths(spark, fixture_run):
     v = fixture_run.validation.orderBy("file_month").collect()[0]
     assert v.valid_path.endswith("_dq_status=valid/taxi_type=yellow/file_month=2024-01")
-    assert v.quarantine_path is not None
+    assert v.quarantine_path.endswith("quarantine/taxi_type=yellow/file_month=2024-01")
     t = fixture_run.transform.orderBy("file_month").collect()[0]
     assert t.output_path.endswith("features/taxi_type=yellow/file_month=2024-01")
     assert dict(t.dropped_by_reason)["duration_too_short"] > 0

@@ -119,7 +119,7 @@ def q_sink_valid_roundtrip(spark, sf):
 
 def q_sink_quarantine_roundtrip(spark, sf):
     r = _pipeline_run(spark, sf)
-    return S.read_quarantine(spark, r.validated_root)
+    return S.read_quarantine_table(spark, r.quarantine_root)
 
 
 def q_sink_partitioned_roundtrip(spark, sf):

@@ -53,6 +53,10 @@ class PipelineResult:
     def features_root(self) -> str:
         return f"{self.out_root}/features"
 
+    @property
+    def quarantine_root(self) -> str:
+        return f"{self.out_root}/quarantine"
+
 
 def validate_stage(raw: DataFrame, validated_root: str,
                    contract: Contract = TRIP_CONTRACT) -> None:
@@ -99,9 +103,11 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     shared_root(spark)  # checkpoint directory for the tiny statistics
     validated_root = f"{out_root}/validated"
     features_root = f"{out_root}/features"
+    quarantine_root = f"{out_root}/quarantine"
     raw = _only(raw, months)
     # output schemas are known from the plan: reads never depend on inference
     v_schema = S.validated_schema(raw.schema)
+    q_schema = S.quarantine_schema(v_schema)
     f_schema_box: list = []
 
     # ---- jobs 1+2 (concurrent, one scan of raw each) -------------------------
@@ -126,16 +132,23 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
                      .groupBy(*MONTH_KEYS).agg(F.sum("n").alias("feature_rows"),
                                                F.count(F.lit(1)).alias("n_partitions")))
 
+    def quarantine_job() -> None:
+        # compact the scattered quarantine files of this run into their own table
+        scattered = _only(S.read_quarantine(spark, validated_root, v_schema), months)
+        S.clear_months(spark, quarantine_root, [""], months)
+        S.write_quarantine(scattered, quarantine_root)
+        S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.QUARANTINED}"], months)
+
     def stats_job() -> DataFrame:
-        status = _only(S.read_validated(spark, validated_root, v_schema), months)
-        counts = status.groupBy(*MONTH_KEYS).agg(
-            F.count(F.lit(1)).alias("raw_rows"),
-            F.count_if(F.col(S.STATUS_COL) == S.VALID).alias("valid_rows"))
-        parts = [_long(counts, "raw_rows", None, "raw_rows"),
-                 _long(counts, "valid_rows", None, "valid_rows")]
+        # partition columns only: both counts are answered from parquet footers
+        valid_n = (_only(S.read_valid(spark, validated_root, v_schema), months)
+                   .groupBy(*MONTH_KEYS).agg(F.count(F.lit(1)).alias("n")))
+        quarantine = _only(S.read_quarantine_table(spark, quarantine_root, q_schema), months)
+        bad_n = quarantine.groupBy(*MONTH_KEYS).agg(F.count(F.lit(1)).alias("n"))
+        parts = [_long(valid_n, "valid_rows", None, "n"),
+                 _long(bad_n, "quarantined_rows", None, "n")]
         # valid rows hit no rule: re-evaluating the rules on the (small)
-        # quarantine partitions gives exact per-rule counts
-        quarantine = _only(S.read_quarantine(spark, validated_root, v_schema), months)
+        # quarantine gives exact per-rule counts
         fc = Q.failure_counts(quarantine.drop(S.REASONS_COL), list(MONTH_KEYS), contract)
         parts.append(_long(fc, "rule", "rule", "n"))
         # drop reasons read only the five columns their rules need
@@ -150,11 +163,16 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     with ThreadPoolExecutor(max_workers=2) as pool:
         f_feat = pool.submit(features_job)
         validate_job()
+        quarantine_job()
         stats = stats_job()          # needs job 1's output only
         per_month = f_feat.result()
 
-    counts = (stats.filter(F.col("kind").isin("raw_rows", "valid_rows"))
-                   .groupBy(*MONTH_KEYS).pivot("kind", ["raw_rows", "valid_rows"]).agg(F.sum("n")))
+    kinds = ["valid_rows", "quarantined_rows"]
+    counts = (stats.filter(F.col("kind").isin(*kinds))
+                   .groupBy(*MONTH_KEYS).pivot("kind", kinds).agg(F.sum("n"))
+                   .na.fill(0, kinds)
+                   .withColumn("raw_rows", F.col("valid_rows") + F.col("quarantined_rows"))
+                   .drop("quarantined_rows"))
     months_df = accounting_rows(counts.join(per_month, list(MONTH_KEYS), "left")).checkpoint(eager=True)
     failures = (stats.filter(F.col("kind") == "rule")
                      .select(*MONTH_KEYS, F.col("key").alias("rule"), "n"))
@@ -168,8 +186,7 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
 
     validation = RP.validation_report(months_df, failures).select(
         "*", month_path(validated_root, f"{S.STATUS_COL}={S.VALID}/").alias("valid_path"),
-        F.when(F.col("quarantined_rows") > 0,
-               month_path(validated_root, f"{S.STATUS_COL}={S.QUARANTINED}/")).alias("quarantine_path"))
+        F.when(F.col("quarantined_rows") > 0, month_path(quarantine_root)).alias("quarantine_path"))
     transform = RP.transform_report(months_df, feature_cols, drops).select(
         "*", month_path(features_root).alias("output_path"))
     if write_reports:

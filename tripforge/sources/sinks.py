@@ -2,15 +2,19 @@
 
 Layout (all under one output root on the shared file system):
 
-  validated/_dq_status=valid|quarantined/taxi_type=T/file_month=M/   (S8, S9)
-  features/taxi_type=T/file_month=M/pickup_date=D/                    (S10)
-  reports/<name>/run_id=R/                                            (S11)
+  validated/_dq_status=valid/taxi_type=T/file_month=M/                 (S8)
+  quarantine/taxi_type=T/file_month=M/                                 (S9)
+  features/taxi_type=T/file_month=M/pickup_date=D/                     (S10)
+  reports/<name>/run_id=R/                                             (S11)
 
 Valid and quarantined rows are written by ONE job from ONE scan (the status
-is a partition column).  A rerun replaces exactly the months it processes:
-their directories are removed first, then the write runs with dynamic
-partition overwrite, so a month whose quarantine became empty does not keep a
-stale quarantine partition (H11), and other months are untouched.
+is a partition column, no shuffle).  Because every task that met a bad row
+leaves a small quarantine file, the run's quarantine rows (a tiny fraction)
+are then rewritten into their own month-partitioned table with AQE-sized
+files and the scattered ones removed.  A rerun replaces exactly the months it
+processes: their directories are removed first, then the write runs with
+dynamic partition overwrite, so a month whose quarantine became empty does
+not keep a stale one (H11) and other months are untouched.
 """
 
 from __future__ import annotations
@@ -123,6 +127,26 @@ def write_features(features: DataFrame, root: str) -> None:
 
 
 FEATURE_PARTITIONS = ("taxi_type", "file_month", "pickup_date")
+MONTH_PARTITIONS = ("taxi_type", "file_month")
+
+
+def quarantine_schema(raw_schema: T.StructType) -> T.StructType:
+    fields = [f for f in raw_schema.fields if f.name not in (BAD_COL, REASONS_COL, STATUS_COL)]
+    fields.append(T.StructField(REASONS_COL, T.StringType(), True))
+    return with_partitions_last(T.StructType(fields), MONTH_PARTITIONS)
+
+
+def write_quarantine(quarantined: DataFrame, root: str) -> None:
+    """S9 compacted: quarantined rows of the run's months as a month-partitioned
+    table.  The validation write has no shuffle, so every task that met a bad
+    row left a tiny file; this (tiny) rewrite lets AQE size the files."""
+    (quarantined.hint("rebalance", *MONTH_PARTITIONS)
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*MONTH_PARTITIONS).parquet(root))
+
+
+def read_quarantine_table(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    return _read_partitioned(spark, root, root, schema)
 
 
 def read_features(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
