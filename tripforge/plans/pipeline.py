@@ -107,7 +107,6 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     raw = _only(raw, months)
     # output schemas are known from the plan: reads never depend on inference
     v_schema = S.validated_schema(raw.schema)
-    q_schema = S.quarantine_schema(v_schema)
     f_schema_box: list = []
 
     # ---- jobs 1+2 (concurrent, one scan of raw each) -------------------------
@@ -137,13 +136,12 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
         scattered = _only(S.read_quarantine(spark, validated_root, v_schema), months)
         S.clear_months(spark, quarantine_root, [""], months)
         S.write_quarantine(scattered, quarantine_root)
-        S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.QUARANTINED}"], months)
 
     def stats_job() -> DataFrame:
         # partition columns only: both counts are answered from parquet footers
         valid_n = (_only(S.read_valid(spark, validated_root, v_schema), months)
                    .groupBy(*MONTH_KEYS).agg(F.count(F.lit(1)).alias("n")))
-        quarantine = _only(S.read_quarantine_table(spark, quarantine_root, q_schema), months)
+        quarantine = _only(S.read_quarantine(spark, validated_root, v_schema), months)
         bad_n = quarantine.groupBy(*MONTH_KEYS).agg(F.count(F.lit(1)).alias("n"))
         parts = [_long(valid_n, "valid_rows", None, "n"),
                  _long(bad_n, "quarantined_rows", None, "n")]
@@ -163,8 +161,12 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     with ThreadPoolExecutor(max_workers=2) as pool:
         f_feat = pool.submit(features_job)
         validate_job()
-        quarantine_job()
-        stats = stats_job()          # needs job 1's output only
+        # both read job 1's scattered quarantine files; they are removed once
+        # the compacted table is written and the statistics are taken
+        f_quar = pool.submit(quarantine_job)
+        stats = stats_job()
+        f_quar.result()
+        S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.QUARANTINED}"], months)
         per_month = f_feat.result()
 
     kinds = ["valid_rows", "quarantined_rows"]
