@@ -29,7 +29,8 @@ from tripforge.functions.contract import TRIP_CONTRACT, Contract
 from tripforge.operators import quarantine as Q
 from tripforge.operators import reports as RP
 from tripforge.operators import transform as X
-from tripforge.plans.accounting import MONTH_KEYS, accounting_rows
+from tripforge.functions.outliers import any_outlier_sql, outlier_sql
+from tripforge.plans.accounting import MONTH_KEYS, month_totals
 from tripforge.sources import sinks as S
 from tripforge.sources.trips import read_trips
 from tripforge.session import shared_root
@@ -119,17 +120,11 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
                                                f"{S.STATUS_COL}={S.QUARANTINED}"], months)
         validate_stage(raw, validated_root, contract)
 
-    def features_job() -> DataFrame:
+    def features_job() -> None:
         S.clear_months(spark, features_root, [""], months)
         features = X.build_features(Q.valid_rows(raw, contract), thresholds)
-        f_schema = S.with_partitions_last(features.schema, S.FEATURE_PARTITIONS)
-        f_schema_box.append(f_schema)
+        f_schema_box.append(S.with_partitions_last(features.schema, S.FEATURE_PARTITIONS))
         S.write_features(features, features_root)
-        feats = _only(S.read_features(spark, features_root, f_schema), months)
-        # partition columns only: answered from parquet footers
-        return (feats.groupBy(*MONTH_KEYS, "pickup_date").agg(F.count(F.lit(1)).alias("n"))
-                     .groupBy(*MONTH_KEYS).agg(F.sum("n").alias("feature_rows"),
-                                               F.count(F.lit(1)).alias("n_partitions")))
 
     def quarantine_job() -> None:
         # compact the scattered quarantine files of this run into their own table
@@ -138,24 +133,32 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
         S.write_quarantine(scattered, quarantine_root)
 
     def stats_job() -> DataFrame:
-        # partition columns only: both counts are answered from parquet footers
-        valid_n = (_only(S.read_valid(spark, validated_root, v_schema), months)
-                   .groupBy(*MONTH_KEYS).agg(F.count(F.lit(1)).alias("n")))
+        """Every counter of the run in one checkpointed long relation
+        (taxi_type, file_month, pickup_date, kind, key, n)."""
+        # valid rows: one aggregate per (month, day) over the six columns the
+        # outlier rules and the day key need -> valid, kept and per-reason counts
+        valid = _only(S.read_valid(spark, validated_root, v_schema), months)
+        orules = outlier_sql(thresholds)
+        day = (X.featured(valid).groupBy(*MONTH_KEYS, "pickup_date").agg(
+            F.expr("count(1) AS v"),
+            F.expr(f"count_if(NOT {any_outlier_sql(thresholds)}) AS k"),
+            *[F.expr(f"count_if({p}) AS _o{i}") for i, (_, p) in enumerate(orules)]))
+        entries = ["named_struct('kind', 'valid_rows', 'key', CAST(NULL AS STRING), 'n', v)",
+                   "named_struct('kind', 'feature_rows', 'key', CAST(NULL AS STRING), 'n', k)"]
+        entries += [f"named_struct('kind', 'drop', 'key', '{name}', 'n', _o{i})"
+                    for i, (name, _) in enumerate(orules)]
+        parts = [day.selectExpr(*MONTH_KEYS, "pickup_date", "inline(array(" + ", ".join(entries) + "))")]
+        # quarantine: row count + exact per-rule counts (valid rows hit no rule)
         quarantine = _only(S.read_quarantine(spark, validated_root, v_schema), months)
-        bad_n = quarantine.groupBy(*MONTH_KEYS).agg(F.count(F.lit(1)).alias("n"))
-        parts = [_long(valid_n, "valid_rows", None, "n"),
-                 _long(bad_n, "quarantined_rows", None, "n")]
-        # valid rows hit no rule: re-evaluating the rules on the (small)
-        # quarantine gives exact per-rule counts
+        q_n = quarantine.groupBy(*MONTH_KEYS).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(q_n.selectExpr(*MONTH_KEYS, "CAST(NULL AS STRING) AS pickup_date",
+                                    "'quarantined_rows' AS kind", "CAST(NULL AS STRING) AS key", "n"))
         fc = Q.failure_counts(quarantine.drop(S.REASONS_COL), list(MONTH_KEYS), contract)
-        parts.append(_long(fc, "rule", "rule", "n"))
-        # drop reasons read only the five columns their rules need
-        valid = _only(S.read_valid(spark, validated_root, v_schema), months)
-        dr = X.dropped_by_reason(X.featured(valid), list(MONTH_KEYS), thresholds)
-        parts.append(_long(dr, "drop", "reason", "n"))
+        parts.append(fc.selectExpr(*MONTH_KEYS, "CAST(NULL AS STRING) AS pickup_date",
+                                   "'rule' AS kind", "rule AS key", "n"))
         long = parts[0]
-        for p in parts[1:]:
-            long = long.unionByName(p)
+        for part in parts[1:]:
+            long = long.unionByName(part)
         return long.checkpoint(eager=True)
 
     with ThreadPoolExecutor(max_workers=2) as pool:
@@ -167,19 +170,20 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
         stats = stats_job()
         f_quar.result()
         S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.QUARANTINED}"], months)
-        per_month = f_feat.result()
-
-    kinds = ["valid_rows", "quarantined_rows"]
-    counts = (stats.filter(F.col("kind").isin(*kinds))
-                   .groupBy(*MONTH_KEYS).pivot("kind", kinds).agg(F.sum("n"))
-                   .na.fill(0, kinds)
-                   .withColumn("raw_rows", F.col("valid_rows") + F.col("quarantined_rows"))
-                   .drop("quarantined_rows"))
-    months_df = accounting_rows(counts.join(per_month, list(MONTH_KEYS), "left")).checkpoint(eager=True)
+        f_feat.result()
+
+    kinds = ["valid_rows", "feature_rows", "quarantined_rows"]
+    per_day = (stats.filter(F.col("kind").isin(*kinds))
+                    .groupBy(*MONTH_KEYS, "pickup_date").pivot("kind", kinds).agg(F.sum("n"))
+                    .na.fill(0, kinds))
+    days = per_day.select(*MONTH_KEYS, "pickup_date",
+                          (F.col("valid_rows") + F.col("quarantined_rows")).alias("raw_rows"),
+                          "valid_rows", "feature_rows")
+    months_df = month_totals(days)
     failures = (stats.filter(F.col("kind") == "rule")
                      .select(*MONTH_KEYS, F.col("key").alias("rule"), "n"))
     drops = (stats.filter(F.col("kind") == "drop")
-                  .select(*MONTH_KEYS, F.col("key").alias("reason"), "n"))
+                  .groupBy(*MONTH_KEYS, F.col("key").alias("reason")).agg(F.sum("n").alias("n")))
 
     feature_cols = [f.name for f in f_schema_box[0].fields]
     def month_path(root: str, prefix: str = "") -> "F.Column":
