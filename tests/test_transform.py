@@ -164,3 +164,25 @@ def test_feature_table_known_answer(spark):
     counts = {r.reason: r.n for r in X.dropped_by_reason(X.featured(Q.valid_rows(t)), []).collect()}
     assert counts == {"duration_too_short": 343, "duration_too_long": 103, "speed_implausible": 368,
                       "non_positive_fare": 179, "zero_distance": 143, "too_few_passengers": 944}
+
+
+def test_coerce_types_parses_text_timestamps(spark):
+    df = spark.createDataFrame([("2024-01-15 08:30:00", "2024-01-15 08:55:00", 2.5, 99.0),
+                                ("garbage", "2024-01-15 08:55:00", None, None)],
+                               "tpep_pickup_datetime string, tpep_dropoff_datetime string, "
+                               "passenger_count double, RatecodeID double")
+    out = X.coerce_types(df)
+    types = dict(out.dtypes)
+    assert types["tpep_pickup_datetime"] == "timestamp_ntz"
+    rows = out.collect()
+    assert rows[0].tpep_pickup_datetime == dt.datetime(2024, 1, 15, 8, 30)
+    assert rows[1].tpep_pickup_datetime is None
+    assert (rows[0].passenger_count, rows[0].RatecodeID) == (2, 99)
+
+
+def test_feature_table_columns_and_types(make_trips):
+    df = X.build_features(make_trips(trip()))
+    assert df.columns[-13:] == list(__import__("tripforge.functions.features", fromlist=["x"]).FEATURE_COLUMNS)
+    types = dict(df.dtypes)
+    assert types["pickup_hour"] == "tinyint" and types["is_weekend"] == "boolean"
+    assert types["pickup_date"] == "string" and types["trip_speed_mph"] == "double"
