@@ -157,3 +157,12 @@ def test_report_paths(spark, fixture_run):
     t = fixture_run.transform.orderBy("file_month").collect()[0]
     assert t.output_path.endswith("features/taxi_type=yellow/file_month=2024-01")
     assert dict(t.dropped_by_reason)["duration_too_short"] > 0
+
+
+def test_cli_run(spark, tmp_out):
+    from tripforge.__main__ import main
+    from tripforge.sources.trips import land
+    land(trips(spark, "/root/testdata/sf0.001"), f"{tmp_out}/landing")
+    assert main(["run", "--landing", f"{tmp_out}/landing", "--out", f"{tmp_out}/out",
+                 "--start", "2023-12", "--end", "2024-01"]) == 0
+    assert S.read_valid(spark, f"{tmp_out}/out/validated").count() == 314
