@@ -100,6 +100,8 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     are ignored.  The month list is metadata (from the landing listing), it
     never comes from collecting data.  Independent jobs (the feature write
     and the statistics) are submitted concurrently."""
+    if not months:
+        raise ValueError("no months to process")
     run_id = uuid.uuid4().hex[:12]
     shared_root(spark)  # checkpoint directory for the tiny statistics
     validated_root = f"{out_root}/validated"
