@@ -23,3 +23,10 @@ def test_incremental_only_new_months(spark, make_trips, tmp_out):
     got = {r.file_month: r["count"] for r in
            S.read_valid(spark, f"{out}/validated").groupBy("file_month").count().collect()}
     assert got == {"2024-01": 1, "2024-02": 1, "2024-03": 3}
+
+
+def test_default_checkpoint_survives_runs(spark, make_trips, tmp_out):
+    landing, out = f"{tmp_out}/landing", f"{tmp_out}/out"
+    land(make_trips(trip(), month="2024-01"), landing)
+    assert [m for b in incremental_load(spark, landing, out) for _, m in b] == ["2024-01"]
+    assert incremental_load(spark, landing, out) == []          # same default checkpoint

@@ -21,7 +21,6 @@ from pyspark.sql import types as T
 
 from tripforge.config import DEFAULT_THRESHOLDS, Thresholds
 from tripforge.plans.pipeline import run_months
-from tripforge.session import shared_root
 from tripforge.sources.trips import PARTITION_COLS, read_landed
 
 
@@ -34,8 +33,11 @@ def incremental_load(spark: SparkSession, landing_root: str, out_root: str,
                      checkpoint: str | None = None, schema: T.StructType | None = None,
                      thresholds: Thresholds = DEFAULT_THRESHOLDS,
                      max_files_per_trigger: int | None = None) -> list[list[tuple[str, str]]]:
-    """Process every landed file not seen before; returns the months per batch."""
-    checkpoint = checkpoint or f"{shared_root(spark)}/tripforge/stream-{abs(hash(landing_root))}"
+    """Process every landed file not seen before; returns the months per batch.
+
+    The stream's checkpoint (its record of processed files) defaults to a
+    fixed place beside the outputs, so every later run resumes from it."""
+    checkpoint = checkpoint or f"{out_root.rstrip('/')}/_checkpoints/incremental"
     schema = schema or landing_schema(spark, landing_root)
     reader = spark.readStream.schema(schema).option("basePath", landing_root)
     if max_files_per_trigger:
