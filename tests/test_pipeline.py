@@ -166,3 +166,24 @@ def test_cli_run(spark, tmp_out):
     assert main(["run", "--landing", f"{tmp_out}/landing", "--out", f"{tmp_out}/out",
                  "--start", "2023-12", "--end", "2024-01"]) == 0
     assert S.read_valid(spark, f"{tmp_out}/out/validated").count() == 314
+
+
+def test_hot_day_is_split_across_files(spark, make_trips, tmp_out):
+    """A day holding most rows is written by several tasks (AQE splits the
+    skewed rebalance partition), not funnelled through one task."""
+    from tripforge.operators import transform as X
+    hot = [trip() for _ in range(4000)]                                  # all on 2024-01-15
+    cold = [trip(tpep_pickup_datetime=dt.datetime(2024, 1, d, 8, 0),
+                 tpep_dropoff_datetime=dt.datetime(2024, 1, d, 8, 20)) for d in (2, 3, 4)]
+    df = make_trips(*(hot + cold)).repartition(8)                        # several map tasks
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+    try:
+        S.write_features(X.build_features(df), tmp_out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    day = os.path.join(local_path(tmp_out), "taxi_type=yellow", "file_month=2024-01",
+                       "pickup_date=2024-01-15")
+    files = [f for f in os.listdir(day) if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert S.read_features(spark, tmp_out).count() == 4003
