@@ -105,3 +105,26 @@ def test_ingest_records_only_new_months(spark, make_trips, tmp_out):
     L.ingest(spark, root, man, req, force=True).collect()
     assert L.read_manifest(spark, man).count() == 4                     # force re-records
     assert L.manifest_latest(L.read_manifest(spark, man)).count() == 2
+
+
+def test_flat_single_files(spark, make_trips, tmp_out):
+    """Published layout: one plain parquet file per month (not a directory)."""
+    import glob
+    import shutil
+    from conftest import trip
+    from tripforge.session import local_path
+    from tripforge.sources.trips import read_trips
+    stage, root = f"{tmp_out}/stage", local_path(f"{tmp_out}/flat")
+    make_trips(trip(), trip(VendorID=99)).drop("taxi_type", "file_month").coalesce(1).write.parquet(stage)
+    part = glob.glob(local_path(stage) + "/part-*.parquet")[0]
+    import os
+    os.makedirs(root)
+    shutil.copy(part, f"{root}/green_tripdata_2023-11.parquet")
+    shutil.copy(part, f"{root}/yellow_tripdata_2024-05.parquet")
+    units = {(r.taxi_type, r.month): r.size_bytes for r in L.landing_listing(spark, root).collect()}
+    assert set(units) == {("green", "2023-11"), ("yellow", "2024-05")} and all(units.values())
+    raw = read_trips(spark, [f"{root}/green_tripdata_2023-11.parquet", f"{root}/yellow_tripdata_2024-05.parquet"])
+    got = {(r.taxi_type, r.file_month): r["count"] for r in raw.groupBy("taxi_type", "file_month").count().collect()}
+    assert got == {("green", "2023-11"): 2, ("yellow", "2024-05"): 2}
+    stats = {r.path.rsplit("/", 1)[-1]: r.row_count for r in L.unit_stats(spark, [f"{root}"]).collect()}
+    assert stats == {"green_tripdata_2023-11.parquet": 2, "yellow_tripdata_2024-05.parquet": 2}
