@@ -34,43 +34,61 @@ def top_reasons(counts: DataFrame, group_cols: Sequence[str], label_col: str,
                   .filter(F.col("rank") <= k))
 
 
+EMPTY_COUNTS = "CAST(map() AS MAP<STRING, BIGINT>)"
+
+
+def month_rows(months: DataFrame, failures: DataFrame | None = None,
+               drops: DataFrame | None = None) -> DataFrame:
+    """Month accounting + ``failure_counts`` / ``dropped_by_reason`` maps:
+    everything the per-month reports show, one row per month.  Worth
+    materialising once when several reports are written."""
+    rows = months
+    if failures is not None and "failure_counts" not in rows.columns:
+        fc = (failures.filter(F.col("n") > 0).groupBy(*MONTH_KEYS)
+                      .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("rule", "n"))))
+                           .alias("failure_counts")))
+        rows = (rows.join(fc, list(MONTH_KEYS), "left")
+                    .withColumn("failure_counts", F.coalesce("failure_counts", F.expr(EMPTY_COUNTS))))
+    if drops is not None and "dropped_by_reason" not in rows.columns:
+        dr = (drops.groupBy(*MONTH_KEYS)
+                   .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("reason", "n"))))
+                        .alias("dropped_by_reason")))
+        rows = rows.join(dr, list(MONTH_KEYS), "left")
+    return rows
+
+
+def _validation_cols() -> list:
+    return [F.col("raw_rows").alias("total_rows"), "valid_rows", "quarantined_rows",
+            _pct(F.col("valid_rows"), F.col("raw_rows")).alias("valid_pct"),
+            _pct(F.col("quarantined_rows"), F.col("raw_rows")).alias("quarantined_pct")]
+
+
+def _transform_cols(feature_columns: Sequence[str], with_drops: bool) -> list:
+    """Transform report fields in report order (drop map between share and columns)."""
+    cols = [F.col("valid_rows").alias("input_rows"), F.col("feature_rows").alias("output_rows"),
+            "dropped_rows",
+            F.coalesce(_pct(F.col("feature_rows"), F.col("valid_rows")), F.lit(0.0)).alias("output_pct")]
+    if with_drops:
+        cols.append("dropped_by_reason")
+    cols.append(F.expr("array(" + ", ".join("'" + c.replace("'", "\\'") + "'" for c in feature_columns)
+                       + ")").alias("feature_columns"))
+    cols.append("n_partitions")
+    return cols
+
+
 def validation_report(months: DataFrame, failures: DataFrame | None = None) -> DataFrame:
     """A2: per month totals and shares (NULL shares on an empty month, H6)."""
-    rep = months.select(
-        *MONTH_KEYS,
-        F.col("raw_rows").alias("total_rows"), "valid_rows", "quarantined_rows",
-        _pct(F.col("valid_rows"), F.col("raw_rows")).alias("valid_pct"),
-        _pct(F.col("quarantined_rows"), F.col("raw_rows")).alias("quarantined_pct"),
-    )
-    if failures is not None:
-        fc = (failures.filter(F.col("n") > 0)
-                      .groupBy(*MONTH_KEYS)
-                      .agg(F.map_from_entries(F.sort_array(F.collect_list(
-                          F.struct("rule", "n")))).alias("failure_counts")))
-        rep = rep.join(fc, list(MONTH_KEYS), "left").withColumn(
-            "failure_counts", F.coalesce("failure_counts", F.create_map().cast("map<string,bigint>")))
-    return rep
+    rows = month_rows(months, failures)
+    extra = ["failure_counts"] if "failure_counts" in rows.columns else []
+    return rows.select(*MONTH_KEYS, *_validation_cols(), *extra)
 
 
 def transform_report(months: DataFrame, feature_columns: Sequence[str],
                      drops: DataFrame | None = None) -> DataFrame:
     """A3: input/output/dropped rows, output share (0.0 on empty input),
     distinct day partitions and the output column list."""
-    rep = months.select(
-        *MONTH_KEYS,
-        F.col("valid_rows").alias("input_rows"),
-        F.col("feature_rows").alias("output_rows"),
-        F.col("dropped_rows"),
-        F.coalesce(_pct(F.col("feature_rows"), F.col("valid_rows")), F.lit(0.0)).alias("output_pct"),
-        "n_partitions",
-        F.array(*[F.lit(c) for c in feature_columns]).alias("feature_columns"),
-    )
-    if drops is not None:
-        dr = (drops.groupBy(*MONTH_KEYS)
-                   .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("reason", "n"))))
-                        .alias("dropped_by_reason")))
-        rep = rep.join(dr, list(MONTH_KEYS), "left")
-    return rep
+    rows = month_rows(months, None, drops)
+    return rows.select(*MONTH_KEYS, *_transform_cols(feature_columns, "dropped_by_reason" in rows.columns))
 
 
 def month_overview(months: DataFrame) -> DataFrame:
@@ -93,27 +111,21 @@ def run_totals(months: DataFrame) -> DataFrame:
     return t.select("*", _pct(F.col("feature_rows"), F.col("raw_rows")).alias("overall_retention_pct"))
 
 
-def run_summary(months: DataFrame, failures: DataFrame, drops: DataFrame,
+def run_summary(months: DataFrame, failures: DataFrame | None, drops: DataFrame | None,
                 feature_columns: Sequence[str]) -> DataFrame:
     """Nested run summary as one JSON document (one row).
 
-    The per-month array is built with ``collect_list`` over months - one
-    element per processed month, a bounded list - and sorted by month."""
-    v = validation_report(months, failures).select(
-        *MONTH_KEYS, F.struct("total_rows", "valid_rows", "quarantined_rows", "valid_pct",
-                              "quarantined_pct", "failure_counts").alias("validation"))
-    t = transform_report(months, feature_columns, drops).select(
-        *MONTH_KEYS, F.struct("input_rows", "output_rows", "dropped_rows", "output_pct",
-                              "dropped_by_reason", "feature_columns", "n_partitions").alias("transform"))
-    per_month = (months.select(*MONTH_KEYS, "raw_rows", "valid_rows", "feature_rows",
-                               _pct(F.col("feature_rows"), F.col("raw_rows"))
-                               .alias("end_to_end_retention_pct"))
-                 .join(v, list(MONTH_KEYS), "left").join(t, list(MONTH_KEYS), "left"))
+    Per-month structs come from ``month_rows`` (no joins if it is already
+    materialised); the month array is a ``collect_list`` over months - one
+    element per processed month, a bounded list - sorted by month."""
+    rows = month_rows(months, failures, drops)
     month_struct = F.struct(
-        F.col("file_month").alias("month"), "taxi_type", "raw_rows", "valid_rows",
-        "feature_rows", "end_to_end_retention_pct", "validation", "transform",
+        F.col("file_month").alias("month"), "taxi_type", "raw_rows", "valid_rows", "feature_rows",
+        _pct(F.col("feature_rows"), F.col("raw_rows")).alias("end_to_end_retention_pct"),
+        F.struct(*_validation_cols(), "failure_counts").alias("validation"),
+        F.struct(*_transform_cols(feature_columns, True)).alias("transform"),
     )
-    agg = per_month.agg(
+    agg = rows.agg(
         F.count(F.lit(1)).alias("months_processed"),
         F.sum(F.coalesce("raw_rows", F.lit(0))).alias("raw_rows"),
         F.sum(F.coalesce("feature_rows", F.lit(0))).alias("feature_rows"),

@@ -192,16 +192,18 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
         return F.concat(F.lit(f"{root}/{prefix}taxi_type="), F.col("taxi_type"),
                         F.lit("/file_month="), F.col("file_month"))
 
-    validation = RP.validation_report(months_df, failures).select(
+    # every per-month report number and map, materialised once (tiny)
+    rows = RP.month_rows(months_df, failures, drops).checkpoint(eager=True)
+    validation = RP.validation_report(rows).select(
         "*", month_path(validated_root, f"{S.STATUS_COL}={S.VALID}/").alias("valid_path"),
         F.when(F.col("quarantined_rows") > 0, month_path(quarantine_root)).alias("quarantine_path"))
-    transform = RP.transform_report(months_df, feature_cols, drops).select(
+    transform = RP.transform_report(rows, feature_cols).select(
         "*", month_path(features_root).alias("output_path"))
     if write_reports:
         rep = f"{out_root}/reports"
         jobs = [(validation, f"{rep}/validation/run_id={run_id}"),
                 (transform, f"{rep}/transform/run_id={run_id}"),
-                (RP.run_summary(months_df, failures, drops, feature_cols),
+                (RP.run_summary(rows, None, None, feature_cols),
                  f"{rep}/run_summary/run_id={run_id}")]
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
             for f in [pool.submit(S.write_report, df, path) for df, path in jobs]:
