@@ -187,3 +187,11 @@ def test_hot_day_is_split_across_files(spark, make_trips, tmp_out):
     files = [f for f in os.listdir(day) if f.endswith(".parquet")]
     assert len(files) > 1
     assert S.read_features(spark, tmp_out).count() == 4003
+
+
+def test_shuffle_partitions_follow_input_size(spark, make_trips):
+    df = make_trips(*[trip() for _ in range(50)])
+    assert S.shuffle_partitions_for(df) == spark.sparkContext.defaultParallelism
+    est = S.plan_bytes(df)
+    assert est > 0
+    assert S.shuffle_partitions_for(df, target_bytes=max(1, est // 100)) >= 100

@@ -114,12 +114,37 @@ def read_quarantine(spark: SparkSession, root: str, schema: T.StructType | None
     return df.filter(F.col(STATUS_COL) == QUARANTINED).drop(STATUS_COL)
 
 
+TARGET_PARTITION_BYTES = 64 * 1024 * 1024   # of estimated (compressed, file-based) input
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Optimizer's size estimate of a plan (from file sizes; runs no job)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable: fall back to defaults
+        return 0
+
+
+def shuffle_partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Initial partition count for a shuffle of ``df``: one per ``target_bytes``
+    of estimated input, at least the cluster's parallelism.  AQE coalesces the
+    result down to its advisory size, so over-estimating is cheap; a fixed
+    ``spark.sql.shuffle.partitions`` would give a few huge tasks at scale."""
+    sc = df.sparkSession.sparkContext
+    est = plan_bytes(df)
+    n = -(-est // target_bytes) if est else 0
+    return int(max(sc.defaultParallelism, min(n, MAX_SHUFFLE_PARTITIONS)))
+
+
 def write_features(features: DataFrame, root: str) -> None:
     """Day-partitioned feature table.
 
     ``rebalance`` on the partition keys lets AQE size the write tasks: small
-    days are coalesced into one file, a huge day is split across tasks."""
-    (features.hint("rebalance", "taxi_type", "file_month", "pickup_date")
+    days are coalesced into one file, a huge day is split across tasks.  The
+    initial partition count follows the input size (``shuffle_partitions_for``)."""
+    n = shuffle_partitions_for(features)
+    (features.hint("rebalance", n, "taxi_type", "file_month", "pickup_date")
              .write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy("taxi_type", "file_month", "pickup_date")
@@ -140,7 +165,7 @@ def write_quarantine(quarantined: DataFrame, root: str) -> None:
     """S9 compacted: quarantined rows of the run's months as a month-partitioned
     table.  The validation write has no shuffle, so every task that met a bad
     row left a tiny file; this (tiny) rewrite lets AQE size the files."""
-    (quarantined.hint("rebalance", *MONTH_PARTITIONS)
+    (quarantined.hint("rebalance", shuffle_partitions_for(quarantined), *MONTH_PARTITIONS)
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy(*MONTH_PARTITIONS).parquet(root))
 
