@@ -189,9 +189,14 @@ def test_hot_day_is_split_across_files(spark, make_trips, tmp_out):
     assert S.read_features(spark, tmp_out).count() == 4003
 
 
-def test_shuffle_partitions_follow_input_size(spark, make_trips):
-    df = make_trips(*[trip() for _ in range(50)])
-    assert S.shuffle_partitions_for(df) == spark.sparkContext.defaultParallelism
-    est = S.plan_bytes(df)
-    assert est > 0
-    assert S.shuffle_partitions_for(df, target_bytes=max(1, est // 100)) >= 100
+def test_shuffle_partitions_follow_input_size(spark, make_trips, tmp_out):
+    floor = max(spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    local = make_trips(*[trip() for _ in range(50)]).repartition(4)
+    assert S.shuffle_partitions_for(local) == floor               # no statistics -> default
+    local.write.parquet(f"{tmp_out}/t")
+    files = spark.read.parquet(f"{tmp_out}/t")
+    est = S.plan_bytes(files)
+    assert 0 < est < 10 ** 9                                        # file-size based estimate
+    assert S.shuffle_partitions_for(files) == floor
+    assert S.shuffle_partitions_for(files, target_bytes=max(1, est // 100)) >= 100

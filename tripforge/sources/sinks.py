@@ -131,10 +131,15 @@ def shuffle_partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_B
     of estimated input, at least the cluster's parallelism.  AQE coalesces the
     result down to its advisory size, so over-estimating is cheap; a fixed
     ``spark.sql.shuffle.partitions`` would give a few huge tasks at scale."""
-    sc = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    floor = max(spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     est = plan_bytes(df)
-    n = -(-est // target_bytes) if est else 0
-    return int(max(sc.defaultParallelism, min(n, MAX_SHUFFLE_PARTITIONS)))
+    # no statistics -> Spark reports ~Long.MAX_VALUE (spark.sql.defaultSizeInBytes)
+    if est <= 0 or est >= int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2 ** 63 - 1))) // 2:
+        return floor
+    n = -(-est // target_bytes)
+    return int(max(floor, min(n, MAX_SHUFFLE_PARTITIONS)))
 
 
 def write_features(features: DataFrame, root: str) -> None:
