@@ -1,0 +1,49 @@
+"""sized_join: checked broadcast, otherwise a shuffle join sized by the inputs."""
+
+from pyspark.sql import functions as F
+
+from tripforge.operators.joins import sized_join
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_side_broadcast_large_side_not(spark, tmp_out):
+    spark.range(0, 2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")) \
+        .write.parquet(f"{tmp_out}/big")
+    spark.range(0, 100).select(F.col("id").alias("k2"), F.lit("x").alias("w")) \
+        .write.parquet(f"{tmp_out}/small")
+    big, small = spark.read.parquet(f"{tmp_out}/big"), spark.read.parquet(f"{tmp_out}/small")
+    j = sized_join(big, small, big.k == small.k2)
+    assert j.count() == 100
+    assert "BroadcastHashJoin" in _plan(j)
+    old_t = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_n = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")          # "small" is now too big
+    try:
+        j2 = sized_join(big, small, big.k == small.k2)
+        assert j2.count() == 100
+        assert "BroadcastHashJoin" not in _plan(j2)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_t)
+        if old_n is None:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        else:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old_n)
+
+
+def test_ensure_shuffle_parallelism_only_raises(spark):
+    from tripforge.session import ensure_shuffle_parallelism
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    old = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, "50")
+        assert ensure_shuffle_parallelism(spark, 10) == 50
+        assert ensure_shuffle_parallelism(spark, 64 * 1024 * 1024 * 300) == 300
+        assert spark.conf.get(key) == "300"
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)

@@ -1,0 +1,30 @@
+"""Equi-joins with an explicit, checked broadcast decision."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tripforge.session import ensure_shuffle_parallelism
+from tripforge.sources.sinks import plan_bytes
+
+
+def _known(est: int, spark) -> bool:
+    limit = int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2 ** 63 - 1)))
+    return 0 < est < limit // 2
+
+
+def sized_join(left: DataFrame, right: DataFrame, on: Column, how: str = "inner") -> DataFrame:
+    """Join ``left`` with ``right``; broadcast ``right`` only when its estimated
+    size (file statistics through the optimizer) is proven under
+    ``spark.sql.autoBroadcastJoinThreshold``.  Otherwise a shuffle join whose
+    initial partition count follows both inputs' size (AQE coalesces small
+    partitions and splits skewed keys)."""
+    spark = left.sparkSession
+    threshold = int(str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).rstrip("b"))
+    rb, lb = plan_bytes(right), plan_bytes(left)
+    if threshold > 0 and _known(rb, spark) and rb <= threshold:
+        return left.join(F.broadcast(right), on, how)
+    if _known(rb, spark) and _known(lb, spark):
+        ensure_shuffle_parallelism(spark, lb + rb)
+    return left.join(right, on, how)
