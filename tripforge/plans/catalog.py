@@ -33,9 +33,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def widen(df: DataFrame) -> DataFrame:
     """Narrow ints (tinyint/smallint) as INT for cross-engine comparison."""
-    return df.select(*[
-        F.col(f.name).cast("int").alias(f.name)
-        if isinstance(f.dataType, (T.ByteType, T.ShortType)) else F.col(f.name)
+    return df.selectExpr(*[
+        f"CAST({R.ident(f.name)} AS INT) AS {R.ident(f.name)}"
+        if isinstance(f.dataType, (T.ByteType, T.ShortType)) else R.ident(f.name)
         for f in df.schema.fields])
 
 
