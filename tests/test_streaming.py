@@ -30,3 +30,14 @@ def test_default_checkpoint_survives_runs(spark, make_trips, tmp_out):
     land(make_trips(trip(), month="2024-01"), landing)
     assert [m for b in incremental_load(spark, landing, out) for _, m in b] == ["2024-01"]
     assert incremental_load(spark, landing, out) == []          # same default checkpoint
+
+
+def test_month_split_across_batches_is_rebuilt_whole(spark, make_trips, tmp_out):
+    landing, out = f"{tmp_out}/landing", f"{tmp_out}/out"
+    rows = make_trips(*[trip() for _ in range(6)], trip(VendorID=99), month="2024-01").repartition(3)
+    land(rows, landing)                                     # several files for one month
+    batches = incremental_load(spark, landing, out, max_files_per_trigger=1)
+    assert len(batches) >= 2 and all(b == [("yellow", "2024-01")] for b in batches)
+    assert S.read_valid(spark, f"{out}/validated").count() == 6        # never a partial month
+    q = S.read_quarantine_table(spark, f"{out}/quarantine")
+    assert q.count() == 1
