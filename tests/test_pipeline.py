@@ -200,3 +200,24 @@ def test_shuffle_partitions_follow_input_size(spark, make_trips, tmp_out):
     assert 0 < est < 10 ** 9                                        # file-size based estimate
     assert S.shuffle_partitions_for(files) == floor
     assert S.shuffle_partitions_for(files, target_bytes=max(1, est // 100)) >= 100
+
+
+def test_rerun_removes_days_that_lost_all_rows(spark, make_trips, tmp_out):
+    d15 = dict(tpep_pickup_datetime=dt.datetime(2024, 1, 15, 8, 0), tpep_dropoff_datetime=dt.datetime(2024, 1, 15, 8, 20))
+    d16 = dict(tpep_pickup_datetime=dt.datetime(2024, 1, 16, 8, 0), tpep_dropoff_datetime=dt.datetime(2024, 1, 16, 8, 20))
+    run_months(spark, make_trips(trip(**d15), trip(**d16)), tmp_out, [("yellow", "2024-01")], write_reports=False)
+    month_dir = os.path.join(local_path(tmp_out), "features", "taxi_type=yellow", "file_month=2024-01")
+    assert sorted(os.listdir(month_dir)) == ["pickup_date=2024-01-15", "pickup_date=2024-01-16"]
+    run_months(spark, make_trips(trip(**d15), trip(**d15)), tmp_out, [("yellow", "2024-01")], write_reports=False)
+    assert sorted(d for d in os.listdir(month_dir) if d.startswith("pickup_date")) == ["pickup_date=2024-01-15"]
+    assert S.read_features(spark, f"{tmp_out}/features").count() == 2
+
+
+def test_all_quarantined_month_clears_valid(spark, make_trips, tmp_out):
+    run_months(spark, make_trips(trip(), trip()), tmp_out, [("yellow", "2024-01")], write_reports=False)
+    r = run_months(spark, make_trips(trip(VendorID=99)), tmp_out, [("yellow", "2024-01")], write_reports=False)
+    v_schema = S.validated_schema(make_trips(trip()).schema)
+    assert S.read_valid(spark, f"{tmp_out}/validated", v_schema).count() == 0
+    assert S.read_quarantine_table(spark, f"{tmp_out}/quarantine").count() == 1
+    m = r.months.collect()[0]
+    assert (m.raw_rows, m.valid_rows, m.feature_rows) == (1, 0, 0)

@@ -60,8 +60,8 @@ class PipelineResult:
 
 
 def validate_stage(raw: DataFrame, validated_root: str,
-                   contract: Contract = TRIP_CONTRACT) -> None:
-    S.write_validated(Q.tag_violations(raw, contract), validated_root)
+                   contract: Contract = TRIP_CONTRACT, run_id: str | None = None) -> None:
+    S.write_validated(Q.tag_violations(raw, contract), validated_root, run_id)
 
 
 def transform_stage(spark: SparkSession, validated_root: str, features_root: str,
@@ -117,13 +117,16 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     #   2: contract -> coerce -> features -> outlier filter -> day partitions
     # Job 2 derives the valid rows itself instead of waiting for job 1's
     # output: the same rows, the same bytes read, but no serial dependency.
+    # Published outputs are never deleted up front: dynamic partition
+    # overwrite replaces each partition that receives rows at job commit, and
+    # partitions of these months that received none are removed afterwards
+    # (``_remove_stale``), so a failure mid-run never leaves a month missing.
     def validate_job() -> None:
-        S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.VALID}",
-                                               f"{S.STATUS_COL}={S.QUARANTINED}"], months)
-        validate_stage(raw, validated_root, contract)
+        # the scattered quarantine files are an intermediate: start clean
+        S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.QUARANTINED}"], months)
+        validate_stage(raw, validated_root, contract, run_id)
 
     def features_job() -> None:
-        S.clear_months(spark, features_root, [""], months)
         features = X.build_features(Q.valid_rows(raw, contract), thresholds)
         f_schema_box.append(S.with_partitions_last(features.schema, S.FEATURE_PARTITIONS))
         S.write_features(features, features_root)
@@ -131,7 +134,6 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     def quarantine_job() -> None:
         # compact the scattered quarantine files of this run into their own table
         scattered = _only(S.read_quarantine(spark, validated_root, v_schema), months)
-        S.clear_months(spark, quarantine_root, [""], months)
         S.write_quarantine(scattered, quarantine_root)
 
     def stats_job() -> DataFrame:
@@ -139,7 +141,10 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
         (taxi_type, file_month, pickup_date, kind, key, n)."""
         # valid rows: one aggregate per (month, day) over the six columns the
         # outlier rules and the day key need -> valid, kept and per-reason counts
-        valid = _only(S.read_valid(spark, validated_root, v_schema), months)
+        # this run's valid rows only: a month that got no valid rows this time
+        # still holds the previous run's partition until _remove_stale
+        valid = (_only(S.read_validated(spark, validated_root, v_schema), months)
+                 .filter((F.col(S.STATUS_COL) == S.VALID) & (F.col(S.RUN_COL) == run_id)))
         orules = outlier_sql(thresholds)
         day = (X.featured(valid).groupBy(*MONTH_KEYS, "pickup_date").agg(
             F.expr("count(1) AS v"),
@@ -187,7 +192,10 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     drops = (stats.filter(F.col("kind") == "drop")
                   .groupBy(*MONTH_KEYS, F.col("key").alias("reason")).agg(F.sum("n").alias("n")))
 
+    _remove_stale(spark, stats, months, validated_root, quarantine_root, features_root)
+
     feature_cols = [f.name for f in f_schema_box[0].fields]
+
     def month_path(root: str, prefix: str = "") -> "F.Column":
         return F.concat(F.lit(f"{root}/{prefix}taxi_type="), F.col("taxi_type"),
                         F.lit("/file_month="), F.col("file_month"))
@@ -211,6 +219,30 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     return PipelineResult(out_root, run_id, months_df, failures, drops, validation, transform)
 
 
+def _remove_stale(spark: SparkSession, stats: DataFrame, months: Sequence[tuple[str, str]],
+                  validated_root: str, quarantine_root: str, features_root: str) -> None:
+    """Delete partitions of the run's months that this run wrote no rows to.
+
+    What was written is read from the (checkpointed, months x days sized)
+    statistics, never by listing data files."""
+    present = (stats.filter(F.col("kind").isin("valid_rows", "quarantined_rows", "feature_rows")
+                            & (F.col("n") > 0))
+                    .select(*MONTH_KEYS, "pickup_date", "kind").distinct().collect())
+    valid = {(r.taxi_type, r.file_month) for r in present if r.kind == "valid_rows"}
+    quarantined = {(r.taxi_type, r.file_month) for r in present if r.kind == "quarantined_rows"}
+    days: dict[tuple[str, str], set[str]] = {}
+    for r in present:
+        if r.kind == "feature_rows":
+            days.setdefault((r.taxi_type, r.file_month), set()).add(r.pickup_date)
+    for t, m in months:
+        if (t, m) not in valid:
+            S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.VALID}"], [(t, m)])
+        if (t, m) not in quarantined:
+            S.clear_months(spark, quarantine_root, [""], [(t, m)])
+        S.remove_stale_partitions(spark, f"{features_root}/taxi_type={t}/file_month={m}",
+                                  "pickup_date", days.get((t, m), set()))
+
+
 def run_files(spark: SparkSession, paths: Iterable[str], out_root: str,
               thresholds: Thresholds = DEFAULT_THRESHOLDS) -> PipelineResult:
     """Run the pipeline over flat monthly files; months come from file names."""

@@ -11,10 +11,11 @@ Valid and quarantined rows are written by ONE job from ONE scan (the status
 is a partition column, no shuffle).  Because every task that met a bad row
 leaves a small quarantine file, the run's quarantine rows (a tiny fraction)
 are then rewritten into their own month-partitioned table with AQE-sized
-files and the scattered ones removed.  A rerun replaces exactly the months it
-processes: their directories are removed first, then the write runs with
-dynamic partition overwrite, so a month whose quarantine became empty does
-not keep a stale one (H11) and other months are untouched.
+files and the scattered ones removed.  Writes use dynamic partition
+overwrite (each partition that receives rows is replaced at commit); the
+pipeline then removes the run's partitions that received no rows
+(``remove_stale_partitions``), so a rerun never appends, never keeps a stale
+quarantine (H11) and never leaves a month missing mid-run.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import types as T
 from tripforge.operators.quarantine import BAD_COL, REASONS_COL
 
 STATUS_COL = "_dq_status"
+RUN_COL = "_run_id"
 VALID, QUARANTINED = "valid", "quarantined"
 
 
@@ -48,6 +50,31 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(conf).exists(p))
 
 
+def _fs_list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-directories of ``path`` (empty when it does not exist)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def remove_stale_partitions(spark: SparkSession, parent: str, column: str, keep: set[str]) -> list[str]:
+    """Delete ``parent/column=value`` directories whose value is not in ``keep``.
+
+    Used after a dynamic-overwrite write: partitions that received rows were
+    replaced at commit; those of the same months that received none are
+    stale and are removed, so nothing is ever missing in between."""
+    removed = []
+    for name in _fs_list_dirs(spark, parent):
+        if name.startswith(column + "=") and name[len(column) + 1:] not in keep:
+            _fs_delete(spark, f"{parent}/{name}")
+            removed.append(name)
+    return removed
+
+
 def clear_months(spark: SparkSession, root: str, prefixes: Sequence[str],
                  months: Iterable[tuple[str, str]]) -> None:
     """Remove ``root/<prefix>/taxi_type=T/file_month=M`` for each (T, M)."""
@@ -57,9 +84,15 @@ def clear_months(spark: SparkSession, root: str, prefixes: Sequence[str],
             _fs_delete(spark, f"{base}/taxi_type={taxi_type}/file_month={month}")
 
 
-def write_validated(tagged: DataFrame, root: str) -> None:
-    """S8+S9 in one write: valid rows and quarantined rows (with reasons)."""
+def write_validated(tagged: DataFrame, root: str, run_id: str | None = None) -> None:
+    """S8+S9 in one write: valid rows and quarantined rows (with reasons).
+
+    ``run_id`` stamps the rows (a constant column, dictionary-encoded to
+    almost nothing) so that statistics can tell this run's partitions from
+    stale ones before those are removed."""
     status = F.when(F.col(BAD_COL), F.lit(QUARANTINED)).otherwise(F.lit(VALID))
+    if run_id is not None:
+        tagged = tagged.withColumn(RUN_COL, F.lit(run_id))
     (tagged.withColumn(STATUS_COL, status).drop(BAD_COL)
            .write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
@@ -74,9 +107,11 @@ def with_partitions_last(schema: T.StructType, partition_cols: Sequence[str]) ->
     return T.StructType(data + parts)
 
 
-def validated_schema(raw_schema: T.StructType) -> T.StructType:
-    fields = [f for f in raw_schema.fields if f.name not in (BAD_COL, REASONS_COL)]
+def validated_schema(raw_schema: T.StructType, with_run_id: bool = True) -> T.StructType:
+    fields = [f for f in raw_schema.fields if f.name not in (BAD_COL, REASONS_COL, RUN_COL)]
     fields.append(T.StructField(REASONS_COL, T.StringType(), True))
+    if with_run_id:
+        fields.append(T.StructField(RUN_COL, T.StringType(), True))
     return with_partitions_last(T.StructType(fields), (STATUS_COL, "taxi_type", "file_month"))
 
 
@@ -105,13 +140,13 @@ def read_valid(spark: SparkSession, root: str, schema: T.StructType | None = Non
     A filter on the status partition column prunes the quarantine at listing
     time, so this reads exactly the valid files."""
     df = read_validated(spark, root, schema)
-    return df.filter(F.col(STATUS_COL) == VALID).drop(STATUS_COL, REASONS_COL)
+    return df.filter(F.col(STATUS_COL) == VALID).drop(STATUS_COL, REASONS_COL, RUN_COL)
 
 
 def read_quarantine(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
     """S9 read-back: quarantined rows with ``_quarantine_reasons`` (may be empty)."""
     df = read_validated(spark, root, schema)
-    return df.filter(F.col(STATUS_COL) == QUARANTINED).drop(STATUS_COL)
+    return df.filter(F.col(STATUS_COL) == QUARANTINED).drop(STATUS_COL, RUN_COL)
 
 
 TARGET_PARTITION_BYTES = 64 * 1024 * 1024   # of estimated (compressed, file-based) input
@@ -161,7 +196,7 @@ MONTH_PARTITIONS = ("taxi_type", "file_month")
 
 
 def quarantine_schema(raw_schema: T.StructType) -> T.StructType:
-    fields = [f for f in raw_schema.fields if f.name not in (BAD_COL, REASONS_COL, STATUS_COL)]
+    fields = [f for f in raw_schema.fields if f.name not in (BAD_COL, REASONS_COL, STATUS_COL, RUN_COL)]
     fields.append(T.StructField(REASONS_COL, T.StringType(), True))
     return with_partitions_last(T.StructType(fields), MONTH_PARTITIONS)
 
