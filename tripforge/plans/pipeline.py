@@ -1,17 +1,20 @@
 """B1: the end-to-end pipeline as a set-based job over all requested months.
 
-    raw --(contract)--> validated/{valid,quarantined}                     job 1
-    raw --(contract, coerce, features, outliers)--> features/day=...     job 2 (concurrent)
-    validated --(footer counts, rules on quarantine, 5-column scan)--> stats  job 3
-    stats + feature footer counts --> reports (JSON, written concurrently)
+    raw --(contract)--> validated/{valid, scattered quarantine}          job 1
+    raw --(contract, coerce, features, outliers)--> features/day=...    job 2 (concurrent)
+    scattered quarantine --(rebalance)--> quarantine/ table              job 3 (concurrent)
+    this run's valid rows (6 columns) + quarantine --> statistics        job 4 (checkpoint)
+    statistics --> one per-month report relation --> three JSON reports
 
 No per-month loop: months are a column.  Job 2 derives the valid rows from
-the same raw scan instead of waiting for job 1's output (same rows, same bytes
-read).  Row accounting comes from the outputs: partition-column-only scans are
-answered from parquet footers, failure counts re-evaluate the rules on the
-(small) quarantine, drop reasons read the five columns they need.  Counts are
-never taken with ``observe``/accumulators, whose map-stage updates can be
-applied twice when a stage is retried after an executor loss.
+the same raw scan instead of waiting for job 1's output (same rows, same
+bytes read).  Row accounting: one aggregate over the columns the outlier
+rules need gives valid, kept and per-reason counts per (month, day); failure
+counts re-evaluate the rules on the (small) quarantine.  Counts are never
+taken with ``observe``/accumulators, whose map-stage updates can be applied
+twice when a stage is retried after an executor loss.  Outputs are replaced
+partition by partition (dynamic overwrite) and stale partitions of the run's
+months are removed at the end.
 """
 
 from __future__ import annotations
@@ -26,14 +29,14 @@ from pyspark.sql import functions as F
 
 from tripforge.config import DEFAULT_THRESHOLDS, Thresholds
 from tripforge.functions.contract import TRIP_CONTRACT, Contract
+from tripforge.functions.outliers import any_outlier_sql, outlier_sql
 from tripforge.operators import quarantine as Q
 from tripforge.operators import reports as RP
 from tripforge.operators import transform as X
-from tripforge.functions.outliers import any_outlier_sql, outlier_sql
 from tripforge.plans.accounting import MONTH_KEYS, month_totals
+from tripforge.session import shared_root
 from tripforge.sources import sinks as S
 from tripforge.sources.trips import read_trips
-from tripforge.session import shared_root
 
 
 @dataclass
