@@ -124,10 +124,10 @@ def q_sink_quarantine_roundtrip(spark, sf):
 
 def q_sink_partitioned_roundtrip(spark, sf):
     r = _pipeline_run(spark, sf)
-    # rerun the feature stage into the same root: replaces, never appends
+    # rerun the feature stage into the same root: each day partition is
+    # replaced at commit (dynamic overwrite), never appended to
     from tripforge.plans.pipeline import transform_stage
     months = [("yellow", m) for m in ("2024-01", "2024-02", "2024-03")]
-    S.clear_months(spark, r.features_root, [""], months)
     transform_stage(spark, r.validated_root, r.features_root, months)
     return widen(S.read_features(spark, r.features_root))
 
