@@ -128,3 +128,28 @@ def test_flat_single_files(spark, make_trips, tmp_out):
     assert got == {("green", "2023-11"): 2, ("yellow", "2024-05"): 2}
     stats = {r.path.rsplit("/", 1)[-1]: r.row_count for r in L.unit_stats(spark, [f"{root}"]).collect()}
     assert stats == {"green_tripdata_2023-11.parquet": 2, "yellow_tripdata_2024-05.parquet": 2}
+
+
+def test_file_schema_drift_per_file(spark, make_trips, tmp_out):
+    from conftest import trip
+    from pyspark.sql import functions as F
+    from tripforge.functions.contract import RAW_TRIP_SCHEMA
+    root = f"{tmp_out}/drift"
+    base = make_trips(trip()).drop("taxi_type", "file_month")
+    base.drop("trip_id").write.parquet(f"{root}/yellow_tripdata_2024-01.parquet")             # clean
+    base.drop("trip_id", "Airport_fee").write.parquet(f"{root}/yellow_tripdata_2024-02.parquet")  # missing
+    base.drop("trip_id").withColumn("VendorID", F.col("VendorID").cast("long")) \
+        .write.parquet(f"{root}/yellow_tripdata_2024-03.parquet")                              # wrong type
+    got = {(r.month, r.column_name, r.issue) for r in
+           L.file_schema_drift(spark, root, RAW_TRIP_SCHEMA).collect()}
+    assert got == {("2024-02", "Airport_fee", "missing"), ("2024-03", "VendorID", "wrong_type")}
+
+
+def test_file_schema_drift_hive_layout(spark, make_trips, tmp_out):
+    from conftest import trip
+    from tripforge.functions.contract import RAW_TRIP_SCHEMA
+    from tripforge.sources.trips import land
+    land(make_trips(trip(), month="2024-04"), f"{tmp_out}/hive")
+    got = {(r.month, r.column_name, r.issue) for r in
+           L.file_schema_drift(spark, f"{tmp_out}/hive", RAW_TRIP_SCHEMA).collect()}
+    assert got == {("2024-04", "trip_id", "extra")}          # partition columns live in the path
