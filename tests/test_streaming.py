@@ -41,3 +41,16 @@ def test_month_split_across_batches_is_rebuilt_whole(spark, make_trips, tmp_out)
     assert S.read_valid(spark, f"{out}/validated").count() == 6        # never a partial month
     q = S.read_quarantine_table(spark, f"{out}/quarantine")
     assert q.count() == 1
+
+
+def test_incremental_records_manifest(spark, make_trips, tmp_out):
+    from tripforge.sources import landing as L
+    landing, out, man = f"{tmp_out}/landing", f"{tmp_out}/out", f"{tmp_out}/manifest"
+    land(make_trips(trip(), trip(VendorID=99), month="2024-01"), landing)
+    incremental_load(spark, landing, out, manifest_path=man)
+    land(make_trips(trip(), month="2024-02"), landing)
+    incremental_load(spark, landing, out, manifest_path=man)
+    latest = {r.month: (r.row_count, r.size_bytes > 0, "VendorID" in r.columns)
+              for r in L.manifest_latest(L.read_manifest(spark, man)).collect()}
+    assert latest == {"2024-01": (2, True, True), "2024-02": (1, True, True)}
+    assert L.read_manifest(spark, man).count() == 2          # nothing recorded twice
