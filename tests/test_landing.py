@@ -153,3 +153,15 @@ def test_file_schema_drift_hive_layout(spark, make_trips, tmp_out):
     got = {(r.month, r.column_name, r.issue) for r in
            L.file_schema_drift(spark, f"{tmp_out}/hive", RAW_TRIP_SCHEMA).collect()}
     assert got == {("2024-04", "trip_id", "extra")}          # partition columns live in the path
+
+
+def test_cli_ingest_and_profile(spark, make_trips, tmp_out, capsys):
+    from conftest import trip
+    from tripforge.__main__ import main
+    root, man = f"{tmp_out}/raw", f"{tmp_out}/manifest"
+    make_trips(trip(), trip()).drop("taxi_type", "file_month").write.parquet(f"{root}/yellow_tripdata_2024-01.parquet")
+    assert main(["ingest", "--landing", root, "--manifest", man, "--start", "2024-01", "--end", "2024-02"]) == 0
+    assert L.read_manifest(spark, man).count() == 1
+    assert main(["profile", "--input", "/root/testdata/sf0.001/orders.parquet", "--out", f"{tmp_out}/prof"]) == 0
+    prof = spark.read.json(f"{tmp_out}/prof")
+    assert prof.count() == 6 and "p50" in prof.columns
