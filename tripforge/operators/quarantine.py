@@ -21,7 +21,7 @@ REASONS_COL = "_quarantine_reasons"
 BAD_COL = "_is_quarantined"
 
 
-def _active_rules(df: DataFrame, contract: Contract) -> list[R.Rule]:
+def active_rules(df: DataFrame, contract: Contract) -> list[R.Rule]:
     rules = R.applicable(contract.rules, df.columns)
     for r in contract.rules:
         # The cross-column temporal rule cannot be skipped silently: without
@@ -34,12 +34,12 @@ def _active_rules(df: DataFrame, contract: Contract) -> list[R.Rule]:
 
 def is_bad(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> Column:
     """TRUE when the row violates at least one rule (never NULL)."""
-    return R.any_bad(_active_rules(df, contract))
+    return R.any_bad(active_rules(df, contract))
 
 
 def reasons(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> Column:
     """``column:check=value`` for every violated rule, in rule order."""
-    return R.reasons_column(_active_rules(df, contract), df.schema)
+    return R.reasons_column(active_rules(df, contract), df.schema)
 
 
 def tag_violations(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> DataFrame:
@@ -71,7 +71,7 @@ def violations(df: DataFrame, id_cols: Sequence[str],
     Only bad rows reach the explode.  The violated rule numbers travel as one
     ``concat_ws`` string that is split and exploded (flat, cheap to compile);
     rule names come from constant arrays indexed by rule number."""
-    rules = _active_rules(df, contract)
+    rules = active_rules(df, contract)
     codes = R.violated_codes(rules)
     col_names = "array(" + ", ".join(R.sql_literal(r.column) for r in rules) + ")"
     check_names = "array(" + ", ".join(R.sql_literal(r.check) for r in rules) + ")"
@@ -89,7 +89,7 @@ def rule_hits(df: DataFrame, group_cols: Sequence[str] = (),
 
     One aggregate with a ``count_if`` per rule (partial aggregation on the map
     side, tiny shuffle), then an ``inline`` turns the wide row into rows."""
-    rules = _active_rules(df, contract)
+    rules = active_rules(df, contract)
     aggs = R.count_exprs(rules, "_n")
     wide = df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
     entries = "inline(array(" + ", ".join(

@@ -45,7 +45,7 @@ class PipelineStats:
 
 def day_stats_wide(raw: DataFrame, contract: Contract = TRIP_CONTRACT,
                    thresholds: Thresholds = DEFAULT_THRESHOLDS) -> tuple[DataFrame, list, list]:
-    rules = Q._active_rules(raw, contract)
+    rules = Q.active_rules(raw, contract)
     orules = outlier_sql(thresholds)
     # rule flags are evaluated on the raw columns, outlier flags on the coerced
     # + featured projection of the same row (only counted for valid rows)
@@ -91,7 +91,7 @@ def pipeline_stats(raw: DataFrame, contract: Contract = TRIP_CONTRACT,
     kinds = ["raw_rows", "valid_rows", "feature_rows"]
     days = (long.filter(F.col("kind").isin(*kinds))
                 .groupBy(*MONTH_KEYS, "pickup_date").pivot("kind", kinds).agg(F.sum("n")))
-    rule_order = {r.key: i + 1 for i, r in enumerate(Q._active_rules(raw, contract))}
+    rule_order = {r.key: i + 1 for i, r in enumerate(Q.active_rules(raw, contract))}
     failures = (long.filter(F.col("kind") == "rule")
                     .groupBy(*MONTH_KEYS, F.col("key").alias("rule")).agg(F.sum("n").alias("n")))
     order_map = "map(" + ", ".join(f"{R.sql_literal(k)}, {i}" for k, i in rule_order.items()) + ")"
