@@ -347,6 +347,13 @@ FROM req r LEFT JOIN ({LANDED}) l ON l.month = r.month AND l.taxi_type = r.taxi_
     q["sink_partitioned_roundtrip"] = B + f"SELECT {feat_cols} FROM features"
     q["report_json_roundtrip"] = q["validation_report"]
     q["head_sample"] = B + "SELECT * FROM trips ORDER BY trip_id LIMIT 100"
+    q["profile_dtypes"] = B + """, d AS (SELECT column_name, column_type,
+        row_number() OVER () - 1 AS pos
+      FROM (DESCRIBE SELECT * EXCLUDE (taxi_type, file_month), taxi_type, file_month FROM trips))
+SELECT (SELECT COUNT(*) FROM trips) AS rows, CAST(pos AS INTEGER) AS ordinal, column_name,
+  CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+       WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS dtype
+FROM d"""
     q["profile_nulls"] = B + _profile_nulls("trips", TRIPS_COLS)
     q["profile_numeric"] = B + _profile_numeric("trips", TRIPS_NUMERIC)
     q["contract_customer"] = """SELECT c_custkey, concat_ws('; ',
