@@ -165,3 +165,16 @@ def test_cli_ingest_and_profile(spark, make_trips, tmp_out, capsys):
     assert main(["profile", "--input", "/root/testdata/sf0.001/orders.parquet", "--out", f"{tmp_out}/prof"]) == 0
     prof = spark.read.json(f"{tmp_out}/prof")
     assert prof.count() == 6 and "p50" in prof.columns
+
+
+def test_ingest_on_hive_landing(spark, make_trips, tmp_out):
+    from conftest import trip
+    from tripforge.sources.trips import land
+    root, man = f"{tmp_out}/hive", f"{tmp_out}/manifest"
+    land(make_trips(trip(), trip(), month="2024-01").unionByName(make_trips(trip(), month="2024-02")), root)
+    units = {(r.taxi_type, r.month): r.path.rsplit("/", 2)[-2:] for r in L.landing_listing(spark, root).collect()}
+    assert units == {("yellow", "2024-01"): ["taxi_type=yellow", "file_month=2024-01"],
+                     ("yellow", "2024-02"): ["taxi_type=yellow", "file_month=2024-02"]}
+    req = L.month_range(spark, "2024-01", "2024-03").withColumn("taxi_type", F.lit("yellow"))
+    plan = {r.month: (r.landed, r.row_count) for r in L.ingest(spark, root, man, req).collect()}
+    assert plan == {"2024-01": (True, 2), "2024-02": (True, 1), "2024-03": (False, None)}

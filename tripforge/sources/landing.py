@@ -68,19 +68,31 @@ def months_spanned(df: DataFrame, month_cols: Sequence[str]) -> DataFrame:
 
 # -- S3: landing listing and per-file stats -----------------------------------
 
+HIVE_UNIT_RE = r"^(.*/taxi_type=([^/]+)/file_month=(\d{4}-\d{2}))/[^/]+$"
+
+
 def _unit(path: "F.Column", name: "F.Column") -> tuple:
-    """(unit path, unit name): a monthly file, or the directory of part files."""
+    """(unit path, unit name) of a landed parquet file: a flat monthly file,
+    the directory of part files named like one, or a Hive month directory."""
+    hive = F.regexp_extract(path, HIVE_UNIT_RE, 1)
     is_file = name.contains("_tripdata_")
-    unit_path = F.when(is_file, path).otherwise(F.regexp_extract(path, r"^(.*)/[^/]+$", 1))
-    unit_name = F.when(is_file, name).otherwise(F.element_at(F.split(path, "/"), -2))
+    unit_path = (F.when(hive != "", hive)
+                  .when(is_file, path)
+                  .otherwise(F.regexp_extract(path, r"^(.*)/[^/]+$", 1)))
+    hive_name = F.concat(F.regexp_extract(path, HIVE_UNIT_RE, 2), F.lit("_tripdata_"),
+                         F.regexp_extract(path, HIVE_UNIT_RE, 3), F.lit(".parquet"))
+    unit_name = (F.when(hive != "", hive_name)
+                  .when(is_file, name)
+                  .otherwise(F.element_at(F.split(path, "/"), -2)))
     return unit_path, unit_name
 
 
 def landing_listing(spark: SparkSession, root: str) -> DataFrame:
     """Landed monthly units (taxi_type, month, path, size, mtime); content is not read.
 
-    A unit is a ``*_tripdata_YYYY-MM.parquet`` file or a directory of that name
-    holding part files (what a Spark writer produces); sizes are summed."""
+    A unit is a ``*_tripdata_YYYY-MM.parquet`` file, a directory of that name
+    holding part files (what a Spark writer produces), or a Hive landing
+    directory ``taxi_type=T/file_month=M``; sizes are summed per unit."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
              .option("recursiveFileLookup", "true").load(root)
              .select("path", "length", "modificationTime"))
