@@ -263,15 +263,14 @@ def run_range(spark: SparkSession, landing_root: str, out_root: str, start: str,
 
     Only the list of available months (bounded by the requested range)
     reaches the driver."""
-    from tripforge.sources.landing import availability, month_range
+    from tripforge.sources.landing import availability, landing_listing, month_range
     from tripforge.sources.trips import read_landed
     req = month_range(spark, start, end).withColumn("taxi_type", F.lit(taxi_type))
-    raw = read_landed(spark, landing_root)
-    landed = (raw.groupBy("taxi_type", F.col("file_month").alias("month"))
-                 .agg(F.count(F.lit(1)).alias("row_count")))
+    # which months exist is a content-free file listing, not a scan of the data
+    landed = landing_listing(spark, landing_root).select("taxi_type", "month")
     avail = availability(req, landed, fail_fast=fail_fast)
     months = [(r.taxi_type, r.month) for r in
               avail.filter(F.col("status") == "ok").select("taxi_type", "month").collect()]
     if not months:
         return None
-    return run_months(spark, raw, out_root, months, thresholds=thresholds)
+    return run_months(spark, read_landed(spark, landing_root), out_root, months, thresholds=thresholds)

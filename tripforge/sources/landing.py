@@ -201,10 +201,13 @@ def availability(requested: DataFrame, landed: DataFrame, fail_fast: bool = Fals
 
     With ``fail_fast`` a missing month raises instead (only the count of
     missing months reaches the driver)."""
-    out = (requested.join(landed, KEYS, "left")
+    marked = landed.select(*KEYS, *[c for c in ("row_count",) if c in landed.columns],
+                           F.lit(True).alias("_landed"))
+    if "row_count" not in marked.columns:
+        marked = marked.withColumn("row_count", F.lit(None).cast("long"))
+    out = (requested.join(marked, KEYS, "left")
                     .select("pos", *KEYS,
-                            F.when(F.col("row_count").isNotNull(), "ok")
-                             .otherwise("missing").alias("status"),
+                            F.when(F.col("_landed"), "ok").otherwise("missing").alias("status"),
                             "row_count"))
     if fail_fast:
         missing = out.filter(F.col("status") == "missing").count()
