@@ -179,3 +179,24 @@ def test_custom_rules_sql_and_column(spark):
     assert hits == {"v:positive": 1, "odd name:no_space": 1, "odd name:isin": 1}
     v = {(r.id, r.column_name, r.check_name) for r in Q.violations(df, ["id"], c).collect()}
     assert v == {(1, "odd name", "no_space"), (2, "v", "positive"), (2, "odd name", "isin")}
+
+
+def test_reason_without_value_and_rule_order(spark):
+    from tripforge.functions import rules as R
+    from tripforge.functions.contract import Contract
+    df = spark.createDataFrame([(1, 5, 3), (2, 1, 9)], "id int, a int, b int")
+    c = Contract(rules=(R.before("a", "b", "lt_b"), R.custom("b", "small", "b > 4", show_value=False),
+                        R.le("a", 4)))
+    got = {r.id: r[Q.REASONS_COL] for r in Q.quarantine_rows(df, c).collect()}
+    assert got == {2: "a:lt_b; b:small", 1: "a:le=5"}
+
+
+def test_contract_on_other_table_counts(spark):
+    """The same operators on a non-trip table (customer at sf0.01)."""
+    from tripforge.functions import rules as R
+    from tripforge.functions.contract import Contract
+    cust = spark.read.parquet("/root/testdata/sf0.01/customer.parquet")
+    c = Contract(rules=(R.ge("c_acctbal", 0), R.not_nullable("c_mktsegment")))
+    assert Q.quarantine_rows(cust, c).count() == 122          # counted independently in DuckDB
+    v, q = Q.split(cust, c)
+    assert v.count() + q.count() == cust.count()
