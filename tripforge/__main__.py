@@ -1,6 +1,8 @@
 """Command line: ``python -m tripforge <command>`` (spark-submit friendly).
 
     run      --landing ROOT --out ROOT (--month M | --start M --end M) [--fail-fast]
+             [--min-trip-duration-min X --max-trip-duration-min X --max-trip-speed-mph X
+              --min-fare-amount X --min-passenger-count X]
     ingest   --landing ROOT --manifest PATH (--month M | --start M --end M) [--force]
     profile  --input PATH [--out PATH]
 
@@ -14,6 +16,8 @@ import sys
 
 from pyspark.sql import functions as F
 
+from tripforge.config import Thresholds
+
 
 def _months(args) -> tuple[str, str]:
     if args.month:
@@ -36,6 +40,13 @@ def main(argv=None) -> int:
         if name == "run":
             s.add_argument("--out", required=True)
             s.add_argument("--fail-fast", action="store_true")
+            # outlier thresholds (the reference reads these from its settings)
+            d = Thresholds()
+            s.add_argument("--min-trip-duration-min", type=float, default=d.min_trip_duration_min)
+            s.add_argument("--max-trip-duration-min", type=float, default=d.max_trip_duration_min)
+            s.add_argument("--max-trip-speed-mph", type=float, default=d.max_trip_speed_mph)
+            s.add_argument("--min-fare-amount", type=float, default=d.min_fare_amount)
+            s.add_argument("--min-passenger-count", type=float, default=d.min_passenger_count)
         else:
             s.add_argument("--manifest", required=True)
             s.add_argument("--force", action="store_true")
@@ -50,7 +61,10 @@ def main(argv=None) -> int:
         from tripforge.operators.reports import month_overview
         from tripforge.plans.pipeline import run_range
         start, end = _months(args)
-        res = run_range(spark, args.landing, args.out, start, end,
+        thresholds = Thresholds(args.min_trip_duration_min, args.max_trip_duration_min,
+                                args.max_trip_speed_mph, args.min_fare_amount,
+                                args.min_passenger_count)
+        res = run_range(spark, args.landing, args.out, start, end, thresholds=thresholds,
                         fail_fast=args.fail_fast, taxi_type=args.taxi_type)
         if res is None:
             print("no months processed", file=sys.stderr)
