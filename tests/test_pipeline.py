@@ -221,3 +221,12 @@ def test_all_quarantined_month_clears_valid(spark, make_trips, tmp_out):
     assert S.read_quarantine_table(spark, f"{tmp_out}/quarantine").count() == 1
     m = r.months.collect()[0]
     assert (m.raw_rows, m.valid_rows, m.feature_rows) == (1, 0, 0)
+
+
+def test_cli_thresholds(spark, make_trips, tmp_out):
+    from tripforge.__main__ import main
+    from tripforge.sources.trips import land
+    land(make_trips(trip(), trip(fare_amount=50.0)), f"{tmp_out}/landing")
+    assert main(["run", "--landing", f"{tmp_out}/landing", "--out", f"{tmp_out}/out",
+                 "--month", "2024-01", "--min-fare-amount", "20"]) == 0
+    assert S.read_features(spark, f"{tmp_out}/out/features").count() == 1    # 14.5 < 20 dropped
