@@ -25,9 +25,12 @@ from __future__ import annotations
 
 import json
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -59,18 +62,38 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class Kept:
+    """A bounded memory of what keys encode to: two generations, of which the
+    older goes when the younger is full, and what is used again moves up."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """The keys of a batch that are not known; the others can be read from ``young``."""
+        if len(self.young) > self.size:
+            self.old, self.young = self.young, {}
+        new, old = keys.difference(self.young), self.old
+        known = [k for k in new if k in old]
+        self.young.update(zip(known, map(old.__getitem__, known)))
+        new.difference_update(known)
+        return list(new)
+
+
 class Encoder:
     """Texts to little-endian ids by the tokenizers library.
 
-    A byte-level BPE encodes each word of ``WORD`` by itself, so a word's ids are
-    kept and only new words go to the library, many at a time.  Texts with rare
-    characters or the strings of special tokens go to it whole, as does every
-    text of a tokenizer of another kind."""
+    A byte-level BPE encodes each word of ``WORD`` by itself, and a space before
+    a character that is no white space always begins a word.  So the ids of the
+    pieces between spaces are kept, those of their words too, and only new words
+    go to the library, many at a time.  Texts with rare characters or the strings
+    of special tokens go to it whole, as does every text of a tokenizer of
+    another kind."""
 
-    def __init__(self, path: str, keep_words: int = 400_000):
+    def __init__(self, path: str, keep: int = 300_000):
         from tokenizers import Tokenizer
 
-        self.tok, self.keep_words, self.cache = Tokenizer.from_file(path), keep_words, {}
+        self.tok, self.words, self.pieces = Tokenizer.from_file(path), Kept(keep), Kept(keep)
         conf = json.loads(self.tok.to_str())
         pre = conf.get("pre_tokenizer") or {}
         self.by_word = (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
@@ -80,26 +103,45 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        ids = [array(code, e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        if sys.byteorder == "big":
+            for a in ids:
+                a.byteswap()
+        return [a.tobytes() for a in ids]
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        split = [WORD.findall(t) for t in texts]
+        new = self.words.missing(set().union(*split))
+        for k in range(0, len(new), 20_000):
+            self.words.young.update(zip(new[k:k + 20_000], self._library(new[k:k + 20_000])))
+        get = self.words.young.__getitem__
+        return [b"".join(map(get, ws)) for ws in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out, split, cache = [b""] * len(texts), {}, self.cache
-        whole = []
+        out, pieces, whole, by_words = [b""] * len(texts), {}, [], []
         for i, t in enumerate(texts):
-            if self.by_word and COMMON.fullmatch(t) and not any(s in t for s in self.special):
-                split[i] = WORD.findall(t)
+            if self.by_word and (t.isascii() or COMMON.fullmatch(t)) and not any(s in t for s in self.special):
+                pieces[i] = t.split(" ")
             else:
                 whole.append(i)
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids
-        if len(cache) > self.keep_words:
-            cache.clear()
-        new = list(set().union(*split.values()).difference(cache)) if split else []
-        for k in range(0, len(new), 20_000):
-            cache.update(zip(new[k:k + 20_000], self._library(new[k:k + 20_000])))
-        for i, words in split.items():
-            out[i] = b"".join(map(cache.__getitem__, words))
+        if pieces:
+            # None: nothing or white space after the space, so no word begins there
+            new = self.pieces.missing(set().union(*pieces.values()))
+            odd = [p for p in new if not p or p[0].isspace()]
+            new = [p for p in new if p and not p[0].isspace()]
+            self.pieces.young.update(zip(new, self._by_words([" " + p for p in new])))
+            self.pieces.young.update(dict.fromkeys(odd))
+            get, first = self.pieces.young.__getitem__, self._by_words([p[0] for p in pieces.values()])
+            for (i, p), head in zip(pieces.items(), first):
+                try:
+                    out[i] = head + b"".join(map(get, islice(p, 1, None)))
+                except TypeError:      # a None among them
+                    by_words.append(i)
+            for i, ids in zip(by_words, self._by_words([texts[i] for i in by_words])):
+                out[i] = ids
         return out
 
 
