@@ -196,8 +196,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, block_words: int = 1 << 20
             for block, data in zip(b["block"], b["data"]):
                 own = Block(data, window)
                 for row in range(ROWS):
-                    c = np.unique(own.counters(row, total))
-                    c = c.astype(np.int64)
+                    c = np.sort(own.counters(row, total)).astype(np.int64)
+                    c = c[np.diff(c, prepend=-1) > 0]
                     cuts = np.searchsorted(c, np.arange(stretches + 1) * stretch)
                     yield pd.DataFrame([(block, row * stretches + k, hi - lo, _pack(np.diff(c[lo:hi], prepend=k * stretch).astype("<u4")))
                                         for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])) if hi > lo],
