@@ -39,9 +39,9 @@ SYMBOLS = "#*$%&|<>"
 SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 HAS_WORD = r"[^\x20\x09-\x0D]"
 CLOSED = r"""[.!?:;…。！？]["'”’»)\]]*[\x20\x09-\x0D]*$"""
-SEPARATORS = r"\s[|»›>•·]\s.*\s[|»›>•·]\s"
+SEPARATORS = r"[\x20\x09-\x0D][|»›>•·][\x20\x09-\x0D][^\n]*[\x20\x09-\x0D][|»›>•·][\x20\x09-\x0D]"
 MENU = (
-    r"(?i)^\s*(?:home|menu|next|previous|back|back to top|skip to content|read more|more|share|tweet|reply|"
+    r"(?i)^[\x20\x09-\x0D]*(?:home|menu|next|previous|back|back to top|skip to content|read more|more|share|tweet|reply|"
     r"search|login|log in|sign in|sign up|register|contact|about|about us|sitemap)\W*$")
 BOILERPLATE = (
     r"(?i)all rights reserved|cookie policy|uses? cookies|privacy policy|terms of (?:use|service)|"
