@@ -46,7 +46,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash partitions by ``keys``, as many as the session deals shuffles to."""
+    """As many partitions as the session deals shuffles to: by ``keys``, or
+    evenly without any (a list of files, each of which is work for a task)."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), *keys)
 
 

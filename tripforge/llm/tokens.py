@@ -425,4 +425,4 @@ def read_token_files(spark: SparkSession, index: DataFrame, folder: str, with_id
                         base, rest, doc = base + len(got) - len(pieces[-1]), pieces[-1], to
                         yield out
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
-    return spread(placed, "file").mapInPandas(run, schema)
+    return spread(placed).mapInPandas(run, schema)

@@ -187,7 +187,7 @@ def read_bundles(spark: SparkSession, index: DataFrame) -> DataFrame:
                                          head["WARC-Type"], _id(head.get("WARC-Refers-To"))))
                         out = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
                         yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
-    return spread(index.select("bundle").distinct(), "bundle").mapInPandas(run, RECORD)
+    return spread(index.select("bundle").distinct()).mapInPandas(run, RECORD)
 
 
 def fetch(wanted: DataFrame) -> DataFrame:
