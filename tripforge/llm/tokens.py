@@ -80,6 +80,15 @@ class Kept:
         return list(new)
 
 
+def _words(t: str) -> list[str]:
+    """The words of a text; most pieces are letters, or letters and a mark."""
+    if t[1:].isalpha() and (t[0] == " " or t[0].isalpha()):
+        return [t]
+    if len(t) > 2 and t[-1] in ".,;:!?" and t[1:-1].isalpha() and (t[0] == " " or t[0].isalpha()):
+        return [t[:-1], t[-1]]
+    return WORD.findall(t)
+
+
 class Encoder:
     """Texts to little-endian ids by the tokenizers library.
 
@@ -90,7 +99,7 @@ class Encoder:
     of special tokens go to it whole, as does every text of a tokenizer of
     another kind."""
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 100_000):
         from tokenizers import Tokenizer
 
         self.tok, self.words, self.pieces = Tokenizer.from_file(path), Kept(keep), Kept(keep)
@@ -111,7 +120,7 @@ class Encoder:
         return [a.tobytes() for a in ids]
 
     def _by_words(self, texts: list[str]) -> list[bytes]:
-        split = [WORD.findall(t) for t in texts]
+        split = [_words(t) for t in texts]
         new = self.words.missing(set().union(*split))
         for k in range(0, len(new), 20_000):
             self.words.young.update(zip(new[k:k + 20_000], self._library(new[k:k + 20_000])))
