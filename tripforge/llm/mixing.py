@@ -28,13 +28,12 @@ from pyspark.sql import functions as F
 from tripforge.llm.common import staged, text_of, words_of
 
 CYCLE = (1.0, 2.0, 3.0)
-NULLS_LAST = F.col("source").asc_nulls_last()
 
 
 def cyclic_weights(totals: DataFrame, cycle=CYCLE) -> DataFrame:
     """Weights 1, 2, 3, repeating, to sources in code point order, null last
     (one row for each source)."""
-    place = (F.row_number().over(Window.orderBy(NULLS_LAST)) - 1) % len(cycle)
+    place = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(cycle)
     return totals.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in cycle]), place + 1))
 
 
