@@ -99,7 +99,7 @@ class Encoder:
     of special tokens go to it whole, as does every text of a tokenizer of
     another kind."""
 
-    def __init__(self, path: str, keep: int = 100_000):
+    def __init__(self, path: str, keep: int = 50_000):
         from tokenizers import Tokenizer
 
         self.tok, self.words, self.pieces = Tokenizer.from_file(path), Kept(keep), Kept(keep)
@@ -170,9 +170,9 @@ def tokenized(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0) ->
         for b in batches:
             texts = b["text"].tolist()
             at = 0
-            while at < len(texts):            # some megabytes of text at a time
+            while at < len(texts):            # a million characters at a time
                 to, n = at, 0
-                while to < len(texts) and n < 4 << 20:
+                while to < len(texts) and n < 1 << 20:
                     n += len(texts[to])
                     to += 1
                 ids = [x + end for x in enc.encode(texts[at:to])]
