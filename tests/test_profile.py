@@ -59,3 +59,12 @@ def test_histogram_path_matches_numpy(spark, seed):
     got = P.exact_quantiles(df, ["a", "b", "c"], 0.5, collect_cap=30, bounds=bounds, buckets=64)
     for name, arr in (("a", a), ("b", b), ("c", c)):
         assert got[name] == pytest.approx(float(np.quantile(arr, 0.5)), abs=1e-9)
+
+
+def test_nan_is_missing_and_odd_values_and_names_pass(spark):
+    df = spark.createDataFrame([(1.0, 4.0), (float("nan"), float("inf")), (3.0, 6.0)], "`a.b` double, y double")
+    rows = {r.column_name: r for r in P.profile(df).collect()}
+    assert (rows["a.b"].null_fraction, rows["a.b"].min, rows["a.b"].max, rows["a.b"].mean, rows["a.b"].p50) == (0.3333, 1.0, 3.0, 2.0, 2.0)
+    assert (rows["y"].max, rows["y"].mean, rows["y"].p50) == (float("inf"), float("inf"), 6.0)
+    assert {r.column_name: r.null_fraction for r in P.null_fractions(df).collect()} == {"a.b": 0.3333, "y": 0.0}
+    assert [r.p50 for r in P.numeric_stats(df, ["a.b"]).collect()] == [2.0]

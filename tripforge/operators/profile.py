@@ -55,11 +55,19 @@ def dtypes(df: DataFrame) -> DataFrame:
     return n.select("rows", F.inline(cols))
 
 
+def _plain(df: DataFrame) -> DataFrame:
+    """Columns named by place (names may hold dots or repeat), NaN read as missing."""
+    out = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return out.select(*[
+        F.when(~F.isnan(f.name), F.col(f.name)).alias(f.name)
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else F.col(f.name) for f in out.schema.fields])
+
+
 def null_fractions(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Share of NULLs per column, rounded."""
-    aggs = [F.avg(F.col(c).isNull().cast("double")).alias(f"_p{i}")
-            for i, c in enumerate(df.columns)]
-    wide = df.agg(*aggs)
+    """Share of missing values (NULL or NaN) per column, rounded."""
+    aggs = [F.avg(F.col(f"c{i}").isNull().cast("double")).alias(f"_p{i}")
+            for i in range(len(df.columns))]
+    wide = _plain(df).agg(*aggs)
     entries = F.array(*[
         F.struct(F.lit(c).alias("column_name"),
                  F.round(F.col(f"_p{i}"), digits).alias("null_fraction"))
@@ -275,7 +283,10 @@ def _numeric_rows(df, cols, row, digits, collect_cap):
 
 def _round_half_up(v: float, digits: int) -> float:
     """Spark's ``round`` on a double (HALF_UP on the shortest decimal text)."""
+    import math
     from decimal import ROUND_HALF_UP, Decimal
+    if not math.isfinite(v):
+        return v
     return float(Decimal(repr(v)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
 
 
@@ -288,23 +299,26 @@ def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None, digits: i
     spark = df.sparkSession
     if not cols:
         return spark.createDataFrame([], STATS_SCHEMA)
-    stats = _numeric_rows(df, cols, _stats_row(df, cols, False), digits, collect_cap)
-    return spark.createDataFrame([(c, *stats[c]) for c in cols], STATS_SCHEMA)
+    plain, place = _plain(df), {c: f"c{i}" for i, c in enumerate(df.columns)}
+    own = [place[c] for c in cols]
+    stats = _numeric_rows(plain, own, _stats_row(plain, own, False), digits, collect_cap)
+    return spark.createDataFrame([(c, *stats[place[c]]) for c in cols], STATS_SCHEMA)
 
 
 def profile(df: DataFrame, digits: int = 4, collect_cap: int = 100_000) -> DataFrame:
     """P1-P3 in one relation: one row per column (null share for all, stats
     for numeric ones).  One aggregate for the simple statistics, then the
     exact-median selection jobs."""
-    cols = numeric_columns(df)
-    row = _stats_row(df, cols, True)
-    stats = _numeric_rows(df, cols, row, digits, collect_cap) if cols else {}
+    plain = _plain(df)
+    cols = numeric_columns(plain)
+    row = _stats_row(plain, cols, True)
+    stats = _numeric_rows(plain, cols, row, digits, collect_cap) if cols else {}
     out = []
     for i, f in enumerate(df.schema.fields):
         p = row[f"_p{i}"]
         out.append((i, f.name, f.dataType.simpleString(),
                     None if p is None else _round_half_up(p, digits),
-                    *stats.get(f.name, (None, None, None, None))))
+                    *stats.get(f"c{i}", (None, None, None, None))))
     return df.sparkSession.createDataFrame(
         out, "ordinal int, column_name string, dtype string, null_fraction double, "
              "min double, max double, mean double, p50 double")

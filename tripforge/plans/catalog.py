@@ -158,13 +158,11 @@ def q_contract_customer(spark, sf):
 
 
 def q_contract_lineitem_orders(spark, sf):
-    # Equi-join on the order key: orders is broadcast only while its
-    # estimated size is under the threshold; at scale it is a shuffle join
-    # sized by the inputs (both sides grow with the data).
-    from tripforge.operators.joins import sized_join
+    # A plain equi-join on the order key: Spark broadcasts a side only under its
+    # own threshold, and AQE corrects the choice and splits skewed keys.
     li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     od = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    j = sized_join(li, od, li.l_orderkey == od.o_orderkey).drop("o_orderkey")
+    j = li.join(od, li.l_orderkey == od.o_orderkey).drop("o_orderkey")
     return Q.quarantine_rows(j, LINEITEM_ORDERS_CONTRACT)
 
 

@@ -88,24 +88,3 @@ def local_path(path: str) -> str | None:
     if "://" in path:
         return None
     return os.path.abspath(path)
-
-
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
-def ensure_shuffle_parallelism(spark: SparkSession, est_bytes: int,
-                               target_bytes: int = 64 * 1024 * 1024) -> int:
-    """Raise AQE's initial shuffle partition count to ~one per ``target_bytes``
-    of estimated input (never lowers it; AQE coalesces what turns out small).
-
-    A fixed ``spark.sql.shuffle.partitions`` gives a few huge tasks at scale;
-    with the initial number following the input, joins and aggregations keep
-    ENSURE_REQUIREMENTS exchanges, so AQE's coalescing and skew-join
-    splitting still apply."""
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions", "200")
-    want = min(MAX_SHUFFLE_PARTITIONS, -(-max(0, est_bytes) // target_bytes))
-    n = max(int(current), int(want))
-    if n != int(current):
-        spark.conf.set(key, str(n))
-    return n

@@ -150,7 +150,6 @@ def read_quarantine(spark: SparkSession, root: str, schema: T.StructType | None
 
 
 TARGET_PARTITION_BYTES = 64 * 1024 * 1024   # of estimated (compressed, file-based) input
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -174,7 +173,7 @@ def shuffle_partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_B
     if est <= 0 or est >= int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2 ** 63 - 1))) // 2:
         return floor
     n = -(-est // target_bytes)
-    return int(max(floor, min(n, MAX_SHUFFLE_PARTITIONS)))
+    return int(max(floor, n))
 
 
 def write_features(features: DataFrame, root: str) -> None:
