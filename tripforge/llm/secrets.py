@@ -10,9 +10,9 @@ A bounded seeded sample of each kind (``sample`` rows, a parameter) goes to the
 driver, where they become a prefix tree over character classes whose states are
 merged while their outgoing frequencies are compatible (Hoeffding bound, as in
 the ALERGIA algorithm), which gives a probabilistic automaton for each kind.
-The sample's held-out part sets, for each automaton, the lowest mean
-log-likelihood of a character that ``recall`` of the credentials reach; the same
-on ordinary words of the corpus sets a second automaton to compare with.  Every
+The sample's held-out part sets, for each automaton, how far below their average
+a candidate's mean log-likelihood of a character may lie (by the root of its
+length) so that ``recall`` of the credentials are found; the same on ordinary words of the corpus sets a second automaton to compare with.  Every
 candidate (a run of 16+ characters of ``[A-Za-z0-9+/_-]`` holding letters and
 digits, outside the base spans) of every text is then scored; those above the
 threshold and likelier by ``margin`` than as an ordinary word are ``grammar``
@@ -88,7 +88,8 @@ class Automaton:
 
     edges: list[dict[str, int]] = field(default_factory=lambda: [{}])      # state -> symbol -> state
     counts: list[dict[str, int]] = field(default_factory=lambda: [{}])     # state -> symbol or END -> times
-    low: float = 0.0
+    mean: float = 0.0        # of the held-out credentials' likelihoods
+    low: float = 0.0         # the least accepted distance from it, times the root of the length
 
     def add(self, word: str) -> None:
         s = 0
@@ -176,7 +177,9 @@ class Grammar:
 
     def accepts(self, token: str) -> bool:
         plain = self.words.likelihood(token)
-        return any((x := a.likelihood(token)) >= a.low and x >= plain + self.margin for a in self.kinds.values())
+        root = math.sqrt(len(token))
+        return any(((x := a.likelihood(token)) - a.mean) * root >= a.low and x >= plain + self.margin
+                   for a in self.kinds.values())
 
 
 def fit(credentials: dict[str, list[str]], words: list[str], recall: float = 0.95, margin: float = 0.5) -> Grammar:
@@ -187,8 +190,11 @@ def fit(credentials: dict[str, list[str]], words: list[str], recall: float = 0.9
         held, rest = values[::5], [v for i, v in enumerate(values) if i % 5]
         if len(rest) >= 4:
             a = infer(rest)
-            scores = sorted(a.likelihood(v) for v in held)
-            a.low = scores[int((1 - recall) * len(scores))]
+            scores = [a.likelihood(v) for v in held]
+            a.mean = sum(scores) / len(scores)
+            # a mean over few characters strays further: distances count by the root of the length
+            apart = sorted((x - a.mean) * math.sqrt(len(v)) for x, v in zip(scores, held))
+            a.low = apart[int((1 - recall) * len(apart))]
             kinds[kind] = a
     return Grammar(kinds, infer(words), margin)
 
