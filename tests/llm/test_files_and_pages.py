@@ -76,14 +76,18 @@ def test_rans_is_near_the_entropy():
     assert (T.decode_blocks(one, T.encode_blocks(one, np.full(100, 7)), [100]) == 7).all()
 
 
-def test_words_encode_like_whole_texts():
+def test_pieces_encode_like_whole_texts():
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(T.default_tokenizer())
     odd = ["", " ", "  a  b", "a \n b", "\n\n x", "it's 's  'll <|endoftext|> x", "日本語 テキスト", "a b", " lead", "trail ", "x\x1cy",
            "l’été — “q”…", "a\t\tb \t c", "é x", "123 ²³ ½x", "don't I'LL we've 'd", "end. (x) a, b! c1. \U0001f600", "ª º a·b a‐b"]
-    enc = T.Encoder(T.default_tokenizer(), keep=4)
-    for _ in range(2):
-        assert enc.encode(odd) == [np.array(e.ids, "<u2").tobytes() for e in tok.encode_batch(odd, add_special_tokens=False)]
+    odd += [" ".join(odd), "  ".join(odd * 3), "\n ".join(odd)]
+    want = [np.array(e.ids, "<u2").tobytes() for e in tok.encode_batch(odd, add_special_tokens=False)]
+    for piece, keep in ((1, 0), (2, 4), (7, 30), (T.PIECE, T.KEEP)):
+        enc = T.Encoder(T.default_tokenizer(), piece, keep)
+        for _ in range(3):
+            assert enc.encode(odd) == want
+            assert [enc.encode([t])[0] for t in odd] == want
 
 
 def test_token_files(spark, odd, documents, no_documents):

@@ -18,23 +18,23 @@ columns are ignored.
 
 The texts move once (range partitions by id, sorted and spillable), the ids are
 staged once, and all later steps read them in file order without a shuffle.  A
-task holds one batch of blocks and a bounded cache of words at a time.
+task holds one batch of blocks, or some texts and a bounded memory of pieces, at
+a time.
 """
 
 from __future__ import annotations
 
 import json
+import os
+import re
 import struct
-import sys
 import uuid
 import zlib
-from array import array
 from dataclasses import dataclass
-from itertools import islice
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -49,10 +49,12 @@ SCALE = 20                       # the frequencies add up to 2 ** SCALE
 LOW = np.uint64(1 << 31)         # states stay in [2 ** 31, 2 ** 63)
 U32 = np.uint64(32)
 
-# The word pattern of byte-level BPE, fixed by the tokenizer files.
-WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-# Texts of these characters alone are split alike by every version of Unicode.
-COMMON = regex.compile("[\t\n\r\x20-\x7e¡-ɏ‐-‧]*+")
+PIECE = 1 << 18                  # characters that go to the tokenizers library at a time
+KEEP = 250_000                   # pieces between spaces that a worker remembers in a generation, of two
+# A word of byte-level BPE always begins with a space that a letter or digit follows,
+WORD_START = re.compile(" [A-Za-z0-9]")
+# and with any space but one before white space or the end of the text.
+ODD_PIECE = re.compile(r"[\s\u180e]|\Z")
 
 
 # -- tokenizing -----------------------------------------------------------------------
@@ -62,95 +64,88 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Kept:
-    """A bounded memory of what keys encode to: two generations, of which the
-    older goes when the younger is full, and what is used again moves up."""
-
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
-
-    def missing(self, keys: set) -> list:
-        """The keys of a batch that are not known; the others can be read from ``young``."""
-        if len(self.young) > self.size:
-            self.old, self.young = self.young, {}
-        new, old = keys.difference(self.young), self.old
-        known = [k for k in new if k in old]
-        self.young.update(zip(known, map(old.__getitem__, known)))
-        new.difference_update(known)
-        return list(new)
-
-
-def _words(t: str) -> list[str]:
-    """The words of a text; most pieces are letters, or letters and a mark."""
-    if t[1:].isalpha() and (t[0] == " " or t[0].isalpha()):
-        return [t]
-    if len(t) > 2 and t[-1] in ".,;:!?" and t[1:-1].isalpha() and (t[0] == " " or t[0].isalpha()):
-        return [t[:-1], t[-1]]
-    return WORD.findall(t)
-
-
 class Encoder:
     """Texts to little-endian ids by the tokenizers library.
 
-    A byte-level BPE encodes each word of ``WORD`` by itself, and a space before
-    a character that is no white space always begins a word.  So the ids of the
-    pieces between spaces are kept, those of their words too, and only new words
-    go to the library, many at a time.  Texts with rare characters or the strings
-    of special tokens go to it whole, as does every text of a tokenizer of
-    another kind."""
-
-    def __init__(self, path: str, keep: int = 50_000):
+    Byte-level BPE encodes every word by itself, and a space before anything but
+    white space begins a word.  So a text's ids are those of its pieces between
+    spaces, one after the other; the pieces met of late are remembered (two
+    generations of ``keep``: the older one goes when the younger is full, and what
+    is met again moves up), and only others go to the library, joined by spaces.
+    Their ids part where a token begins with a space.  A text with a space before
+    white space or at its end, or with a special token's string, goes to the
+    library itself, in pieces of about ``piece`` characters, since the library
+    keeps many times a text's size.  Tokenizers of another kind get every text
+    whole."""
+
+    def __init__(self, path: str, piece: int = PIECE, keep: int = KEEP):
+        # Spark runs a task on every core; threads of the library's own would contend with them
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tok, self.words, self.pieces = Tokenizer.from_file(path), Kept(keep), Kept(keep)
+        self.tok, self.piece, self.keep = Tokenizer.from_file(path), piece, keep
         conf = json.loads(self.tok.to_str())
-        pre = conf.get("pre_tokenizer") or {}
+        pre, added = conf.get("pre_tokenizer") or {}, conf.get("added_tokens", [])
         self.by_word = (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
                         and pre.get("use_regex", True) and conf.get("normalizer") is None
-                        and conf["model"]["type"] == "BPE" and not conf["model"].get("dropout"))
-        self.special = [t["content"] for t in conf.get("added_tokens", [])]
-        self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        code = "H" if self.dtype.itemsize == 2 else "I"
-        ids = [array(code, e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-        if sys.byteorder == "big":
-            for a in ids:
-                a.byteswap()
-        return [a.tobytes() for a in ids]
-
-    def _by_words(self, texts: list[str]) -> list[bytes]:
-        split = [_words(t) for t in texts]
-        new = self.words.missing(set().union(*split))
+                        and conf["model"]["type"] == "BPE" and not conf["model"].get("dropout")
+                        and not any(" " in t["content"] or t.get("lstrip") or t.get("rstrip") for t in added))
+        self.special = [t["content"] for t in added]
+        size = self.tok.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        # byte-level tokens write the space as U+0120
+        self.begins = np.array([(self.tok.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+        self.young, self.old = {}, {}
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _cut(self, text: str) -> list[str]:
+        at, out = 0, []
+        while self.by_word and len(text) - at > self.piece and (m := WORD_START.search(text, at + self.piece)):
+            out.append(text[at:m.start()])
+            at = m.start()
+        return out + [text[at:]]
+
+    def _learn(self, pieces: list[list[str]]) -> None:
+        """Have the ids of these pieces, each after a space, in ``young``, but for
+        those whose space begins no word."""
+        if len(self.young) > self.keep:
+            self.old, self.young = self.young, {}
+        new = set()
+        for p in pieces:
+            new.update(filterfalse(self.young.__contains__, p))
+        known = [p for p in new if p in self.old]
+        self.young.update(zip(known, map(self.old.__getitem__, known)))
+        new.difference_update(known)
+        new = [p for p in new if not ODD_PIECE.match(p)]
         for k in range(0, len(new), 20_000):
-            self.words.young.update(zip(new[k:k + 20_000], self._library(new[k:k + 20_000])))
-        get = self.words.young.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+            some = new[k:k + 20_000]
+            ids = self._library([" " + " ".join(some)])[0]
+            at = (np.flatnonzero(self.begins[ids]) * self.dtype.itemsize).tolist()
+            raw = ids.tobytes()
+            self.young.update(zip(some, [raw[i:j] for i, j in zip(at, [*at[1:], len(raw)], strict=True)], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out, pieces, whole, by_words = [b""] * len(texts), {}, [], []
+        out, pieces, whole = [b""] * len(texts), {}, []
         for i, t in enumerate(texts):
-            if self.by_word and (t.isascii() or COMMON.fullmatch(t)) and not any(s in t for s in self.special):
+            if self.by_word and not any(s in t for s in self.special):
                 pieces[i] = t.split(" ")
             else:
                 whole.append(i)
-        for i, ids in zip(whole, self._library([texts[i] for i in whole])):
-            out[i] = ids
         if pieces:
-            # None: nothing or white space after the space, so no word begins there
-            new = self.pieces.missing(set().union(*pieces.values()))
-            odd = [p for p in new if not p or p[0].isspace()]
-            new = [p for p in new if p and not p[0].isspace()]
-            self.pieces.young.update(zip(new, self._by_words([" " + p for p in new])))
-            self.pieces.young.update(dict.fromkeys(odd))
-            get, first = self.pieces.young.__getitem__, self._by_words([p[0] for p in pieces.values()])
-            for (i, p), head in zip(pieces.items(), first):
+            heads = self._library([p[0] for p in pieces.values()])
+            for p in pieces.values():
+                del p[0]
+            self._learn(list(pieces.values()))
+            get = self.young.__getitem__
+            for (i, p), head in zip(pieces.items(), heads):
                 try:
-                    out[i] = head + b"".join(map(get, islice(p, 1, None)))
-                except TypeError:      # a None among them
-                    by_words.append(i)
-            for i, ids in zip(by_words, self._by_words([texts[i] for i in by_words])):
-                out[i] = ids
+                    out[i] = head.tobytes() + b"".join(map(get, p))
+                except KeyError:
+                    whole.append(i)
+        for i in whole:
+            out[i] = b"".join(self._library([p])[0].tobytes() for p in self._cut(texts[i]))
         return out
 
 
