@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF01, trip
 from tripforge.plans.accounting import month_accounting, pipeline_stats
+from tripforge.functions.contract import RAW_TRIP_SCHEMA
 from tripforge.plans.pipeline import run_files, run_months
 from tripforge.sources import sinks as S
 from tripforge.sources.fixtures import trips
@@ -230,3 +231,41 @@ def test_cli_thresholds(spark, make_trips, tmp_out):
     assert main(["run", "--landing", f"{tmp_out}/landing", "--out", f"{tmp_out}/out",
                  "--month", "2024-01", "--min-fare-amount", "20"]) == 0
     assert S.read_features(spark, f"{tmp_out}/out/features").count() == 1    # 14.5 < 20 dropped
+
+
+def test_months_with_different_schemas(spark, make_trips, tmp_out):
+    """An absent column, a wider type and another spelling in one run; an
+    unreadable month is left out and named, or raises with fail_fast."""
+    from pyspark.sql import functions as F
+    from tripforge.plans.pipeline import run_range
+    from tripforge.session import local_path
+    from tripforge.sources import landing as L
+    root = f"{tmp_out}/landing"
+
+    def month(m):
+        return f"{root}/yellow_tripdata_{m}.parquet"
+    rows = make_trips(trip(Airport_fee=1.75), trip(VendorID=77), trip(extra=None)).drop("taxi_type", "file_month")
+    rows.write.parquet(month("2024-01"))
+    rows.drop("Airport_fee", "extra").withColumn("VendorID", F.col("VendorID").cast("long")).write.parquet(month("2023-01"))
+    rows.withColumnRenamed("Airport_fee", "airport_fee").withColumn("note", F.lit("x")).write.parquet(month("2023-02"))
+    os.makedirs(local_path(month("2023-03")))
+    with open(f"{local_path(month('2023-03'))}/part-0.parquet", "wb") as f:
+        f.write(b"no parquet at all")
+    r = run_range(spark, root, f"{tmp_out}/out", "2023-01", "2024-01")
+    got = {m.file_month: (m.raw_rows, m.valid_rows) for m in r.months.collect()}
+    # a column that a month does not have fails none of its rows
+    assert got == {"2024-01": (3, 1), "2023-01": (3, 2), "2023-02": (3, 1)}
+    assert [s[:2] for s in r.skipped] == [("yellow", "2023-03")]
+    feats = S.read_features(spark, r.features_root)
+    assert "_absent_columns" not in feats.columns
+    airport = {(f.file_month, f.is_airport_trip) for f in feats.collect()}
+    assert airport == {("2024-01", True), ("2023-01", False), ("2023-02", True)}
+    failed = {(f.file_month, f.rule): f.n for f in r.failures.collect()}
+    assert failed[("2023-01", "VendorID:isin")] == 1 and ("2023-01", "extra:not_nullable") not in failed
+    with pytest.raises(Exception):
+        run_range(spark, root, f"{tmp_out}/out2", "2023-01", "2023-03", fail_fast=True)
+    drift = {(d.month, d.column_name, d.issue) for d in
+             L.file_schema_drift(spark, root, RAW_TRIP_SCHEMA).collect() if d.column_name != "trip_id"}
+    assert drift == {("2023-01", "Airport_fee", "missing"), ("2023-01", "extra", "missing"), ("2023-01", "VendorID", "wrong_type"),
+                     ("2023-02", "Airport_fee", "missing"), ("2023-02", "airport_fee", "extra"), ("2023-02", "note", "extra"),
+                     ("2023-03", None, "unreadable")}

@@ -13,7 +13,7 @@ trips for ``F.col``/``F.lit``/operators; Catalyst sees the same expressions.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any, Callable, Iterable, Sequence
 
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NULL_TEXT = "None"
+# Names of the columns that a row's file did not have, each between commas.
+ABSENT_COL = "_absent_columns"
 
 
 def ident(name: str) -> str:
@@ -122,7 +124,11 @@ def applicable(rules: Sequence[Rule], columns: Iterable[str]) -> list[Rule]:
     """Rules whose columns exist.  A missing column is a schema-level issue
     (reported by schema drift), never a per-row failure."""
     present = set(columns)
-    return [r for r in rules if all(c in present for c in r.columns())]
+    here = [r for r in rules if all(c in present for c in r.columns())]
+    if ABSENT_COL not in present:
+        return here
+    return [replace(r, kind="expr", arg=f"{r.sql} AND instr({ABSENT_COL}, {sql_literal(f',{r.column},')}) = 0")
+            if r.kind == "not_nullable" else r for r in here]
 
 
 def all_sql(rules: Sequence[Rule]) -> bool:

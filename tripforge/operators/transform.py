@@ -11,6 +11,7 @@ from tripforge.config import DEFAULT_THRESHOLDS, Thresholds
 from tripforge.functions.coerce import coerce_sql
 from tripforge.functions.features import feature_sql
 from tripforge.functions.outliers import any_outlier_sql, outlier_sql
+from tripforge.functions.rules import ABSENT_COL
 
 
 def coerce_types(df: DataFrame) -> DataFrame:
@@ -53,10 +54,10 @@ def dropped_by_reason(df: DataFrame, group_cols: Sequence[str] = ("file_month",)
 
 def build_features(valid: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """Validated rows -> feature table rows (coerce, derive, drop outliers)."""
-    return filter_outliers(add_features(coerce_types(valid)), thresholds)
+    return filter_outliers(featured(valid), thresholds)
 
 
 def featured(valid: DataFrame) -> DataFrame:
     """Validated rows coerced and featured, before the outlier filter."""
-    return add_features(coerce_types(valid))
+    return add_features(coerce_types(valid.drop(ABSENT_COL)))
 

@@ -48,6 +48,7 @@ class PipelineResult:
     drops: DataFrame           # per month x outlier reason (all reasons)
     validation: DataFrame
     transform: DataFrame
+    skipped: tuple = ()        # (taxi_type, month, why) of landed months that could not be read
 
     @property
     def validated_root(self) -> str:
@@ -259,18 +260,28 @@ def run_range(spark: SparkSession, landing_root: str, out_root: str, start: str,
               thresholds: Thresholds = DEFAULT_THRESHOLDS, fail_fast: bool = False,
               taxi_type: str = "yellow") -> PipelineResult | None:
     """``run --start --end``: every landed month of the inclusive range in one
-    set-based job; missing months are skipped (or raise with ``fail_fast``).
+    set-based job.  Months that are missing, or whose files cannot be read, are
+    skipped (the latter are named in ``skipped``), or raise with ``fail_fast``.
 
-    Only the list of available months (bounded by the requested range)
-    reaches the driver."""
+    Only the list of available months (bounded by the requested range) and
+    their schemas reach the driver."""
     from tripforge.sources.landing import availability, landing_listing, month_range
-    from tripforge.sources.trips import read_landed
+    from tripforge.sources.trips import Unit, read_units, unit_schemas
     req = month_range(spark, start, end).withColumn("taxi_type", F.lit(taxi_type))
     # which months exist is a content-free file listing, not a scan of the data
-    landed = landing_listing(spark, landing_root).select("taxi_type", "month")
-    avail = availability(req, landed, fail_fast=fail_fast)
-    months = [(r.taxi_type, r.month) for r in
-              avail.filter(F.col("status") == "ok").select("taxi_type", "month").collect()]
-    if not months:
+    landed = landing_listing(spark, landing_root).select("taxi_type", "month", "path")
+    avail = availability(req, landed, fail_fast=fail_fast).filter(F.col("status") == "ok")
+    units = [Unit(r.path, r.taxi_type, r.month) for r in
+             landed.join(avail, ["taxi_type", "month"], "left_semi").select("path", "taxi_type", "month").collect()]
+    schemas = unit_schemas(spark, sorted(units))
+    broken = {u: e for u, e in schemas.items() if isinstance(e, Exception)}
+    if broken and fail_fast:
+        raise next(iter(broken.values()))
+    bad = {(u.taxi_type, u.month) for u in broken}    # a month is run whole or not at all
+    schemas = {u: s for u, s in schemas.items() if (u.taxi_type, u.month) not in bad}
+    if not schemas:
         return None
-    return run_months(spark, read_landed(spark, landing_root), out_root, months, thresholds=thresholds)
+    months = sorted({(u.taxi_type, u.month) for u in schemas})
+    result = run_months(spark, read_units(spark, schemas), out_root, months, thresholds=thresholds)
+    result.skipped = tuple((u.taxi_type, u.month, str(e).splitlines()[0]) for u, e in broken.items())
+    return result

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripforge.sources.trips import FILE_RE_MONTH, FILE_RE_TYPE
+from tripforge.sources.trips import FILE_RE_MONTH, FILE_RE_TYPE, Unit, unit_schemas
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("month", T.StringType(), False),
@@ -242,62 +242,24 @@ def ingest(spark: SparkSession, landing_root: str, manifest_path: str,
     return plan
 
 
-# -- C32 per file: schema drift of every landed file --------------------------------
-
-_ARROW_TO_SPARK = {
-    "int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint",
-    "float": "float", "double": "double", "string": "string", "large_string": "string",
-    "bool": "boolean", "date32[day]": "date",
-}
-
-
-def _spark_type_name(arrow_type) -> str:
-    s = str(arrow_type)
-    if s.startswith("timestamp"):
-        return "timestamp" if "tz=" in s else "timestamp_ntz"
-    return _ARROW_TO_SPARK.get(s, s)
-
+# -- C32 per file: schema drift of every landed month --------------------------------
 
 def file_schema_drift(spark: SparkSession, root: str, expected: T.StructType) -> DataFrame:
-    """Missing / mistyped / extra columns of EVERY landed parquet file.
-
-    Spark lists the files (no content read) and spreads them over tasks; each
-    task reads only the parquet footers of its files and emits the issue
-    rows (a small per-file helper; no row data moves).  Names are compared
-    exactly.  Files that cannot be read are reported as ``unreadable``."""
-    exp = [(f.name, f.dataType.simpleString()) for f in expected.fields]
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .option("recursiveFileLookup", "true").load(root).select("path"))
-    out_schema = ("path string, column_name string, issue string, expected string, actual string")
-
-    def drift(batches):
-        import pandas as pd
-        import pyarrow.parquet as pq
-        for pdf in batches:
-            rows = []
-            for p in pdf["path"]:
-                local = p[len("file:"):] if p.startswith("file:") else p
-                try:
-                    actual = {f.name: _spark_type_name(f.type) for f in pq.read_schema(local)}
-                except Exception as e:  # noqa: BLE001 - report, do not fail the job
-                    rows.append((p, None, "unreadable", None, type(e).__name__))
-                    continue
-                names = {n for n, _ in exp}
-                for name, dtype in exp:
-                    if name not in actual:
-                        rows.append((p, name, "missing", dtype, None))
-                    elif actual[name] != dtype:
-                        rows.append((p, name, "wrong_type", dtype, actual[name]))
-                for name, dtype in actual.items():
-                    if name not in names:
-                        rows.append((p, name, "extra", None, dtype))
-            yield pd.DataFrame(rows, columns=["path", "column_name", "issue", "expected", "actual"])
-
-    issues = files.mapInPandas(drift, out_schema)
-    unit = F.when(F.col("path").rlike(r"_tripdata_\d{4}-\d{2}\.parquet$"), F.col("path")).otherwise(
-        F.regexp_extract("path", r"^(.*)/[^/]+$", 1))
-    name = F.element_at(F.split(unit, "/"), -1)
-    flat = F.regexp_extract(name, FILE_RE_MONTH, 1)
-    hive = F.regexp_extract("path", r"file_month=(\d{4}-\d{2})", 1)
-    month = F.when(flat != "", flat).otherwise(hive)
-    return issues.select("path", month.alias("month"), "column_name", "issue", "expected", "actual")
+    """Missing / mistyped / extra columns of EVERY landed month.
+
+    Names are compared exactly; a month that cannot be read is ``unreadable``.
+    Spark reads the footers; only schemas (months x columns) reach the driver."""
+    units = [Unit(r.path, r.taxi_type, r.month) for r in
+             landing_listing(spark, root).select("path", "taxi_type", "month").collect()]
+    exp = {f.name: f.dataType.simpleString() for f in expected.fields}
+    rows = []
+    for u, schema in unit_schemas(spark, units).items():
+        if isinstance(schema, Exception):
+            rows.append((*u, None, "unreadable", None, type(schema).__name__))
+            continue
+        actual = {f.name: f.dataType.simpleString() for f in schema.fields}
+        rows += [(*u, n, "missing", t, None) for n, t in exp.items() if n not in actual]
+        rows += [(*u, n, "wrong_type", exp[n], t) for n, t in actual.items() if n in exp and t != exp[n]]
+        rows += [(*u, n, "extra", None, t) for n, t in actual.items() if n not in exp]
+    return spark.createDataFrame(rows, "path string, taxi_type string, month string, column_name string, "
+                                       "issue string, expected string, actual string")
