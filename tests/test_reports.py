@@ -1,4 +1,4 @@
-"""A2-A7, R1-R4 on report relations (numbers from the reference's report tests)."""
+"""A2-A7, R1-R4 on report relations ."""
 
 import json
 
@@ -23,11 +23,11 @@ def test_top_reasons_order_ties_zeros_limit(spark):
 
 
 def test_run_totals_and_retention(spark):
-    m = months(spark, [("yellow", "2024-01", 100, 90, 80, 3), ("yellow", "2024-02", 100, 90, 80, 3)])
+    m = months(spark, [("yellow", "2023-07", 640, 512, 480, 4), ("yellow", "2023-08", 160, 150, 120, 2)])
     t = RP.run_totals(m).collect()[0]
-    assert (t.months_processed, t.raw_rows, t.feature_rows, t.overall_retention_pct) == (2, 200, 160, 80.0)
+    assert (t.months_processed, t.raw_rows, t.feature_rows, t.overall_retention_pct) == (2, 800, 600, 75.0)
     o = {r.file_month: r.retention_pct for r in RP.month_overview(m).collect()}
-    assert o == {"2024-01": 80.0, "2024-02": 80.0}
+    assert o == {"2023-07": 75.0, "2023-08": 75.0}
 
 
 def test_empty_run(spark):
@@ -45,18 +45,24 @@ def test_empty_month_pct(spark):
 
 
 def test_summary_and_digest(spark):
-    m = months(spark, [("yellow", "2024-01", 100, 90, 80, 3)])
-    f = spark.createDataFrame([("yellow", "2024-01", "fare_amount:le", 7), ("yellow", "2024-01", "trip_distance:ge", 3)],
+    """Two taxi types of one month stay apart everywhere."""
+    m = months(spark, [("yellow", "2023-07", 640, 512, 480, 4), ("green", "2023-07", 50, 20, 10, 1)])
+    f = spark.createDataFrame([("yellow", "2023-07", "RatecodeID:isin", 90), ("yellow", "2023-07", "extra:not_nullable", 38),
+                               ("green", "2023-07", "RatecodeID:isin", 30)],
                               "taxi_type string, file_month string, rule string, n bigint")
-    d = spark.createDataFrame([("yellow", "2024-01", "speed_implausible", 6), ("yellow", "2024-01", "zero_distance", 0)],
+    d = spark.createDataFrame([("yellow", "2023-07", "duration_too_long", 32), ("yellow", "2023-07", "non_positive_fare", 0),
+                               ("green", "2023-07", "duration_too_long", 10)],
                               "taxi_type string, file_month string, reason string, n bigint")
-    doc = json.loads(RP.run_summary(m, f, d, ["x", "y"]).collect()[0].summary_json)
-    assert doc["totals"] == {"raw_rows": 100, "feature_rows": 80, "overall_retention_pct": 80.0}
-    mo = doc["months"][0]
-    assert mo["validation"]["valid_rows"] == 90 and mo["transform"]["output_rows"] == 80
-    assert mo["validation"]["failure_counts"] == {"fare_amount:le": 7, "trip_distance:ge": 3}
-    dig = {(r.section, r.item): r.value for r in RP.dq_digest(m, f, d).collect()}
-    assert dig[("top_quarantine_reason", "fare_amount:le")] == 7.0
-    assert ("top_outlier_reason", "zero_distance") not in dig            # zeros dropped
-    assert dig[("retention", "retention_pct")] == 80.0
-    assert dig[("validation", "valid_pct")] == 90.0
+    doc = json.loads(RP.run_summary(m, f, d, ["p"]).collect()[0].summary_json)
+    assert doc["totals"] == {"raw_rows": 690, "feature_rows": 490, "overall_retention_pct": 71.0145}
+    green, yellow = doc["months"]
+    assert (green["taxi_type"], yellow["taxi_type"]) == ("green", "yellow")
+    assert yellow["validation"]["valid_rows"] == 512 and yellow["transform"]["output_rows"] == 480
+    assert yellow["validation"]["failure_counts"] == {"RatecodeID:isin": 90, "extra:not_nullable": 38}
+    dig = {(r.taxi_type, r.section, r.item): r.value for r in RP.dq_digest(m, f, d).collect()}
+    assert dig[("yellow", "top_quarantine_reason", "RatecodeID:isin")] == 90.0
+    assert dig[("green", "top_quarantine_reason", "RatecodeID:isin")] == 30.0
+    assert ("yellow", "top_outlier_reason", "non_positive_fare") not in dig      # zeros dropped
+    assert dig[("yellow", "retention", "retention_pct")] == 75.0
+    assert dig[("green", "validation", "valid_pct")] == 40.0
+    assert {(r.taxi_type, r.retention_pct) for r in RP.month_overview(m).collect()} == {("yellow", 75.0), ("green", 20.0)}

@@ -92,9 +92,9 @@ def transform_report(months: DataFrame, feature_columns: Sequence[str],
 
 
 def month_overview(months: DataFrame) -> DataFrame:
-    """R2/A5: one overview row per month."""
+    """R2/A5: one overview row per taxi type and month."""
     return months.select(
-        "file_month",
+        *MONTH_KEYS,
         F.coalesce("raw_rows", F.lit(0)).alias("raw_rows"),
         "valid_rows", "feature_rows",
         _pct(F.col("feature_rows"), F.col("raw_rows")).alias("retention_pct"),
@@ -129,10 +129,12 @@ def run_summary(months: DataFrame, failures: DataFrame | None, drops: DataFrame
         F.count(F.lit(1)).alias("months_processed"),
         F.sum(F.coalesce("raw_rows", F.lit(0))).alias("raw_rows"),
         F.sum(F.coalesce("feature_rows", F.lit(0))).alias("feature_rows"),
-        # maps are not orderable: sort the (few) month elements by their key
+        # maps are not orderable: sort the (few) month elements by their keys
         F.array_sort(F.collect_list(month_struct),
                      lambda a, b: F.when(a["month"] < b["month"], -1)
-                                   .when(a["month"] > b["month"], 1).otherwise(0)).alias("months"),
+                                   .when(a["month"] > b["month"], 1)
+                                   .when(a["taxi_type"] < b["taxi_type"], -1)
+                                   .when(a["taxi_type"] > b["taxi_type"], 1).otherwise(0)).alias("months"),
     )
     doc = F.struct(
         "months_processed",
@@ -147,7 +149,7 @@ def run_summary(months: DataFrame, failures: DataFrame | None, drops: DataFrame
 
 def dq_digest(months: DataFrame, failures: DataFrame, drops: DataFrame,
               k: int = TOP_REASONS_LIMIT) -> DataFrame:
-    """The data-quality digest as a long relation (month, section, item, value).
+    """The data-quality digest as a long relation (taxi type, month, section, item, value).
 
     Sections: validation numbers, top quarantine reasons, transform numbers,
     top outlier reasons, end-to-end retention (absent when undefined)."""
@@ -166,15 +168,15 @@ def dq_digest(months: DataFrame, failures: DataFrame, drops: DataFrame,
         ("retention", "retention_pct", _pct(F.col("feature_rows"), F.col("raw_rows"), 2)),
     ]
     # every per-month number in ONE projection over the month rows
-    numbers = (months.select("file_month", F.inline(F.array(*[
+    numbers = (months.select(*MONTH_KEYS, F.inline(F.array(*[
         F.struct(F.lit(sec).alias("section"), F.lit(name).alias("item"),
                  expr.cast("double").alias("value"))
         for sec, name, expr in items])))
         .filter((F.col("section") != "retention") | F.col("value").isNotNull()))
-    tq = top_reasons(failures, ["file_month"], "rule", k=k).select(
-        "file_month", F.lit("top_quarantine_reason").alias("section"),
+    tq = top_reasons(failures, MONTH_KEYS, "rule", k=k).select(
+        *MONTH_KEYS, F.lit("top_quarantine_reason").alias("section"),
         F.col("rule").alias("item"), F.col("n").cast("double").alias("value"))
-    to = top_reasons(drops, ["file_month"], "reason", k=k).select(
-        "file_month", F.lit("top_outlier_reason").alias("section"),
+    to = top_reasons(drops, MONTH_KEYS, "reason", k=k).select(
+        *MONTH_KEYS, F.lit("top_outlier_reason").alias("section"),
         F.col("reason").alias("item"), F.col("n").cast("double").alias("value"))
     return numbers.unionByName(tq).unionByName(to)

@@ -127,11 +127,11 @@ acct AS (SELECT m.taxi_type, m.file_month, raw_rows, valid_rows, raw_rows - vali
                 round({D(100)} * feature_rows / NULLIF(raw_rows, 0), 4) AS retention_pct
          FROM months m LEFT JOIN days d USING (taxi_type, file_month)),
 rule_hits AS ({" UNION ALL ".join(
-    f"SELECT file_month, {i} AS rule_no, '{c}:{k}' AS rule, '{c}' AS column_name, '{k}' AS check_name, "
-    f"COUNT(*) FILTER (WHERE {p}) AS n FROM trips GROUP BY file_month"
+    f"SELECT taxi_type, file_month, {i} AS rule_no, '{c}:{k}' AS rule, '{c}' AS column_name, '{k}' AS check_name, "
+    f"COUNT(*) FILTER (WHERE {p}) AS n FROM trips GROUP BY taxi_type, file_month"
     for i, (c, k, p) in enumerate(RULES, start=1))}),
 drops AS ({" UNION ALL ".join(
-    f"SELECT file_month, '{n}' AS reason, COUNT(*) FILTER (WHERE {n}) AS n FROM flags GROUP BY file_month"
+    f"SELECT taxi_type, file_month, '{n}' AS reason, COUNT(*) FILTER (WHERE {n}) AS n FROM flags GROUP BY taxi_type, file_month"
     for n, _ in OUTLIERS)})
 """
 
@@ -262,7 +262,7 @@ SELECT trip_id, TRY_CAST(pickup_text AS TIMESTAMP) AS pickup_parsed,
   dropped_rows, COALESCE(round({D(100)} * feature_rows / NULLIF(valid_rows, 0), 4), {D(0)}) AS output_pct,
   n_partitions, '{",".join(["trip_id"] + RAW_COLS + ["taxi_type", "file_month"] + FEATURE_COLS)}' AS feature_columns FROM acct"""
     q["partition_counts"] = B + "SELECT file_month, pickup_date, COUNT(*) AS n_rows FROM features GROUP BY file_month, pickup_date"
-    q["month_overview"] = B + ("SELECT file_month, COALESCE(raw_rows, 0) AS raw_rows, valid_rows, feature_rows, "
+    q["month_overview"] = B + ("SELECT taxi_type, file_month, COALESCE(raw_rows, 0) AS raw_rows, valid_rows, feature_rows, "
                                "retention_pct FROM acct")
     q["run_totals"] = B + f"""SELECT COUNT(*) AS months_processed, CAST(COALESCE(SUM(raw_rows), 0) AS BIGINT) AS raw_rows,
   CAST(COALESCE(SUM(feature_rows), 0) AS BIGINT) AS feature_rows,
@@ -297,25 +297,25 @@ SELECT COUNT(*) AS months_processed, CAST(SUM(raw_rows) AS BIGINT) AS raw_rows,
             dropped_by_reason := dropped_by_reason, feature_columns := [{fcols}], n_partitions := n_partitions))
       ORDER BY file_month))) AS VARCHAR) AS summary_json
 FROM mm"""
-    q["dq_digest"] = B + f"""SELECT file_month, 'validation' AS section, item, CAST(value AS DOUBLE) AS value FROM (
-    SELECT file_month, 'total_rows' AS item, raw_rows AS value FROM acct
-    UNION ALL SELECT file_month, 'valid_rows', valid_rows FROM acct
-    UNION ALL SELECT file_month, 'quarantined_rows', quarantined_rows FROM acct
-    UNION ALL SELECT file_month, 'valid_pct', round({D(100)} * valid_rows / NULLIF(raw_rows, 0), 2) FROM acct
-    UNION ALL SELECT file_month, 'quarantined_pct', round({D(100)} * quarantined_rows / NULLIF(raw_rows, 0), 2) FROM acct)
-UNION ALL SELECT file_month, 'top_quarantine_reason', rule, CAST(n AS DOUBLE) FROM (
-    SELECT file_month, rule, n, row_number() OVER (PARTITION BY file_month ORDER BY n DESC, rule) AS rk
+    q["dq_digest"] = B + f"""SELECT taxi_type, file_month, 'validation' AS section, item, CAST(value AS DOUBLE) AS value FROM (
+    SELECT taxi_type, file_month, 'total_rows' AS item, raw_rows AS value FROM acct
+    UNION ALL SELECT taxi_type, file_month, 'valid_rows', valid_rows FROM acct
+    UNION ALL SELECT taxi_type, file_month, 'quarantined_rows', quarantined_rows FROM acct
+    UNION ALL SELECT taxi_type, file_month, 'valid_pct', round({D(100)} * valid_rows / NULLIF(raw_rows, 0), 2) FROM acct
+    UNION ALL SELECT taxi_type, file_month, 'quarantined_pct', round({D(100)} * quarantined_rows / NULLIF(raw_rows, 0), 2) FROM acct)
+UNION ALL SELECT taxi_type, file_month, 'top_quarantine_reason', rule, CAST(n AS DOUBLE) FROM (
+    SELECT taxi_type, file_month, rule, n, row_number() OVER (PARTITION BY taxi_type, file_month ORDER BY n DESC, rule) AS rk
     FROM rule_hits WHERE n > 0) WHERE rk <= 5
-UNION ALL SELECT file_month, 'transform', item, CAST(value AS DOUBLE) FROM (
-    SELECT file_month, 'input_rows' AS item, valid_rows AS value FROM acct
-    UNION ALL SELECT file_month, 'output_rows', feature_rows FROM acct
-    UNION ALL SELECT file_month, 'dropped_rows', dropped_rows FROM acct
-    UNION ALL SELECT file_month, 'output_pct', COALESCE(round({D(100)} * feature_rows / NULLIF(valid_rows, 0), 2), 0) FROM acct
-    UNION ALL SELECT file_month, 'n_partitions', n_partitions FROM acct)
-UNION ALL SELECT file_month, 'top_outlier_reason', reason, CAST(n AS DOUBLE) FROM (
-    SELECT file_month, reason, n, row_number() OVER (PARTITION BY file_month ORDER BY n DESC, reason) AS rk
+UNION ALL SELECT taxi_type, file_month, 'transform', item, CAST(value AS DOUBLE) FROM (
+    SELECT taxi_type, file_month, 'input_rows' AS item, valid_rows AS value FROM acct
+    UNION ALL SELECT taxi_type, file_month, 'output_rows', feature_rows FROM acct
+    UNION ALL SELECT taxi_type, file_month, 'dropped_rows', dropped_rows FROM acct
+    UNION ALL SELECT taxi_type, file_month, 'output_pct', COALESCE(round({D(100)} * feature_rows / NULLIF(valid_rows, 0), 2), 0) FROM acct
+    UNION ALL SELECT taxi_type, file_month, 'n_partitions', n_partitions FROM acct)
+UNION ALL SELECT taxi_type, file_month, 'top_outlier_reason', reason, CAST(n AS DOUBLE) FROM (
+    SELECT taxi_type, file_month, reason, n, row_number() OVER (PARTITION BY taxi_type, file_month ORDER BY n DESC, reason) AS rk
     FROM drops WHERE n > 0) WHERE rk <= 5
-UNION ALL SELECT file_month, 'retention', 'retention_pct', round({D(100)} * feature_rows / NULLIF(raw_rows, 0), 2)
+UNION ALL SELECT taxi_type, file_month, 'retention', 'retention_pct', round({D(100)} * feature_rows / NULLIF(raw_rows, 0), 2)
     FROM acct WHERE raw_rows > 0"""
     q["month_range"] = B + """SELECT CAST(row_number() OVER (ORDER BY month) - 1 AS INTEGER) AS pos, month FROM (
   SELECT strftime(unnest(generate_series(CAST(lo || '-01' AS DATE), CAST(hi || '-01' AS DATE), INTERVAL 1 MONTH)), '%Y-%m') AS month
