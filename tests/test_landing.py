@@ -54,7 +54,7 @@ def test_manifest_persist_append_and_reload(spark, tmp_out):
 
 
 def test_pending_and_force(spark):
-    landed = spark.createDataFrame([("yellow", "2024-01", 10, 100), ("yellow", "2024-02", 20, 200)],
+    landed = spark.createDataFrame([("yellow", "2024-01", 10, 1_250_000), ("yellow", "2024-02", 20, 2_330_000)],
                                    "taxi_type string, month string, row_count bigint, size_bytes bigint")
     m = _manifest(spark, [("2024-01", "yellow", 10, "2024-02-01 00:00:00")])
     assert [r.month for r in L.pending(landed, m).collect()] == ["2024-02"]
@@ -65,7 +65,7 @@ def test_pending_and_force(spark):
         ("2023-12", False, False), ("2024-01", True, True), ("2024-02", True, False)]
     t = L.ingest_totals(L.ingest_plan(req, landed, m)).collect()[0]
     assert (t.requested, t.loaded, t.skipped, t.missing, t.total_rows) == (3, 1, 1, 1, 30)
-    assert t.total_mb == 0.0
+    assert t.total_mb == 3.6
 
 
 def test_availability_and_fail_fast(spark):
