@@ -43,8 +43,8 @@ def test_text_dates_parsed_and_garbage_null(spark):
 def test_base_features(make_trips):
     r = feat(make_trips)
     assert r.trip_duration_min == 25.0
-    assert r.trip_speed_mph == 3.2 / (25.0 / 60.0)
-    assert r.tip_pct == 100.0 * 3.0 / 14.5
+    assert r.trip_speed_mph == 4.5 / (25.0 / 60.0)
+    assert r.tip_pct == 100.0 * 2.2 / 11.0
     assert r.is_rush_hour is True and r.is_weekend is False
     assert r.pickup_date == "2024-01-15" and r.pickup_day_name == "Monday"
     assert r.pickup_dayofweek == 0 and r.pickup_hour == 8
@@ -106,7 +106,7 @@ def flags(make_trips, **kw):
 
 @pytest.mark.parametrize("override,reasons", [
     ({"tpep_dropoff_datetime": dt.datetime(2024, 1, 15, 8, 30, 5)},
-     {"duration_too_short", "speed_implausible"}),                 # 3.2 mi in 5 s
+     {"duration_too_short", "speed_implausible"}),                 # 4.5 mi in 5 s
     ({"tpep_dropoff_datetime": dt.datetime(2024, 1, 15, 8, 30, 5), "trip_distance": 0.001},
      {"duration_too_short"}),
     ({"tpep_dropoff_datetime": dt.datetime(2024, 1, 15, 12, 30)}, {"duration_too_long"}),
