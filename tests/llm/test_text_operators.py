@@ -130,6 +130,18 @@ def test_keep_one(odd, no_documents):
     assert H.keep_one(no_documents).count() == 0 and H.simhash_groups(no_documents).count() == 0
 
 
+def test_rows_are_told_apart_without_ids(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(None, text(0)), (None, text(1)), (None, text(1)), (None, text(2)), (1, text(2)), (2, text(3)), (2, text(4)),
+            (3, text(5)), (4, text(5)), (4, text(6))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, H.keep_one(df).collect()), key=str)
+    assert kept == sorted([(None, text(0)), (None, text(1)), (1, text(2)), (2, text(3)), (2, text(4)), (3, text(5)), (4, text(6))], key=str)
+    bench = spark.createDataFrame([(1, text(1)), (2, text(3))], "item_id long, text string")
+    clean = sorted(map(tuple, D.keep_clean(df, bench).collect()), key=str)
+    assert clean == sorted([r for r in rows if r[1] not in (text(1), text(3))], key=str)
+
+
 # -- substring dedup -------------------------------------------------------------------
 def slow_dedup(rows):
     first, out = {}, []

@@ -45,6 +45,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keys() -> Column:
+    """A unique number for each row.  It may differ when the rows are read
+    again, so it is written (``staged``) before it is used."""
+    return F.monotonically_increasing_id()
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """As many partitions as the session deals shuffles to: by ``keys``, or
     evenly without any (a list of files, each of which is work for a task)."""

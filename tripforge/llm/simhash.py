@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import staged
+from tripforge.llm.common import keys, staged
 from tripforge.llm.components import components
 
 SEED = 42
@@ -57,13 +57,14 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(ones * 2 > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, shingle: int = 3, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns of ``carry``, and fp: the fingerprint as a signed 64-bit integer."""
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp.view(np.int64)})
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long")
+            yield b[list(carry)].assign(fp=fp.view(np.int64))
+    types = dict(docs.dtypes)
+    return docs.select(*carry, "text").mapInPandas(run, ", ".join(f"{c} {types[c]}" for c in carry) + ", fp long")
 
 
 def forest(fps: np.ndarray, keys: np.ndarray, side: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,30 +158,32 @@ def links(distinct: DataFrame, radius: int = 2, tile: int = 4096) -> DataFrame:
     return small.unionByName(hot)
 
 
+def _with_component(reps: DataFrame, radius: int, tile: int) -> DataFrame:
+    """Distinct fingerprints with the component each lies in."""
+    comp = components(links(reps.select("fp"), radius, tile), "a", "b")
+    return reps.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "component", F.coalesce("component", "fp"))
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, tile: int = 4096) -> DataFrame:
     """(doc_id, fp, component_id): one row per document."""
     fp = staged(fingerprints(docs, shingle), "fingerprints")
     reps = staged(fp.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    comp = components(links(reps.select("fp"), radius, tile), "a", "b")
-    named = reps.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "component", F.coalesce("component", "fp"))
+    named = _with_component(reps, radius, tile)
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = staged(named.join(least, "component").select("fp", "component_id"), "components")
     return fp.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """One document of each group, the one with the smallest ``doc_id``; a
-    group without ids keeps nothing to name and goes by its fingerprint."""
-    groups = simhash_groups(docs, shingle, radius)
-    kept = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("doc_id").agg(F.count(F.lit(1)).alias("__copies"))
-            .withColumnRenamed("doc_id", "__kept_id"))
-    kept = staged(kept, "kept")
-    mine = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"]))
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    once = mine.filter("__copies = 1").select(*cols)
-    # rows that repeat an id: one of them stays
-    again = mine.filter("__copies > 1").groupBy("__kept_id").agg(
-        F.min(F.struct(*cols)).alias("__row")).select("__row.*")
-    return once.unionByName(again)
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, tile: int = 4096) -> DataFrame:
+    """One row of each group: the one with the smallest ``doc_id``, rows without
+    id last; of equal ids, and of rows without id, the one that hashes lowest.
+    Rows are told apart by a key of their own, never by ``doc_id``."""
+    plain = [f"`{c}`" for c, t in docs.dtypes if "map<" not in t]      # maps have no hash
+    keyed = staged(docs.withColumn("__hash", F.xxhash64(*plain)).withColumn("__row", keys()), "keyed")
+    fp = staged(fingerprints(keyed, shingle, ("doc_id", "__hash", "__row")), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash", "__row"))
+    reps = staged(fp.groupBy("fp").agg(first.alias("first")), "distinct")
+    kept = staged(_with_component(reps, radius, tile).groupBy("component").agg(F.min("first").alias("first"))
+                  .select("first.__row"), "kept")
+    return keyed.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
