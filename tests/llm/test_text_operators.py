@@ -196,6 +196,34 @@ def test_overlaps(spark, odd):
     assert D.keep_clean(odd, bench).count() == 11
 
 
+@pytest.mark.parametrize("runs, gap", [((12, 12, 12), 5), ((21, 21, 21), 10)])
+def test_runs_between_replaced_stretches_are_found(spark, runs, gap):
+    item = [f"term{i}" for i in range(sum(runs) + gap * (len(runs) - 1))]
+    text = [w if i % (runs[0] + gap) < runs[0] else f"other{i}" for i, w in enumerate(item)]
+    docs = spark.createDataFrame([(1, " ".join(text)), (2, " ".join(item[:8] + text[8:12] + ["x"] * 9))], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r for r in D.overlaps(docs, bench).collect()}
+    r = got[1]
+    equal = [a == b for a, b in zip(text, item)]
+    passing = [(sum(equal[s:e]), s - e, -s) for s in range(len(item)) for e in range(s + 1, len(item) + 1)
+               if sum(equal[s:e]) >= 12 and sum(equal[s:e]) >= 0.8 * (e - s)]
+    assert (r.n_equal, -r.n_words, -r.first_word) == max(passing)
+    assert D.keep_clean(docs, bench).count() == 2 - len(got)
+
+
+def test_any_stretch_matches_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        equal = rng.random(int(rng.integers(1, 60))) < 0.75
+        passing = [(int(equal[s:e].sum()), s - e, -s) for s in range(len(equal)) for e in range(s + 1, len(equal) + 1)
+                   if equal[s:e].sum() >= 12 and equal[s:e].sum() >= 0.8 * (e - s) - 1e-9]
+        got = D.any_stretch(equal, 12, 0.8)
+        assert (got is None) == (not passing)
+        if got:
+            s, e = got
+            assert (int(equal[s:e].sum()), s - e, -s) == max(passing)
+
+
 def test_exact_passages_are_all_found(spark, documents):
     bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

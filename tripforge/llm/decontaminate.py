@@ -6,7 +6,8 @@ of the words at its ones, whatever stands at its zeros.  Training positions and
 benchmark positions with equal seed hashes are joined; around each such hit the
 two texts are aligned word by word, without gaps, and the stretch with the best
 score (+1 for an equal word, -2 for a substituted one) must hold ``min_words``
-equal words at a share of ``min_share`` or more.  Items shorter than ``SPAN``
+equal words at a share of ``min_share`` or more; where it does not, the stretch
+with the most equal words among all that do is taken.  Items shorter than ``SPAN``
 words are sought whole by masks of their own length; items under ``MIN_ITEM``
 words are no evidence and never match.
 
@@ -76,6 +77,25 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int]:
     return int(np.argmin(s[:end + 1])), end
 
 
+def any_stretch(equal: np.ndarray, least: int, share: float) -> tuple[int, int] | None:
+    """Of the stretches with ``least`` equal words at ``share`` or more the one
+    with the most equal words, then the shortest, then the first."""
+    have = np.concatenate(([0], np.cumsum(equal)))
+    over = have - share * np.arange(len(have))
+    # the leftmost start that an end still bears holds the most equal words
+    start = np.searchsorted(-np.minimum.accumulate(over), -over - 1e-9)
+    n = have - have[start]
+    n[n < max(1, least)] = 0
+    if not n.any():
+        return None
+    found = []
+    for e in np.flatnonzero(n == n.max()).tolist():
+        inside = np.flatnonzero(equal[start[e]:e]) + start[e]
+        found.append((int(inside[-1] + 1 - inside[0]), int(inside[0])))
+    size, s = min(found)
+    return s, s + size
+
+
 def item_seeds(items: DataFrame, masks: list[str]) -> DataFrame:
     """(hash, item_id, at, mask) for every item of at least MIN_ITEM words."""
     def run(batches):
@@ -152,9 +172,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 12, min_sha
                 w, q = np.asarray(words), np.asarray(item)
                 lo, hi = max(0, -shift), min(len(q), len(w) - shift)
                 equal = w[lo + shift:hi + shift] == q[lo:hi]
+                need = min(min_words, len(q))
                 s, e = best_stretch(equal)
                 n = int(equal[s:e].sum())
-                if n >= min(min_words, len(q)) and n >= min_share * (e - s):
+                if n < need or n < min_share * (e - s):      # others can pass where the best one does not
+                    s, e = any_stretch(equal, need, min_share) or (0, 0)
+                    n = int(equal[s:e].sum())
+                if n:
                     rows.append((None if pd.isna(doc) else int(doc), int(item_id), int(first + shift + lo + s), e - s, n))
             out = pd.DataFrame(rows, columns=["doc_id", "item_id", "first_word", "n_words", "n_equal"])
             yield out.astype({"doc_id": "Int64"})
