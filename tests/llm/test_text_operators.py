@@ -224,6 +224,31 @@ def test_any_stretch_matches_brute_force():
             assert (int(equal[s:e].sum()), s - e, -s) == max(passing)
 
 
+def test_short_items_bear_substitutions(spark):
+    for n in range(1, D.SPAN):
+        wrong = n - D.needed(n, 12, 0.8)
+        assert wrong == (int(n * 0.2 + 1e-9) if n >= D.MIN_ITEM else 0)
+        masks = D.short_masks(n, 0.8)
+        assert all(len(m) == n and "1" in m for m in masks)
+        assert all(any(all(m[i] == "0" for i in gone) for m in masks) for gone in itertools.combinations(range(n), wrong))
+    bench, rows, want = [], [], set()
+    for n in range(5, 15):
+        item = [f"q{n}x{i}" for i in range(n)]
+        bench.append((n, " ".join(item)))
+        for k in range(n):
+            changed = [w if i != k else "other" for i, w in enumerate(item)]
+            rows.append((100 * n + k, "so " + " ".join(changed) + " then"))
+            want.add((100 * n + k, n))
+        rows.append((100 * n + 50, " ".join("other" if i % 2 else w for i, w in enumerate(item))))
+    bench += [(1, "Why?"), (2, "who was it")]
+    rows += [(1, "first line\n  why \nlast"), (2, "Who was\nit?"), (3, "that is why"), (4, "who was it then"), (5, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(bench, "item_id long, text string")
+    got = D.overlaps(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want | {(1, 1), (2, 2)}
+    assert all(r.n_equal >= D.needed(r.item_id, 12, 0.8) for r in got if r.item_id > 4)
+
+
 def test_exact_passages_are_all_found(spark, documents):
     bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

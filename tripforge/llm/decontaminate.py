@@ -7,9 +7,11 @@ benchmark positions with equal seed hashes are joined; around each such hit the
 two texts are aligned word by word, without gaps, and the stretch with the best
 score (+1 for an equal word, -2 for a substituted one) must hold ``min_words``
 equal words at a share of ``min_share`` or more; where it does not, the stretch
-with the most equal words among all that do is taken.  Items shorter than ``SPAN``
-words are sought whole by masks of their own length; items under ``MIN_ITEM``
-words are no evidence and never match.
+with the most equal words among all that do is taken.  Of an item too short for
+``min_words`` at that share, the share of its own words is asked for.  Items
+shorter than ``SPAN`` words are sought by masks of their own length, which ignore
+as many words as may be substituted; items under ``MIN_ITEM`` words match where
+they are a whole line or a whole text, word for word.
 
 Equal benchmark texts are one item, named by the smallest ``item_id``.  Null and
 empty texts on either side match nothing.  Repeated rows of an id are one
@@ -25,6 +27,8 @@ hold meets one row for each distinct benchmark text that holds it.
 
 from __future__ import annotations
 
+import itertools
+import math
 
 import numpy as np
 import pandas as pd
@@ -65,8 +69,24 @@ def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
         return mixed(h)
 
 
-def masks_for(item_sizes: set[int]) -> list[str]:
-    return list(MASKS) + ["1" * n for n in sorted(item_sizes) if MIN_ITEM <= n < SPAN]
+def needed(size: int, min_words: int, min_share: float) -> int:
+    """Equal words that an item of ``size`` words must have."""
+    if size < MIN_ITEM:
+        return size
+    return max(1, min(min_words, math.ceil(min_share * size - 1e-9)))
+
+
+def short_masks(size: int, min_share: float) -> list[str]:
+    """Masks of an item's own length: its words fall into groups, and for any
+    words that may be substituted some mask ignores their groups."""
+    wrong = size - needed(size, size, min_share)
+    groups = min(wrong + 2, size)
+    of = [i * groups // size for i in range(size)]
+    return ["".join("0" if g in gone else "1" for g in of) for gone in itertools.combinations(range(groups), wrong)]
+
+
+def masks_for(item_sizes: set[int], min_share: float = 0.8) -> list[str]:
+    return list(MASKS) + [m for n in sorted(item_sizes) if 0 < n < SPAN for m in short_masks(n, min_share)]
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int]:
@@ -97,7 +117,7 @@ def any_stretch(equal: np.ndarray, least: int, share: float) -> tuple[int, int]
 
 
 def item_seeds(items: DataFrame, masks: list[str]) -> DataFrame:
-    """(hash, item_id, at, mask) for every item of at least MIN_ITEM words."""
+    """(hash, item_id, at, mask) for every item."""
     def run(batches):
         for b in batches:
             words, first = word_hashes(b["text"].tolist())
@@ -140,9 +160,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 12, min_sha
     items = staged(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text IS NOT NULL")
                    .groupBy("text").agg(F.min("item_id").alias("item_id")), "items")
     texts = staged(item_words(items).groupBy("words").agg(F.min("item_id").alias("item_id"))
-                   .filter(F.size("words") >= MIN_ITEM), "item-words")
+                   .filter(F.size("words") > 0), "item-words")
     short = {r[0] for r in texts.filter(F.size("words") < SPAN).select(F.size("words")).distinct().collect()}
-    masks = masks_for(short)              # at most SPAN - MIN_ITEM more
+    masks = masks_for(short, min_share)
     seeds = staged(item_seeds(items.join(texts.select("item_id"), "item_id", "left_semi"), masks), "item-seeds")
     bits = spark.sparkContext.broadcast(_bit_map(seeds))
 
@@ -172,7 +192,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 12, min_sha
                 w, q = np.asarray(words), np.asarray(item)
                 lo, hi = max(0, -shift), min(len(q), len(w) - shift)
                 equal = w[lo + shift:hi + shift] == q[lo:hi]
-                need = min(min_words, len(q))
+                need = needed(len(q), min_words, min_share)
                 s, e = best_stretch(equal)
                 n = int(equal[s:e].sum())
                 if n < need or n < min_share * (e - s):      # others can pass where the best one does not
@@ -189,16 +209,30 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 12, min_sha
                        (-F.col("best.n")).alias("n_words"), F.col("best.n_equal").alias("n_equal"))
 
 
+def _sizes_at(first: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` words the size of the text that starts there, or zero."""
+    out, size = np.zeros(n, np.int64), np.diff(first)
+    out[first[:-1][size > 0]] = size[size > 0]
+    return out
+
+
 def _hits(b: pd.DataFrame, masks: list[str], bits: np.ndarray):
     """A row for each stretch of words around places that the bit map lets through."""
-    words, first = word_hashes(b["text"].tolist())
+    texts = b["text"].tolist()
+    words, first = word_hashes(texts)
     doc_of = np.repeat(np.arange(len(b)), np.diff(first))
     at, mask, hashes = [], [], []
+    if any(len(m) < MIN_ITEM for m in masks):
+        # the words are the same line by line; size of the line and text that start at a word
+        line = word_hashes([x for t in texts for x in (t or "").splitlines()])[1]
+        of_line, of_text = (_sizes_at(ends, len(words)) for ends in (line, first))
     for k, m in enumerate(masks):
         h = seed_hashes(words, m)
         place = (h >> np.uint64(64 - BITS)).astype(np.int64)
         hit = np.flatnonzero((bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1))
         hit = hit[doc_of[hit] == doc_of[hit + len(m) - 1]]
+        if len(m) < MIN_ITEM:
+            hit = hit[(of_line[hit] == len(m)) | (of_text[hit] == len(m))]
         at.append(hit)
         mask.append(np.full(len(hit), k, np.int32))
         hashes.append(h[hit])
