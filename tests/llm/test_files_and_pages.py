@@ -153,6 +153,19 @@ def test_wrapper_drops_what_the_host_repeats(spark):
     assert X.main_texts(df.limit(0)).count() == 0
 
 
+def test_all_slots_of_a_page_are_kept(spark):
+    def page(i):
+        lines = [f"Headline {i} of the day", f"Lead {i} says what {i * 7} is about", *[f"Paragraph {i} {k} tells {i * 31 + k}." for k in range(5)],
+                 f"Second part {i} goes on with {i * 13}", f"Quote {i} by person {i * 3}"]
+        body = "".join(f"<p>{x}</p>" for x in lines[2:7])
+        return (i, f"https://slots.example/{i}", f"<body><div class='top'>Welcome to our place</div><h1>{lines[0]}</h1><div class='lead'>{lines[1]}"
+                f"</div><div class='one'>{body}</div><div class='two'><p>{lines[7]}</p><blockquote>{lines[8]}</blockquote></div></body>"), lines
+    made = [page(i) for i in range(9)]
+    df = spark.createDataFrame([r for r, _ in made], "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n") for r in X.main_texts(df).collect()}
+    assert got == {r[0]: lines for r, lines in made}
+
+
 def test_tree_matching_prefers_equal_text():
     a = X.shape("<body><p>x1</p><p>same</p><p>x2</p></body>")
     b = X.shape("<body><p>same</p><p>y</p></body>")
