@@ -166,6 +166,26 @@ def test_all_slots_of_a_page_are_kept(spark):
     assert got == {r[0]: lines for r, lines in made}
 
 
+def html_of(host, kind, i, n=3, notes=2):
+    """A page of one of two templates, and the text that is its own."""
+    lines = [f"Paragraph {i} {k} is about subject {i * 31 + k} and no other." for k in range(n)]
+    body = "".join(f"<p>{x}</p>" for x in lines)
+    rules = "".join(f"<div class='{kind}r{k}'>{kind} house rule {k}: {'please be kind ' * 8}</div>" for k in range(notes))
+    inner = f"<div class='one'>{body}</div>" if kind == "a" else f"<section class='two'><div class='in'>{body}</div></section>"
+    return (i, f"https://{host}/{i}", f"<body>{rules}{inner}<div class='{kind}end'>End of {kind}</div></body>"), lines
+
+
+def test_constants_of_long_boilerplate_and_of_each_template(spark):
+    made = [html_of("long.example", "a", i, 3, 3) for i in range(8)]
+    made += [html_of("mixed.example", "ab"[i % 2], 100 + i, 4, 1) for i in range(16)]
+    near = "".join(f"<p>Sentence {k} of the one story that is told here.</p>" for k in range(10))
+    rows = [r for r, _ in made] + [(900 + i, "https://near.example/", f"<body><div>{near}<p>Seen {i} times</p></div></body>") for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r.page_id: r.text.split("\n") for r in X.main_texts(df).collect()}
+    assert {i: t for i, t in got.items() if i < 900} == {r[0]: lines for r, lines in made}
+    assert all(len(got[900 + i]) == 11 for i in range(6))     # copies of one page keep their text
+
+
 def test_tree_matching_prefers_equal_text():
     a = X.shape("<body><p>x1</p><p>same</p><p>x2</p></body>")
     b = X.shape("<body><p>same</p><p>y</p></body>")
