@@ -186,6 +186,15 @@ def test_constants_of_long_boilerplate_and_of_each_template(spark):
     assert all(len(got[900 + i]) == 11 for i in range(6))     # copies of one page keep their text
 
 
+def test_long_pages_have_a_wrapper_however_rows_are_dealt(spark):
+    made = [html_of("big.example", "a", i, 700 if i % 2 else 5) for i in range(30)]
+    made += [html_of("rare.example", "a" if i % 10 else "b", 100 + i, 4) for i in range(40)]
+    df = spark.createDataFrame([r for r, _ in made], "page_id long, url string, html string")
+    for parts in (1, 7):
+        got = {r.page_id: r.text.split("\n") for r in X.main_texts(df.repartition(parts)).collect()}
+        assert got == {r[0]: lines for r, lines in made}
+
+
 def test_tree_matching_prefers_equal_text():
     a = X.shape("<body><p>x1</p><p>same</p><p>x2</p></body>")
     b = X.shape("<body><p>same</p><p>y</p></body>")
