@@ -310,6 +310,17 @@ def test_license_finds(spark, odd):
     assert L.license_finds(odd).count() == 0 and L.license_finds(odd.limit(0)).count() == 0
 
 
+def test_each_license_gets_its_own_name():
+    t = L.Templates(L.TEMPLATES, 0.8)
+    for name, text in L.TEMPLATES.items():
+        assert [f[0] for f in t.finds(PROSE + text + "\n" + PROSE)] == [name]
+    bsd = L.TEMPLATES["BSD-3-Clause"].replace("the copyright holder", "Example Incorporated")
+    assert [f[0] for f in t.finds(bsd)] == ["BSD-3-Clause"]
+    cc = "This work is licensed under the Creative Commons Attribution-{} 4.0 International License"
+    assert [f[0] for f in t.finds(cc.format("ShareAlike"))] == ["CC-BY-SA-4.0-work"]
+    assert [f[0] for f in t.finds(cc.format("NonCommercial-NoDerivatives"))] == ["CC-BY-NC-ND-4.0-work"]
+
+
 def test_license_coefficients_match_brute_force(documents):
     lines = {n: Counter(L.bigrams(L.normalised(t))) for n, t in L.TEMPLATES.items()}
     got = {(r.doc_id, r.license) for r in L.license_finds(documents).collect()}

@@ -9,7 +9,8 @@ it can reach the threshold t only if the stretch has between B * t / (2 - t) and
 B * (2 - t) / t bigrams: templates outside these size bounds are pruned before
 they are compared.  So a licence is found on a line, inside a paragraph, over
 many lines or as the whole text alike.  Of overlapping finds the one of the
-higher coefficient stays (ties: the longer, then by name).
+higher coefficient stays (ties: the longer, then by name); one inside a longer
+one counts with its template's coefficient over all of the longer one.
 
 Returns one row for each find; texts without a licence have none.  Null, empty
 and one-word texts have no bigrams.  Repeated rows are each scanned.  Extra
@@ -20,6 +21,7 @@ corpus and nothing is shuffled.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter, defaultdict
 
 import pandas as pd
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripforge.llm.common import text_of
+from tripforge.llm.license_texts import BODIES
 
 # The wording of common licences and of the notices that name them.
 TEMPLATES = {
@@ -44,7 +47,11 @@ TEMPLATES = {
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "CC-BY-ND-4.0-notice": "Licensed under CC BY-ND 4.0.",
     "CC-BY-NC-SA-4.0-notice": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0-notice": "Licensed under CC BY-NC-ND 4.0.",
     "CC-BY-4.0-work": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    **{f"CC-BY-{short}-4.0-work": f"This work is licensed under a Creative Commons Attribution-{name} 4.0 International License."
+       for short, name in (("SA", "ShareAlike"), ("NC", "NonCommercial"), ("ND", "NoDerivatives"),
+                           ("NC-SA", "NonCommercial-ShareAlike"), ("NC-ND", "NonCommercial-NoDerivatives"))},
     "CC0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     "all-rights-reserved": "All rights reserved.",
     "MIT": (
@@ -71,6 +78,13 @@ TEMPLATES = {
         "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
         "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
         "distribution."),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission."),
     "Apache-2.0-header": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
         "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by "
@@ -88,6 +102,31 @@ TEMPLATES = {
         "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
         "commercial or non-commercial, and by any means."),
 }
+for _name, _work, _license, _version in (
+        ("GPL-2.0", "program", "General", "2"), ("LGPL-2.1", "library", "Lesser General", "2.1"),
+        ("LGPL-3.0", "program", "Lesser General", "3"), ("AGPL-3.0", "program", "Affero General", "3")):
+    TEMPLATES[f"{_name}-header"] = (
+        f"This {_work} is free software; you can redistribute it and/or modify it under the terms of the GNU {_license} Public "
+        f"License as published by the Free Software Foundation; either version {_version} of the License, or (at your option) "
+        f"any later version. This {_work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        f"even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {_license} Public "
+        "License for more details.")
+TEMPLATES |= BODIES
+# the Affero licence is the GPL with its own name and section 13 (and a preamble of its own)
+_before, _rest = BODIES["GPL-3.0"].split("13. Use with the GNU Affero General Public License.")
+_affero = [x.replace("GNU General Public License", "GNU Affero General Public License")
+           for x in (_before, _rest[_rest.index("14. Revised Versions"):])]
+TEMPLATES["AGPL-3.0"] = (
+    f"{_affero[0]}13. Remote Network Interaction; Use with the GNU General Public License. Notwithstanding any other provision of "
+    "this License, if you modify the Program, your modified version must prominently offer all users interacting with it remotely "
+    "through a computer network (if your version supports such interaction) an opportunity to receive the Corresponding Source of "
+    "your version by providing access to the Corresponding Source from a network server at no charge, through some standard or "
+    "customary means of facilitating copying of software. This Corresponding Source shall include the Corresponding Source for any "
+    "work covered by version 3 of the GNU General Public License that is incorporated pursuant to the following paragraph. "
+    "Notwithstanding any other provision of this License, you have permission to link or combine any covered work with a work "
+    "licensed under version 3 of the GNU General Public License into a single combined work, and to convey the resulting work. The "
+    "terms of this License will continue to apply to the part which is the covered work, but the work with which it is combined "
+    f"will remain governed by version 3 of the GNU General Public License. {_affero[1]}")
 _WORD = re.compile(r"[a-z0-9]+")
 
 
@@ -139,7 +178,15 @@ class Templates:
                     continue
                 found += self._best(n, words, run)
                 run = [i]
-        found.sort(key=lambda f: (-f[1], -f[3], f[0], f[2]))
+        # a find inside a longer one counts as its template does over all of that:
+        # a licence's first clauses, or a notice in its text, are not another licence
+        least = min((f[3] for f in found), default=0)
+        longer = [f for f in found if f[3] > least]
+        rank = {}
+        for f in found:
+            rank[f] = min([f[1], *(self.dice(f[0], bigrams(words[g[2]:g[2] + g[3]])) for g in longer
+                                   if g[3] > f[3] and g[0] != f[0] and g[2] <= f[2] and f[2] + f[3] <= g[2] + g[3])])
+        found.sort(key=lambda f: (-rank[f], -f[3], f[0], f[2]))
         taken, out = [], []
         for f in found:
             if all(f[2] >= z or f[2] + f[3] <= a for a, z in taken):
@@ -150,16 +197,29 @@ class Templates:
     def _best(self, name: str, words: list[str], run: list[int]):
         """Finds in a run of the template's bigrams: greedily the best stretch that
         starts and ends at one of them and whose size lies in the bounds."""
+        own, total, low, high, t = self.grams[name], self.size[name], self.low[name], self.high[name], self.threshold
+        grams = [(words[k], words[k + 1]) for k in run]
         out, i = [], 0
+        inside, have, start, end = Counter(), 0, 0, 0      # of run[start:end]: the common bigrams
         while i < len(run):
+            reach = bisect_right(run, run[i] + high - 1)   # further ends are too far
+            while end < reach:
+                inside[grams[end]] += 1
+                have += inside[grams[end]] <= own[grams[end]]
+                end += 1
+            while start < i:
+                have -= inside[grams[start]] <= own[grams[start]]
+                inside[grams[start]] -= 1
+                start += 1
             best = None
-            for j in range(i, len(run)):
-                size = run[j] - run[i] + 1
-                if size > self.high[name]:
-                    break
-                if size >= self.low[name] and j - i + 1 >= self.threshold / 2 * (self.size[name] + size) - 1e-9:
-                    d = self.dice(name, bigrams(words[run[i]:run[j] + 2]))
-                    if d >= self.threshold and (best is None or d > best[1]):
+            if 2 * have >= t * (total + max(low, have)) - 1e-9:      # else no end can do
+                seen, common = Counter(), 0
+                for j in range(i, reach):
+                    seen[grams[j]] += 1
+                    common += seen[grams[j]] <= own[grams[j]]
+                    size = run[j] - run[i] + 1
+                    d = 2 * common / (total + size)
+                    if size >= low and d >= t and (best is None or d > best[1]):
                         best = (name, d, run[i], size + 1, j)
             if best:
                 out.append(best[:4])
