@@ -358,3 +358,21 @@ def test_learnt_automata_tell_formats_apart(spark):
     empty = next(r for r in got if r.doc_id == 100)
     assert empty.spans == "" and empty.base_sha256 == hashlib.sha256(b"").hexdigest()
     assert S.scan(docs.limit(0)).count() == 0
+
+
+def test_formats_of_every_length_are_scored(spark):
+    rng = np.random.default_rng(7)
+    made = lambda chars, n: "".join(rng.choice(list(chars), n))
+    kinds = {8: "0123456789", 10: "ABCDEF0123456789", 12: "BCDFGHJKLMNPQRSTVWXZ", 15: "0123456789."}
+    parts = "the re ing on tion an wea ther por lit tle chan ge com mer sum mon".split()
+    prose = ["".join(rng.choice(parts, 4)) for _ in range(1200)]
+    labelled = [(0, f"note token = {made(chars, n - 1)}7") for n, chars in kinds.items() for _ in range(400)]
+    labelled += [(0, f"so {w} it is") for w in prose[:1000]]
+    schema = "doc_id long, text string"
+    grammar = S.fit(*S.labelled(spark.createDataFrame(labelled, schema)))
+    rows = [(n, f"see {v} or id={v}, thanks") for n, chars in kinds.items() for v in (made(chars, n - 1) + "7" for _ in range(50))]
+    rows += [(5, f"then {w} went.") for w in prose[1000:]]
+    got = S.scan(spark.createDataFrame(rows, schema), grammar).collect()
+    recall = {n: sum(r.n_grammar for r in got if r.doc_id == n) / 100 for n in kinds}
+    assert min(recall.values()) >= 0.8, recall
+    assert sum(r.n_grammar for r in got if r.doc_id == 5) <= 10

@@ -13,10 +13,11 @@ the ALERGIA algorithm), which gives a probabilistic automaton for each kind.
 The sample's held-out part sets, for each automaton, how far below their average
 a candidate's mean log-likelihood of a character may lie (by the root of its
 length) so that ``recall`` of the credentials are found; the same on ordinary words of the corpus sets a second automaton to compare with.  Every
-candidate (a run of 16+ characters of ``[A-Za-z0-9+/_-]`` holding letters and
-digits, outside the base spans) of every text is then scored; those above the
-threshold and likelier by ``margin`` than as an ordinary word are ``grammar``
-spans.  Base spans always stay.
+candidate (a run of 6+ characters that a labelled value may hold, outside the
+base spans) of every text is then scored; those above the threshold and likelier
+by ``margin`` than as an ordinary word are ``grammar`` spans.  Of a run that is
+none, the parts between ``=``, and of these the parts between ``.``, are scored.
+Base spans always stay.
 
 Spans are kind:start:end in code points, end exclusive, ordered by start, then
 kind as listed (assign, access, hex, grammar), then end, and joined by commas.
@@ -48,8 +49,10 @@ PATTERNS = (
 KINDS = ("assign", "access", "hex", "grammar")
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")      # the same matches as hex after its test, faster
 NAMES = re.compile(r"passw|secret|token|api_?key", re.I | re.A)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}")
-LONG_WORD = re.compile(r"[^\W_]{8,40}")
+LEAST = 6                                    # of a labelled value, and so of a candidate
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
+PARTS = (re.compile(r"[A-Za-z0-9+/_.-]{1,}=*"), re.compile(r"[A-Za-z0-9+/_-]{1,}=*"))
+LONG_WORD = re.compile(r"[^\W_]{6,40}")
 END = "$"
 
 
@@ -82,6 +85,10 @@ def symbol(c: str) -> str:
     return c
 
 
+# the same for a whole text; candidates are found in the classes as in the text
+CLASSES = {ord(c): symbol(c) for c in map(chr, range(128)) if c.isalnum()}
+
+
 @dataclass
 class Automaton:
     """Deterministic probabilistic automaton: edges with their counts."""
@@ -182,6 +189,48 @@ class Grammar:
                    for a in self.kinds.values())
 
 
+class Scorer:
+    """Spans of a text that a grammar accepts; scores hang on the characters'
+    classes alone, so those of many candidates are remembered."""
+
+    def __init__(self, grammar: Grammar, most: int = 1 << 17):
+        self.grammar, self.most, self.known = grammar, most, {}
+
+    def accepts(self, classes: str) -> bool:
+        got = self.known.get(classes)
+        if got is None:
+            if len(self.known) >= self.most:
+                self.known.clear()
+            got = self.grammar.accepts(classes)
+            if len(classes) <= 64:
+                self.known[classes] = got
+        return got
+
+    def spans(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+        covered, out, i = sorted((s, e) for s, _, e in base), [], 0
+        classes = text.translate(CLASSES)
+        for m in CANDIDATE.finditer(classes):
+            while i < len(covered) and covered[i][1] <= m.start():
+                i += 1
+            self._score(classes, m.start(), m.end(), covered[i:i + 8] if i < len(covered) else (), 0, out)
+        return out
+
+    def _score(self, classes: str, s: int, e: int, covered, level: int, out: list) -> None:
+        run = classes[s:e]
+        a, z = s + len(run) - len(run.lstrip(".=")), e - len(run) + len(run.rstrip("."))
+        if z - a < LEAST:
+            return
+        if not any(x < z and a < y for x, y in covered) and self.accepts(classes[a:z]):
+            out.append((a, z))
+            return
+        for level in range(level, len(PARTS)):
+            parts = [m.span() for m in PARTS[level].finditer(classes, a, z)]
+            if parts != [(a, z)]:
+                for x, y in parts:
+                    self._score(classes, x, y, covered, level + 1, out)
+                return
+
+
 def fit(credentials: dict[str, list[str]], words: list[str], recall: float = 0.95, margin: float = 0.5) -> Grammar:
     """Automata from labelled credentials; every fifth is held out for the threshold."""
     kinds = {}
@@ -201,7 +250,7 @@ def fit(credentials: dict[str, list[str]], words: list[str], recall: float = 0.9
 
 def labelled(docs: DataFrame, sample: int = 2000, seed: int = 17) -> tuple[dict[str, list[str]], list[str]]:
     """A seeded sample of the values that the base patterns find (``sample`` a
-    kind) and of words of 8+ characters outside them (``sample``)."""
+    kind) and of words of 6+ characters outside them (``sample``)."""
     def run(batches):
         for b in batches:
             rows = []
@@ -231,22 +280,13 @@ def scan(docs: DataFrame, grammar: Grammar | None = None, sample: int = 2000) ->
         grammar = fit(*labelled(docs, sample))
 
     def run(batches):
+        scorer = Scorer(grammar)
         for b in batches:
             rows = []
             for t in b["text"]:
                 base = base_spans(t)
                 n = [sum(k == i for _, k, _ in base) for i in range(3)]
-                more, i = [], 0
-                covered = sorted((s, e) for s, _, e in base)
-                for m in CANDIDATE.finditer(t):
-                    s, e = m.span()
-                    while i < len(covered) and covered[i][1] <= s:
-                        i += 1
-                    if any(a < e and s < z for a, z in covered[i:i + 8]):
-                        continue
-                    v = m[0]
-                    if any(c.isdigit() for c in v) and any(c.isalpha() for c in v) and grammar.accepts(v):
-                        more.append((s, 3, e))
+                more = [(a, 3, z) for a, z in scorer.spans(t, base)]
                 rows.append((*n, len(more), hashlib.sha256(written(base).encode()).hexdigest(), written(sorted(base + more))))
             out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "n_grammar", "base_sha256", "spans"])
             out.insert(0, "doc_id", b["doc_id"].astype("Int64").values)
