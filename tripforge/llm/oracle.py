@@ -2,7 +2,8 @@
 
 The others are held against brute force in ``tests/llm``: secret scan (learnt
 automata), SimHash (XXH64), decontamination (aligned overlaps), license scan
-(stretches), token files (tokenizer), page text (trees) and the pipeline."""
+(stretches), token files (tokenizer), page text (trees), toxicity (held-out
+accuracy), whitening (eigenvectors) and the pipeline."""
 
 from __future__ import annotations
 
@@ -81,5 +82,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM g"""
 
 
+_NEGATIVES = """
+WITH sound AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS q
+               FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+               AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+     v AS (SELECT r, vec_id, q, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM sound),
+     s AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id, a.label = b.label AS same,
+                  CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+           FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r),
+     p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, b) <= 5),
+     n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                  row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.vec_id, s.b) AS rank
+           FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring_dedup": _SUBSTRINGS, "op3_warc": _WARC, "op6_mix": _MIX, "op10_quality": _quality()}
+    return {"op2_substring_dedup": _SUBSTRINGS, "op3_warc": _WARC, "op6_mix": _MIX, "op10_quality": _quality(),
+            "op13_hard_negatives": _NEGATIVES}

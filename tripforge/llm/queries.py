@@ -15,12 +15,15 @@ from tripforge.llm import (
     extract,
     licenses,
     mixing,
+    negatives,
     quality,
     secrets,
     simhash,
     substrings,
     tokens,
+    toxicity,
     warc,
+    whitening,
 )
 from tripforge.llm.common import read
 
@@ -72,6 +75,18 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_signals(docs).select("doc_id", *quality.SIGNALS, "base_failed", "kept")
 
 
+def op11_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
+def op12_whiten(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return negatives.mine(read(spark, sf, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,4 +96,5 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_secrets, op2_substring_dedup, op3_warc, op4_simhash, op5_decontaminate, op6_mix, op7_licenses,
-        op8_tokens, op9_main_text, op10_quality, pipeline)}
+        op8_tokens, op9_main_text, op10_quality, op11_toxicity, op12_whiten,
+        op13_hard_negatives, pipeline)}
