@@ -268,3 +268,46 @@ def test_months_with_different_schemas(spark, make_trips, tmp_out):
     assert drift == {("2023-01", "Airport_fee", "missing"), ("2023-01", "extra", "missing"), ("2023-01", "VendorID", "wrong_type"),
                      ("2023-02", "Airport_fee", "missing"), ("2023-02", "airport_fee", "extra"), ("2023-02", "note", "extra"),
                      ("2023-03", None, "unreadable")}
+
+
+def test_raw_rows_are_read_once(spark, make_trips, tmp_out):
+    """Validation, features, quarantine and every count come from one pass over raw rows."""
+    seen = spark.sparkContext.accumulator(0)
+    raw = make_trips(*[trip() for _ in range(40)], *[trip(VendorID=99) for _ in range(5)],
+                     *[trip(trip_distance=0.0) for _ in range(3)]).repartition(3)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    r = run_months(spark, raw.mapInArrow(counted, raw.schema), tmp_out, [("yellow", "2024-01")])
+    m = r.months.collect()[0]
+    assert (m.raw_rows, m.valid_rows, m.feature_rows, m.quarantined_rows) == (48, 43, 40, 5)
+    assert seen.value == 48
+    assert {d.reason: d.n for d in r.drops.collect() if d.n} == {"zero_distance": 3}
+    assert len(r.drops.collect()) == 6                                # reasons without a hit stay
+    assert S.read_valid(spark, r.validated_root).count() == 43
+    assert S.read_features(spark, r.features_root).count() == 40
+
+
+def test_rerun_removes_outlier_partitions(spark, make_trips, tmp_out):
+    run_months(spark, make_trips(trip(), trip(trip_distance=0.0)), tmp_out, [("yellow", "2024-01")], write_reports=False)
+    r = run_months(spark, make_trips(trip()), tmp_out, [("yellow", "2024-01")], write_reports=False)
+    assert S.read_valid(spark, r.validated_root).count() == 1
+    assert {d.n for d in r.drops.collect()} == {0}
+    r = run_months(spark, make_trips(trip(trip_distance=0.0)), tmp_out, [("yellow", "2024-01")], write_reports=False)
+    m = r.months.collect()[0]
+    assert (m.valid_rows, m.feature_rows, m.n_partitions) == (1, 0, 0)
+    assert S.read_valid(spark, r.validated_root).count() == 1
+
+
+def test_outliers_of_raw_rows_are_those_of_featured_rows(spark):
+    from tripforge.functions.outliers import any_outlier_sql
+    from tripforge.operators import transform as X
+    raw = trips(spark, SF01)
+    told = raw.selectExpr("trip_id", f"{X.outlier_of_raw_sql(raw)} AS o")
+    want = X.featured(raw).selectExpr("trip_id", f"{any_outlier_sql()} AS o")
+    assert told.exceptAll(want).count() == 0 and told.filter("o").count() > 1000
+    text = raw.withColumn("tpep_pickup_datetime", F.col("tpep_pickup_datetime").cast("string"))
+    told = text.selectExpr("trip_id", f"{X.outlier_of_raw_sql(text)} AS o")
+    assert told.exceptAll(want).count() == 0                          # coerced first, as the features are

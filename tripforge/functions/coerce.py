@@ -23,9 +23,9 @@ def parse_datetime(c: Column, dtype: T.DataType) -> Column:
     return c.try_cast(T.TimestampNTZType())
 
 
-def coerce_sql(schema: T.StructType) -> list[str]:
-    """Projection keeping every column, coercing only those that are present."""
-    out = []
+def coerce_exprs(schema: T.StructType) -> dict[str, str]:
+    """Each column's coerced expression; columns that stay as they are give themselves."""
+    out = {}
     for f in schema.fields:
         c = "`" + f.name.replace("`", "``") + "`"
         if f.name in DATETIME_COLS and not isinstance(f.dataType, T.TimestampNTZType):
@@ -38,9 +38,14 @@ def coerce_sql(schema: T.StructType) -> list[str]:
             e = f"try_cast(bround({c}, 0) AS TINYINT)"
         else:
             e = c
-        out.append(f"{e} AS {c}")
+        out[f.name] = e
     return out
 
 
+def coerce_sql(schema: T.StructType) -> list[str]:
+    """Projection keeping every column, coercing only those that are present."""
+    return [f"{e} AS `{name.replace('`', '``')}`" for name, e in coerce_exprs(schema).items()]
+
+
 def coerce_projection(schema: T.StructType) -> list[Column]:
     return [F.expr(s) for s in coerce_sql(schema)]

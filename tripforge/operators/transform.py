@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripforge.config import DEFAULT_THRESHOLDS, Thresholds
-from tripforge.functions.coerce import coerce_sql
-from tripforge.functions.features import feature_sql
+from tripforge.functions.coerce import coerce_exprs, coerce_sql
+from tripforge.functions.features import PICKUP_DATE, feature_exprs, feature_sql
 from tripforge.functions.outliers import any_outlier_sql, outlier_sql
 from tripforge.functions.rules import ABSENT_COL
 
@@ -20,7 +21,7 @@ def coerce_types(df: DataFrame) -> DataFrame:
 
 
 def add_features(df: DataFrame) -> DataFrame:
-    """F1-F13 appended after the existing columns."""
+    """F1-F13 appended after the existing columns; one that is there already is kept."""
     return df.selectExpr("*", *feature_sql(df.columns))
 
 
@@ -61,3 +62,18 @@ def featured(valid: DataFrame) -> DataFrame:
     """Validated rows coerced and featured, before the outlier filter."""
     return add_features(coerce_types(valid.drop(ABSENT_COL)))
 
+
+def outlier_of_raw_sql(df: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> str:
+    """O1-O6 over the raw columns of ``df``: TRUE when its coerced, featured row is an outlier.
+
+    The coercions and the features that the rules name are put in their place,
+    so that a raw row can be told apart without carrying them along."""
+    def put(text: str, by: dict[str, str]) -> str:
+        return re.sub(r"`([^`]+)`", lambda m: by.get(m[1], m[0]), text)
+    return put(put(any_outlier_sql(thresholds), feature_exprs(df.columns)), coerce_exprs(df.schema))
+
+
+def keyed(valid: DataFrame) -> DataFrame:
+    """Coerced rows with their partition day and no other feature yet: what a
+    shuffle by day has to move (``add_features`` derives the rest after it)."""
+    return coerce_types(valid.drop(ABSENT_COL)).selectExpr("*", f"{PICKUP_DATE} AS pickup_date")

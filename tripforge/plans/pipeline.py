@@ -1,16 +1,19 @@
 """B1: the end-to-end pipeline as a set-based job over all requested months.
 
-    raw --(contract)--> validated/{valid, scattered quarantine}          job 1
-    raw --(contract, coerce, features, outliers)--> features/day=...    job 2 (concurrent)
-    scattered quarantine --(rebalance)--> quarantine/ table              job 3 (concurrent)
-    this run's valid rows (6 columns) + quarantine --> statistics        job 4 (checkpoint)
+    raw --(contract, outlier rules)--> validated/{valid kept, valid dropped,
+                                       scattered quarantine}            job 1
+    kept --(by day)--(features)--> features/day=...                     job 2
+    scattered quarantine --(rebalance)--> quarantine/ table             job 3
+    kept (2 columns), dropped (6), quarantine --> statistics            job 4 (checkpoint)
     statistics --> one per-month report relation --> three JSON reports
 
-No per-month loop: months are a column.  Job 2 derives the valid rows from
-the same raw scan instead of waiting for job 1's output (same rows, same
-bytes read).  Row accounting: one aggregate over the columns the outlier
-rules need gives valid, kept and per-reason counts per (month, day); failure
-counts re-evaluate the rules on the (small) quarantine.  Counts are never
+No per-month loop: months are a column.  Raw data is read, and the contract and
+the outlier rules evaluated, once: job 1 deals every row to the partition that
+tells its fate, and jobs 2 to 4, which run side by side, read only the
+partitions they need.  The day shuffle of job 2 moves the coerced columns;
+features are derived after it.  Row accounting: kept rows are counted by month
+and day from their pickup time alone, drop reasons from the dropped rows;
+failure counts re-evaluate the rules on the (small) quarantine.  Counts are never
 taken with ``observe``/accumulators, whose map-stage updates can be applied
 twice when a stage is retried after an executor loss.  Outputs are replaced
 partition by partition (dynamic overwrite) and stale partitions of the run's
@@ -29,7 +32,9 @@ from pyspark.sql import functions as F
 
 from tripforge.config import DEFAULT_THRESHOLDS, Thresholds
 from tripforge.functions.contract import TRIP_CONTRACT, Contract
-from tripforge.functions.outliers import any_outlier_sql, outlier_sql
+from tripforge.functions.coerce import coerce_exprs
+from tripforge.functions.features import PICKUP
+from tripforge.functions.outliers import outlier_sql
 from tripforge.operators import quarantine as Q
 from tripforge.operators import reports as RP
 from tripforge.operators import transform as X
@@ -63,9 +68,16 @@ class PipelineResult:
         return f"{self.out_root}/quarantine"
 
 
-def validate_stage(raw: DataFrame, validated_root: str,
-                   contract: Contract = TRIP_CONTRACT, run_id: str | None = None) -> None:
-    S.write_validated(Q.tag_violations(raw, contract), validated_root, run_id)
+def validate_stage(raw: DataFrame, validated_root: str, contract: Contract = TRIP_CONTRACT,
+                   run_id: str | None = None, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> None:
+    """The one pass over raw rows: contract, reasons and outlier rules.
+
+    Two projections: the flags, then what is written by them (a projection for
+    each added column would copy the wide row as often)."""
+    flagged = raw.select("*", Q.is_bad(raw, contract).alias(S.BAD_COL),
+                         F.expr(X.outlier_of_raw_sql(raw, thresholds)).alias(S.OUTLIER_COL))
+    S.write_validated(flagged.withColumn(S.REASONS_COL, F.when(F.col(S.BAD_COL), Q.reasons(raw, contract))),
+                      validated_root, run_id)
 
 
 def transform_stage(spark: SparkSession, validated_root: str, features_root: str,
@@ -87,12 +99,6 @@ def _only(df: DataFrame, months: Sequence[tuple[str, str]]) -> DataFrame:
     return df.filter(cond) if cond is not None else df
 
 
-def _long(df: DataFrame, kind: str, key_col: str | None, n_col: str) -> DataFrame:
-    key = F.col(key_col).cast("string") if key_col else F.lit(None).cast("string")
-    return df.select(*MONTH_KEYS, F.lit(kind).alias("kind"), key.alias("key"),
-                     F.col(n_col).cast("long").alias("n"))
-
-
 def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
                months: Sequence[tuple[str, str]],
                contract: Contract = TRIP_CONTRACT,
@@ -116,24 +122,25 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     v_schema = S.validated_schema(raw.schema)
     f_schema_box: list = []
 
-    # ---- jobs 1+2 (concurrent, one scan of raw each) -------------------------
-    #   1: contract -> valid + quarantined partitions
-    #   2: contract -> coerce -> features -> outlier filter -> day partitions
-    # Job 2 derives the valid rows itself instead of waiting for job 1's
-    # output: the same rows, the same bytes read, but no serial dependency.
     # Published outputs are never deleted up front: dynamic partition
     # overwrite replaces each partition that receives rows at job commit, and
     # partitions of these months that received none are removed afterwards
     # (``_remove_stale``), so a failure mid-run never leaves a month missing.
+    def own_valid(outlier: bool | None = None) -> DataFrame:
+        """This run's valid rows: a partition that got no rows this time still
+        holds those of the run before until ``_remove_stale``."""
+        rows = (_only(S.read_validated(spark, validated_root, v_schema), months)
+                .filter((F.col(S.STATUS_COL) == S.VALID) & (F.col(S.RUN_COL) == run_id)))
+        return rows if outlier is None else rows.filter(F.col(S.OUTLIER_COL) == str(outlier).lower())
+
     def validate_job() -> None:
         # the scattered quarantine files are an intermediate: start clean
         S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.QUARANTINED}"], months)
-        validate_stage(raw, validated_root, contract, run_id)
+        validate_stage(raw, validated_root, contract, run_id, thresholds)
 
     def features_job() -> None:
-        features = X.build_features(Q.valid_rows(raw, contract), thresholds)
-        f_schema_box.append(S.with_partitions_last(features.schema, S.FEATURE_PARTITIONS))
-        S.write_features(features, features_root)
+        kept = own_valid(False).drop(S.STATUS_COL, S.REASONS_COL, S.RUN_COL, S.OUTLIER_COL)
+        f_schema_box.append(S.write_features(X.keyed(kept), features_root, X.add_features))
 
     def quarantine_job() -> None:
         # compact the scattered quarantine files of this run into their own table
@@ -143,43 +150,40 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
     def stats_job() -> DataFrame:
         """Every counter of the run in one checkpointed long relation
         (taxi_type, file_month, pickup_date, kind, key, n)."""
-        # valid rows: one aggregate per (month, day) over the six columns the
-        # outlier rules and the day key need -> valid, kept and per-reason counts
-        # this run's valid rows only: a month that got no valid rows this time
-        # still holds the previous run's partition until _remove_stale
-        valid = (_only(S.read_validated(spark, validated_root, v_schema), months)
-                 .filter((F.col(S.STATUS_COL) == S.VALID) & (F.col(S.RUN_COL) == run_id)))
-        orules = outlier_sql(thresholds)
-        day = (X.featured(valid).groupBy(*MONTH_KEYS, "pickup_date").agg(
-            F.expr("count(1) AS v"),
-            F.expr(f"count_if(NOT {any_outlier_sql(thresholds)}) AS k"),
-            *[F.expr(f"count_if({p}) AS _o{i}") for i, (_, p) in enumerate(orules)]))
-        entries = ["named_struct('kind', 'valid_rows', 'key', CAST(NULL AS STRING), 'n', v)",
-                   "named_struct('kind', 'feature_rows', 'key', CAST(NULL AS STRING), 'n', k)"]
-        entries += [f"named_struct('kind', 'drop', 'key', '{name}', 'n', _o{i})"
-                    for i, (name, _) in enumerate(orules)]
-        parts = [day.selectExpr(*MONTH_KEYS, "pickup_date", "inline(array(" + ", ".join(entries) + "))")]
+        def long(df: DataFrame, day: str, kind: str, key: str, n: str) -> DataFrame:
+            return df.selectExpr(*MONTH_KEYS, f"{day} AS pickup_date", f"{kind} AS kind", f"{key} AS key", f"{n} AS n")
+        none = "CAST(NULL AS STRING)"
+        # valid and kept rows per (month, day): the pickup time is all that is read
+        pickup = coerce_exprs(v_schema)[PICKUP]
+        days = (own_valid().groupBy(*MONTH_KEYS, F.expr(f"CAST({pickup} AS DATE)").alias("_d"))
+                .agg(F.count(F.lit(1)).alias("v"), F.count_if(F.col(S.OUTLIER_COL) == "false").alias("k"))
+                .selectExpr(*MONTH_KEYS, "date_format(_d, 'yyyy-MM-dd') AS day",
+                            "inline(array(named_struct('kind', 'valid_rows', 'n', v), named_struct('kind', 'feature_rows', 'n', k)))"))
+        parts = [long(days, "day", "kind", none, "n")]
+        # drop reasons: only dropped rows break an outlier rule; a month without any keeps its zeros
+        drops = X.dropped_by_reason(X.featured(own_valid(True)), list(MONTH_KEYS), thresholds)
+        parts.append(long(drops, none, "'drop'", "reason", "n"))
+        zeros = ", ".join(f"'{name}'" for name, _ in outlier_sql(thresholds))
+        parts.append(long(own_valid().select(*MONTH_KEYS).distinct().selectExpr(*MONTH_KEYS, f"explode(array({zeros})) AS reason"),
+                          none, "'drop'", "reason", "0L"))
         # quarantine: row count + exact per-rule counts (valid rows hit no rule)
         quarantine = _only(S.read_quarantine(spark, validated_root, v_schema), months)
         q_n = quarantine.groupBy(*MONTH_KEYS).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(q_n.selectExpr(*MONTH_KEYS, "CAST(NULL AS STRING) AS pickup_date",
-                                    "'quarantined_rows' AS kind", "CAST(NULL AS STRING) AS key", "n"))
+        parts.append(long(q_n, none, "'quarantined_rows'", none, "n"))
         fc = Q.failure_counts(quarantine.drop(S.REASONS_COL), list(MONTH_KEYS), contract)
-        parts.append(fc.selectExpr(*MONTH_KEYS, "CAST(NULL AS STRING) AS pickup_date",
-                                   "'rule' AS kind", "rule AS key", "n"))
-        long = parts[0]
+        parts.append(long(fc, none, "'rule'", "rule", "n"))
+        out = parts[0]
         for part in parts[1:]:
-            long = long.unionByName(part)
-        return long.checkpoint(eager=True)
+            out = out.unionByName(part)
+        return out.checkpoint(eager=True)
 
-    with ThreadPoolExecutor(max_workers=2) as pool:
+    validate_job()
+    with ThreadPoolExecutor(max_workers=3) as pool:
         f_feat = pool.submit(features_job)
-        validate_job()
-        # both read job 1's scattered quarantine files; they are removed once
-        # the compacted table is written and the statistics are taken
         f_quar = pool.submit(quarantine_job)
         stats = stats_job()
         f_quar.result()
+        # the scattered files are in the compacted table and the statistics now
         S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.QUARANTINED}"], months)
         f_feat.result()
 
@@ -229,7 +233,7 @@ def _remove_stale(spark: SparkSession, stats: DataFrame, months: Sequence[tuple[
 
     What was written is read from the (checkpointed, months x days sized)
     statistics, never by listing data files."""
-    present = (stats.filter(F.col("kind").isin("valid_rows", "quarantined_rows", "feature_rows")
+    present = (stats.filter(F.col("kind").isin("valid_rows", "quarantined_rows", "feature_rows", "drop")
                             & (F.col("n") > 0))
                     .select(*MONTH_KEYS, "pickup_date", "kind").distinct().collect())
     valid = {(r.taxi_type, r.file_month) for r in present if r.kind == "valid_rows"}
@@ -238,9 +242,14 @@ def _remove_stale(spark: SparkSession, stats: DataFrame, months: Sequence[tuple[
     for r in present:
         if r.kind == "feature_rows":
             days.setdefault((r.taxi_type, r.file_month), set()).add(r.pickup_date)
+    dropped = {(r.taxi_type, r.file_month) for r in present if r.kind == "drop"}
     for t, m in months:
         if (t, m) not in valid:
             S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.VALID}"], [(t, m)])
+        else:
+            fates = {f for f, has in (("false", days), ("true", dropped)) if (t, m) in has}
+            S.remove_stale_partitions(spark, f"{validated_root}/{S.STATUS_COL}={S.VALID}/taxi_type={t}/file_month={m}",
+                                      S.OUTLIER_COL, fates)
         if (t, m) not in quarantined:
             S.clear_months(spark, quarantine_root, [""], [(t, m)])
         S.remove_stale_partitions(spark, f"{features_root}/taxi_type={t}/file_month={m}",

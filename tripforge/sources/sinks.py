@@ -2,7 +2,7 @@
 
 Layout (all under one output root on the shared file system):
 
-  validated/_dq_status=valid/taxi_type=T/file_month=M/                 (S8)
+  validated/_dq_status=valid/taxi_type=T/file_month=M/_outlier=B/      (S8)
   quarantine/taxi_type=T/file_month=M/                                 (S9)
   features/taxi_type=T/file_month=M/pickup_date=D/                     (S10)
   reports/<name>/run_id=R/                                             (S11)
@@ -11,7 +11,9 @@ Valid and quarantined rows are written by ONE job from ONE scan (the status
 is a partition column, no shuffle).  Because every task that met a bad row
 leaves a small quarantine file, the run's quarantine rows (a tiny fraction)
 are then rewritten into their own month-partitioned table with AQE-sized
-files and the scattered ones removed.  Writes use dynamic partition
+files and the scattered ones removed.  The valid rows that the outlier rules
+drop lie in their own partition, so that the feature write reads the others
+only and the drop counts read just the dropped.  Writes use dynamic partition
 overwrite (each partition that receives rows is replaced at commit); the
 pipeline then removes the run's partitions that received no rows
 (``remove_stale_partitions``), so a rerun never appends, never keeps a stale
@@ -20,7 +22,7 @@ quarantine (H11) and never leaves a month missing mid-run.
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +32,11 @@ from tripforge.operators.quarantine import BAD_COL, REASONS_COL
 
 STATUS_COL = "_dq_status"
 RUN_COL = "_run_id"
+OUTLIER_COL = "_outlier"      # 'true' / 'false'; 'false' on quarantined rows
 VALID, QUARANTINED = "valid", "quarantined"
+FEATURE_PARTITIONS = ("taxi_type", "file_month", "pickup_date")
+MONTH_PARTITIONS = ("taxi_type", "file_month")
+RATIO_COLUMNS = ("trip_speed_mph", "fare_per_mile", "tip_pct", "cost_per_min")
 
 
 def _fs_delete(spark: SparkSession, path: str) -> None:
@@ -85,18 +91,21 @@ def clear_months(spark: SparkSession, root: str, prefixes: Sequence[str],
 
 
 def write_validated(tagged: DataFrame, root: str, run_id: str | None = None) -> None:
-    """S8+S9 in one write: valid rows and quarantined rows (with reasons).
+    """S8+S9 in one write: valid rows, apart from those that are outliers
+    (``_outlier``, if ``tagged`` has it), and quarantined rows (with reasons).
 
     ``run_id`` stamps the rows (a constant column, dictionary-encoded to
     almost nothing) so that statistics can tell this run's partitions from
     stale ones before those are removed."""
     status = F.when(F.col(BAD_COL), F.lit(QUARANTINED)).otherwise(F.lit(VALID))
-    if run_id is not None:
-        tagged = tagged.withColumn(RUN_COL, F.lit(run_id))
-    (tagged.withColumn(STATUS_COL, status).drop(BAD_COL)
+    fate = F.col(OUTLIER_COL) if OUTLIER_COL in tagged.columns else F.lit(False)
+    rows = [c for c in tagged.columns if c not in (BAD_COL, OUTLIER_COL)]
+    stamp = [F.lit(run_id).alias(RUN_COL)] if run_id is not None else []
+    (tagged.select(*[F.col("`" + c.replace("`", "``") + "`") for c in rows], *stamp, status.alias(STATUS_COL),
+                   (~F.col(BAD_COL) & fate).cast("string").alias(OUTLIER_COL))
            .write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
-           .partitionBy(STATUS_COL, "taxi_type", "file_month")
+           .partitionBy(*VALIDATED_PARTITIONS)
            .parquet(root))
 
 
@@ -107,12 +116,15 @@ def with_partitions_last(schema: T.StructType, partition_cols: Sequence[str]) ->
     return T.StructType(data + parts)
 
 
+VALIDATED_PARTITIONS = (STATUS_COL, "taxi_type", "file_month", OUTLIER_COL)
+
+
 def validated_schema(raw_schema: T.StructType, with_run_id: bool = True) -> T.StructType:
-    fields = [f for f in raw_schema.fields if f.name not in (BAD_COL, REASONS_COL, RUN_COL)]
+    fields = [f for f in raw_schema.fields if f.name not in (BAD_COL, REASONS_COL, RUN_COL, OUTLIER_COL)]
     fields.append(T.StructField(REASONS_COL, T.StringType(), True))
     if with_run_id:
         fields.append(T.StructField(RUN_COL, T.StringType(), True))
-    return with_partitions_last(T.StructType(fields), (STATUS_COL, "taxi_type", "file_month"))
+    return with_partitions_last(T.StructType(fields), VALIDATED_PARTITIONS)
 
 
 def _read_partitioned(spark: SparkSession, path: str, base: str,
@@ -124,7 +136,7 @@ def _read_partitioned(spark: SparkSession, path: str, base: str,
         reader = reader.schema(schema)
     df = reader.parquet(path)
     # Partition values are text in the contract (no DATE inference)
-    for c in ("taxi_type", "file_month", "pickup_date", STATUS_COL):
+    for c in ("taxi_type", "file_month", "pickup_date", STATUS_COL, OUTLIER_COL):
         if c in df.columns:
             df = df.withColumn(c, F.col(c).cast("string"))
     return df
@@ -140,13 +152,13 @@ def read_valid(spark: SparkSession, root: str, schema: T.StructType | None = Non
     A filter on the status partition column prunes the quarantine at listing
     time, so this reads exactly the valid files."""
     df = read_validated(spark, root, schema)
-    return df.filter(F.col(STATUS_COL) == VALID).drop(STATUS_COL, REASONS_COL, RUN_COL)
+    return df.filter(F.col(STATUS_COL) == VALID).drop(STATUS_COL, REASONS_COL, RUN_COL, OUTLIER_COL)
 
 
 def read_quarantine(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
     """S9 read-back: quarantined rows with ``_quarantine_reasons`` (may be empty)."""
     df = read_validated(spark, root, schema)
-    return df.filter(F.col(STATUS_COL) == QUARANTINED).drop(STATUS_COL, RUN_COL)
+    return df.filter(F.col(STATUS_COL) == QUARANTINED).drop(STATUS_COL, RUN_COL, OUTLIER_COL)
 
 
 TARGET_PARTITION_BYTES = 64 * 1024 * 1024   # of estimated (compressed, file-based) input
@@ -176,26 +188,28 @@ def shuffle_partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_B
     return int(max(floor, n))
 
 
-def write_features(features: DataFrame, root: str) -> None:
-    """Day-partitioned feature table.
+def write_features(rows: DataFrame, root: str,
+                   derive: Callable[[DataFrame], DataFrame] | None = None) -> T.StructType:
+    """Day-partitioned feature table; returns its schema as it is read back.
 
     ``rebalance`` on the partition keys lets AQE size the write tasks: small
     days are coalesced into one file, a huge day is split across tasks.  The
-    initial partition count follows the input size (``shuffle_partitions_for``)."""
-    n = shuffle_partitions_for(features)
-    (features.hint("rebalance", n, "taxi_type", "file_month", "pickup_date")
-             .write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy("taxi_type", "file_month", "pickup_date")
-             .parquet(root))
-
-
-FEATURE_PARTITIONS = ("taxi_type", "file_month", "pickup_date")
-MONTH_PARTITIONS = ("taxi_type", "file_month")
+    initial partition count follows the input size (``shuffle_partitions_for``).
+    ``derive`` adds columns after the shuffle, so that those need not be moved."""
+    n = shuffle_partitions_for(rows)
+    dealt = rows.hint("rebalance", n, *FEATURE_PARTITIONS)
+    out = derive(dealt) if derive else dealt
+    # ratios hardly repeat: a dictionary of them is built only to be thrown away
+    ratios = {f"parquet.enable.dictionary#{c}": "false" for c in RATIO_COLUMNS if c in out.columns}
+    (out.write.mode("overwrite").options(**ratios)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*FEATURE_PARTITIONS)
+        .parquet(root))
+    return with_partitions_last(out.schema, FEATURE_PARTITIONS)
 
 
 def quarantine_schema(raw_schema: T.StructType) -> T.StructType:
-    fields = [f for f in raw_schema.fields if f.name not in (BAD_COL, REASONS_COL, STATUS_COL, RUN_COL)]
+    fields = [f for f in raw_schema.fields if f.name not in (BAD_COL, REASONS_COL, STATUS_COL, RUN_COL, OUTLIER_COL)]
     fields.append(T.StructField(REASONS_COL, T.StringType(), True))
     return with_partitions_last(T.StructType(fields), MONTH_PARTITIONS)
 
