@@ -3,26 +3,29 @@
 Counts, null fractions, min, max and mean are ONE aggregate (partial
 aggregation per task, one-row result).  The exact median needs ranks; Spark's
 exact ``percentile`` keeps every distinct value of a group in one buffer, which
-does not survive 100 TB, so the median is found by distributed selection:
-
-1. ``percentile_approx`` (bounded sketch) brackets the target rank,
-2. an exact ``count_if`` pass places the bracket (and resolves heavy ties on
-   its end points without moving any values),
-3. once a bracket holds at most ``collect_cap`` values - a bound proven by the
-   exact count - those values are sorted inside one aggregate and the target
-   element is read.
-
-Every step is an aggregate over the whole column; the driver only sees a few
-numbers per column.
+does not survive 100 TB, so the median is found by radix selection:
+
+1. every double has a whole-number key that orders as the values do (the bits of
+   its sign, exponent and fraction, computed with arithmetic),
+2. one pass counts a column's keys by digit, with the least and greatest value of
+   each digit; the digit that holds the wanted rank is the range of the next pass,
+3. a digit of one value is the answer, however many rows hold it; ranks that lie in
+   two digits are the greatest value of one and the least of the next.
+
+No value is sorted or collected, infinities are keys like any other, and the path
+is the same at every size: a pass narrows a column's range to one digit in 4096, so
+64 bits need six passes at most and n distinct values about log(n) / log(4096).
+All columns advance together; the driver sees at most columns x digits counts a pass.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+import struct
+from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,183 +80,128 @@ def null_fractions(df: DataFrame, digits: int = 4) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# exact quantiles by distributed selection
+# exact quantiles by radix selection
 # ---------------------------------------------------------------------------
 
+DIGITS = 4096                             # of a pass; a power of two
+_NORMAL = 2.0 ** -1022                    # the least double whose fraction has a hidden one
+
+
+def ordered_key(v: float) -> int:
+    """A whole number that orders as doubles do: the bits of the size, negative
+    for negative values (both zeros give 0)."""
+    bits = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+    return -bits if v < 0 else bits
+
+
+def value_of_key(key: int) -> float:
+    v = struct.unpack("<d", struct.pack("<q", abs(key)))[0]
+    return -v if key < 0 else v
+
+
+def with_ordered_key(df: DataFrame, value: str = "v", key: str = "key") -> DataFrame:
+    """``ordered_key`` of a double column, by arithmetic (Spark has no function for
+    a double's bits): the exponent from a logarithm set right by one comparison,
+    the fraction by a division by that power of two, which is exact."""
+    inf, least, one = "CAST('Infinity' AS DOUBLE)", f"CAST('{_NORMAL!r}' AS DOUBLE)", str(2 ** 52)
+    two, half = "CAST(2 AS DOUBLE)", f"{2.0 ** 537!r}D"     # two halves lift the least double to 1
+    rows = df.selectExpr("*", f"abs({value}) AS _a")
+    # powers of two are looked up: a call of ``pow`` costs more than all the rest
+    powers = "array(" + ", ".join(f"{2.0 ** e!r}D" for e in range(-1023, 1024)) + ")"
+    rows = rows.selectExpr("*", f"CASE WHEN _a >= {least} AND _a < {inf} THEN least(1023, CAST(floor(ln(_a) * {1 / math.log(2)!r}D) AS INT)) END AS _g")
+    rows = rows.selectExpr("*", f"element_at({powers}, _g + 1024) AS _p")
+    rows = rows.selectExpr("*", f"CASE WHEN _p > _a THEN -1 WHEN _p * {two} <= _a THEN 1 ELSE 0 END AS _s")
+    power = f"CASE WHEN _s = 0 THEN _p WHEN _s < 0 THEN _p / {two} ELSE _p * {two} END"
+    rows = rows.selectExpr("*", f"CASE WHEN _g IS NOT NULL THEN (_g + _s + 1023) * {one}L + CAST((_a / ({power}) - 1) * {one} AS BIGINT)"
+                                f" WHEN _a = {inf} THEN {2047 * 2 ** 52}L ELSE CAST(_a * {half} * {half} AS BIGINT) END AS _k")
+    return rows.selectExpr("*", f"CASE WHEN {value} < 0 THEN -_k ELSE _k END AS {key}").drop("_a", "_g", "_p", "_s", "_k")
+
+
 @dataclass
-class _Target:
-    """Selection state of one column: a value bracket and the ranks inside it."""
+class _Range:
+    """Where a column's wanted ranks (0-based, among values that are not null) lie."""
 
     column: str
-    ranks: list                    # 0-based ranks (among non-null values) still open
-    lo: float | None = None        # bracket; None = unbounded
-    hi: float | None = None
-    lo_open: bool = False
-    hi_open: bool = False
-    below: int = 0                 # values strictly left of the bracket
-    inside: int = 0                # values inside the bracket
-    values: dict = None
-
-    def in_bracket(self) -> Column:
-        c = F.col(self.column)
-        cond = c.isNotNull()
-        if self.lo is not None:
-            cond = cond & ((c > F.lit(self.lo)) if self.lo_open else (c >= F.lit(self.lo)))
-        if self.hi is not None:
-            cond = cond & ((c < F.lit(self.hi)) if self.hi_open else (c <= F.lit(self.hi)))
-        return cond
-
-
-def _histogram_step(work: DataFrame, targets: list, bounds: dict, buckets: int) -> None:
-    """Place every open rank in an exact equal-width histogram bucket.
-
-    One aggregate over all columns (partial aggregation per task; the result
-    has at most columns x buckets rows).  A bucket holding a single distinct
-    value resolves its ranks at once, however many rows share that value."""
-    spec, live = [], []
-    for i, t in enumerate(targets):
-        lo, hi = bounds.get(t.column, (None, None))
-        if lo is None or hi is None:
-            continue
-        c = f"`{t.column}`"
-        width = (hi - lo) / buckets
-        if hi > lo and math.isfinite(width) and width > 0:
-            b = (f"CAST(least({buckets - 1}, greatest(0, floor(({c} - CAST('{lo!r}' AS DOUBLE)) "
-                 f"/ CAST('{width!r}' AS DOUBLE)))) AS INT)")
-        else:
-            b = "0"
-        spec.append(f"named_struct('c', {i}, 'b', CASE WHEN {c} IS NOT NULL THEN {b} END, 'v', {c})")
-        live.append(i)
-    if not spec:
-        return
-    hist = (work.selectExpr(f"inline(array({', '.join(spec)}))")
-                .filter("b IS NOT NULL")
-                .groupBy("c", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"),
-                                       F.max("v").alias("mx"))
-                .collect())                       # <= columns x buckets rows
-    per: dict[int, list] = {}
-    for r in hist:
-        per.setdefault(r.c, []).append((r.b, r.n, r.mn, r.mx))
-    for i in live:
-        t = targets[i]
-        rows = sorted(per.get(i, []))
-        cum, spans = 0, []
-        for _, n, mn, mx in rows:
-            spans.append((cum, cum + n, mn, mx))
-            cum += n
-        still, lo_b, hi_b = [], None, None
-        for k in t.ranks:
-            for start, end, mn, mx in spans:
-                if start <= k < end:
-                    if mn == mx:
-                        t.values[k] = mn
-                    else:
-                        still.append(k)
-                        lo_b = start if lo_b is None else min(lo_b, start)
-                        hi_b = end if hi_b is None else max(hi_b, end)
-                    break
-        t.ranks = still
-        if still:
-            first = next(sp for sp in spans if sp[0] == lo_b)
-            last = next(sp for sp in spans if sp[1] == hi_b)
-            t.lo, t.hi, t.lo_open, t.hi_open = first[2], last[3], False, False
-            t.below, t.inside = lo_b, hi_b - lo_b
+    ranks: list[int]
+    low: float                             # least and greatest value of the range
+    high: float
+    below: int = 0                         # values before the range
+    found: dict[int, float] = field(default_factory=dict)
+
+    def narrow(self, digits: list[tuple[int, float, float]]) -> None:
+        """Take (count, least, greatest) of the range's digits in order."""
+        at, left = self.below, []
+        for n, low, high in digits:
+            here = [k for k in self.ranks if at <= k < at + n]
+            if low == high:
+                self.found.update(dict.fromkeys(here, low))
+            else:
+                # the ends of a digit are known; another rank needs a look inside
+                self.found.update({k: low for k in here if k == at} | {k: high for k in here if k == at + n - 1})
+                inside = [k for k in here if k not in self.found]
+                if inside:
+                    left.append((inside, low, high, at))
+            at += n
+        # two neighbouring ranks are never both inside different digits
+        self.ranks = left[0][0] if left else []
+        if left:
+            _, self.low, self.high, self.below = left[0]
+
+
+def _digit_pass(work: DataFrame, ranges: list[_Range], digits: int) -> None:
+    """Count the keys of every open range by digit and narrow the ranges: one
+    aggregate of at most ranges x digits rows."""
+    entries, shifts = [], []
+    for i, r in enumerate(ranges):
+        lo, hi = ordered_key(r.low), ordered_key(r.high)
+        shifts.append(next(s for s in range(64) if (hi >> s) - (lo >> s) < digits))
+        c = f"`{r.column}`"
+        entries.append(f"named_struct('c', {i}, 'v', CASE WHEN {c} >= CAST('{r.low!r}' AS DOUBLE) AND "
+                       f"{c} <= CAST('{r.high!r}' AS DOUBLE) THEN {c} END)")
+    values = work.selectExpr(f"inline(array({', '.join(entries)}))").filter("v IS NOT NULL")
+    got: dict[int, list] = {}
+    for row in (with_ordered_key(values)
+                .selectExpr("c", "v", f"shiftright(key, element_at(array({', '.join(map(str, shifts))}), c + 1)) AS digit")
+                .groupBy("c", "digit").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+                .collect()):
+        got.setdefault(row.c, []).append((row.digit, row.n, row.lo, row.hi))
+    for i, r in enumerate(ranges):
+        r.narrow([d[1:] for d in sorted(got.get(i, []))])
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
-                    counts: dict[str, int] | None = None, accuracy: int = 10000,
-                    collect_cap: int = 100_000, max_rounds: int = 16,
-                    bounds: dict[str, tuple] | None = None,
-                    buckets: int = 4096) -> dict[str, float | None]:
+                    counts: dict[str, int] | None = None, bounds: dict[str, tuple] | None = None,
+                    digits: int = DIGITS) -> dict[str, float | None]:
     """Exact linear-interpolated quantile per column (pandas/``quantile_cont``).
 
-    All columns advance together.  With known (min, max) ``bounds`` one exact
-    histogram pass usually narrows every rank to a bucket small enough to
-    sort; otherwise (or for pathological spreads) each round is one sketch
-    aggregate and one exact-count aggregate.  The driver keeps only bracket
-    bounds and counts of every column."""
-    if counts is None:
-        row = df.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(columns)]).first()
+    ``counts`` and ``bounds`` (least, greatest value) are read in one aggregate
+    unless they are known.  Null without values, and between two infinities of
+    different sign; NaN must have been made null."""
+    work = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    if counts is None or bounds is None:
+        row = work.agg(*[f(F.col(c)).alias(f"_{n}{i}") for i, c in enumerate(columns)
+                         for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
         counts = {c: row[f"_n{i}"] for i, c in enumerate(columns)}
-    result: dict[str, float | None] = {}
-    plan: dict[str, tuple[int, int, float]] = {}
-    targets: list[_Target] = []
+        bounds = {c: (row[f"_lo{i}"], row[f"_hi{i}"]) for i, c in enumerate(columns)}
+    wanted: dict[str, tuple[int, int, float]] = {}
+    ranges: list[_Range] = []
     for c in columns:
         n = counts[c]
-        if not n:
-            result[c] = None
-            continue
-        pos = (n - 1) * q
-        k0 = int(math.floor(pos))
-        k1 = min(k0 + 1, n - 1) if pos > k0 else k0
-        plan[c] = (k0, k1, pos - k0)
-        targets.append(_Target(c, sorted({k0, k1}), inside=n, values={}))
-
-    work = df.select(*[F.col(c).cast("double").alias(c) for c in plan])
-    if bounds:
-        _histogram_step(work, [t for t in targets if t.inside > collect_cap], bounds, buckets)
-    for _ in range(max_rounds):
-        big = [t for t in targets if t.ranks and t.inside > collect_cap]
-        if not big:
-            break
-        # (1) bracket the open ranks of each column with one bounded sketch
-        exprs = []
-        for i, t in enumerate(big):
-            m = t.inside
-            slack = 2.0 * m / accuracy + 1
-            p_lo = min(max(0.0, (t.ranks[0] - t.below - slack) / m), 1.0)
-            p_hi = min(max(0.0, (t.ranks[-1] - t.below + slack) / m), 1.0)
-            exprs.append(F.percentile_approx(F.when(t.in_bracket(), F.col(t.column)),
-                                             [p_lo, p_hi], accuracy).alias(f"_a{i}"))
-        approx = work.agg(*exprs).first()
-        # (2) exact placement of every new bracket in one pass
-        exprs, cand = [], []
-        for i, t in enumerate(big):
-            pair = approx[f"_a{i}"]
-            lo, hi = (pair[0], pair[1]) if pair else (t.lo, t.hi)
-            cand.append((lo, hi))
-            c = F.col(t.column)
-            exprs += [F.count_if(c < F.lit(lo)).alias(f"_lt{i}"),
-                      F.count_if(c == F.lit(lo)).alias(f"_elo{i}"),
-                      F.count_if(c <= F.lit(hi)).alias(f"_le{i}"),
-                      F.count_if(c == F.lit(hi)).alias(f"_ehi{i}")]
-        cnt = work.agg(*exprs).first()
-        for i, t in enumerate(big):
-            lo, hi = cand[i]
-            lt, elo, le, ehi = (cnt[f"_lt{i}"], cnt[f"_elo{i}"], cnt[f"_le{i}"], cnt[f"_ehi{i}"])
-            still = []
-            for k in t.ranks:
-                if lt <= k < lt + elo:            # inside the run of ties at lo
-                    t.values[k] = lo
-                elif le - ehi <= k < le:          # inside the run of ties at hi
-                    t.values[k] = hi
-                elif lt + elo <= k < le - ehi:    # strictly between lo and hi
-                    still.append(k)
-                else:                             # sketch missed: tighten it
-                    still = None
-                    break
-            if still is None:
-                accuracy = min(accuracy * 10, 10_000_000)
-                continue
-            t.ranks = still
-            if still:
-                t.lo, t.hi, t.lo_open, t.hi_open = lo, hi, True, True
-                t.below, t.inside = lt + elo, le - ehi - lt - elo
-    # (3) small brackets: sort the bounded set and pick the elements
-    rest = [t for t in targets if t.ranks]
-    if rest:
-        if any(t.inside > collect_cap for t in rest):
-            raise RuntimeError("exact quantile did not converge")
-        exprs = [F.sort_array(F.collect_list(F.when(t.in_bracket(), F.col(t.column))))
-                 .alias(f"_s{i}") for i, t in enumerate(rest)]
-        row = work.agg(*exprs).first()
-        for i, t in enumerate(rest):
-            for k in t.ranks:
-                t.values[k] = row[f"_s{i}"][k - t.below]
-    by_col = {t.column: t.values for t in targets}
-    for c, (k0, k1, frac) in plan.items():
-        v0, v1 = by_col[c][k0], by_col[c][k1]
-        result[c] = v0 if k0 == k1 else v0 + (v1 - v0) * frac
+        if n:
+            pos = (n - 1) * q
+            k0 = math.floor(pos)
+            wanted[c] = k0, min(k0 + 1, n - 1) if pos > k0 else k0, pos - k0
+            r = _Range(c, sorted(set(wanted[c][:2])), *bounds[c])
+            r.narrow([(n, *bounds[c])])             # the whole column is one digit
+            ranges.append(r)
+    while still := [r for r in ranges if r.ranks]:
+        _digit_pass(work, still, digits)
+    found = {r.column: r.found for r in ranges}
+    result: dict[str, float | None] = dict.fromkeys(columns)
+    for c, (k0, k1, share) in wanted.items():
+        v0, v1 = found[c][k0], found[c][k1]
+        v = v0 if v0 == v1 else v0 + (v1 - v0) * share
+        result[c] = None if math.isnan(v) else v
     return result
 
 
@@ -272,10 +220,10 @@ def _stats_row(df: DataFrame, cols: Sequence[str], with_nulls: bool):
 STATS_SCHEMA = "column_name string, min double, max double, mean double, p50 double"
 
 
-def _numeric_rows(df, cols, row, digits, collect_cap):
+def _numeric_rows(df, cols, row, digits):
     counts = {c: row[f"_n{i}"] for i, c in enumerate(cols)}
     bounds = {c: (row[f"_mn{i}"], row[f"_mx{i}"]) for i, c in enumerate(cols)}
-    med = exact_quantiles(df, cols, 0.5, counts=counts, collect_cap=collect_cap, bounds=bounds)
+    med = exact_quantiles(df, cols, 0.5, counts=counts, bounds=bounds)
     rnd = lambda v: None if v is None else _round_half_up(v, digits)
     return {c: (row[f"_mn{i}"], row[f"_mx{i}"], rnd(row[f"_av{i}"]), rnd(med[c]))
             for i, c in enumerate(cols)}
@@ -290,8 +238,7 @@ def _round_half_up(v: float, digits: int) -> float:
     return float(Decimal(repr(v)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
 
 
-def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4,
-                  collect_cap: int = 100_000) -> DataFrame:
+def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4) -> DataFrame:
     """Min, max, mean (rounded) and exact median p50 (rounded) per numeric column.
 
     Only one number per column and statistic reaches the driver."""
@@ -301,18 +248,18 @@ def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None, digits: i
         return spark.createDataFrame([], STATS_SCHEMA)
     plain, place = _plain(df), {c: f"c{i}" for i, c in enumerate(df.columns)}
     own = [place[c] for c in cols]
-    stats = _numeric_rows(plain, own, _stats_row(plain, own, False), digits, collect_cap)
+    stats = _numeric_rows(plain, own, _stats_row(plain, own, False), digits)
     return spark.createDataFrame([(c, *stats[place[c]]) for c in cols], STATS_SCHEMA)
 
 
-def profile(df: DataFrame, digits: int = 4, collect_cap: int = 100_000) -> DataFrame:
+def profile(df: DataFrame, digits: int = 4) -> DataFrame:
     """P1-P3 in one relation: one row per column (null share for all, stats
     for numeric ones).  One aggregate for the simple statistics, then the
     exact-median selection jobs."""
     plain = _plain(df)
     cols = numeric_columns(plain)
     row = _stats_row(plain, cols, True)
-    stats = _numeric_rows(plain, cols, row, digits, collect_cap) if cols else {}
+    stats = _numeric_rows(plain, cols, row, digits) if cols else {}
     out = []
     for i, f in enumerate(df.schema.fields):
         p = row[f"_p{i}"]
