@@ -178,3 +178,80 @@ def test_ingest_on_hive_landing(spark, make_trips, tmp_out):
     req = L.month_range(spark, "2024-01", "2024-03").withColumn("taxi_type", F.lit("yellow"))
     plan = {r.month: (r.landed, r.row_count) for r in L.ingest(spark, root, man, req).collect()}
     assert plan == {"2024-01": (True, 2), "2024-02": (True, 1), "2024-03": (False, None)}
+
+
+def _months_landed(make_trips, root, rows):
+    from conftest import trip
+    for m, n in rows.items():
+        make_trips(*[trip() for _ in range(n)]).drop("taxi_type", "file_month").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{root}/yellow_tripdata_{m}.parquet")
+
+
+def test_known_months_are_never_opened(spark, make_trips, tmp_out, monkeypatch):
+    """Footers are read for new and changed months only; re-landed months are found."""
+    root, man = f"{tmp_out}/raw", f"{tmp_out}/manifest"
+    req = L.month_range(spark, "2024-01", "2024-04").withColumn("taxi_type", F.lit("yellow"))
+    opened, real = [], L.footers
+
+    def counted(files):
+        opened.extend(r.path.rsplit("/", 2)[-2][-15:-8] for r in files.select("path").collect())
+        return real(files)
+    monkeypatch.setattr(L, "footers", counted)
+
+    def run():
+        opened.clear()
+        plan = {r.month: (r.decision, r.skipped, r.row_count) for r in L.ingest(spark, root, man, req).collect()}
+        return plan, sorted(opened)
+    _months_landed(make_trips, root, {"2024-01": 2, "2024-02": 3})
+    assert run() == ({"2024-01": ("new", False, 2), "2024-02": ("new", False, 3), "2024-03": ("missing", False, None),
+                      "2024-04": ("missing", False, None)}, ["2024-01", "2024-02"])
+    assert run()[1] == []                                               # nothing new: nothing opened
+    _months_landed(make_trips, root, {"2024-02": 5, "2024-03": 0})      # landed anew, and an empty month
+    plan, seen = run()
+    assert seen == ["2024-02", "2024-03"]
+    assert plan == {"2024-01": ("known", True, 2), "2024-02": ("changed", False, 5), "2024-03": ("new", False, 0),
+                    "2024-04": ("missing", False, None)}
+    latest = {r.month: r.row_count for r in L.manifest_latest(L.read_manifest(spark, man)).collect()}
+    assert latest == {"2024-01": 2, "2024-02": 5, "2024-03": 0}
+    t = L.ingest_totals(L.ingest(spark, root, man, req)).collect()[0]
+    assert (t.loaded, t.skipped, t.missing, t.total_rows) == (0, 3, 1, 7)   # the empty month is landed
+    sizes = {r.month: r.size_bytes for r in L.ingest(spark, root, man, req).collect()}
+    assert all(sizes[m] > 0 for m in ("2024-01", "2024-02", "2024-03")) and sizes["2024-04"] is None
+
+
+def test_recordings_without_fingerprint_stay_known(spark, make_trips, tmp_out):
+    root, man = f"{tmp_out}/raw", f"{tmp_out}/manifest"
+    _months_landed(make_trips, root, {"2024-01": 2})
+    L.record(_manifest(spark, [("2024-01", "yellow", 9, "2024-02-01 00:00:00")]), man)
+    req = L.month_range(spark, "2024-01", "2024-01").withColumn("taxi_type", F.lit("yellow"))
+    r = L.ingest(spark, root, man, req).collect()[0]
+    assert (r.decision, r.skipped, r.row_count) == ("known", True, 9)
+
+
+def test_each_file_has_its_own_columns(spark, tmp_out):
+    """Files that differ, an empty one, one that is no parquet, and odd names."""
+    from tripforge.session import local_path
+    spark.range(3).withColumn("b", F.lit(1)).coalesce(1).write.parquet(f"{tmp_out}/s/a one#1.parquet")
+    spark.range(2).select(F.lit("x").alias("z"), "id").coalesce(1).write.parquet(f"{tmp_out}/s/b.parquet")
+    spark.range(0).withColumn("c", F.lit(1.5)).coalesce(1).write.parquet(f"{tmp_out}/s/c.parquet")
+    with open(f"{local_path(tmp_out)}/s/bad.parquet", "wb") as f:
+        f.write(b"no parquet at all")
+    rows = L.file_stats(spark, [f"{tmp_out}/s"]).collect()
+    got = sorted((r.row_count, r.columns) for r in rows if r.error is None)
+    assert got == [(0, ["id", "c"]), (2, ["z", "id"]), (3, ["id", "b"])]
+    assert [(r.file_name, r.row_count) for r in rows if r.error] == [("bad.parquet", None)]
+    assert all(r.size_bytes > 0 for r in rows)
+
+
+def test_an_unreadable_month_is_not_recorded(spark, make_trips, tmp_out):
+    import os
+    from tripforge.session import local_path
+    root, man = f"{tmp_out}/raw", f"{tmp_out}/manifest"
+    _months_landed(make_trips, root, {"2024-01": 2})
+    os.makedirs(f"{local_path(root)}/yellow_tripdata_2024-02.parquet")
+    with open(f"{local_path(root)}/yellow_tripdata_2024-02.parquet/part-0.parquet", "wb") as f:
+        f.write(b"broken")
+    req = L.month_range(spark, "2024-01", "2024-02").withColumn("taxi_type", F.lit("yellow"))
+    plan = {r.month: (r.landed, r.skipped, r.row_count) for r in L.ingest(spark, root, man, req).collect()}
+    assert plan == {"2024-01": (True, False, 2), "2024-02": (True, False, None)}
+    assert [r.month for r in L.read_manifest(spark, man).collect()] == ["2024-01"]

@@ -311,3 +311,36 @@ def test_outliers_of_raw_rows_are_those_of_featured_rows(spark):
     text = raw.withColumn("tpep_pickup_datetime", F.col("tpep_pickup_datetime").cast("string"))
     told = text.selectExpr("trip_id", f"{X.outlier_of_raw_sql(text)} AS o")
     assert told.exceptAll(want).count() == 0                          # coerced first, as the features are
+
+
+@pytest.mark.parametrize("layout", ["flat", "hive"])
+def test_month_that_breaks_while_it_is_read(spark, make_trips, tmp_out, layout):
+    """Sound footers, but a damaged row group in one of three months: the two
+    others land, the third is named; with fail_fast the run raises."""
+    import glob
+    from tripforge.plans.pipeline import run_range
+    from tripforge.sources.trips import land
+    root = f"{tmp_out}/landing one"
+    for i, m in enumerate(("2024-01", "2024-02", "2024-03")):
+        rows = make_trips(*[trip(trip_distance=1.0 + k / 7, VendorID=99 if k == 0 else 1) for k in range(200)], month=m).coalesce(1)
+        if layout == "flat":
+            rows.drop("taxi_type", "file_month").write.parquet(f"{root}/yellow_tripdata_{m}.parquet")
+        else:
+            land(rows, root)
+    part = glob.glob(local_path(root) + "/*2024-02*/*.parquet") + glob.glob(local_path(root) + "/*/*2024-02*/*.parquet")
+    for p in part:
+        data = bytearray(open(p, "rb").read())
+        for i in range(4, len(data) // 2):                 # pages, not the footer
+            data[i] ^= 0x5A
+        with open(p, "wb") as f:
+            f.write(data)
+        crc = os.path.join(os.path.dirname(p), f".{os.path.basename(p)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    r = run_range(spark, root, f"{tmp_out}/out", "2024-01", "2024-03")
+    assert {m.file_month: (m.raw_rows, m.valid_rows) for m in r.months.collect()} == {"2024-01": (200, 199), "2024-03": (200, 199)}
+    assert [s[:2] for s in r.skipped] == [("yellow", "2024-02")]
+    assert S.read_features(spark, r.features_root).count() == 398
+    assert {x.file_month for x in S.read_valid(spark, r.validated_root).select("file_month").distinct().collect()} == {"2024-01", "2024-03"}
+    with pytest.raises(Exception):
+        run_range(spark, root, f"{tmp_out}/out2", "2024-01", "2024-03", fail_fast=True)

@@ -186,7 +186,7 @@ def q_partition_counts_orders(spark, sf):
 
 def _file_stats(spark, sf):
     paths = [f"{sf.rstrip('/')}/{t}.parquet" for t in ("events", "lineitem", "orders")]
-    return L.file_stats(spark, paths).select("file_name", "row_count")
+    return L.file_stats(spark, paths).select("file_name", "row_count", F.array_join("columns", ",").alias("columns"))
 
 
 def _text_dates(spark, sf):

@@ -321,9 +321,9 @@ UNION ALL SELECT taxi_type, file_month, 'retention', 'retention_pct', round({D(1
   SELECT strftime(unnest(generate_series(CAST(lo || '-01' AS DATE), CAST(hi || '-01' AS DATE), INTERVAL 1 MONTH)), '%Y-%m') AS month
   FROM (SELECT least(min(file_month), min(strftime(tpep_pickup_datetime, '%Y-%m'))) AS lo,
                greatest(max(file_month), max(strftime(tpep_pickup_datetime, '%Y-%m'))) AS hi FROM trips))"""
-    q["file_stats"] = ("SELECT 'events.parquet' AS file_name, COUNT(*) AS row_count FROM events UNION ALL "
-                       "SELECT 'lineitem.parquet', COUNT(*) FROM lineitem UNION ALL "
-                       "SELECT 'orders.parquet', COUNT(*) FROM orders")
+    q["file_stats"] = " UNION ALL ".join(
+        f"SELECT '{t}.parquet' AS file_name, (SELECT COUNT(*) FROM {t}) AS row_count, "
+        f"(SELECT string_agg(column_name, ',') FROM (DESCRIBE {t})) AS columns" for t in ("events", "lineitem", "orders"))
     q["manifest_pending"] = B + f"""SELECT l.taxi_type, l.month, l.row_count FROM ({LANDED}) l
   WHERE NOT EXISTS (SELECT 1 FROM {MANIFEST_VALUES} WHERE m.taxi_type = l.taxi_type AND m.month = l.month)"""
     q["manifest_latest"] = B + f""", hist AS (SELECT month, taxi_type, CAST(row_count AS BIGINT) AS row_count, ingested_at FROM {MANIFEST_VALUES}),

@@ -272,9 +272,12 @@ def run_range(spark: SparkSession, landing_root: str, out_root: str, start: str,
     set-based job.  Months that are missing, or whose files cannot be read, are
     skipped (the latter are named in ``skipped``), or raise with ``fail_fast``.
 
+    A file may also break while its rows are read: nothing is published then
+    (raw rows are read by the first write alone, which commits whole), the units
+    are audited and the run goes on without the months that hold a broken file.
     Only the list of available months (bounded by the requested range) and
     their schemas reach the driver."""
-    from tripforge.sources.landing import availability, landing_listing, month_range
+    from tripforge.sources.landing import audit_units, availability, landing_listing, month_range
     from tripforge.sources.trips import Unit, read_units, unit_schemas
     req = month_range(spark, start, end).withColumn("taxi_type", F.lit(taxi_type))
     # which months exist is a content-free file listing, not a scan of the data
@@ -286,11 +289,23 @@ def run_range(spark: SparkSession, landing_root: str, out_root: str, start: str,
     broken = {u: e for u, e in schemas.items() if isinstance(e, Exception)}
     if broken and fail_fast:
         raise next(iter(broken.values()))
-    bad = {(u.taxi_type, u.month) for u in broken}    # a month is run whole or not at all
-    schemas = {u: s for u, s in schemas.items() if (u.taxi_type, u.month) not in bad}
-    if not schemas:
-        return None
-    months = sorted({(u.taxi_type, u.month) for u in schemas})
-    result = run_months(spark, read_units(spark, schemas), out_root, months, thresholds=thresholds)
-    result.skipped = tuple((u.taxi_type, u.month, str(e).splitlines()[0]) for u, e in broken.items())
+    def whole_months(schemas: dict, broken: dict) -> dict:
+        """Without the months that hold a broken unit: a month is run whole or not at all."""
+        bad = {(u.taxi_type, u.month) for u in broken}
+        return {u: s for u, s in schemas.items() if (u.taxi_type, u.month) not in bad}
+
+    schemas, result = whole_months(schemas, broken), None
+    while schemas:
+        months = sorted({(u.taxi_type, u.month) for u in schemas})
+        try:
+            result = run_months(spark, read_units(spark, schemas), out_root, months, thresholds=thresholds)
+            break
+        except Exception:
+            failed = {} if fail_fast else audit_units(spark, schemas)
+            if not failed:
+                raise                                # not the files' fault, or not to be survived
+            broken |= failed
+            schemas = whole_months(schemas, failed)
+    if result is not None:
+        result.skipped = tuple((u.taxi_type, u.month, str(e).splitlines()[0]) for u, e in broken.items())
     return result

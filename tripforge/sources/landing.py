@@ -1,7 +1,9 @@
 """Incremental loading state: landing listing, manifest, month ranges.
 
 Files are taken as already landed (no download).  The load decision is a
-set operation: landed months LEFT ANTI JOIN the manifest.  The manifest is an
+set operation: the content-free listing of the landing zone is held against the
+manifest first, by a fingerprint of each month's files (paths, sizes, times), and
+footers are read for new and changed months only.  The manifest is an
 append-only table (one row per recording); its current state is the latest
 row per (taxi_type, month), so concurrent recorders never lose updates (H17).
 """
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripforge.session import shared_root
 from tripforge.sources.trips import FILE_RE_MONTH, FILE_RE_TYPE, Unit, unit_schemas
 
 MANIFEST_SCHEMA = T.StructType([
@@ -26,6 +29,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("row_count", T.LongType(), True),
     T.StructField("columns", T.ArrayType(T.StringType()), True),
     T.StructField("ingested_at", T.TimestampNTZType(), True),
+    T.StructField("fingerprint", T.StringType(), True),
 ])
 KEYS = ["taxi_type", "month"]
 _MONTH = re.compile(r"^\d{4}-\d{2}$")
@@ -87,50 +91,117 @@ def _unit(path: "F.Column", name: "F.Column") -> tuple:
     return unit_path, unit_name
 
 
+def _listed(spark: SparkSession, roots: Iterable[str]) -> DataFrame:
+    """(path, length, modificationTime) of parquet files; content is not read."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true").load(list(roots))
+            .select("path", "length", "modificationTime"))
+
+
+def landed_files(spark: SparkSession, root: str) -> DataFrame:
+    """Every landed file with its monthly unit (unit, file_name, path, length, modificationTime)."""
+    unit_path, unit_name = _unit(F.col("path"), F.element_at(F.split("path", "/"), -1))
+    return (_listed(spark, [root]).select(unit_path.alias("unit"), unit_name.alias("file_name"), "path", "length", "modificationTime")
+            .filter(F.col("file_name").rlike(r"^[A-Za-z0-9]+_tripdata_\d{4}-\d{2}\.parquet$")))
+
+
 def landing_listing(spark: SparkSession, root: str) -> DataFrame:
-    """Landed monthly units (taxi_type, month, path, size, mtime); content is not read.
+    """Landed monthly units (taxi_type, month, path, size, mtime, fingerprint); content is not read.
 
     A unit is a ``*_tripdata_YYYY-MM.parquet`` file, a directory of that name
     holding part files (what a Spark writer produces), or a Hive landing
-    directory ``taxi_type=T/file_month=M``; sizes are summed per unit."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .option("recursiveFileLookup", "true").load(root)
-             .select("path", "length", "modificationTime"))
-    unit_path, unit_name = _unit(F.col("path"), F.element_at(F.split("path", "/"), -1))
-    units = (files.select(unit_path.alias("path"), unit_name.alias("file_name"), "length",
-                          "modificationTime")
-                  .filter(F.col("file_name").rlike(r"^[A-Za-z0-9]+_tripdata_\d{4}-\d{2}\.parquet$"))
-                  .groupBy("path", "file_name")
-                  .agg(F.sum("length").alias("size_bytes"),
-                       F.max("modificationTime").alias("modificationTime")))
-    return units.select("path", "file_name", "size_bytes", "modificationTime",
+    directory ``taxi_type=T/file_month=M``; sizes are summed per unit.  The
+    fingerprint tells any added, removed or rewritten file, in whatever order
+    the files are listed."""
+    one = F.xxhash64("path", "length", F.unix_micros("modificationTime"))
+    units = (landed_files(spark, root).groupBy(F.col("unit").alias("path"), "file_name")
+             .agg(F.sum("length").alias("size_bytes"), F.max("modificationTime").alias("modificationTime"),
+                  F.concat_ws("-", F.count(F.lit(1)), F.hex(F.bit_xor(one))).alias("fingerprint")))
+    return units.select("path", "file_name", "size_bytes", "modificationTime", "fingerprint",
                         F.regexp_extract("file_name", FILE_RE_TYPE, 1).alias("taxi_type"),
                         F.regexp_extract("file_name", FILE_RE_MONTH, 1).alias("month"))
 
 
+FOOTER = "path string, row_count bigint, columns array<string>, error string"
+
+
+def _open_local_or_remote(path: str):
+    """(pyarrow file system, path on it); listed paths are not percent-encoded."""
+    from pyarrow import fs
+
+    if path.startswith("file:") or "://" not in path:
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    scheme, rest = path.split("://", 1)
+    return fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}://{rest}")
+
+
+def footers(files: DataFrame) -> DataFrame:
+    """FOOTER of every file of ``files`` (path): its own row count and its own
+    columns in order, empty files with 0.
+
+    The paths are dealt to tasks, which read each footer by itself; ``error``
+    says why one could not be read, the other columns are null then."""
+    spark = files.sparkSession
+
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for b in batches:
+            rows = []
+            for path in b.column("path").to_pylist():
+                try:
+                    f, inner = _open_local_or_remote(path)
+                    with f.open_input_file(inner) as file:
+                        meta = pq.read_metadata(file)
+                    rows.append((path, meta.num_rows, meta.schema.to_arrow_schema().names, None))
+                except Exception as e:  # noqa: BLE001 - told apart by the caller
+                    rows.append((path, None, None, f"{type(e).__name__}: {e}"[:500]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.list_(pa.string()), pa.string()))],
+                ["path", "row_count", "columns", "error"]) if rows else pa.RecordBatch.from_pylist(
+                [], pa.schema([("path", pa.string()), ("row_count", pa.int64()), ("columns", pa.list_(pa.string())), ("error", pa.string())]))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return files.select("path").repartition(parts).mapInArrow(read, FOOTER)
+
+
+def footers_anyhow(files: DataFrame) -> DataFrame:
+    """``footers``, and for files in a store that only Spark reaches Spark's own
+    look at each (from the driver, a file at a time); what neither can read keeps its error."""
+    spark = files.sparkSession
+    shared_root(spark)
+    got = footers(files).checkpoint(eager=True)               # a row a file, read once
+    rows = []
+    for r in got.filter("error IS NOT NULL").collect():
+        try:
+            df = spark.read.parquet(r.path)
+            rows.append((r.path, df.count(), df.columns, None))
+        except Exception as e:  # noqa: BLE001 - reported with the file
+            rows.append((r.path, None, None, str(e).splitlines()[0][:500]))
+    return got.filter("error IS NULL").unionByName(spark.createDataFrame(rows, FOOTER)) if rows else got
+
+
 def file_stats(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Row count and size per parquet file in ONE scan that reads no column
-    (row counts come from the footers), plus the scanned column names."""
-    df = spark.read.parquet(*list(paths))
-    cols = F.array(*[F.lit(c) for c in df.columns])
-    return (df.select(F.col("_metadata.file_name").alias("file_name"),
-                      F.col("_metadata.file_size").alias("size_bytes"))
-              .groupBy("file_name", "size_bytes").agg(F.count(F.lit(1)).alias("row_count"))
-              .withColumn("columns", cols))
-
-
-def unit_stats(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Row count and bytes per monthly unit (file or directory of parts), one
-    footer-only scan over all of them."""
-    df = spark.read.parquet(*list(paths))
-    cols = F.array(*[F.lit(c) for c in df.columns])
-    unit_path, _ = _unit(F.col("_metadata.file_path"), F.col("_metadata.file_name"))
-    per_file = (df.select(unit_path.alias("path"), F.col("_metadata.file_path").alias("f"),
-                          F.col("_metadata.file_size").alias("size"))
-                  .groupBy("path", "f", "size").agg(F.count(F.lit(1)).alias("n")))
-    return (per_file.groupBy("path").agg(F.sum("n").alias("row_count"),
-                                         F.sum("size").alias("size_bytes"))
-                    .withColumn("columns", cols))
+    """S3: (file_name, size_bytes, row_count, columns, error) of each parquet file
+    under ``paths``, from its own footer; files may differ in their columns."""
+    files = _listed(spark, paths)
+    return (files.join(footers_anyhow(files), "path")
+            .select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("size_bytes"),
+                    "row_count", "columns", "error"))
+
+
+def unit_stats(spark: SparkSession, paths: Iterable[str], files: DataFrame | None = None) -> DataFrame:
+    """(path, row_count, size_bytes, columns) per monthly unit (file or directory of parts).
+
+    Columns are those of the unit's files in order of their first appearance; a
+    unit with a file whose footer cannot be read has no row count."""
+    if files is None:
+        unit_path, _ = _unit(F.col("path"), F.element_at(F.split("path", "/"), -1))
+        files = _listed(spark, paths).select(unit_path.alias("unit"), "path", "length")
+    seen = files.select("unit", "path", "length").join(footers_anyhow(files), "path")
+    return (seen.groupBy(F.col("unit").alias("path"))
+            .agg(F.when(F.count("error") == 0, F.sum("row_count")).alias("row_count"), F.sum("length").alias("size_bytes"),
+                 F.array_distinct(F.flatten(F.sort_array(F.collect_set("columns")))).alias("columns")))
 
 
 # -- S5: manifest ---------------------------------------------------------------
@@ -160,6 +231,8 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def record(entries: DataFrame, path: str) -> None:
     """Append recordings (never rewrite history)."""
+    if "fingerprint" not in entries.columns:
+        entries = entries.withColumn("fingerprint", F.lit(None).cast("string"))
     entries.select(*[f.name for f in MANIFEST_SCHEMA.fields]).write.mode("append").parquet(path)
 
 
@@ -216,30 +289,85 @@ def availability(requested: DataFrame, landed: DataFrame, fail_fast: bool = Fals
     return out
 
 
+def load_decisions(requested: DataFrame, units: DataFrame, manifest: DataFrame, force: bool = False) -> DataFrame:
+    """What to do with each requested month, before any of its files is opened.
+
+    ``decision`` is ``missing`` (not landed), ``known`` (recorded, and its files are
+    as they were; a recording without fingerprint counts as such), ``changed``
+    (landed anew since) or ``new``; ``load`` says whether to read it."""
+    known = manifest.select(*KEYS, F.col("fingerprint").alias("_was"), F.col("row_count").alias("_rows"), F.lit(True).alias("_known"))
+    plan = requested.join(units.select(*KEYS, "path", "size_bytes", "fingerprint"), KEYS, "left").join(known, KEYS, "left")
+    decision = (F.when(F.col("path").isNull(), "missing").when(F.col("_known").isNull(), "new")
+                .when(F.col("_was") != F.col("fingerprint"), "changed").otherwise("known"))
+    return (plan.withColumn("decision", decision)
+            .select("pos", *KEYS, "path", "size_bytes", "fingerprint", "decision",
+                    F.col("decision").isin("new", "changed") | ((F.col("decision") == "known") & F.lit(force)),
+                    F.when(F.col("decision") == "known", F.col("_rows")).alias("recorded_rows"))
+            .toDF("pos", *KEYS, "path", "size_bytes", "fingerprint", "decision", "load", "recorded_rows"))
+
+
 def ingest(spark: SparkSession, landing_root: str, manifest_path: str,
            requested: DataFrame, force: bool = False) -> DataFrame:
     """S4-S6 end to end: plan the requested months against the landing zone
     and the manifest, record the newly loaded months (append), return the plan.
 
-    ``requested`` has (pos, taxi_type, month).  Row counts and sizes come from
-    one footer-only scan of the landed units; nothing is downloaded."""
-    units = landing_listing(spark, landing_root)
-    paths = [r.path for r in units.select("path").collect()]   # the listing: one path per month
-    if paths:
-        stats = unit_stats(spark, paths)
-        landed = (units.select("path", "taxi_type", "month").join(stats, "path")
-                       .select("taxi_type", "month", "path", "row_count", "size_bytes", "columns"))
-    else:
-        landed = spark.createDataFrame([], "taxi_type string, month string, path string, "
-                                           "row_count bigint, size_bytes bigint, columns array<string>")
+    ``requested`` has (pos, taxi_type, month).  Months that are recorded and
+    unchanged are left alone: their files are listed, never opened, and their row
+    counts are the recorded ones.  A month with a file that cannot be read is
+    planned without a row count and not recorded, so that it is tried again."""
+    shared_root(spark)
     manifest = manifest_latest(read_manifest(spark, manifest_path))
-    plan = ingest_plan(requested, landed.drop("path", "columns"), manifest, force)
-    new = (plan.filter(F.col("landed") & ~F.col("skipped"))
-               .join(landed.select("taxi_type", "month", "path", "columns"), KEYS)
+    decisions = load_decisions(requested, landing_listing(spark, landing_root), manifest, force).checkpoint(eager=True)
+    load = decisions.filter("load").select(F.col("path").alias("unit"))
+    files = landed_files(spark, landing_root).select("unit", "path", "length").join(load, "unit", "left_semi")
+    stats = unit_stats(spark, [], files).select("path", "row_count", "columns")
+    full = decisions.join(stats, "path", "left").checkpoint(eager=True)
+    new = (full.filter(F.col("load") & F.col("row_count").isNotNull())
                .select("month", "taxi_type", F.col("path").alias("file"), "size_bytes", "row_count",
-                       "columns", F.localtimestamp().alias("ingested_at")))
+                       "columns", F.localtimestamp().alias("ingested_at"), "fingerprint"))
     record(new, manifest_path)
-    return plan
+    return full.select("pos", *KEYS, (F.col("decision") != "missing").alias("landed"),
+                       ((F.col("decision") == "known") & ~F.col("load")).alias("skipped"),
+                       F.coalesce("row_count", "recorded_rows").alias("row_count"), "size_bytes", "decision")
+
+
+def audit_units(spark: SparkSession, schemas: dict[Unit, T.StructType]) -> dict[Unit, str]:
+    """B2: the units whose rows cannot all be read, and why.
+
+    One pass decodes every column of every unit with unreadable rows skipped, and
+    holds the rows seen in each file against the count in its footer (files without
+    a readable footer count as broken).  Only broken files reach the driver."""
+    found: dict[str, str] = {}
+    key, old = "spark.sql.files.ignoreCorruptFiles", spark.conf.get("spark.sql.files.ignoreCorruptFiles", "false")
+    groups: dict[tuple, list[Unit]] = {}
+    for u, schema in schemas.items():
+        groups.setdefault(tuple((f.name, f.dataType) for f in schema.fields), []).append(u)
+    shared_root(spark)
+    for units in groups.values():
+        files = _listed(spark, [u.path for u in units])
+        spark.conf.set(key, "true")
+        try:
+            rows = spark.read.schema(schemas[units[0]]).parquet(*[u.path for u in units])
+            decoded = F.bit_xor(F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in rows.columns]))
+            seen = (rows.groupBy(F.col("_metadata.file_path").alias("url"))
+                    .agg(F.count(F.lit(1)).alias("seen"), decoded.alias("_")).checkpoint(eager=True))
+        finally:
+            spark.conf.set(key, old)
+        # the scan's paths are percent-encoded, the listing's are not
+        name = F.regexp_replace(F.url_decode(F.replace("url", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+        joined = (footers_anyhow(files).withColumn("name", F.regexp_replace("path", "^file:/+", "file:/"))
+                  .join(seen.select(name.alias("name"), "seen"), "name", "left"))
+        broken = joined.filter("error IS NOT NULL OR coalesce(seen, 0) <> row_count")
+        for r in broken.collect():
+            found[r.path] = r.error or f"{r.seen or 0} of {r.row_count} rows could be read"
+    plain = {re.sub("^file:/+", "/", p): why for p, why in found.items()}
+    out = {}
+    for u in schemas:
+        at = re.sub("^file:/+", "/", u.path).rstrip("/")
+        why = next((w for p, w in plain.items() if p == at or p.startswith(at + "/")), None)
+        if why:
+            out[u] = why
+    return out
 
 
 # -- C32 per file: schema drift of every landed month --------------------------------
