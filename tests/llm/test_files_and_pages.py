@@ -206,7 +206,7 @@ def test_tree_matching_prefers_equal_text():
 def test_queries_match_their_sql(spark):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     for name, sql in oracle.oracle_sql().items():
         got = queries.queries()[name](spark, SF)

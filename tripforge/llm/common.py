@@ -10,6 +10,7 @@ import os
 import uuid
 from urllib.parse import unquote, urlparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,42 @@ def keys() -> Column:
     return F.monotonically_increasing_id()
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``: a unique number for each row, the same whenever the
+    rows are read again: its file (numbered by a hash of the path, of which there
+    are as many as files) and its place in it.  Rows that are not read straight
+    from Parquet are written first."""
+    spark = docs.sparkSession
+    try:
+        m = docs.metadataColumn("_metadata")
+        placed = docs.withColumn("__file", F.xxhash64(m["file_path"])).withColumn("__at", m["row_index"])
+    except AnalysisException:
+        return numbered(staged(docs, "rows"))
+    files = sorted(r[0] for r in placed.select("__file").distinct().collect())
+    numbers = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "__file long, __no long")
+    return (placed.join(F.broadcast(numbers), "__file")
+            .withColumn("__row", F.shiftleft("__no", 40) + F.col("__at")).drop("__file", "__no", "__at"))
+
+
+def bits_of(rows: DataFrame) -> DataFrame:
+    """(__bucket, __bits): the set of ``__row`` numbers as bitmaps, a bit for each row of a file."""
+    at = F.col("__row") + 1
+    return rows.groupBy(F.bitmap_bucket_number(at).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("__bits"))
+
+
+def marked(docs: DataFrame, bits: DataFrame, name: str) -> DataFrame:
+    """``docs`` (numbered) with the boolean column ``name``: is the row in the set?
+
+    What is joined is a bit for each row, not a key, so that texts stay where they
+    are for sixty times as many rows before Spark prefers to shuffle."""
+    at = F.bitmap_bit_position(F.col("__row") + 1)
+    byte = F.conv(F.hex(F.substring("__bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return (docs.withColumn("__bucket", F.bitmap_bucket_number(F.col("__row") + 1)).join(bits, "__bucket", "left")
+            .withColumn(name, hit).drop("__bucket", "__bits"))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """As many partitions as the session deals shuffles to: by ``keys``, or
     evenly without any (a list of files, each of which is work for a task)."""

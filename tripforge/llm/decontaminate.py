@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import keys, staged
+from tripforge.llm.common import bits_of, marked, numbered, staged
 from tripforge.llm.hashing import ODD, hash_words, mixed
 
 # Fixed masks.  The places fall into four groups of three, and each mask ignores two
@@ -257,7 +257,7 @@ def _hits(b: pd.DataFrame, masks: list[str], bits: np.ndarray):
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows without a verified overlap, with the columns they came with; each
     row is judged by its own text, whatever other rows of its ``doc_id`` hold."""
-    keyed = staged(docs.withColumn("__row", keys()), "keyed")
+    keyed = numbered(docs)
     rows = keyed.select(F.col("__row").alias("doc_id"), "text")
-    bad = staged(overlaps(rows, benchmark, **options).select(F.col("doc_id").alias("__row")).distinct(), "leaks")
-    return keyed.join(bad, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    bad = staged(bits_of(overlaps(rows, benchmark, **options).select(F.col("doc_id").alias("__row"))), "leaks")
+    return marked(keyed, bad, "__leaks").filter("NOT __leaks").select(*[F.col(f"`{c}`") for c in docs.columns])

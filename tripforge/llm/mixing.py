@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import staged, text_of, words_of
+from tripforge.llm.common import bits_of, marked, numbered, staged, text_of, words_of
 
 CYCLE = (1.0, 2.0, 3.0)
 
@@ -59,16 +59,18 @@ def water_fill(totals: DataFrame, budget: float | None = None, max_epochs: float
 
 
 def mix_plan(docs: DataFrame, weights: DataFrame | None = None, budget: float | None = None,
-             max_epochs: float = 3.0, seed: int = 17, bins: int = 4096, key: str = "doc_id") -> DataFrame:
+             max_epochs: float = 3.0, seed: int = 17, bins: int = 4096, key: str = "doc_id",
+             order_by: str | None = None) -> DataFrame:
     """(key, source, size, source_size, target, taken): one row per document.
 
     ``weights``: (source, weight) by source name; None gives 1, 2, 3, repeating.
     ``taken`` counts words; ``taken // size`` whole repetitions and the first
-    ``taken % size`` words of one more."""
+    ``taken % size`` words of one more.  The sample's order is a hash of
+    ``order_by`` (else of the key)."""
     sizes = staged(docs.select(
         F.col(key), F.col("source").cast("string").alias("source"),
         F.size(words_of(text_of())).cast("long").alias("size"),
-        F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))).alias("order")).withColumn(
+        F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(order_by or key).cast("string"))).alias("order")).withColumn(
             "bin", F.conv(F.substring("order", 1, 8), 16, 10).cast("long") % bins), "sizes")
     bin_sums = staged(sizes.groupBy("source", "bin").agg(F.sum("size").alias("words")), "bins")
     totals = staged(bin_sums.groupBy("source").agg(F.sum("words").alias("source_size")), "sources")
@@ -112,26 +114,21 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, with the columns of ``docs``: every document as many
     times as it is taken whole, and the document at a source's edge once more
     with its first words (joined by one space)."""
-    plan = mix_plan(docs, **options)
-    # rows of one id and size share their id's words
-    taken = plan.filter("size > 0").groupBy("doc_id", "source", "size").agg(
-        F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("rows"))
-    taken = staged(taken.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"),
-                                F.col("size").alias("__size"), F.col("taken").alias("__taken"),
-                                F.col("rows").alias("__rows")).filter("__taken > 0"), "taken")
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    sized = docs.withColumn("__n", F.size(words_of(text_of())).cast("long"))
-    mine = sized.join(taken, sized["doc_id"].eqNullSafe(F.col("__id"))
-                      & sized["source"].cast("string").eqNullSafe(F.col("__source"))
-                      & (F.col("__n") == F.col("__size")))
-    once = mine.filter("__rows = 1")
-    # rows that repeat an id are taken one after the other
-    again = mine.filter("__rows > 1").withColumn("__i", F.row_number().over(
-        Window.partitionBy("__id", "__source", "__size").orderBy("text")) - 1).withColumn(
-        "__taken", F.expr("__taken div __rows + IF(__i = 0, __taken % __rows, 0)")).drop("__i")
-    reps = F.expr("CAST(__taken div __size AS INT)")
-    part = F.expr("CAST(__taken % __size AS INT)")
-    copies = F.concat(F.array_repeat(F.lit(0), reps), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    out = once.unionByName(again).withColumn("__part", F.explode(copies))
+    rows = numbered(docs)
+    plan = mix_plan(rows, key="__row", order_by="doc_id", **options).filter("size > 0 AND target > 0")
+    whole = F.floor(F.col("target") / F.col("source_size")).cast("long")
+    plan = staged(plan.select("__row", "source", "size", whole.alias("whole"),
+                              (F.col("taken") - whole * F.col("size")).alias("more")), "taken")
+    # whole repetitions hang on the source, one more is a bit of the row, and a
+    # source has at most one document of which only the first words are taken
+    sources = staged(plan.groupBy(F.col("source").alias("__source")).agg(F.first("whole").alias("__whole")), "repetitions")
+    once_more = staged(bits_of(plan.filter("more = size").select("__row")), "once-more")
+    parts = staged(plan.filter("more > 0 AND more < size").select("__row", F.col("more").cast("int").alias("__more")), "parts")
+    mine = rows.join(sources, rows["source"].cast("string").eqNullSafe(F.col("__source"))).drop("__source")
+    mine = marked(mine, once_more, "__again").join(parts, "__row", "left")
+    copies = F.concat(F.array_repeat(F.lit(0), F.col("__whole").cast("int") + F.col("__again").cast("int")),
+                      F.when(F.col("__more").isNotNull(), F.array("__more")).otherwise(F.array().cast("array<int>")))
+    out = mine.filter(text_of().rlike(r"[^\x20\x09-\x0D]")).withColumn("__part", F.explode(copies))
     head = F.array_join(F.slice(words_of(text_of()), 1, F.greatest(F.col("__part"), F.lit(1))), " ")
+    cols = [F.col(f"`{c}`") for c in docs.columns]
     return out.withColumn("text", F.when(F.col("__part") > 0, head).otherwise(F.col("text"))).select(*cols)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import keys, staged
+from tripforge.llm.common import bits_of, marked, numbered, staged
 from tripforge.llm.components import components
 
 SEED = 42
@@ -180,10 +180,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, tile: int = 409
     id last; of equal ids, and of rows without id, the one that hashes lowest.
     Rows are told apart by a key of their own, never by ``doc_id``."""
     plain = [f"`{c}`" for c, t in docs.dtypes if "map<" not in t]      # maps have no hash
-    keyed = staged(docs.withColumn("__hash", F.xxhash64(*plain)).withColumn("__row", keys()), "keyed")
-    fp = staged(fingerprints(keyed, shingle, ("doc_id", "__hash", "__row")), "fingerprints")
+    keyed = numbered(docs)
+    hashed = keyed.withColumn("__hash", F.xxhash64(*plain))
+    fp = staged(fingerprints(hashed, shingle, ("doc_id", "__hash", "__row")), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash", "__row"))
     reps = staged(fp.groupBy("fp").agg(first.alias("first")), "distinct")
-    kept = staged(_with_component(reps, radius, tile).groupBy("component").agg(F.min("first").alias("first"))
-                  .select("first.__row"), "kept")
-    return keyed.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = staged(bits_of(_with_component(reps, radius, tile).groupBy("component").agg(F.min("first").alias("first"))
+                          .select("first.__row")), "kept")
+    return marked(keyed, kept, "__kept").filter("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
