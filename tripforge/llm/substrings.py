@@ -113,10 +113,16 @@ class Block:
         """Which windows are estimated repeated, from the answers."""
         out = np.ones(len(self.at), bool)
         bits = np.uint64(max(1, len(self.at).bit_length()))
+        fits = int(bits) + (total - 1).bit_length() <= 64
         for row in range(ROWS):
-            # counter and place in one number: the fastest way to sort both
-            v = np.sort((self.counters(row, total) << bits) | np.arange(len(self.at), dtype=np.uint64))
-            c, place = v >> bits, (v & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+            c = self.counters(row, total)
+            if fits:
+                # counter and place in one number: the fastest way to sort both
+                v = np.sort((c << bits) | np.arange(len(self.at), dtype=np.uint64))
+                c, place = v >> bits, (v & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+            else:
+                place = np.argsort(c, kind="stable")
+                c = c[place]
             new = np.concatenate(([True], c[1:] != c[:-1]))
             nth = np.cumsum(new) - 1
             out[place] &= (met[row] | (np.diff(np.append(np.flatnonzero(new), len(c))) > 1))[nth]
