@@ -28,7 +28,9 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -38,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import text_of
+from tripforge.llm.common import staged, text_of
 
 # Fixed patterns: the kinds, and the group and length that a match must have.
 PATTERNS = (
@@ -207,12 +209,12 @@ class Scorer:
         return got
 
     def spans(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-        covered, out, i = sorted((s, e) for s, _, e in base), [], 0
+        spans, out = sorted((s, e) for s, _, e in base), []
+        # where base spans start, and how far those up to each of them reach
+        covered = [s for s, _ in spans], list(itertools.accumulate((e for _, e in spans), max))
         classes = text.translate(CLASSES)
         for m in CANDIDATE.finditer(classes):
-            while i < len(covered) and covered[i][1] <= m.start():
-                i += 1
-            self._score(classes, m.start(), m.end(), covered[i:i + 8] if i < len(covered) else (), 0, out)
+            self._score(classes, m.start(), m.end(), covered, 0, out)
         return out
 
     def _score(self, classes: str, s: int, e: int, covered, level: int, out: list) -> None:
@@ -220,7 +222,8 @@ class Scorer:
         a, z = s + len(run) - len(run.lstrip(".=")), e - len(run) + len(run.rstrip("."))
         if z - a < LEAST:
             return
-        if not any(x < z and a < y for x, y in covered) and self.accepts(classes[a:z]):
+        before = bisect.bisect_left(covered[0], z)
+        if not (before and covered[1][before - 1] > a) and self.accepts(classes[a:z]):
             out.append((a, z))
             return
         for level in range(level, len(PARTS)):
@@ -264,7 +267,12 @@ def labelled(docs: DataFrame, sample: int = 2000, seed: int = 17) -> tuple[dict[
                 if m:
                     rows.append(("words", m[0]))
             yield pd.DataFrame(rows, columns=["kind", "value"])
-    found = docs.select(text_of().alias("text")).mapInPandas(run, "kind string, value string").distinct()
+    found = staged(docs.select(text_of().alias("text")).mapInPandas(run, "kind string, value string").distinct(), "labelled")
+    # hashes are even: those below twice the wanted share hold the smallest ``sample``,
+    # and no task sorts more than them
+    share = F.xxhash64(F.lit(seed), "value") / F.lit(2.0 ** 64) + F.lit(0.5)
+    counts = found.groupBy("kind").agg((F.lit(2.0 * sample + 100) / F.count(F.lit(1))).alias("wanted"))
+    found = found.join(counts, "kind").filter(share <= F.col("wanted")).drop("wanted")
     pick = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64(F.lit(seed), "value"), "value"))
     rows = found.withColumn("n", pick).filter(F.col("n") <= sample).select("kind", "value").collect()
     by = {}
