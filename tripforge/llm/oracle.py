@@ -61,7 +61,7 @@ def _quality() -> str:
            f" OR (length(l) <= {r.menu_chars} AND regexp_matches(l, {text(quality.MENU)}))"
            f" OR (length(l) <= {r.boilerplate_chars} AND regexp_matches(l, {text(quality.BOILERPLATE)}))"
            f" OR length(regexp_replace(l, '[^#*$%&|<>]+', '', 'g')) > length(l) * CAST({r.max_symbol_share} AS DOUBLE)"
-           f" OR ({n} < {r.min_line_words} AND NOT regexp_matches(right(l, {r.closing_chars}), {text(quality.CLOSED)}))")
+           f" OR ({n} < {r.min_line_words} AND NOT regexp_matches(l, {text(quality.CLOSED)}))")
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
      s AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),

@@ -33,12 +33,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import text_of, words_of
+from tripforge.llm.common import ASCII_SPACE, text_of, words_of
 
 SYMBOLS = "#*$%&|<>"
 SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 HAS_WORD = r"[^\x20\x09-\x0D]"
 CLOSED = r"""[.!?:;…。！？]["'”’»)\]]*[\x20\x09-\x0D]*$"""
+CLOSERS, QUOTES = ".!?:;…。！？", "\"'”’»)]"      # the parts of CLOSED
 SEPARATORS = r"[\x20\x09-\x0D][|»›>•·][\x20\x09-\x0D][^\n]*[\x20\x09-\x0D][|»›>•·][\x20\x09-\x0D]"
 MENU = (
     r"(?i)^[\x20\x09-\x0D]*(?:home|menu|next|previous|back|back to top|skip to content|read more|more|share|tweet|reply|"
@@ -55,7 +56,6 @@ class QualityRules:
     min_line_words: int = 5
     boilerplate_chars: int = 200      # a stock phrase condemns lines up to this long
     menu_chars: int = 30              # as does a menu phrase
-    closing_chars: int = 8            # where closing punctuation is looked for
     max_symbol_share: float = 0.10
     max_lost_share: float = 0.50
 
@@ -64,6 +64,13 @@ def _symbols(c: Column) -> Column:
     return F.length(F.regexp_replace(c, f"[^{SYMBOLS}]+", ""))
 
 
+def _closed(line: Column) -> Column:
+    """CLOSED, without a search through the line: white space, then closing quotes
+    are cut off its end, and the last character is looked at."""
+    bare = F.rtrim(F.rtrim(line, F.lit(ASCII_SPACE)), F.lit(QUOTES))
+    return (F.length(bare) > 0) & (F.instr(F.lit(CLOSERS), F.right(bare, F.lit(1))) > 0)
+
+
 def _lost(line: Column, has_symbols: Column, rules: QualityRules) -> Column:
     """Words that go with this line: all of them if a rule removes it, else 0.
 
@@ -75,7 +82,7 @@ def _lost(line: Column, has_symbols: Column, rules: QualityRules) -> Column:
                    | ((size <= rules.menu_chars) & line.rlike(MENU))
                    | ((size <= rules.boilerplate_chars) & line.rlike(BOILERPLATE))
                    | (has_symbols & (_symbols(line) > size * F.lit(rules.max_symbol_share))), n)
-            .when(~F.right(line, F.lit(rules.closing_chars)).rlike(CLOSED) & (n < rules.min_line_words), n)
+            .when(~_closed(line) & (n < rules.min_line_words), n)
             .otherwise(F.lit(0).cast("long")))
 
 
