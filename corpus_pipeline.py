@@ -6,6 +6,12 @@ reads them again for the next.  All but the last return the columns of
 ``documents``; the last returns one row per document of the token files, in
 their order (``start`` counts the ids of all documents before it).
 
+No stage moves or copies texts but the last, which deals them by id: near-dedup,
+decontamination and mix tell rows apart by their place in the files of the stage
+before and join a bit for each row.  Documents that the quality rules keep go on
+whole: their failing lines count against them, but later stages compare, and the
+token files hold, the texts as they came.
+
 An empty table passes through as one.  Repeated ids and extra columns are
 handled as the operators' docstrings say.
 """
