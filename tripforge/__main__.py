@@ -40,6 +40,7 @@ def main(argv=None) -> int:
         if name == "run":
             s.add_argument("--out", required=True)
             s.add_argument("--fail-fast", action="store_true")
+            s.add_argument("--versioned", action="store_true", help="publish as a snapshot (sources/snapshots.py)")
             # outlier thresholds (the reference reads these from its settings)
             d = Thresholds()
             s.add_argument("--min-trip-duration-min", type=float, default=d.min_trip_duration_min)
@@ -65,7 +66,7 @@ def main(argv=None) -> int:
                                 args.max_trip_speed_mph, args.min_fare_amount,
                                 args.min_passenger_count)
         res = run_range(spark, args.landing, args.out, start, end, thresholds=thresholds,
-                        fail_fast=args.fail_fast, taxi_type=args.taxi_type)
+                        fail_fast=args.fail_fast, versioned=args.versioned, taxi_type=args.taxi_type)
         if res is None:
             print("no months processed", file=sys.stderr)
             return 1

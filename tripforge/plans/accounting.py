@@ -101,6 +101,24 @@ def pipeline_stats(raw: DataFrame, contract: Contract = TRIP_CONTRACT,
     return PipelineStats(days=days, failures=failures, drops=drops)
 
 
+def fold(stats: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(months, failures, drops) of a run's counters (taxi_type, file_month,
+    pickup_date, kind, key, n), of any months: counters of several runs over
+    different months fold like those of one run."""
+    kinds = ["valid_rows", "feature_rows", "quarantined_rows"]
+    days = (stats.filter(F.col("kind").isin(*kinds))
+                 .groupBy(*MONTH_KEYS, "pickup_date").pivot("kind", kinds).agg(F.sum("n"))
+                 .na.fill(0, kinds))
+    days = days.select(*MONTH_KEYS, "pickup_date",
+                       (F.col("valid_rows") + F.col("quarantined_rows")).alias("raw_rows"),
+                       "valid_rows", "feature_rows")
+    failures = (stats.filter(F.col("kind") == "rule")
+                     .select(*MONTH_KEYS, F.col("key").alias("rule"), "n"))
+    drops = (stats.filter(F.col("kind") == "drop")
+                  .groupBy(*MONTH_KEYS, F.col("key").alias("reason")).agg(F.sum("n").alias("n")))
+    return month_totals(days), failures, drops
+
+
 def month_totals(days: DataFrame) -> DataFrame:
     """Fold day rows into one accounting row per month."""
     m = days.groupBy(*MONTH_KEYS).agg(

@@ -26,6 +26,7 @@ from tripforge.plans import accounting as A
 from tripforge.session import apply_engine_conf, scratch_path
 from tripforge.sources import landing as L
 from tripforge.sources import sinks as S
+from tripforge.sources import snapshots as V
 from tripforge.sources.fixtures import read_table, trips
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +147,57 @@ def q_report_json_roundtrip(spark, sf):
     return S.read_report(spark, path, REPORT_SCHEMA)
 
 
+TRANSFORM_SCHEMA = ("taxi_type string, file_month string, input_rows bigint, output_rows bigint, dropped_rows bigint, "
+                    "output_pct double, feature_columns array<string>, n_partitions bigint")
+SUMMARY_SCHEMA = "months_processed bigint, raw_rows bigint, feature_rows bigint, summary_json string"
+
+
+def q_report_transform_roundtrip(spark, sf):
+    r = _pipeline_run(spark, sf)
+    report = S.read_report(spark, f"{r.out_root}/reports/transform/run_id={r.run_id}", TRANSFORM_SCHEMA)
+    return report.withColumn("feature_columns", F.array_join("feature_columns", ","))
+
+
+def q_report_summary_roundtrip(spark, sf):
+    r = _pipeline_run(spark, sf)
+    return S.read_report(spark, f"{r.out_root}/reports/run_summary/run_id={r.run_id}", SUMMARY_SCHEMA)
+
+
+def _stored_json(report: DataFrame, name: str) -> DataFrame:
+    """A report written as JSON and read back with the types it had."""
+    path = scratch_path(report.sparkSession, name)
+    S.write_report(report, path)
+    return S.read_report(report.sparkSession, path, report.schema)
+
+
+def q_stored_run_totals(spark, sf):
+    from tripforge.plans.pipeline import stored_totals
+    return stored_totals(spark, _pipeline_run(spark, sf).out_root)
+
+
+def _snapshots(spark, sf) -> tuple[str, int, int]:
+    """Three months published, then the second anew without its odd trips:
+    (root, version before, version after)."""
+    from tripforge.plans.pipeline import publish_months
+    key = (id(spark), sf, "snapshots")
+    if key not in _RUNS:
+        root, raw = scratch_path(spark, "snapshots"), _trips(spark, sf)
+        _, first = publish_months(spark, raw, root, [("yellow", f"2024-0{m}") for m in (1, 2, 3)])
+        _, second = publish_months(spark, raw.filter("trip_id % 2 = 0"), root, [("yellow", "2024-02")])
+        _RUNS[key] = (root, first.version, second.version)
+    return _RUNS[key]
+
+
+def q_snapshot_features(spark, sf):
+    root, _, now = _snapshots(spark, sf)
+    return widen(V.read(spark, root, "features", now))
+
+
+def q_snapshot_before(spark, sf):
+    root, before, _ = _snapshots(spark, sf)
+    return V.read(spark, root, "quarantine", before)
+
+
 # -- generic operators on the other tables -------------------------------------------
 CUSTOMER_CONTRACT = Contract(rules=(R.ge("c_acctbal", 0), R.not_nullable("c_mktsegment")))
 LINEITEM_ORDERS_CONTRACT = Contract(rules=(R.before("l_shipdate", "o_orderdate", "lt_orderdate"),))
@@ -276,6 +328,14 @@ def queries() -> dict[str, Query]:
         "sink_quarantine_roundtrip": q_sink_quarantine_roundtrip,
         "sink_partitioned_roundtrip": q_sink_partitioned_roundtrip,
         "report_json_roundtrip": q_report_json_roundtrip,
+        "report_transform_roundtrip": q_report_transform_roundtrip,
+        "report_summary_roundtrip": q_report_summary_roundtrip,
+        "report_digest_roundtrip": lambda s, sf: (lambda st: _stored_json(RP.dq_digest(
+            st.months(), st.failures, st.drops), "digest"))(_stats(s, sf)),
+        "report_profile_roundtrip": lambda s, sf: _stored_json(P.profile(read_table(s, sf, "orders")), "profile"),
+        "stored_run_totals": q_stored_run_totals,
+        "snapshot_features": q_snapshot_features,
+        "snapshot_before": q_snapshot_before,
         # profile
         "profile_dtypes": lambda s, sf: P.dtypes(_trips(s, sf)),
         "profile_nulls": lambda s, sf: P.null_fractions(_trips(s, sf)),

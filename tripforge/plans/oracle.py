@@ -345,7 +345,16 @@ FROM req r LEFT JOIN ({LANDED}) l ON l.month = r.month AND l.taxi_type = r.taxi_
     q["sink_valid_roundtrip"] = B + "SELECT * FROM valid"
     q["sink_quarantine_roundtrip"] = B + "SELECT * FROM quarantined"
     q["sink_partitioned_roundtrip"] = B + f"SELECT {feat_cols} FROM features"
+    q["snapshot_features"] = B + f"SELECT {feat_cols} FROM features WHERE file_month <> '2024-02' OR trip_id % 2 = 0"
+    q["snapshot_before"] = q["sink_quarantine_roundtrip"]
     q["report_json_roundtrip"] = q["validation_report"]
+    # a run's own reports list the columns of the table that it wrote: partitions last
+    stored = ["trip_id"] + RAW_COLS + [c for c in FEATURE_COLS if c != "pickup_date"] + ["taxi_type", "file_month", "pickup_date"]
+    listed = ["trip_id"] + RAW_COLS + ["taxi_type", "file_month"] + FEATURE_COLS
+    q["report_transform_roundtrip"] = q["transform_report"].replace(",".join(listed), ",".join(stored))
+    q["report_summary_roundtrip"] = q["run_summary"].replace(fcols, ", ".join(f"'{c}'" for c in stored))
+    q["report_digest_roundtrip"] = q["dq_digest"]
+    q["stored_run_totals"] = q["run_totals"]
     q["head_sample"] = B + "SELECT * FROM trips ORDER BY trip_id LIMIT 100"
     q["profile_dtypes"] = B + """, d AS (SELECT column_name, column_type,
         row_number() OVER () - 1 AS pos
@@ -376,4 +385,5 @@ FROM d"""
     q["top_reasons_by_flag"] = ("SELECT l_returnflag, rule, n, CAST(rank AS INTEGER) AS rank FROM ("
                                 "SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY n DESC, rule) AS rank FROM ("
                                 + q["failure_counts_lineitem"] + ") WHERE n > 0) WHERE rank <= 2")
+    q["report_profile_roundtrip"] = q["profile_orders"]
     return q

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,9 +38,10 @@ from tripforge.functions.outliers import outlier_sql
 from tripforge.operators import quarantine as Q
 from tripforge.operators import reports as RP
 from tripforge.operators import transform as X
-from tripforge.plans.accounting import MONTH_KEYS, month_totals
+from tripforge.plans.accounting import MONTH_KEYS, fold
 from tripforge.session import shared_root
 from tripforge.sources import sinks as S
+from tripforge.sources import snapshots as V
 from tripforge.sources.trips import read_trips
 
 
@@ -55,17 +56,27 @@ class PipelineResult:
     transform: DataFrame
     skipped: tuple = ()        # (taxi_type, month, why) of landed months that could not be read
 
+    versioned: bool = False    # tables lie in directories of this run
+    schemas: dict = field(default_factory=dict)     # of the tables, as they are read back
+
+    def _table(self, name: str) -> str:
+        return f"{self.out_root}/{name}" + (f"/run={self.run_id}" if self.versioned else "")
+
     @property
     def validated_root(self) -> str:
-        return f"{self.out_root}/validated"
+        return self._table("validated")
 
     @property
     def features_root(self) -> str:
-        return f"{self.out_root}/features"
+        return self._table("features")
 
     @property
     def quarantine_root(self) -> str:
-        return f"{self.out_root}/quarantine"
+        return self._table("quarantine")
+
+    @property
+    def accounting_root(self) -> str:
+        return self._table("accounting")
 
 
 def validate_stage(raw: DataFrame, validated_root: str, contract: Contract = TRIP_CONTRACT,
@@ -103,20 +114,23 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
                months: Sequence[tuple[str, str]],
                contract: Contract = TRIP_CONTRACT,
                thresholds: Thresholds = DEFAULT_THRESHOLDS,
-               write_reports: bool = True) -> PipelineResult:
+               write_reports: bool = True, versioned: bool = False) -> PipelineResult:
     """Run validate -> transform -> reports for ``months`` (taxi_type, month).
 
     ``raw`` must carry ``taxi_type`` and ``file_month``; rows of other months
     are ignored.  The month list is metadata (from the landing listing), it
     never comes from collecting data.  Independent jobs (the feature write
-    and the statistics) are submitted concurrently."""
+    and the statistics) are submitted concurrently.  ``versioned`` writes the
+    tables to directories of this run, for ``publish_months``."""
     if not months:
         raise ValueError("no months to process")
     run_id = uuid.uuid4().hex[:12]
     shared_root(spark)  # checkpoint directory for the tiny statistics
-    validated_root = f"{out_root}/validated"
-    features_root = f"{out_root}/features"
-    quarantine_root = f"{out_root}/quarantine"
+    sub = f"/run={run_id}" if versioned else ""
+    validated_root = f"{out_root}/validated{sub}"
+    features_root = f"{out_root}/features{sub}"
+    quarantine_root = f"{out_root}/quarantine{sub}"
+    accounting_root = f"{out_root}/accounting{sub}"
     raw = _only(raw, months)
     # output schemas are known from the plan: reads never depend on inference
     v_schema = S.validated_schema(raw.schema)
@@ -187,20 +201,9 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
         S.clear_months(spark, validated_root, [f"{S.STATUS_COL}={S.QUARANTINED}"], months)
         f_feat.result()
 
-    kinds = ["valid_rows", "feature_rows", "quarantined_rows"]
-    per_day = (stats.filter(F.col("kind").isin(*kinds))
-                    .groupBy(*MONTH_KEYS, "pickup_date").pivot("kind", kinds).agg(F.sum("n"))
-                    .na.fill(0, kinds))
-    days = per_day.select(*MONTH_KEYS, "pickup_date",
-                          (F.col("valid_rows") + F.col("quarantined_rows")).alias("raw_rows"),
-                          "valid_rows", "feature_rows")
-    months_df = month_totals(days)
-    failures = (stats.filter(F.col("kind") == "rule")
-                     .select(*MONTH_KEYS, F.col("key").alias("rule"), "n"))
-    drops = (stats.filter(F.col("kind") == "drop")
-                  .groupBy(*MONTH_KEYS, F.col("key").alias("reason")).agg(F.sum("n").alias("n")))
-
-    _remove_stale(spark, stats, months, validated_root, quarantine_root, features_root)
+    months_df, failures, drops = fold(stats)
+
+    _remove_stale(spark, stats, months, validated_root, quarantine_root, features_root, accounting_root)
 
     feature_cols = [f.name for f in f_schema_box[0].fields]
 
@@ -215,20 +218,57 @@ def run_months(spark: SparkSession, raw: DataFrame, out_root: str,
         F.when(F.col("quarantined_rows") > 0, month_path(quarantine_root)).alias("quarantine_path"))
     transform = RP.transform_report(rows, feature_cols).select(
         "*", month_path(features_root).alias("output_path"))
-    if write_reports:
+    with ThreadPoolExecutor(max_workers=4) as pool:
         rep = f"{out_root}/reports"
         jobs = [(validation, f"{rep}/validation/run_id={run_id}"),
                 (transform, f"{rep}/transform/run_id={run_id}"),
                 (RP.run_summary(rows, None, None, feature_cols),
                  f"{rep}/run_summary/run_id={run_id}")]
-        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-            for f in [pool.submit(S.write_report, df, path) for df, path in jobs]:
-                f.result()
-    return PipelineResult(out_root, run_id, months_df, failures, drops, validation, transform)
+        waits = [pool.submit(S.write_accounting, stats, accounting_root)]
+        waits += [pool.submit(S.write_report, df, path) for df, path in (jobs if write_reports else [])]
+        for f in waits:
+            f.result()
+    return PipelineResult(out_root, run_id, months_df, failures, drops, validation, transform, versioned=versioned,
+                          schemas={"validated": v_schema, "quarantine": S.quarantine_schema(raw.schema),
+                                   "features": f_schema_box[0], "accounting": S.ACCOUNTING_SCHEMA})
+
+
+def publish_months(spark: SparkSession, raw: DataFrame, root: str, months: Sequence[tuple[str, str]],
+                   contract: Contract = TRIP_CONTRACT, thresholds: Thresholds = DEFAULT_THRESHOLDS,
+                   ) -> tuple[PipelineResult, V.Snapshot]:
+    """``run_months`` into directories of its own, then all months published at once.
+
+    Readers (``snapshots.read``) see the months as they were up to the commit and
+    as this run left them from it on.  A run that fails, or finds one of its months
+    published by another meanwhile (``SnapshotConflict``), publishes nothing; what
+    the latter wrote is removed."""
+    base = V.load(spark, root)
+    result = run_months(spark, raw, root, months, contract, thresholds, versioned=True)
+    counts = {(r.taxi_type, r.file_month): r for r in result.months.collect()}      # a row a month
+
+    def entry(key: tuple[str, str]) -> dict:
+        r = counts.get(key)
+        rows = (r.valid_rows, r.quarantined_rows, r.feature_rows, 1) if r else (0, 0, 0, 0)
+        return {"run": result.run_id, "rows": dict(zip(V.TABLES, rows))}
+    try:
+        snapshot = V.commit(spark, root, base, {V.month_key(*k): entry(k) for k in months},
+                            {result.run_id: {t: s.jsonValue() for t, s in result.schemas.items()}})
+    except V.SnapshotConflict:
+        V.discard(spark, root, result.run_id)
+        raise
+    return result, snapshot
+
+
+def stored_totals(spark: SparkSession, out_root: str, snapshot: V.Snapshot | int | None = None,
+                  versioned: bool = False) -> DataFrame:
+    """A7 over every month ever run into ``out_root``, from the stored counters:
+    a new month adds its own and no data file of another is read."""
+    stats = V.read(spark, out_root, "accounting", snapshot) if versioned else S.read_accounting(spark, f"{out_root}/accounting")
+    return RP.run_totals(fold(stats)[0])
 
 
 def _remove_stale(spark: SparkSession, stats: DataFrame, months: Sequence[tuple[str, str]],
-                  validated_root: str, quarantine_root: str, features_root: str) -> None:
+                  validated_root: str, quarantine_root: str, features_root: str, accounting_root: str) -> None:
     """Delete partitions of the run's months that this run wrote no rows to.
 
     What was written is read from the (checkpointed, months x days sized)
@@ -252,6 +292,8 @@ def _remove_stale(spark: SparkSession, stats: DataFrame, months: Sequence[tuple[
                                       S.OUTLIER_COL, fates)
         if (t, m) not in quarantined:
             S.clear_months(spark, quarantine_root, [""], [(t, m)])
+        if (t, m) not in valid | quarantined:
+            S.clear_months(spark, accounting_root, [""], [(t, m)])
         S.remove_stale_partitions(spark, f"{features_root}/taxi_type={t}/file_month={m}",
                                   "pickup_date", days.get((t, m), set()))
 
@@ -267,7 +309,7 @@ def run_files(spark: SparkSession, paths: Iterable[str], out_root: str,
 
 def run_range(spark: SparkSession, landing_root: str, out_root: str, start: str, end: str,
               thresholds: Thresholds = DEFAULT_THRESHOLDS, fail_fast: bool = False,
-              taxi_type: str = "yellow") -> PipelineResult | None:
+              taxi_type: str = "yellow", versioned: bool = False) -> PipelineResult | None:
     """``run --start --end``: every landed month of the inclusive range in one
     set-based job.  Months that are missing, or whose files cannot be read, are
     skipped (the latter are named in ``skipped``), or raise with ``fail_fast``.
@@ -298,8 +340,12 @@ def run_range(spark: SparkSession, landing_root: str, out_root: str, start: str,
     while schemas:
         months = sorted({(u.taxi_type, u.month) for u in schemas})
         try:
-            result = run_months(spark, read_units(spark, schemas), out_root, months, thresholds=thresholds)
+            raw = read_units(spark, schemas)
+            result = (publish_months(spark, raw, out_root, months, thresholds=thresholds)[0] if versioned else
+                      run_months(spark, raw, out_root, months, thresholds=thresholds))
             break
+        except V.SnapshotConflict:
+            raise
         except Exception:
             failed = {} if fail_fast else audit_units(spark, schemas)
             if not failed:

@@ -5,6 +5,7 @@ Layout (all under one output root on the shared file system):
   validated/_dq_status=valid/taxi_type=T/file_month=M/_outlier=B/      (S8)
   quarantine/taxi_type=T/file_month=M/                                 (S9)
   features/taxi_type=T/file_month=M/pickup_date=D/                     (S10)
+  accounting/taxi_type=T/file_month=M/                                 (A6, A7)
   reports/<name>/run_id=R/                                             (S11)
 
 Valid and quarantined rows are written by ONE job from ONE scan (the status
@@ -231,10 +232,27 @@ def read_features(spark: SparkSession, root: str, schema: T.StructType | None =
     return _read_partitioned(spark, root, root, schema)
 
 
+ACCOUNTING_SCHEMA = T.StructType([
+    T.StructField(name, T.LongType() if name == "n" else T.StringType())
+    for name in ("pickup_date", "kind", "key", "n", *MONTH_PARTITIONS)])
+
+
+def write_accounting(stats: DataFrame, root: str) -> None:
+    """The counters of a run, months x (days + rules + reasons) rows, kept for
+    each month: a rerun replaces its months' and leaves the others' alone."""
+    (stats.select(*ACCOUNTING_SCHEMA.names).repartition(*MONTH_PARTITIONS)
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy(*MONTH_PARTITIONS).parquet(root))
+
+
+def read_accounting(spark: SparkSession, root: str) -> DataFrame:
+    return _read_partitioned(spark, root, root, ACCOUNTING_SCHEMA)
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """A (tiny, bounded) report relation as JSON, replacing ``path``."""
     report.coalesce(1).write.mode("overwrite").json(path)
 
 
-def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_report(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.schema(schema).json(path)
