@@ -255,3 +255,61 @@ def test_an_unreadable_month_is_not_recorded(spark, make_trips, tmp_out):
     plan = {r.month: (r.landed, r.skipped, r.row_count) for r in L.ingest(spark, root, man, req).collect()}
     assert plan == {"2024-01": (True, False, 2), "2024-02": (True, False, None)}
     assert [r.month for r in L.read_manifest(spark, man).collect()] == ["2024-01"]
+
+
+def test_recordings_of_one_instant_have_one_outcome(spark, tmp_out):
+    at = "2024-02-01 00:00:00"
+    rows = [_manifest(spark, [("2024-01", "yellow", n, at)]) for n in (5, 9, 2)]
+    for order in ((0, 1, 2), (2, 1, 0), (1, 0, 2)):
+        path = f"{tmp_out}/{''.join(map(str, order))}"
+        for i in order:
+            L.record(rows[i], path)
+        m = L.read_manifest(spark, path)
+        # the last writer's, who saw the others' recordings
+        assert L.manifest_latest(m).first().row_count == (5, 9, 2)[order[-1]]
+        assert sorted(r.seq for r in m.collect()) == [1, 2, 3]
+    # writers that did not see one another: the same one from either order of files
+    same = [r.withColumn("seq", F.lit(1)) for r in rows]
+    assert {L.manifest_latest(a.unionByName(b)).first().row_count for a, b in ((same[0], same[1]), (same[1], same[0]))} == {9}
+
+
+def test_compaction_loses_no_recording(spark, tmp_out, monkeypatch):
+    def entry(i, n=1):
+        return _manifest(spark, [(f"20{10 + i}-01", "yellow", n, f"2024-02-{n:02d} 00:00:00")])
+    assert L.compact_manifest(spark, tmp_out) == 0               # nothing there
+    for i in range(3):
+        L.record(entry(i), tmp_out)
+    L.record(entry(0, 7), tmp_out)
+    before = L.read_manifest(spark, tmp_out)
+    append = L._append
+
+    def late(df, path):
+        # another writer records while the compaction is under way
+        append(df, path)
+        if not done:
+            done.append(1)
+            L.record(entry(9), path)
+    done = []
+    monkeypatch.setattr(L, "_append", late)
+    assert L.compact_manifest(spark, tmp_out) == 4
+    monkeypatch.undo()
+    assert before.count() == 4                                   # a reader that began before finds its files
+    want = {("2010-01", 7), ("2011-01", 1), ("2012-01", 1), ("2019-01", 1)}
+    def state():
+        return {(r.month, r.row_count) for r in L.manifest_latest(L.read_manifest(spark, tmp_out)).collect()}
+    assert state() == want
+    # the next one deletes what the first folded, and folds the rest
+    assert L.compact_manifest(spark, tmp_out) == 2 and state() == want
+    assert L.compact_manifest(spark, tmp_out) == 0 and state() == want
+    assert L.read_manifest(spark, tmp_out).count() == 4 == len(want)
+
+
+def test_writers_side_by_side(spark, tmp_out):
+    import threading
+    threads = [threading.Thread(target=L.record, args=(_manifest(spark, [(f"20{10 + i}-01", "yellow", i, "2024-02-01 00:00:00")]), tmp_out))
+               for i in range(6)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert L.read_manifest(spark, tmp_out).count() == 6

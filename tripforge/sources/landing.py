@@ -10,7 +10,9 @@ row per (taxi_type, month), so concurrent recorders never lose updates (H17).
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 from datetime import datetime
 from typing import Iterable, Sequence
 
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripforge.session import shared_root
+from tripforge.sources import sinks as S
 from tripforge.sources.trips import FILE_RE_MONTH, FILE_RE_TYPE, Unit, unit_schemas
 
 MANIFEST_SCHEMA = T.StructType([
@@ -30,6 +33,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("columns", T.ArrayType(T.StringType()), True),
     T.StructField("ingested_at", T.TimestampNTZType(), True),
     T.StructField("fingerprint", T.StringType(), True),
+    T.StructField("seq", T.LongType(), True),           # of the recording, among those its writer saw
 ])
 KEYS = ["taxi_type", "month"]
 _MONTH = re.compile(r"^\d{4}-\d{2}$")
@@ -207,11 +211,14 @@ def unit_stats(spark: SparkSession, paths: Iterable[str], files: DataFrame | Non
 # -- S5: manifest ---------------------------------------------------------------
 
 def manifest_latest(manifest: DataFrame) -> DataFrame:
-    """Current manifest: the last recording per (taxi_type, month) wins."""
+    """Current manifest: the last recording per (taxi_type, month) wins.
+
+    Recordings of one instant go by their writer's sequence, and then by the other
+    columns, so that every reader finds the same one whatever the order of files."""
     cols = manifest.columns
-    latest = (manifest.groupBy(*KEYS)
-              .agg(F.max_by(F.struct(*cols), F.col("ingested_at")).alias("e")))
-    return latest.select("e.*")
+    first = [c for c in ("ingested_at", "seq") if c in cols]
+    order = F.struct(*first, *[c for c in cols if c not in first])
+    return manifest.groupBy(*KEYS).agg(F.max_by(F.struct(*cols), order).alias("e")).select("e.*")
 
 
 def manifest_contains(manifest: DataFrame, keys: DataFrame) -> DataFrame:
@@ -222,18 +229,57 @@ def manifest_contains(manifest: DataFrame, keys: DataFrame) -> DataFrame:
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Append-only manifest table; empty when nothing was recorded yet."""
     try:
-        return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+        return spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
     except Exception as e:  # noqa: BLE001 - absent table == empty manifest
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return spark.createDataFrame([], MANIFEST_SCHEMA)
         raise
 
 
+def _append(entries: DataFrame, path: str) -> None:
+    """One file in a directory of its own: a recording is seen whole or not at
+    all, and writers side by side have no output directory in common."""
+    entries.select(*MANIFEST_SCHEMA.names).coalesce(1).write.parquet(f"{path}/entry-{uuid.uuid4().hex}")
+
+
 def record(entries: DataFrame, path: str) -> None:
     """Append recordings (never rewrite history)."""
     if "fingerprint" not in entries.columns:
         entries = entries.withColumn("fingerprint", F.lit(None).cast("string"))
-    entries.select(*[f.name for f in MANIFEST_SCHEMA.fields]).write.mode("append").parquet(path)
+    last = read_manifest(entries.sparkSession, path).agg(F.max("seq")).first()[0] or 0
+    _append(entries.withColumn("seq", F.lit(last + 1).cast("long")), path)
+
+
+REPLACED = "_replaced.json"        # hidden from readers: files that the last compaction folded
+
+
+def compact_manifest(spark: SparkSession, path: str) -> int:
+    """Fold the manifest's files into one that holds the latest recording of each
+    month; returns how many were folded.
+
+    Only files listed at the start are folded, so recordings that arrive meanwhile
+    stay.  The folded files are deleted by the next compaction: readers that began
+    before this one still find them, and to have a recording twice changes nothing,
+    also after a compaction that broke off."""
+    if not S._fs_exists(spark, path):
+        return 0
+    files = sorted(r.path for r in _listed(spark, [path]).select("path").collect())
+    marker = f"{path}/{REPLACED}"
+    try:
+        gone = set(json.loads(S.read_text(spark, marker))) & set(files) if S._fs_exists(spark, marker) else set()
+    except ValueError:
+        gone = set()                   # cut off while it was written: these files are folded anew
+    live = [f for f in files if f not in gone]
+    if len(live) > 1:
+        _append(manifest_latest(spark.read.schema(MANIFEST_SCHEMA).parquet(*live)), path)
+        S.write_text(spark, marker, json.dumps(live))
+    else:
+        S.write_text(spark, marker, "[]")
+    for f in gone:
+        parent = f.rsplit("/", 1)[0]
+        # an entry's directory goes with its only file
+        S._fs_delete(spark, parent if parent.rsplit("/", 1)[-1].startswith("entry-") else f)
+    return len(live) if len(live) > 1 else 0
 
 
 # -- S4/S6/B2: load decisions -------------------------------------------------------

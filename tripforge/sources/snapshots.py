@@ -92,13 +92,10 @@ def _create(spark: SparkSession, path: str, text: str) -> bool:
             return False
         finally:
             os.unlink(local_path(draft))
-    _, p, fs = _hadoop(spark, draft)
-    out = fs.create(p, False)
-    out.write(bytearray(text.encode()))
-    out.close()
+    S.write_text(spark, draft, text, overwrite=False)
     done = _rename_to_free(spark, draft, path)
     if not done:
-        fs.delete(p, False)
+        S._fs_delete(spark, draft)
     return done
 
 
@@ -121,13 +118,7 @@ def load(spark: SparkSession, root: str, version: int | None = None) -> Snapshot
         version = max(versions(spark, root), default=0)
     if version == 0:
         return Snapshot()
-    jvm, p, fs = _hadoop(spark, _path(root, version))
-    stream = fs.open(p)
-    try:
-        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    d = json.loads(text)
+    d = json.loads(S.read_text(spark, _path(root, version)))
     return Snapshot(d["version"], d["months"], d["schemas"])
 
 
