@@ -271,8 +271,12 @@ def labelled(docs: DataFrame, sample: int = 2000, seed: int = 17) -> tuple[dict[
     # hashes are even: those below twice the wanted share hold the smallest ``sample``,
     # and no task sorts more than them
     share = F.xxhash64(F.lit(seed), "value") / F.lit(2.0 ** 64) + F.lit(0.5)
-    counts = found.groupBy("kind").agg((F.lit(2.0 * sample + 100) / F.count(F.lit(1))).alias("wanted"))
-    found = found.join(counts, "kind").filter(share <= F.col("wanted")).drop("wanted")
+    counts = found.groupBy("kind").count().collect()                 # a row a kind
+    # written as a literal: a join by kind would deal all words to one task
+    wanted = F.lit(0.0)
+    for kind, n in counts:
+        wanted = F.when(F.col("kind") == kind, (2.0 * sample + 100) / n).otherwise(wanted)
+    found = found.filter(share <= wanted)
     pick = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64(F.lit(seed), "value"), "value"))
     rows = found.withColumn("n", pick).filter(F.col("n") <= sample).select("kind", "value").collect()
     by = {}
