@@ -261,6 +261,60 @@ def test_constants_come_from_aligned_nodes():
     assert len(X.induce(wide)) == 450
 
 
+def test_constants_are_counted_over_all_pages(spark):
+    import xxhash
+    notice = "<div class='n'>Seen on few pages, but on those first by hash</div>"
+    order = lambda page: xxhash.xxh64_intdigest(page) - (1 << 63)
+
+    def body(i, mid):
+        return f"<body><div class='t'>Top line</div><div class='x'><p>Story {i} is about {i * 31} and no other.</p></div>{mid}</body>"
+    few = sorted((body(i, notice) for i in range(2000)), key=order)[:20]
+    many = sorted((body(i, f"<div class='n'>Varies as {i}</div>") for i in range(2000, 4000)), key=order)[-60:]
+    # a template of the same labels near the root that no page first by hash has
+    deep = "<div><div><div><ul class='u'><li>a{i}<li class='k'>b{i}</ul><ol><li class='l'>c{i}</ol><dl><dt>d{i}<dd>Own end</dl><section><h2>e{i}</h2><h3>f{i}</h3></section></div></div></div>"
+    rare = sorted((body(i, deep.format(i=i)) for i in range(4000, 5000)), key=order)[-9:]
+    usual = sorted((body(i, "<div><div><div><p>Usual end</p></div></div></div>") for i in range(5000, 6000)), key=order)[:40]
+    pages = [("few", p) for p in few + many] + [("rare", p) for p in rare + usual]
+    df = spark.createDataFrame([(i, f"https://{h}.example/{i}", p) for i, (h, p) in enumerate(pages)], "page_id long, url string, html string")
+    for parts in (1, 5):
+        got = {r.page_id: r.text.split("\n") for r in X.main_texts(df.repartition(parts)).collect()}
+        for i, (h, p) in enumerate(pages):
+            assert "Top line" not in got[i] and got[i][0].startswith("Story")
+            assert ("Seen on few pages, but on those first by hash" in got[i]) == (notice in p)      # 20 of 80 pages hold it
+            assert not {"Usual end", "Own end"} & set(got[i])
+
+
+def test_wrappers_are_those_of_all_pages_in_memory(spark):
+    import random
+
+    import xxhash
+    rng, rows = random.Random(3), []
+    for h in range(12):
+        fixed = [f"<div class='f{k}'>Fixed {h} {k} {'of this place ' * rng.randint(0, 3)}</div>" for k in range(4)]
+        for i in range(rng.choice([2, 3, 9, 40])):
+            parts = [f for f in fixed if rng.random() < 0.9] + [f"<p>Told {h} {j} as {j * 7}</p>" for j in rng.sample(range(60), 5)]
+            if rng.random() < 0.3:
+                rng.shuffle(parts)
+            rows.append((len(rows), f"https://h{h}.example/{i}", f"<body>{''.join(parts)}</body>"))
+    df = spark.createDataFrame(rows + rows[:30], "page_id long, url string, html string")
+    got = {r.host: set(r.constants) for r in X.wrappers(df).collect()}
+    found = X.shapes(df).collect()
+    trees = spark.createDataFrame([(r.host, r.skel, 1, r.depth, r.path, r.label) for r in found if r.depth], X.SKEL).dropDuplicates(["host", "skel"])
+    counted = X.shapes(df).dropDuplicates(["host", "hash"]).groupBy("host", "skel").count().withColumnRenamed("count", "n")
+    template = {(r.host, r.skel): r.template for r in X.templates(trees.drop("n").join(counted, ["host", "skel"]).select(
+        "host", "skel", "n", "depth", "path", "label")).collect()}
+    assert template.keys() == {(r.host, r.skel) for r in found} and len(set(template.values())) < len(template)
+    groups: dict = {}
+    for page in sorted({r[2] for r in rows}, key=lambda p: xxhash.xxh64_intdigest(p)):
+        r = next(r for r in rows if r[2] == page)
+        host, skel = next((f.host, f.skel) for f in found if f.hash == xxhash.xxh64_intdigest(page) - (1 << 63))
+        groups.setdefault((r[1][8:].split("/")[0], template[host, skel]), []).append(X.collapsed(X.shape(page)))
+    want: dict = {}
+    for (host, _), shapes in groups.items():
+        want[host] = want.get(host, set()) | X.induce(shapes)
+    assert got == {h: c for h, c in want.items() if c} and len(got) >= 4
+
+
 # -- queries and pipeline -----------------------------------------------------------------
 def test_queries_match_their_sql(spark):
     import duckdb

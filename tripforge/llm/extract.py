@@ -1,18 +1,21 @@
 """Main text of web pages by wrapper induction.
 
-Pages of a host are rendered by one template or a few.  For each host a bounded
-sample of distinct pages of any size (``sample``, a parameter, from each of
-``KINDS`` kinds of pages by the labels near the root; by hash of the html) is
-taken, which does not depend on how the rows are dealt.  Their DOM trees, of any
-size, equal-labelled siblings taken as one, are aligned by simple tree matching:
-the heaviest set of matched nodes that keeps ancestors and sibling order, a node
-matching only its like (tag, classes, role).  Pages whose trees match for the
-most part share a template.  Texts that most pages of a template hold at nodes
-aligned with one another are its constants, menus and the like included; the
-others are slots.  Pages that repeat another's slots, or that hardly have any
-(under ``LEAST_SLOTS`` of the text that names alone do not rule out), say nothing
-about the template; ``support`` + 1 others must agree.  The wrapper of a host
-holds the constants of its templates; every slot stays.
+Pages of a host are rendered by one template or a few.  All differing pages of a
+host are learnt from, whatever their number and size; nothing depends on how the
+rows are dealt.  Their DOM trees, equal-labelled siblings taken as one, are aligned
+by simple tree matching: the heaviest set of matched nodes that keeps ancestors and
+sibling order, a node matching only its like (tag, classes, role).  Every distinct
+tree belongs to the template whose leader it is most alike (matched for the most
+part); leaders are told in steps of bounded groups, and trees that no leader is
+like go through another round until none is left.
+
+Every page counts: texts that most pages of a template hold at nodes aligned with
+that of the first page that has it (by hash) are common to it, menus and the like
+included; the others are slots.  Pages whose slots are for the most part those of
+pages before them, or that hardly have any (under ``LEAST_SLOTS`` of the text that
+names alone do not rule out), say nothing about the template; the constants are the
+texts that most of the others, and at least ``support`` + 1, hold at aligned nodes.
+The wrapper of a host holds the constants of its templates; every slot stays.
 
 A page's text is then its blocks inside the article (``article``, ``main``, or
 else the whole body) that are neither constants of its host nor inside menus, page
@@ -32,16 +35,16 @@ columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import staged
+from tripforge.llm.common import spread, staged
 from tripforge.llm.dom import Block, Node, parse
 
 # Fixed sets: what is never part of an article.
@@ -60,7 +63,7 @@ BESIDE = frozenset(
     "links link button buttons form section item items group row col column posts articles stories unit slot".split())
 HAZY = frozenset("header masthead widget notice notices notification alert search banner aside promotion discussion overlay modal".split())
 HOLDERS = frozenset("html body main article #root".split())
-KINDS = 8                        # kinds of pages of a host, each sampled by itself
+BUCKETS = 64                     # a host's trees are dealt to so many groups
 ALIKE = 0.6                      # of two trees: matched share above which their template is one
 MOST = 0.8                       # of a template's pages: share that holds a constant
 LEAST_SLOTS = 0.2                # of a page's text: least share in slots
@@ -228,7 +231,7 @@ def matched(a: dict, b: dict) -> list[tuple[int, int]]:
 
 
 def collapsed(s: dict) -> dict:
-    """A shape as the sample holds it: its tree with equal-labelled siblings as
+    """A shape as wrappers are learnt from: its tree with equal-labelled siblings as
     one node, and its texts' keys, each with its node and its size (0 for what is
     out by its names: it may be a constant, but says nothing about slots)."""
     kids, label, last = defaultdict(list), {}, {}
@@ -254,13 +257,6 @@ def collapsed(s: dict) -> dict:
             "keys": list(size), "size": list(size.values()), "at": list(at.values())}
 
 
-def page_kind(s: dict) -> int:
-    """One of ``KINDS`` numbers by the labels near the root, so that a rare
-    template has places of its own in the sample."""
-    near = sorted({p for d, p in zip(s["depth"], s["path"]) if d <= 3})
-    return xxhash.xxh64_intdigest(str(near)) % KINDS
-
-
 def _texts(s: dict) -> dict:
     """A collapsed shape with the keys of each node's texts, as ``matched`` takes it."""
     keys: list[list[int]] = [[] for _ in s["path"]]
@@ -275,16 +271,16 @@ def likeness(a: dict, b: dict) -> float:
     return 2 * len(matched({**a, "keys": [[]] * m}, {**b, "keys": [[]] * n})) / (m + n)
 
 
-def by_template(shapes: list[dict]) -> list[list[dict]]:
-    """The shapes in groups of one template: those like the group's first."""
-    groups: list[list[dict]] = []
-    for s in shapes:
-        likely = [likeness(g[0], s) for g in groups]
-        if likely and max(likely) > ALIKE:
-            groups[likely.index(max(likely))].append(s)
-        else:
-            groups.append([s])
-    return groups
+def nearest(tree: dict, leaders: list[dict]) -> int | None:
+    """The place of the leader that a tree is most alike, if more than ``ALIKE``
+    (matched nodes have equal paths, so most trees are told apart by these)."""
+    paths, best, at = set(tree["path"]), ALIKE, None
+    for i, g in enumerate(leaders):
+        if 2 * len(paths & g["paths"]) > best * (len(tree["path"]) + len(g["path"])):
+            share = 1.0 if tree["skel"] == g["skel"] else likeness(g, tree)
+            if share > best:
+                best, at = share, i
+    return at
 
 
 def held(pages: list[dict], most: float = MOST) -> Counter:
@@ -307,73 +303,167 @@ def held(pages: list[dict], most: float = MOST) -> Counter:
 
 
 def induce(shapes: list[dict], support: int = 2) -> set[int]:
-    """Constants of some pages of one template: the texts that at least
-    ``support + 1`` of them, and ``MOST`` of them, hold at aligned nodes."""
+    """Constants of some pages of one template, few enough for memory: the texts that
+    at least ``support + 1`` of them, and ``MOST`` of them, hold at aligned nodes.
+    ``wrappers`` finds the same for all pages of all templates."""
     def common(which):
         return {k for k, n in held([texts[i] for i in which]).items() if n > support and n >= MOST * len(which)}
     texts, told = [_texts(s) for s in shapes], []
     same = common(range(len(shapes)))
-    slots: list[set[int]] = []
+    seen: set[int] = set()
     for i, s in enumerate(shapes):
         p = dict(zip(s["keys"], s["size"]))
         own = p.keys() - same
         size = sum(p[k] for k in own)
-        # copies of a page differ in little, or repeat another's slots
-        if size and size >= LEAST_SLOTS * sum(p.values()) and all(2 * sum(p[k] for k in own & o) <= size for o in slots):
-            slots.append(own)
+        # copies of a page differ in little, or repeat the slots of others
+        if size and size >= LEAST_SLOTS * sum(p.values()) and 2 * sum(p[k] for k in own & seen) <= size:
             told.append(i)
+        seen |= own
     return common(told) if len(told) > support else set()
 
 
-def wrappers(pages: DataFrame, sample: int = 8, support: int = 2) -> DataFrame:
-    """(host, constants): hosts whose wrapper changes anything."""
-    def local(batches):
-        # the smallest hashes of this partition, for each host and kind of page
-        best: dict[tuple[str, int], list] = defaultdict(list)
+TREE = ["depth", "path", "label"]
+TEMPLATE = ["host", "template"]
+
+
+def shapes(pages: DataFrame) -> DataFrame:
+    """(host, hash, skel, keys, size, at, depth, path, label) of every page with host
+    and html; the tree at its first page in a task alone, for others null."""
+    names = ["host", "hash", "skel", "keys", "size", "at", *TREE]
+
+    def run(batches):
+        seen: set[tuple[str, int]] = set()
         for b in batches:
-            for host, page in zip(b["host"], b["html"]):
-                h = xxhash.xxh64_intdigest(page) - (1 << 63)
-                # smaller than none of any kind: not worth parsing
-                heaps = [best.get((host, k)) for k in range(KINDS)]
-                if all(x and len(x) == sample and -x[0][0] < h for x in heaps):
-                    continue
-                s = shape(page)
-                kind = page_kind(s)
-                heap = best[host, kind]
-                if any(h == -x for x, _ in heap) or len(heap) == sample and -heap[0][0] < h:
-                    continue
-                s = collapsed(s)
-                (heapq.heappushpop if len(heap) == sample else heapq.heappush)(heap, (-h, [s[c] for c in names[3:]]))
-        rows = []
-        for (host, kind), heap in best.items():
-            rows += [(host, kind, -h, *s) for h, s in heap]
-            if len(rows) >= 500:
-                yield pd.DataFrame(rows, columns=names)
+            for k in range(0, len(b), 500):
                 rows = []
-        yield pd.DataFrame(rows, columns=names)
-    names = ["host", "kind", "hash", "depth", "path", "label", "keys", "size", "at"]
-    schema = ("host string, kind int, hash long, depth array<int>, path array<long>, label array<long>, keys array<long>, size array<int>, "
-              "at array<int>")
-
-    def learn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        shapes = [{c: list(v) for c, v in r.items()} for r in pdf.sort_values("hash")[names[3:]].to_dict("records")]
-        constants = set().union(*(induce(g, support) for g in by_template(shapes)))
-        return pd.DataFrame({"host": [key[0]], "constants": [sorted(constants)]})[:1 if constants else 0]
-    found = pages.select(host_of(F.col("url")).alias("host"), "html").filter(
-        "host IS NOT NULL AND html IS NOT NULL").mapInPandas(local, schema)
-    # two steps, so that no task ranks a large host's candidates of all partitions
-    for by in (["host", "kind", "part"], ["host", "kind"]):
-        first = F.row_number().over(Window.partitionBy(*by).orderBy("hash"))
-        if "part" in by:
-            found = found.withColumn("part", F.spark_partition_id() % 64)
-        found = found.dropDuplicates([*by, "hash"])
-        found = found.withColumn("n", first).filter(F.col("n") <= sample).drop("n")
-    return found.select(*names).groupBy("host").applyInPandas(learn, "host string, constants array<long>")
-
-
-def main_texts(pages: DataFrame, sample: int = 8, support: int = 2) -> DataFrame:
+                for host, page in zip(b["host"][k:k + 500], b["html"][k:k + 500]):
+                    s = collapsed(shape(page))
+                    skel = xxhash.xxh64_intdigest(np.array([s["depth"], s["path"]], np.int64).tobytes()) - (1 << 63)
+                    if len(seen) > 100_000:
+                        seen.clear()
+                    tree = [None] * 3 if (host, skel) in seen else [s[c] for c in TREE]
+                    seen.add((host, skel))
+                    rows.append((host, xxhash.xxh64_intdigest(page) - (1 << 63), skel, s["keys"], s["size"], s["at"], *tree))
+                yield pd.DataFrame(rows, columns=names)
+    return pages.select(host_of(F.col("url")).alias("host"), "html").filter("host IS NOT NULL AND html IS NOT NULL").mapInPandas(
+        run, "host string, hash long, skel long, keys array<long>, size array<int>, at array<int>, "
+        "depth array<int>, path array<long>, label array<long>")
+
+
+def _streamed(trees: DataFrame, schema: str, row) -> DataFrame:
+    """``row(tree, leaders)`` for the trees of each host and bucket in order, leaders
+    first, then frequent ones; a task keeps the leaders of one group alone."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches):
+        group, leaders = None, []
+        for b in batches:
+            out = []
+            for r in b.to_dict("records"):
+                if (r["host"], r["bucket"]) != group:
+                    group, leaders = (r["host"], r["bucket"]), []
+                tree = {**r, **{c: list(r[c]) for c in TREE}, "paths": set(r["path"])}
+                if (got := row(tree, leaders)) is not None:
+                    out.append([got[c] for c in names])
+            yield pd.DataFrame(out, columns=names)
+    return spread(trees, "host", "bucket").sortWithinPartitions("host", "bucket", F.desc("lead"), F.desc("n"), "skel").mapInPandas(run, schema)
+
+
+SKEL = "host string, skel long, n long, depth array<int>, path array<long>, label array<long>"
+
+
+def leaders_of(trees: DataFrame, buckets: int) -> DataFrame:
+    """The trees that are like no leader before them in their host's bucket."""
+    def row(tree, leaders):
+        if nearest(tree, leaders) is None:
+            leaders.append(tree)
+            return tree
+    return _streamed(trees.withColumn("bucket", F.pmod("skel", F.lit(buckets))).withColumn("lead", F.lit(False)), SKEL, row)
+
+
+def templates(trees: DataFrame) -> DataFrame:
+    """(host, skel, template) of every distinct tree (``SKEL``) of each host; a
+    template has the number of its leader."""
+    def row(tree, leaders):
+        if tree["lead"]:
+            leaders.append(tree)
+            return None
+        at = nearest(tree, leaders)
+        # a number that pandas does not make a double of
+        return {**tree, "found": at is not None, "template": 0 if at is None else leaders[at]["skel"]}
+    left, done = trees, None
+    while True:
+        # first within buckets, so that no task compares all trees of a host
+        leaders = leaders_of(leaders_of(left, BUCKETS), 1)
+        dealt = left.withColumn("bucket", F.pmod("skel", F.lit(BUCKETS))).withColumn("lead", F.lit(False))
+        both = dealt.unionByName(leaders.join(dealt.select("host", "bucket").distinct(), "host").withColumn("lead", F.lit(True)))
+        got = staged(_streamed(both, SKEL + ", found boolean, template long", row), "templates")
+        now = got.filter("found").select("host", "skel", "template")
+        done = now if done is None else done.unionByName(now)
+        left = got.filter("NOT found").select("host", "skel", "n", *TREE)
+        if left.isEmpty():               # every leader is found by itself, so fewer are left each time
+            return done
+
+
+def common(voters: DataFrame, trees: DataFrame, support: int) -> DataFrame:
+    """(host, template, key): the texts that over ``support`` and ``MOST`` of all
+    ``voters`` (distinct pages) of a template hold at nodes aligned with that of the
+    first of them that has it."""
+    often = (F.col("n") > support) & (F.col("n") >= F.lit(MOST) * F.col("pages"))
+    sizes = voters.groupBy(*TEMPLATE).agg(F.count("*").alias("pages"))
+    # held at all, before order decides: no more than a page holds divided by MOST
+    may = staged(voters.select(*TEMPLATE, "hash", F.explode("keys").alias("key")).groupBy(*TEMPLATE, "key").agg(
+        F.count("*").alias("n"), F.min("hash").alias("hash")).filter(F.col("n") > support).join(sizes, TEMPLATE).filter(often), "candidates")
+    refs = (may.groupBy(*TEMPLATE, "hash").agg(F.collect_list("key").alias("own")).join(voters, [*TEMPLATE, "hash"])
+            .join(trees, ["host", "skel"]).groupBy(*TEMPLATE)
+            .agg(F.collect_list(F.struct("hash", "own", "depth", "path", "label", "keys", "at")).alias("refs")))
+
+    def run(batches):
+        for b in batches:
+            count: Counter = Counter()
+            for r in b.to_dict("records"):
+                page, texts = set(r["keys"]), None
+                for ref in r["refs"]:
+                    own = page.intersection(ref["own"])
+                    if own and ref["hash"] != r["hash"]:
+                        texts = texts or _texts(r)
+                        first = _texts(ref)
+                        own = {k for i, j in matched(first, texts) for k in own.intersection(first["keys"][i]).intersection(texts["keys"][j])}
+                    count.update((r["host"], r["template"], k) for k in own)
+            yield pd.DataFrame([(*k, n) for k, n in count.items()], columns=[*TEMPLATE, "key", "n"])
+    return (voters.join(refs, TEMPLATE).join(trees, ["host", "skel"]).select(*TEMPLATE, "hash", "depth", "path", "label", "keys", "at", "refs")
+            .mapInPandas(run, "host string, template long, key long, n long").groupBy(*TEMPLATE, "key").agg(F.sum("n").alias("n"))
+            .join(sizes, TEMPLATE).filter(often).select(*TEMPLATE, "key"))
+
+
+def wrappers(pages: DataFrame, support: int = 2) -> DataFrame:
+    """(host, constants): hosts whose wrapper changes anything."""
+    found = staged(shapes(pages), "shapes")
+    distinct = found.select("host", "hash", "skel", "keys", "size", "at").dropDuplicates(["host", "hash"])
+    trees = found.filter("depth IS NOT NULL").groupBy("host", "skel").agg(*(F.first(c).alias(c) for c in TREE))
+    often = distinct.groupBy("host", "skel").agg(F.count("*").alias("n"))
+    trees = staged(trees.join(often, ["host", "skel"]).select("host", "skel", "n", *TREE), "trees")
+    placed = staged(distinct.join(templates(trees), ["host", "skel"]), "pages")
+    trees = trees.drop("n")
+    same = staged(common(placed, trees, support), "common")
+
+    # how much of a page's slots it is the first to hold
+    flat = placed.select(*TEMPLATE, "hash", F.explode(F.arrays_zip("keys", "size")).alias("t")).select(
+        *TEMPLATE, "hash", F.col("t.keys").alias("key"), F.col("t.size").alias("size"))
+    shared = flat.groupBy(*TEMPLATE, "key").agg(F.count("*").alias("n"), F.min("hash").alias("first")).filter("n > 1").join(
+        same.withColumn("same", F.lit(True)), [*TEMPLATE, "key"], "left")
+    slot = F.col("same").isNull()
+    told = (flat.join(shared, [*TEMPLATE, "key"], "left").groupBy(*TEMPLATE, "hash").agg(
+        F.sum("size").alias("total"), F.sum(F.when(slot, F.col("size")).otherwise(0)).alias("own"),
+        F.sum(F.when(slot & (F.col("first") != F.col("hash")), F.col("size")).otherwise(0)).alias("again"))
+        .filter((F.col("own") > 0) & (F.col("own") >= F.lit(LEAST_SLOTS) * F.col("total")) & (2 * F.col("again") <= F.col("own"))))
+    voters = placed.join(told.select(*TEMPLATE, "hash"), [*TEMPLATE, "hash"], "left_semi")
+    return common(voters, trees, support).groupBy("host").agg(F.sort_array(F.collect_set("key")).alias("constants"))
+
+
+def main_texts(pages: DataFrame, support: int = 2) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    learnt = staged(wrappers(pages, sample, support), "wrappers")
+    learnt = staged(wrappers(pages, support), "wrappers")
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"))
 
     def run(batches):
