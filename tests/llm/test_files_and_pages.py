@@ -90,6 +90,18 @@ def test_pieces_encode_like_whole_texts():
             assert [enc.encode([t])[0] for t in odd] == want
 
 
+def test_parts_of_pieces_are_encoded_once():
+    from tokenizers import Tokenizer
+    tok, enc, sent = Tokenizer.from_file(T.default_tokenizer()), T.Encoder(T.default_tokenizer()), []
+    library = enc._library
+    enc._library = lambda texts, *a: sent.extend(texts) or library(texts, *a)
+    texts = ["x alpha bêta gamma.\nDelta end", "y alpha, bêta! gamma.\nDelta, alpha**.", "z a_1, b2;\nÉtat ²! x\n1 ½. don't, ×, .\nA x.\n\nB\u0587, ǅ.", "w \xad, ÿ\nÀ a\n\u0345b"]
+    for t in texts:
+        at = len(sent)
+        assert enc.encode([t]) == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u2").tobytes()]
+        assert at == 0 or not any(w in x for x in sent[at:] for w in ("alpha", "gamma", "Delta"))
+
+
 def test_token_files(spark, odd, documents, no_documents):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(T.default_tokenizer())

@@ -31,10 +31,11 @@ import struct
 import uuid
 import zlib
 from dataclasses import dataclass
-from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -50,11 +51,28 @@ LOW = np.uint64(1 << 31)         # states stay in [2 ** 31, 2 ** 63)
 U32 = np.uint64(32)
 
 PIECE = 1 << 18                  # characters that go to the tokenizers library at a time
-KEEP = 250_000                   # pieces between spaces that a worker remembers in a generation, of two
+CHUNK = 1 << 22                  # characters of texts that are taken apart at a time
+KEEP = 250_000                   # parts of pieces that a worker remembers in a generation, of two
 # A word of byte-level BPE always begins with a space that a letter or digit follows,
 WORD_START = re.compile(" [A-Za-z0-9]")
 # and with any space but one before white space or the end of the text.
 ODD_PIECE = re.compile(r"[\s\u180e]|\Z")
+# Letters, and signs that are none, of which every version of Unicode says the same: words
+# end where letters or digits meet signs, and around a line end between signs or letters.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+WORD = re.compile(f"[{LETTERS}]+")
+SIGNED = re.compile(rf"(.*[{LETTERS}0-9])([!-/:-@\[-`{{-~]+)", re.S)
+LINES = re.compile(rf"([^\n]*[!-~{LETTERS}])\n([{LETTERS}]+)")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that byte-level BPE writes for each byte."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + k for k, b in enumerate(rest)}
+
+
+BYTES = _byte_letters()
 
 
 # -- tokenizing -----------------------------------------------------------------------
@@ -69,9 +87,12 @@ class Encoder:
 
     Byte-level BPE encodes every word by itself, and a space before anything but
     white space begins a word.  So a text's ids are those of its pieces between
-    spaces, one after the other; the pieces met of late are remembered (two
+    spaces, one after the other (Arrow splits them, numbers the distinct ones and
+    puts their ids together).  Signs at a piece's end and the word after a line end
+    are words of their own: parts.  The parts met of late are remembered (two
     generations of ``keep``: the older one goes when the younger is full, and what
-    is met again moves up), and only others go to the library, joined by spaces.
+    is met again moves up), and only others go to the library, joined by spaces;
+    plain words go to its BPE model past the rules that look for words' ends.
     Their ids part where a token begins with a space.  A text with a space before
     white space or at its end, or with a special token's string, goes to the
     library itself, in pieces of about ``piece`` characters, since the library
@@ -81,7 +102,7 @@ class Encoder:
     def __init__(self, path: str, piece: int = PIECE, keep: int = KEEP):
         # Spark runs a task on every core; threads of the library's own would contend with them
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok, self.piece, self.keep = Tokenizer.from_file(path), piece, keep
         conf = json.loads(self.tok.to_str())
@@ -93,12 +114,17 @@ class Encoder:
         self.special = [t["content"] for t in added]
         size = self.tok.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        # byte-level tokens write the space as U+0120
-        self.begins = np.array([(self.tok.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+        # byte-level tokens write the space as U+0120, the line end as U+010A
+        names = [self.tok.id_to_token(i) or "" for i in range(size)]
+        self.begins = np.array([t.startswith("\u0120") for t in names])
+        self.ends = np.array([t == "\u010a" for t in names])
+        self.words = Tokenizer(self.tok.model)
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split("\u0120", "merged_with_next"), pre_tokenizers.Split("\u010a", "isolated")])
         self.young, self.old = {}, {}
 
-    def _library(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.dtype) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def _library(self, texts: list[str], tok=None) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in (tok or self.tok).encode_batch_fast(texts, add_special_tokens=False)]
 
     def _cut(self, text: str) -> list[str]:
         at, out = 0, []
@@ -107,44 +133,86 @@ class Encoder:
             at = m.start()
         return out + [text[at:]]
 
-    def _learn(self, pieces: list[list[str]]) -> None:
-        """Have the ids of these pieces, each after a space, in ``young``, but for
-        those whose space begins no word."""
+    @staticmethod
+    def _parts(piece: str) -> list[str]:
+        """A piece as parts with ids of their own: one after a space by itself, one
+        after a line end with a space before it, signs with two."""
+        if piece[-1] in ",." and (base := piece[:-1]).isalpha() and base.isascii():     # most
+            return [base, "  " + piece[-1]]
+        signs = []
+        if m := SIGNED.fullmatch(piece):
+            piece, signs = m[1], ["  " + m[2]]
+        if m := LINES.fullmatch(piece):
+            return [*Encoder._parts(m[1]), " " + m[2], *signs]
+        return [piece, *signs]
+
+    def _code(self, keys: list[str], before: str, starts: np.ndarray, tok) -> list[bytes]:
+        """The ids of words, each after the sign that begins it or stands before it."""
+        out = []
+        for k in range(0, len(keys), 20_000):
+            text = before + before.join(keys[k:k + 20_000])
+            if tok is self.words:
+                text = text.encode().decode("latin-1").translate(BYTES)
+            ids = self._library([text], tok)[0]
+            at = (np.flatnonzero(starts[ids]) * self.dtype.itemsize).tolist()
+            raw = ids.tobytes()
+            out += [raw[i:j] for i, j in zip(at, [*at[1:], len(raw)])]
+        if len(out) != len(keys):
+            raise ValueError("the tokenizer does not begin a word where byte-level BPE does")
+        return out
+
+    def _learn(self, pieces: list[str]) -> list[bytes | None]:
+        """The ids of these pieces (distinct), each after a space; None where it begins no word."""
         if len(self.young) > self.keep:
             self.old, self.young = self.young, {}
-        new = set()
-        for p in pieces:
-            new.update(filterfalse(self.young.__contains__, p))
-        known = [p for p in new if p in self.old]
-        self.young.update(zip(known, map(self.old.__getitem__, known)))
-        new.difference_update(known)
-        new = [p for p in new if not ODD_PIECE.match(p)]
-        for k in range(0, len(new), 20_000):
-            some = new[k:k + 20_000]
-            ids = self._library([" " + " ".join(some)])[0]
-            at = (np.flatnonzero(self.begins[ids]) * self.dtype.itemsize).tolist()
-            raw = ids.tobytes()
-            self.young.update(zip(some, [raw[i:j] for i, j in zip(at, [*at[1:], len(raw)], strict=True)], strict=True))
+        young, old = self.young, self.old
+        found = list(map(young.get, pieces))
+        fresh, parts = [], {}
+        for i in [i for i, x in enumerate(found) if x is None]:
+            p = pieces[i]
+            if (x := old.get(p)) is not None:
+                young[p] = found[i] = x
+            elif p.isascii() and p.isalpha() or WORD.fullmatch(p):
+                fresh.append(i)
+            elif not ODD_PIECE.match(p):
+                parts[i] = self._parts(p)
+        words = [pieces[i] for i in fresh]
+        for i, p, x in zip(fresh, words, self._code(words, " ", self.begins, self.words)):
+            young[p] = found[i] = x
+        new = {k for ks in parts.values() for k in ks}.difference(young)
+        known = [k for k in new if k in old]
+        young.update(zip(known, map(old.__getitem__, known)))
+        signs, lines, words, others = [], [], [], []
+        for k in new.difference(known):
+            (signs if k[:2] == "  " else lines if k[0] == " " else words if WORD.fullmatch(k) else others).append(k)
+        young.update(zip(signs, [x.tobytes() for x in self._library([k[2:] for k in signs])]))
+        young.update(zip(lines, self._code([k[1:] for k in lines], "\n", self.ends, self.words)))
+        young.update(zip(words, self._code(words, " ", self.begins, self.words)))
+        young.update(zip(others, self._code(others, " ", self.begins, self.tok)))
+        get = young.__getitem__
+        for i, ks in parts.items():
+            found[i] = get(ks[0]) if len(ks) == 1 else get(ks[0]) + get(ks[1]) if len(ks) == 2 else b"".join(map(get, ks))
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out, pieces, whole = [b""] * len(texts), {}, []
-        for i, t in enumerate(texts):
-            if self.by_word and not any(s in t for s in self.special):
-                pieces[i] = t.split(" ")
-            else:
-                whole.append(i)
-        if pieces:
-            heads = self._library([p[0] for p in pieces.values()])
-            for p in pieces.values():
-                del p[0]
-            self._learn(list(pieces.values()))
-            get = self.young.__getitem__
-            for (i, p), head in zip(pieces.items(), heads):
-                try:
-                    out[i] = head.tobytes() + b"".join(map(get, p))
-                except KeyError:
-                    whole.append(i)
-        for i in whole:
+        out, whole = [b""] * len(texts), []
+        plain = [i for i, t in enumerate(texts) if self.by_word and not any(s in t for s in self.special)]
+        if plain:
+            split = pc.split_pattern(pa.array([texts[i] for i in plain], pa.large_string()), " ")
+            at, flat = split.offsets.to_numpy(), split.values
+            heads = self._library(flat.take(pa.array(at[:-1])).to_numpy(zero_copy_only=False).tolist())
+            coded = flat.dictionary_encode()
+            ids = self._learn(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+            place = coded.indices.to_numpy().copy()
+            place[at[:-1]] = len(ids)             # no space is before a text's first piece
+            odd = np.logical_or.reduceat(np.array([x is None for x in ids] + [False])[place], at[:-1])
+            got = pa.array([x or b"" for x in ids] + [b""], pa.large_binary()).take(pa.array(place))
+            ends, raw = np.frombuffer(got.buffers()[1], np.int64)[at].tolist(), memoryview(got.buffers()[2] or b"")
+            for i, head, o, start, end in zip(plain, heads, odd, ends, ends[1:]):
+                if not o:
+                    out[i] = head.tobytes() + bytes(raw[start:end])
+            whole = [i for i, o in zip(plain, odd) if o]
+        for i in [*whole, *sorted(set(range(len(texts))).difference(plain))]:
             out[i] = b"".join(self._library([p])[0].tobytes() for p in self._cut(texts[i]))
         return out
 
@@ -165,9 +233,9 @@ def tokenized(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0) ->
         for b in batches:
             texts = b["text"].tolist()
             at = 0
-            while at < len(texts):            # a million characters at a time
+            while at < len(texts):            # some millions of characters at a time
                 to, n = at, 0
-                while to < len(texts) and n < 1 << 20:
+                while to < len(texts) and n < CHUNK:
                     n += len(texts[to])
                     to += 1
                 ids = [x + end for x in enc.encode(texts[at:to])]
@@ -246,19 +314,23 @@ def encode_blocks(table: Table, ids: np.ndarray) -> list[bytes]:
     cap = 2 * BLOCK                           # words, written from the end
     words = np.zeros(n_blocks * cap, np.uint32)
     at = (np.arange(1, n_blocks + 1) * cap).astype(np.int64)
-    lane = np.arange(LANES)
+    lane, full = np.arange(LANES), int(size.min()) // LANES     # every lane is in use up to there
     for k in range(steps - 1, -1, -1):
         s = grid[:, k]
-        live = (k * LANES + lane)[None, :] < size[:, None]
-        f = np.where(live, table.freq[s], np.uint64(1))
-        out = live & ((x >> np.uint64(63 - SCALE)) >= f)
+        f = table.freq[s]
+        out = (x >> np.uint64(63 - SCALE)) >= f
+        if k >= full:
+            live = (k * LANES + lane)[None, :] < size[:, None]
+            f = np.where(live, f, np.uint64(1))
+            out &= live
         total = out.sum(axis=1)
         place = (at - total)[:, None] + np.cumsum(out, axis=1) - 1
         words[place[out]] = x[out].astype(np.uint32)
         at -= total
         x = np.where(out, x >> U32, x)
         q = x // f
-        x = np.where(live, (q << np.uint64(SCALE)) + (x - q * f) + table.start[s], x)
+        y = (q << np.uint64(SCALE)) + (x - q * f) + table.start[s]
+        x = y if k < full else np.where(live, y, x)
     return [x[i].astype("<u8").tobytes() + words[at[i]:(i + 1) * cap].astype("<u4").tobytes() for i in range(n_blocks)]
 
 
@@ -269,16 +341,19 @@ def decode_blocks(table: Table, blocks: list[bytes], sizes: list[int]) -> np.nda
     words = np.concatenate([*streams, np.zeros(LANES, np.uint32)]).astype(np.uint64)
     at = np.concatenate(([0], np.cumsum([len(s) for s in streams])[:-1])).astype(np.int64)
     size, lane = np.array(sizes), np.arange(LANES)
-    steps = -(-int(size.max()) // LANES)
+    steps, full = -(-int(size.max()) // LANES), int(size.min()) // LANES
     out = np.zeros((len(blocks), steps, LANES), np.uint32)
     mask, slots = np.uint64((1 << SCALE) - 1), table.slots
     for k in range(steps):
         slot = x & mask
         s = slots[slot.astype(np.int64)]
         out[:, k] = s
-        live = (k * LANES + lane)[None, :] < size[:, None]
-        x = np.where(live, table.freq[s] * (x >> np.uint64(SCALE)) + slot - table.start[s], x)
-        need = live & (x < LOW)
+        y = table.freq[s] * (x >> np.uint64(SCALE)) + slot - table.start[s]
+        need = y < LOW
+        if k >= full:
+            live = (k * LANES + lane)[None, :] < size[:, None]
+            y, need = np.where(live, y, x), need & live
+        x = y
         n = np.cumsum(need, axis=1)
         place = at[:, None] + n - 1
         x = np.where(need, (x << U32) | words[np.where(need, place, 0)], x)
