@@ -2,6 +2,7 @@
 import re
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from tripforge.llm import common as C
@@ -11,6 +12,7 @@ from tripforge.llm import quality as Q
 from tripforge.llm import secrets as S
 from tripforge.llm import simhash as H
 from tripforge.llm import substrings as B
+from tripforge.llm import tokens
 from tripforge.session import scratch_path
 
 
@@ -99,3 +101,27 @@ def test_closing_marks_before_any_white_space(spark):
     body = "\n".join(f"Sentence{i} number{i} tells{i} about{i} topic {i * 7} plainly{i}." for i in range(12))
     kept = Q.quality_signals(spark.createDataFrame([(1, body + "\nIt works." + " " * 9)], "doc_id long, text string")).first()
     assert kept.lost_words == 0
+
+
+def test_words_met_in_other_pieces_are_not_encoded_again():
+    enc = tokens.Encoder(tokens.default_tokenizer())
+    sent, library = [], enc._library
+    enc._library = lambda texts, *a: sent.extend(texts) or library(texts, *a)
+    enc.encode(["one (two) three-four\n\nfive"])
+    n = len(sent)
+    got = enc.encode(["one three-four (two)\n\nfive", ""])
+    assert n and len(sent) == n
+    assert got == tokens.Encoder(tokens.default_tokenizer()).encode(["one three-four (two)\n\nfive", ""])
+
+
+def test_words_are_found_as_the_library_finds_them():
+    from tokenizers import Tokenizer
+    tok, rng = Tokenizer.from_file(tokens.default_tokenizer()), np.random.default_rng(11)
+    signs = ["a", "bc", "é", "Ā", "ȿ", "ɀ", "×", "÷", "1", "²", ".", ",", "'s", "’", " ", " ", " ", "\n", "\t", "\r", "\x0b", "\x1c", "\x00",
+             "\x7f", "\x85", "\xa0", " ", "᠎", " ", "​", " ", "　", "日", "\U0001f600", "é", "_", "<|endoftext|>"]
+    texts = ["".join(rng.choice(rng.choice(signs, 6), rng.integers(0, 25))) for _ in range(2000)] + ["", "日本語" * 200]
+    enc = tokens.Encoder(tokens.default_tokenizer(), 50, 100)
+    want = [np.array(e.ids, "<u2").tobytes() for e in tok.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert [x for k in range(0, len(texts), 50) for x in enc.encode(texts[k:k + 50])] == want
+    assert pc.max(pc.binary_length(enc.known)).as_py() <= tokens.LONGEST

@@ -18,8 +18,8 @@ columns are ignored.
 
 The texts move once (range partitions by id, sorted and spillable), the ids are
 staged once, and all later steps read them in file order without a shuffle.  A
-task holds one batch of blocks, or some texts and a bounded memory of pieces, at
-a time.
+task holds one batch of blocks, or some texts and a bounded memory of words, at a
+time.
 """
 
 from __future__ import annotations
@@ -51,18 +51,93 @@ LOW = np.uint64(1 << 31)         # states stay in [2 ** 31, 2 ** 63)
 U32 = np.uint64(32)
 
 PIECE = 1 << 18                  # characters that go to the tokenizers library at a time
-CHUNK = 1 << 22                  # characters of texts that are taken apart at a time
-KEEP = 250_000                   # parts of pieces that a worker remembers in a generation, of two
-# A word of byte-level BPE always begins with a space that a letter or digit follows,
+CHUNK = 1 << 22                  # bytes of texts that are taken apart at a time
+KEEP = 200_000                   # words that a worker remembers in a generation, of two
+LONGEST = 64                     # bytes of a word that is remembered
+# A word of byte-level BPE always begins with a space that a letter or digit follows.
 WORD_START = re.compile(" [A-Za-z0-9]")
-# and with any space but one before white space or the end of the text.
-ODD_PIECE = re.compile(r"[\s\u180e]|\Z")
-# Letters, and signs that are none, of which every version of Unicode says the same: words
-# end where letters or digits meet signs, and around a line end between signs or letters.
-LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-WORD = re.compile(f"[{LETTERS}]+")
-SIGNED = re.compile(rf"(.*[{LETTERS}0-9])([!-/:-@\[-`{{-~]+)", re.S)
-LINES = re.compile(rf"([^\n]*[!-~{LETTERS}])\n([{LETTERS}]+)")
+
+# Kinds of bytes.  Letters are those of ASCII and of two bytes up to U+023F, of which
+# every version of Unicode says the same; all that is not listed here is odd.
+LETTER, DIGIT, SIGN, SPACE, BLANK, ODD, MIDDLE = range(1, 8)
+
+
+def _kinds() -> np.ndarray:
+    out = np.full(256, ODD, np.uint8)
+    out[33:127] = SIGN
+    out[[ord("'"), *b" \t\n\r"]] = [ODD, SPACE, BLANK, BLANK, BLANK]     # 's and the like are words
+    out[list(range(48, 58))] = DIGIT
+    out[[*range(65, 91), *range(97, 123), *range(0xC3, 0xC9)]] = LETTER
+    out[0x80:0xC0] = MIDDLE
+    return out
+
+
+KINDS = _kinds()
+# White space beyond ASCII: the first bytes of its characters.
+WHITE = np.array([0xC28500, 0xC2A000, 0xE19A80, 0xE1A08E, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF,
+                  0xE2819F, 0xE38080])
+
+
+def kinds_of(text: np.ndarray) -> np.ndarray:
+    """The kind of every byte of UTF-8."""
+    out = KINDS[text]
+    high = np.flatnonzero(text >= 0x80)
+    if len(high):
+        b, before, after = text[high], text[high - 1], text[np.minimum(high + 1, len(text) - 1)]
+        inside = (b & 0xC0) == 0x80
+        lead, last = np.where(inside, before, b), np.where(inside, b, after)
+        letter = (lead >= 0xC3) & (lead <= 0xC8) & ~((lead == 0xC3) & ((last == 0x97) | (last == 0xB7)))     # no ×, ÷
+        out[high] = np.where(letter, LETTER, ODD)
+    return out
+
+
+def _turns() -> np.ndarray:
+    """Does a byte of kind k after one of kind p begin a word, by k * 8 + p?  White space
+    in front of a word is looked at apart."""
+    out = np.zeros((8, 8), bool)
+    for k in range(8):
+        for p in range(8):
+            out[k, p] = k != p and p != SPACE and not (k == SPACE and p == BLANK)
+    return out.ravel()
+
+
+TURNS = _turns()
+
+
+def words_at(text: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where the words of byte-level BPE begin in texts that lie one after the other
+    (``first``: the first byte of each that is not empty).
+
+    Words are runs of letters, of digits or of signs, each with the one space before
+    it.  Of a run of white space before a word the last character stands apart (or is
+    that space).  What is between two spaces that begin a word is left whole if it
+    holds an odd byte."""
+    n, kind = len(text), kinds_of(text)
+    odd = np.flatnonzero(kind == ODD)
+    solid = (kind != SPACE) & (kind != BLANK)            # no white space, to the right
+    if len(odd):
+        b = text[odd]
+        solid[odd[b < 32]] = False
+        at = odd[(b == 0xC2) | ((b >= 0xE1) & (b <= 0xE3))]
+        code = (text[at].astype(np.int64) << 16) + (text[np.minimum(at + 1, n - 1)].astype(np.int64) << 8)
+        code += np.where(text[at] == 0xC2, 0, text[np.minimum(at + 2, n - 1)])
+        solid[at[np.isin(code, WHITE)]] = False
+    solid[first] = False                                 # of the next text
+    white = np.flatnonzero((kind[:-1] == SPACE) | (kind[:-1] == BLANK))
+    white = white[solid[white + 1]]                      # the last character before a word
+    begins = np.zeros(n, bool)
+    begins[1:] = TURNS[(kind[1:] << 3) | kind[:-1]]
+    begins[white] = True
+    begins[first] = True
+    if len(odd):
+        hard = np.union1d(first, white[kind[white] == SPACE])
+        piece = np.unique(np.searchsorted(hard, odd, side="right") - 1)
+        step = np.zeros(n + 1, np.int8)
+        step[hard[piece]] += 1
+        step[np.append(hard, n)[piece + 1]] -= 1
+        begins &= ~np.cumsum(step[:-1], dtype=np.int8).view(bool)
+        begins[hard] = True
+    return np.flatnonzero(begins)
 
 
 def _byte_letters() -> dict[int, int]:
@@ -73,6 +148,20 @@ def _byte_letters() -> dict[int, int]:
 
 
 BYTES = _byte_letters()
+LETTERS = np.array([BYTES[b] for b in range(256)], "<u4")
+MARK = 0                         # a byte that is odd: it stands between words, as a token of its own
+
+
+def _binary(ends: np.ndarray, data) -> pa.LargeBinaryArray:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [
+        None, pa.py_buffer(np.ascontiguousarray(ends, np.int64)), pa.py_buffer(data)])
+
+
+def _bytes_of(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, bytes) of a large string or binary array."""
+    ends = np.frombuffer(a.buffers()[1], np.int64)[a.offset:a.offset + len(a) + 1] if len(a) else np.zeros(1, np.int64)
+    data = np.frombuffer(a.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    return ends - ends[0], data
 
 
 # -- tokenizing -----------------------------------------------------------------------
@@ -85,19 +174,16 @@ def default_tokenizer() -> str:
 class Encoder:
     """Texts to little-endian ids by the tokenizers library.
 
-    Byte-level BPE encodes every word by itself, and a space before anything but
-    white space begins a word.  So a text's ids are those of its pieces between
-    spaces, one after the other (Arrow splits them, numbers the distinct ones and
-    puts their ids together).  Signs at a piece's end and the word after a line end
-    are words of their own: parts.  The parts met of late are remembered (two
-    generations of ``keep``: the older one goes when the younger is full, and what
-    is met again moves up), and only others go to the library, joined by spaces;
-    plain words go to its BPE model past the rules that look for words' ends.
-    Their ids part where a token begins with a space.  A text with a space before
-    white space or at its end, or with a special token's string, goes to the
-    library itself, in pieces of about ``piece`` characters, since the library
-    keeps many times a text's size.  Tokenizers of another kind get every text
-    whole."""
+    Byte-level BPE encodes every word by itself, so a text's ids are those of its
+    words, one after the other: ``words_at`` finds them in a chunk's bytes, Arrow
+    numbers the distinct ones and puts their ids together.  The words met of late
+    are remembered in Arrow arrays (two generations of ``keep``: the older one goes
+    when the younger is full, and what is met again moves up), and only others go
+    to the library: plain words to its BPE model past the rules that look for
+    words' ends, parted by a token that no plain word holds, what holds odd bytes
+    whole.  A text with a special token's string goes to the library itself, in
+    pieces of about ``piece`` characters, since the library keeps many times a
+    text's size.  Tokenizers of another kind get every text whole."""
 
     def __init__(self, path: str, piece: int = PIECE, keep: int = KEEP):
         # Spark runs a task on every core; threads of the library's own would contend with them
@@ -107,21 +193,19 @@ class Encoder:
         self.tok, self.piece, self.keep = Tokenizer.from_file(path), piece, keep
         conf = json.loads(self.tok.to_str())
         pre, added = conf.get("pre_tokenizer") or {}, conf.get("added_tokens", [])
+        mark = chr(BYTES[MARK])
+        self.mark = self.tok.token_to_id(mark)
         self.by_word = (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
                         and pre.get("use_regex", True) and conf.get("normalizer") is None
-                        and conf["model"]["type"] == "BPE" and not conf["model"].get("dropout")
+                        and conf["model"]["type"] == "BPE" and not conf["model"].get("dropout") and self.mark is not None
                         and not any(" " in t["content"] or t.get("lstrip") or t.get("rstrip") for t in added))
         self.special = [t["content"] for t in added]
-        size = self.tok.get_vocab_size()
-        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        # byte-level tokens write the space as U+0120, the line end as U+010A
-        names = [self.tok.id_to_token(i) or "" for i in range(size)]
-        self.begins = np.array([t.startswith("\u0120") for t in names])
-        self.ends = np.array([t == "\u010a" for t in names])
+        self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.words = Tokenizer(self.tok.model)
-        self.words.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.Split("\u0120", "merged_with_next"), pre_tokenizers.Split("\u010a", "isolated")])
-        self.young, self.old = {}, {}
+        self.words.pre_tokenizer = pre_tokenizers.Split(mark, "isolated")
+        # words and their ids: the younger generation, then the older one
+        self.known = self.ids = pa.array([], pa.large_binary())
+        self.young = 0
 
     def _library(self, texts: list[str], tok=None) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in (tok or self.tok).encode_batch_fast(texts, add_special_tokens=False)]
@@ -133,88 +217,82 @@ class Encoder:
             at = m.start()
         return out + [text[at:]]
 
-    @staticmethod
-    def _parts(piece: str) -> list[str]:
-        """A piece as parts with ids of their own: one after a space by itself, one
-        after a line end with a space before it, signs with two."""
-        if piece[-1] in ",." and (base := piece[:-1]).isalpha() and base.isascii():     # most
-            return [base, "  " + piece[-1]]
-        signs = []
-        if m := SIGNED.fullmatch(piece):
-            piece, signs = m[1], ["  " + m[2]]
-        if m := LINES.fullmatch(piece):
-            return [*Encoder._parts(m[1]), " " + m[2], *signs]
-        return [piece, *signs]
-
-    def _code(self, keys: list[str], before: str, starts: np.ndarray, tok) -> list[bytes]:
-        """The ids of words, each after the sign that begins it or stands before it."""
+    def _code(self, words: pa.LargeBinaryArray) -> list[pa.LargeBinaryArray]:
+        """The ids of plain words."""
         out = []
-        for k in range(0, len(keys), 20_000):
-            text = before + before.join(keys[k:k + 20_000])
-            if tok is self.words:
-                text = text.encode().decode("latin-1").translate(BYTES)
-            ids = self._library([text], tok)[0]
-            at = (np.flatnonzero(starts[ids]) * self.dtype.itemsize).tolist()
-            raw = ids.tobytes()
-            out += [raw[i:j] for i, j in zip(at, [*at[1:], len(raw)])]
-        if len(out) != len(keys):
-            raise ValueError("the tokenizer does not begin a word where byte-level BPE does")
+        for k in range(0, len(words), 20_000):
+            some = words.slice(k, 20_000).to_pylist()
+            raw = bytes([MARK]) + bytes([MARK]).join(some)
+            ids = self._library([LETTERS[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-32-le")], self.words)[0]
+            at = np.flatnonzero(ids == self.mark)
+            if len(at) != len(some):
+                raise ValueError("the tokenizer does not keep words apart as byte-level BPE does")
+            ends = np.append(at - np.arange(len(at)), len(ids) - len(at))
+            out.append(_binary(ends * self.dtype.itemsize, ids[ids != self.mark]))
+        return out
+
+    def _code_odd(self, words: pa.LargeBinaryArray) -> list[pa.LargeBinaryArray]:
+        out, some, size = [], [], 0
+        for w in [*words.to_pylist(), None]:
+            if some and (w is None or size >= self.piece):
+                out.append(pa.array([x.tobytes() for x in self._library(some)], pa.large_binary()))
+                some, size = [], 0
+            if w is not None:
+                some.append(w.decode())
+                size += len(w)
         return out
 
-    def _learn(self, pieces: list[str]) -> list[bytes | None]:
-        """The ids of these pieces (distinct), each after a space; None where it begins no word."""
-        if len(self.young) > self.keep:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        found = list(map(young.get, pieces))
-        fresh, parts = [], {}
-        for i in [i for i, x in enumerate(found) if x is None]:
-            p = pieces[i]
-            if (x := old.get(p)) is not None:
-                young[p] = found[i] = x
-            elif p.isascii() and p.isalpha() or WORD.fullmatch(p):
-                fresh.append(i)
-            elif not ODD_PIECE.match(p):
-                parts[i] = self._parts(p)
-        words = [pieces[i] for i in fresh]
-        for i, p, x in zip(fresh, words, self._code(words, " ", self.begins, self.words)):
-            young[p] = found[i] = x
-        new = {k for ks in parts.values() for k in ks}.difference(young)
-        known = [k for k in new if k in old]
-        young.update(zip(known, map(old.__getitem__, known)))
-        signs, lines, words, others = [], [], [], []
-        for k in new.difference(known):
-            (signs if k[:2] == "  " else lines if k[0] == " " else words if WORD.fullmatch(k) else others).append(k)
-        young.update(zip(signs, [x.tobytes() for x in self._library([k[2:] for k in signs])]))
-        young.update(zip(lines, self._code([k[1:] for k in lines], "\n", self.ends, self.words)))
-        young.update(zip(words, self._code(words, " ", self.begins, self.words)))
-        young.update(zip(others, self._code(others, " ", self.begins, self.tok)))
-        get = young.__getitem__
-        for i, ks in parts.items():
-            found[i] = get(ks[0]) if len(ks) == 1 else get(ks[0]) + get(ks[1]) if len(ks) == 2 else b"".join(map(get, ks))
-        return found
+    def _learn(self, words: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """The ids of these words (distinct)."""
+        if self.young > self.keep:
+            self.known, self.ids, self.young = self.known.slice(0, self.young), self.ids.slice(0, self.young), 0
+        place = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy()
+        fresh = np.flatnonzero(place < 0)
+        new = words.take(pa.array(fresh))
+        ends, data = _bytes_of(new)
+        odd = np.logical_or.reduceat(kinds_of(data) == ODD, ends[:-1]) if len(new) else np.zeros(0, bool)
+        plain = np.flatnonzero(~odd)
+        coded = [*self._code(new.take(pa.array(plain))), *self._code_odd(new.take(pa.array(np.flatnonzero(odd))))]
+        place = place.copy()
+        place[fresh[plain]] = len(self.ids) + np.arange(len(plain))
+        place[fresh[odd]] = len(self.ids) + len(plain) + np.arange(len(fresh) - len(plain))
+        ids = pa.concat_arrays([self.ids, *coded]).take(pa.array(place))
+        up = pa.array(np.flatnonzero((place >= self.young) & (pc.binary_length(words).to_numpy() <= LONGEST)))
+        rest = np.arange(len(self.known)) >= self.young  # of the older generation, less what moves up
+        rest[place[place < len(rest)]] = False
+        rest = pa.array(np.flatnonzero(rest))
+        self.known, self.ids = (pa.concat_arrays([a.slice(0, self.young), b.take(up), a.take(rest)])
+                                for a, b in ((self.known, words), (self.ids, ids)))
+        self.young += len(up)
+        return ids
+
+    def _plain(self, texts: pa.LargeStringArray, end: bytes) -> pa.LargeBinaryArray:
+        bounds, data = _bytes_of(texts)
+        first = bounds[:-1][np.diff(bounds) > 0]
+        at = words_at(data, first) if len(data) else np.zeros(0, np.int64)
+        coded = _binary(np.append(at, len(data)), data).dictionary_encode()
+        ids = self._learn(coded.dictionary)
+        stop = np.searchsorted(at, bounds[1:])           # words up to each text's end
+        place = np.insert(coded.indices.to_numpy(), stop, len(ids))
+        ends, raw = _bytes_of(pa.concat_arrays([ids, pa.array([end], pa.large_binary())]).take(pa.array(place)))
+        return _binary(ends[np.append(0, stop + np.arange(1, len(stop) + 1))], raw)
+
+    def encode_array(self, texts: pa.LargeStringArray, end: bytes = b"") -> pa.LargeBinaryArray:
+        """The ids of every text, each followed by ``end``."""
+        whole = np.full(len(texts), not self.by_word)
+        for s in self.special:
+            whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._plain(texts, end)
+        plain = self._plain(texts.filter(pa.array(~whole)), end)
+        rest = [b"".join(self._library([p])[0].tobytes() for p in self._cut(t)) + end
+                for t in texts.filter(pa.array(whole)).to_pylist()]
+        order = np.empty(len(texts), np.int64)
+        order[np.append(np.flatnonzero(~whole), np.flatnonzero(whole))] = np.arange(len(texts))
+        return pa.concat_arrays([plain, pa.array(rest, pa.large_binary())]).take(pa.array(order))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out, whole = [b""] * len(texts), []
-        plain = [i for i, t in enumerate(texts) if self.by_word and not any(s in t for s in self.special)]
-        if plain:
-            split = pc.split_pattern(pa.array([texts[i] for i in plain], pa.large_string()), " ")
-            at, flat = split.offsets.to_numpy(), split.values
-            heads = self._library(flat.take(pa.array(at[:-1])).to_numpy(zero_copy_only=False).tolist())
-            coded = flat.dictionary_encode()
-            ids = self._learn(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-            place = coded.indices.to_numpy().copy()
-            place[at[:-1]] = len(ids)             # no space is before a text's first piece
-            odd = np.logical_or.reduceat(np.array([x is None for x in ids] + [False])[place], at[:-1])
-            got = pa.array([x or b"" for x in ids] + [b""], pa.large_binary()).take(pa.array(place))
-            ends, raw = np.frombuffer(got.buffers()[1], np.int64)[at].tolist(), memoryview(got.buffers()[2] or b"")
-            for i, head, o, start, end in zip(plain, heads, odd, ends, ends[1:]):
-                if not o:
-                    out[i] = head.tobytes() + bytes(raw[start:end])
-            whole = [i for i, o in zip(plain, odd) if o]
-        for i in [*whole, *sorted(set(range(len(texts))).difference(plain))]:
-            out[i] = b"".join(self._library([p])[0].tobytes() for p in self._cut(texts[i]))
-        return out
+        return self.encode_array(pa.array(texts, pa.large_string())).to_pylist()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -228,26 +306,24 @@ def tokenized(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0) ->
 
     def run(batches):
         enc = _ENCODERS.get(path) or _ENCODERS.setdefault(path, Encoder(path))
-        part, seq = TaskContext.get().partitionId(), 0
+        part, seq, width = TaskContext.get().partitionId(), 0, enc.dtype.itemsize
         end = np.array([end_id], enc.dtype).tobytes()
         for b in batches:
-            texts = b["text"].tolist()
-            at = 0
-            while at < len(texts):            # some millions of characters at a time
-                to, n = at, 0
-                while to < len(texts) and n < CHUNK:
-                    n += len(texts[to])
-                    to += 1
-                ids = [x + end for x in enc.encode(texts[at:to])]
-                yield pd.DataFrame({"part": np.int32(part), "seq": np.arange(seq, seq + to - at),
-                                    "doc_id": b["doc_id"].iloc[at:to].astype("Int64").values,
-                                    "n": [len(x) // enc.dtype.itemsize for x in ids],
-                                    "width": np.int32(enc.dtype.itemsize), "ids": ids})
-                seq, at = seq + to - at, to
+            texts = b.column("text").cast(pa.large_string())
+            sizes, at = np.cumsum(pc.binary_length(texts).to_numpy()), 0
+            while at < len(texts):            # some millions of bytes at a time
+                to = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + CHUNK)) + 1
+                ids = enc.encode_array(texts.slice(at, to - at), end)
+                n = len(ids)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(n, part, np.int32)), pa.array(np.arange(seq, seq + n)), b.column("doc_id").slice(at, n),
+                    pc.divide(pc.binary_length(ids), width), pa.array(np.full(n, width, np.int32)), ids.cast(pa.binary())],
+                    ["part", "seq", "doc_id", "n", "width", "ids"])
+                seq, at = seq + n, at + n
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).repartitionByRange(
         parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.mapInPandas(run, "part int, seq long, doc_id long, n long, width int, ids binary")
+    return ordered.mapInArrow(run, "part int, seq long, doc_id long, n long, width int, ids binary")
 
 
 def counts(tokens: DataFrame) -> DataFrame:
@@ -255,13 +331,15 @@ def counts(tokens: DataFrame) -> DataFrame:
     def run(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for ids, w in zip(b["ids"], b["width"]):
-                c = np.bincount(np.frombuffer(ids, f"<u{w}"), minlength=len(total))
-                c[:len(total)] += total
-                total = c
+            if not len(b):
+                continue
+            width = b.column("width")[0].as_py()          # the tokenizer's, one for all rows
+            c = np.bincount(_bytes_of(b.column("ids").cast(pa.large_binary()))[1].view(f"<u{width}"), minlength=len(total))
+            c[:len(total)] += total
+            total = c
         seen = np.nonzero(total)[0]
-        yield pd.DataFrame({"id": seen, "n": total[seen]})
-    return tokens.select("ids", "width").mapInPandas(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
+    return tokens.select("ids", "width").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 # -- coding -----------------------------------------------------------------------
