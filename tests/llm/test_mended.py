@@ -125,3 +125,14 @@ def test_words_are_found_as_the_library_finds_them():
     for _ in range(2):
         assert [x for k in range(0, len(texts), 50) for x in enc.encode(texts[k:k + 50])] == want
     assert pc.max(pc.binary_length(enc.known)).as_py() <= tokens.LONGEST
+
+
+def test_what_an_encoder_remembers_is_bounded():
+    """By words and by bytes: long pieces without a space are not kept."""
+    enc = tokens.Encoder(tokens.default_tokenizer(), keep=1000)
+    rng = np.random.default_rng(3)
+    for _ in range(8):
+        words = ["".join(map(chr, w)) for w in rng.integers(97, 123, (900, 6))]
+        enc.encode([" ".join(words) + " " + "".join(map(chr, rng.integers(0x4E00, 0x9FA0, 50_000)))])
+        assert enc.young <= 2000 and len(enc.known) <= 4000
+        assert enc.known.nbytes + enc.ids.nbytes < 200_000
