@@ -1,7 +1,9 @@
 """Cases that once went wrong: rows by place, counters, base spans, closing marks."""
 import re
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
@@ -136,3 +138,56 @@ def test_what_an_encoder_remembers_is_bounded():
         enc.encode([" ".join(words) + " " + "".join(map(chr, rng.integers(0x4E00, 0x9FA0, 50_000)))])
         assert enc.young <= 2000 and len(enc.known) <= 4000
         assert enc.known.nbytes + enc.ids.nbytes < 200_000
+
+
+def test_workers_get_texts_in_small_batches(spark):
+    """Texts of 24 MB in one partition reach the Python stages by about 4 MB, and the setting is put back."""
+    key, docs = "spark.sql.execution.arrow.maxBytesPerBatch", spark.range(0, 240, 1, 1).selectExpr(
+        "id AS doc_id", "repeat(concat('w', id, ' '), 20000) AS text")
+    old = spark.conf.get(key)
+
+    def sizes(batches):
+        for b in batches:
+            yield pd.DataFrame({"size": [int(b["text"].str.len().sum())]})
+    with C.small_batches(spark):
+        seen = [r[0] for r in docs.mapInPandas(sizes, "size long").collect()]
+    assert len(seen) > 4 and max(seen) < 5 << 20 and spark.conf.get(key) == old
+    try:
+        with C.small_batches(spark):
+            raise KeyError
+    except KeyError:
+        assert spark.conf.get(key) == old
+
+
+def test_text_stages_ask_for_small_batches(spark, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+    docs = spark.createDataFrame([(1, "one two three four"), (2, "five six")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "one two three four")], "item_id long, text string")
+    for module in (tokens, H, D):
+        def spy(df, name, real=module.staged):
+            seen[name] = spark.conf.get(key)
+            return real(df, name)
+        monkeypatch.setattr(module, "staged", spy)
+    tokens.write_token_files(docs)
+    H.keep_one(docs, shingle=3, radius=2)
+    D.keep_clean(docs, items)
+    assert [seen[n] for n in ("ids", "token-index", "fingerprints", "hits")] == [str(1 << 22)] * 4
+
+
+def test_words_and_blocks_take_few_bytes_for_each():
+    """Bytes are looked up without eight bytes for each, ids are coded in the width they come in."""
+    text = np.frombuffer(b"one two, three 45\n" * 60_000, np.uint8)
+    table = tokens.Table(np.full(1 << 10, 1 << 10))
+    ids = np.arange(8 * tokens.BLOCK, dtype="<u2") % 1024
+    want = tokens.encode_blocks(table, ids.astype(np.int64))
+    tracemalloc.start()
+    kinds = tokens.kinds_of(text)
+    assert tracemalloc.get_traced_memory()[1] < 6 * len(text)
+    tracemalloc.reset_peak()
+    assert tokens.encode_blocks(table, ids) == want
+    blocks = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    tokens.encode_blocks(table, ids.astype(np.int64))
+    assert tracemalloc.get_traced_memory()[1] > blocks + 4 * len(ids)
+    tracemalloc.stop()
+    assert np.array_equal(kinds, tokens.KINDS[text])

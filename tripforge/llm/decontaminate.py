@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import bits_of, marked, numbered, staged
+from tripforge.llm.common import bits_of, give_back, marked, numbered, small_batches, staged
 from tripforge.llm.hashing import ODD, hash_words, mixed
 
 # Fixed masks.  The places fall into four groups of three, and each mask ignores two
@@ -170,9 +170,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 12, min_sha
         for b in batches:
             for lo in range(0, len(b), 2000):
                 yield from _hits(b.iloc[lo:lo + 2000], masks, bits.value)
+        give_back()
 
-    found = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        hits, "doc_id long, first long, words array<long>, at array<long>, mask array<int>, hash array<long>"), "hits")
+    with small_batches(spark):
+        found = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+            hits, "doc_id long, first long, words array<long>, at array<long>, mask array<int>, hash array<long>"), "hits")
     # candidates: a stretch of a document and a diagonal of an item
     keyed = found.select(F.monotonically_increasing_id().alias("stretch"), "*")
     keyed = staged(keyed, "stretches")

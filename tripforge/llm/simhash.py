@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import bits_of, marked, numbered, staged
+from tripforge.llm.common import bits_of, give_back, marked, numbered, small_batches, staged
 from tripforge.llm.components import components
 
 SEED = 42
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, carry: tuple[str, ...] = ("d
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b["text"]], np.uint64)
             yield b[list(carry)].assign(fp=fp.view(np.int64))
+        give_back()
     types = dict(docs.dtypes)
     return docs.select(*carry, "text").mapInPandas(run, ", ".join(f"{c} {types[c]}" for c in carry) + ", fp long")
 
@@ -167,7 +168,8 @@ def _with_component(reps: DataFrame, radius: int, tile: int) -> DataFrame:
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, tile: int = 4096) -> DataFrame:
     """(doc_id, fp, component_id): one row per document."""
-    fp = staged(fingerprints(docs, shingle), "fingerprints")
+    with small_batches(docs.sparkSession):
+        fp = staged(fingerprints(docs, shingle), "fingerprints")
     reps = staged(fp.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     named = _with_component(reps, radius, tile)
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -182,7 +184,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, tile: int = 409
     plain = [f"`{c}`" for c, t in docs.dtypes if "map<" not in t]      # maps have no hash
     keyed = numbered(docs)
     hashed = keyed.withColumn("__hash", F.xxhash64(*plain))
-    fp = staged(fingerprints(hashed, shingle, ("doc_id", "__hash", "__row")), "fingerprints")
+    with small_batches(docs.sparkSession):
+        fp = staged(fingerprints(hashed, shingle, ("doc_id", "__hash", "__row")), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash", "__row"))
     reps = staged(fp.groupBy("fp").agg(first.alias("first")), "distinct")
     kept = staged(bits_of(_with_component(reps, radius, tile).groupBy("component").agg(F.min("first").alias("first"))

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import fresh_folder, open_fs, spread, staged, text_of, write_file
+from tripforge.llm.common import fresh_folder, give_back, open_fs, small_batches, spread, staged, text_of, write_file
 
 MAGIC = b"TKR1"
 LANES, BLOCK = 32, 1 << 15
@@ -73,6 +73,13 @@ def _kinds() -> np.ndarray:
 
 
 KINDS = _kinds()
+
+
+def _mapped(a: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``table[a]`` of bytes; numpy would make eight bytes of each to look it up."""
+    return np.frombuffer(bytearray(a.tobytes().translate(table.tobytes())), table.dtype)
+
+
 # White space beyond ASCII: the first bytes of its characters.
 WHITE = np.array([0xC28500, 0xC2A000, 0xE19A80, 0xE1A08E, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF,
                   0xE2819F, 0xE38080])
@@ -80,7 +87,7 @@ WHITE = np.array([0xC28500, 0xC2A000, 0xE19A80, 0xE1A08E, *range(0xE28080, 0xE28
 
 def kinds_of(text: np.ndarray) -> np.ndarray:
     """The kind of every byte of UTF-8."""
-    out = KINDS[text]
+    out = _mapped(text, KINDS)
     high = np.flatnonzero(text >= 0x80)
     if len(high):
         b, before, after = text[high], text[high - 1], text[np.minimum(high + 1, len(text) - 1)]
@@ -94,7 +101,7 @@ def kinds_of(text: np.ndarray) -> np.ndarray:
 def _turns() -> np.ndarray:
     """Does a byte of kind k after one of kind p begin a word, by k * 8 + p?  White space
     in front of a word is looked at apart."""
-    out = np.zeros((8, 8), bool)
+    out = np.zeros((32, 8), bool)
     for k in range(8):
         for p in range(8):
             out[k, p] = k != p and p != SPACE and not (k == SPACE and p == BLANK)
@@ -126,7 +133,7 @@ def words_at(text: np.ndarray, first: np.ndarray) -> np.ndarray:
     white = np.flatnonzero((kind[:-1] == SPACE) | (kind[:-1] == BLANK))
     white = white[solid[white + 1]]                      # the last character before a word
     begins = np.zeros(n, bool)
-    begins[1:] = TURNS[(kind[1:] << 3) | kind[:-1]]
+    begins[1:] = _mapped((kind[1:] << 3) | kind[:-1], TURNS)
     begins[white] = True
     begins[first] = True
     if len(odd):
@@ -319,7 +326,8 @@ def tokenized(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0) ->
                     pa.array(np.full(n, part, np.int32)), pa.array(np.arange(seq, seq + n)), b.column("doc_id").slice(at, n),
                     pc.divide(pc.binary_length(ids), width), pa.array(np.full(n, width, np.int32)), ids.cast(pa.binary())],
                     ["part", "seq", "doc_id", "n", "width", "ids"])
-                seq, at = seq + n, at + n
+                seq, at, ids = seq + n, at + n, None
+                give_back()
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).repartitionByRange(
         parts, "doc_id").sortWithinPartitions("doc_id", "text")
@@ -339,6 +347,7 @@ def counts(tokens: DataFrame) -> DataFrame:
             total = c
         seen = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
+        give_back()
     return tokens.select("ids", "width").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -383,7 +392,7 @@ def encode_blocks(table: Table, ids: np.ndarray) -> list[bytes]:
     """Blocks of BLOCK ids (the last may be shorter), coded in lockstep."""
     n_blocks = -(-len(ids) // BLOCK)
     steps = min(BLOCK, len(ids) + LANES - 1) // LANES if n_blocks == 1 else BLOCK // LANES
-    grid = np.zeros(n_blocks * BLOCK, np.int64)
+    grid = np.zeros(n_blocks * BLOCK, ids.dtype)
     grid[:len(ids)] = ids
     grid = grid.reshape(n_blocks, BLOCK // LANES, LANES)
     size = np.full(n_blocks, BLOCK)
@@ -503,8 +512,9 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
     """Write the files; returns their index (one row per file) and the folder."""
     spark = docs.sparkSession
     folder = folder or fresh_folder(spark, "token-files")
-    tokens = staged(tokenized(docs, tokenizer, end_id), "ids")
-    seen = counts(tokens).orderBy("id").toPandas()      # a row per id of the vocabulary
+    with small_batches(spark, CHUNK):
+        tokens = staged(tokenized(docs, tokenizer, end_id), "ids")
+        seen = counts(tokens).orderBy("id").toPandas()  # a row per id of the vocabulary
     if seen.empty:
         return spark.createDataFrame([], INDEX), folder
     table = Table.fit(seen["id"].to_numpy(), seen["n"].to_numpy())
@@ -544,14 +554,16 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
                 seq = q
                 doc_ids.append(None if pd.isna(d) else int(d))
                 sizes.append(n)
-                todo.append(np.frombuffer(raw, f"<u{width}").astype(np.int64))
+                todo.append(np.frombuffer(raw, f"<u{width}"))
                 waiting += n
                 if waiting >= BATCH * BLOCK:
                     code(False)
         if name:
             yield close()
+        give_back()
 
-    return staged(tokens.mapInPandas(run, INDEX), "token-index"), folder
+    with small_batches(spark):
+        return staged(tokens.mapInPandas(run, INDEX), "token-index"), folder
 
 
 def read_token_files(spark: SparkSession, index: DataFrame, folder: str, with_ids: bool = False) -> DataFrame:
@@ -581,5 +593,6 @@ def read_token_files(spark: SparkSession, index: DataFrame, folder: str, with_id
                             out["ids"] = [p.astype(np.int64) for p in pieces[:-1]]
                         base, rest, doc = base + len(got) - len(pieces[-1]), pieces[-1], to
                         yield out
+        give_back()
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
     return spread(placed).mapInPandas(run, schema)
