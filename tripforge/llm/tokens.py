@@ -227,8 +227,8 @@ class Encoder:
     def _code(self, words: pa.LargeBinaryArray) -> list[pa.LargeBinaryArray]:
         """The ids of plain words."""
         out = []
-        for k in range(0, len(words), 20_000):
-            some = words.slice(k, 20_000).to_pylist()
+        for k in range(0, len(words), 5_000):
+            some = words.slice(k, 5_000).to_pylist()
             raw = bytes([MARK]) + bytes([MARK]).join(some)
             ids = self._library([LETTERS[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-32-le")], self.words)[0]
             at = np.flatnonzero(ids == self.mark)
