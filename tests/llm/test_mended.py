@@ -5,6 +5,7 @@ import tracemalloc
 import numpy as np
 import pandas as pd
 import pyarrow.compute as pc
+import pytest
 from pyspark.sql import functions as F
 
 from tripforge.llm import common as C
@@ -191,3 +192,54 @@ def test_words_and_blocks_take_few_bytes_for_each():
     assert tracemalloc.get_traced_memory()[1] > blocks + 4 * len(ids)
     tracemalloc.stop()
     assert np.array_equal(kinds, tokens.KINDS[text])
+
+
+def test_new_words_go_to_the_model_by_groups():
+    """Not split into one piece for every word and every mark; nothing merges over a mark."""
+    from tokenizers import Tokenizer
+    enc, sent, rng = tokens.Encoder(tokens.default_tokenizer()), [], np.random.default_rng(5)
+    assert enc.words.pre_tokenizer is None
+    library = enc._library
+    enc._library = lambda texts, *a: sent.extend(texts) or library(texts, *a)
+    words = sorted({"".join(map(chr, rng.integers(97, 123, rng.integers(1, 12)))) for _ in range(1000)})
+    want = Tokenizer.from_file(tokens.default_tokenizer()).encode(" ".join(words), add_special_tokens=False).ids
+    assert enc.encode([" ".join(words)]) == [np.array(want, "<u2").tobytes()]
+    assert len(sent) == -(-len(words) // tokens.GROUP)
+
+
+@pytest.mark.parametrize("merges, ignore", [([("a", "\u0100")], False), ([("\u0100", "\u0120")], False), ([("a", "b")], True)])
+def test_tokens_that_reach_over_marks_or_depend_on_a_words_end(tmp_path, merges, ignore):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+    vocab = {chr(c): i for i, c in enumerate(tokens.BYTES.values())} | {a + b: 256 + k for k, (a, b) in enumerate(merges)}
+    tok = Tokenizer(models.BPE(vocab | {"cd": 300}, merges, ignore_merges=ignore))
+    tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    tok.save(path := str(tmp_path / "t.json"))
+    texts = ["a b ab cd aba a", "cd", " ba a\n a\x00 b ab", "", "a"]
+    want = [np.array(e.ids, "<u2").tobytes() for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert tokens.Encoder(path).encode(texts) == want
+
+
+def test_words_with_equal_hashes_are_told_apart(monkeypatch):
+    from tokenizers import Tokenizer
+    tok, rng = Tokenizer.from_file(tokens.default_tokenizer()), np.random.default_rng(7)
+    texts = [" ".join("".join(rng.choice(list("abc"), rng.integers(1, 80))) for _ in range(60)) for _ in range(8)]
+    want = [np.array(e.ids, "<u2").tobytes() for e in tok.encode_batch(texts, add_special_tokens=False)]
+    for placed in (np.zeros_like(tokens.PLACED), tokens.PLACED & np.uint64(3), tokens.PLACED):
+        monkeypatch.setattr(tokens, "PLACED", placed)
+        enc = tokens.Encoder(tokens.default_tokenizer(), keep=40)
+        for _ in range(3):
+            assert [enc.encode([t])[0] for t in texts] == want
+
+
+def test_ids_are_counted_while_texts_are_encoded(spark, capsys):
+    """The frequencies come from a row of each partition; the ids are not read for them."""
+    docs = spark.createDataFrame([(i % 7 or None, f"word {i} and {'so on ' * (i % 5)}") for i in range(90)] + [(9, None)],
+                                 "doc_id long, text string")
+    rows = tokens.staged(tokens.tokenized(docs), "ids")
+    got = rows.where("seen IS NULL").collect()
+    ids = np.concatenate([np.frombuffer(r.ids, f"<u{r.width}") for r in got])
+    assert len(got) == 91 and all(len(r.ids) == r.n * r.width for r in got)
+    counted = tokens.counts(rows)
+    assert {r.id: r.n for r in counted.collect()} == dict(zip(*(a.tolist() for a in np.unique(ids, return_counts=True))))
+    counted.explain()
+    assert "ReadSchema: struct<seen:binary>" in capsys.readouterr().out

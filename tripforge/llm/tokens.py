@@ -53,6 +53,7 @@ U32 = np.uint64(32)
 PIECE = 1 << 18                  # characters that go to the tokenizers library at a time
 CHUNK = 1 << 22                  # bytes of texts that are taken apart at a time
 KEEP = 200_000                   # words that a worker remembers in a generation, of two
+GROUP = 128                      # words that go to the BPE model as one
 LONGEST = 64                     # bytes of a word that is remembered
 # A word of byte-level BPE always begins with a space that a letter or digit follows.
 WORD_START = re.compile(" [A-Za-z0-9]")
@@ -171,6 +172,29 @@ def _bytes_of(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ends - ends[0], data
 
 
+# A number for each byte at each place of a word; a word's hash is their sum.
+PLACED = np.random.default_rng(8).integers(0, 1 << 64, LONGEST << 8, np.uint64)
+
+
+def hashes_of(words: pa.LargeBinaryArray) -> np.ndarray:
+    """64-bit hashes of words (none is empty); those over LONGEST bytes, which are not remembered, have 0."""
+    ends, data = _bytes_of(words)
+    out = np.zeros(len(words), np.uint64)
+    for k in range(0, len(words), 1 << 14):
+        e = ends[k:k + (1 << 14) + 1]
+        n = np.diff(e)
+        short = n <= LONGEST
+        part = data[e[0]:e[-1]]
+        if not short.all():
+            part = part[np.repeat(short, n)]
+        n = n[short]
+        if len(n):
+            first = np.cumsum(n) - n
+            at = np.arange(len(part)) - np.repeat(first, n)
+            out[k:k + (1 << 14)][short] = np.add.reduceat(PLACED[(at << 8) + part], first)
+    return out
+
+
 # -- tokenizing -----------------------------------------------------------------------
 def default_tokenizer() -> str:
     import public_tokenizers
@@ -185,10 +209,10 @@ class Encoder:
     words, one after the other: ``words_at`` finds them in a chunk's bytes, Arrow
     numbers the distinct ones and puts their ids together.  The words met of late
     are remembered in Arrow arrays (two generations of ``keep``: the older one goes
-    when the younger is full, and what is met again moves up), and only others go
-    to the library: plain words to its BPE model past the rules that look for
-    words' ends, parted by a token that no plain word holds, what holds odd bytes
-    whole.  A text with a special token's string goes to the library itself, in
+    when the younger is full, and what is met again moves up) and found by their
+    hashes, and only others go to the library: plain words to its BPE model past the
+    rules that look for words' ends, by groups, parted by a token that no plain word
+    holds, what holds odd bytes whole.  A text with a special token's string goes to the library itself, in
     pieces of about ``piece`` characters, since the library keeps many times a
     text's size.  Tokenizers of another kind get every text whole."""
 
@@ -209,9 +233,13 @@ class Encoder:
         self.special = [t["content"] for t in added]
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.words = Tokenizer(self.tok.model)
-        self.words.pre_tokenizer = pre_tokenizers.Split(mark, "isolated")
-        # words and their ids: the younger generation, then the older one
+        model = conf["model"]
+        if (model.get("ignore_merges") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix")
+                or any(mark in w for w in self.tok.get_vocab() if w != mark)):
+            self.words.pre_tokenizer = pre_tokenizers.Split(mark, "isolated")
+        # words, their hashes and their ids: the younger generation, then the older one
         self.known = self.ids = pa.array([], pa.large_binary())
+        self.hashes = np.zeros(0, np.uint64)
         self.young = 0
 
     def _library(self, texts: list[str], tok=None) -> list[np.ndarray]:
@@ -225,17 +253,21 @@ class Encoder:
         return out + [text[at:]]
 
     def _code(self, words: pa.LargeBinaryArray) -> list[pa.LargeBinaryArray]:
-        """The ids of plain words."""
-        out = []
-        for k in range(0, len(words), 5_000):
-            some = words.slice(k, 5_000).to_pylist()
-            raw = bytes([MARK]) + bytes([MARK]).join(some)
-            ids = self._library([LETTERS[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-32-le")], self.words)[0]
-            at = np.flatnonzero(ids == self.mark)
-            if len(at) != len(some):
+        """The ids of plain words.  No merge holds the mark, so that none reaches over it:
+        the model gets groups of words at once, or splits them if its tokens depend on where
+        a word ends."""
+        out, dtype = [], self.dtype
+        for k in range(0, len(words), 40 * GROUP):
+            ends, data = _bytes_of(words.slice(k, 40 * GROUP))
+            n = len(ends) - 1
+            raw = LETTERS[np.insert(data, ends[:-1], MARK)].tobytes()
+            cuts = 4 * (ends + np.arange(n + 1))[np.append(np.arange(0, n, GROUP), n)]
+            ids = np.concatenate(self._library([raw[a:b].decode("utf-32-le") for a, b in zip(cuts, cuts[1:])], self.words))
+            mark = ids == self.mark
+            at = np.flatnonzero(mark)
+            if len(at) != n:
                 raise ValueError("the tokenizer does not keep words apart as byte-level BPE does")
-            ends = np.append(at - np.arange(len(at)), len(ids) - len(at))
-            out.append(_binary(ends * self.dtype.itemsize, ids[ids != self.mark]))
+            out.append(_binary(np.append(at - np.arange(n), len(ids) - n) * dtype.itemsize, ids[~mark]))
         return out
 
     def _code_odd(self, words: pa.LargeBinaryArray) -> list[pa.LargeBinaryArray]:
@@ -249,27 +281,42 @@ class Encoder:
                 size += len(w)
         return out
 
+    def _find(self, words: pa.LargeBinaryArray, hashes: np.ndarray) -> np.ndarray:
+        """The place of every word in ``known``, or -1."""
+        place = np.full(len(words), -1)
+        if len(self.known):
+            order, turn = np.argsort(self.hashes), np.argsort(hashes)      # sorted on both sides: looked up much faster
+            at = np.empty(len(words), np.int64)
+            at[turn] = np.searchsorted(self.hashes[order], hashes[turn])
+            at = order[np.minimum(at, len(order) - 1)]
+            hit = np.flatnonzero(self.hashes[at] == hashes)
+            same = pc.equal(self.known.take(pa.array(at[hit])), words.take(pa.array(hit))).to_numpy(zero_copy_only=False)
+            place[hit[same]] = at[hit[same]]
+        return place
+
     def _learn(self, words: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
         """The ids of these words (distinct)."""
         if self.young > self.keep:
-            self.known, self.ids, self.young = self.known.slice(0, self.young), self.ids.slice(0, self.young), 0
-        place = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy()
+            self.known, self.ids = self.known.slice(0, self.young), self.ids.slice(0, self.young)
+            self.hashes, self.young = self.hashes[:self.young], 0
+        hashes = hashes_of(words)
+        place = self._find(words, hashes)
         fresh = np.flatnonzero(place < 0)
         new = words.take(pa.array(fresh))
         ends, data = _bytes_of(new)
         odd = np.logical_or.reduceat(kinds_of(data) == ODD, ends[:-1]) if len(new) else np.zeros(0, bool)
         plain = np.flatnonzero(~odd)
         coded = [*self._code(new.take(pa.array(plain))), *self._code_odd(new.take(pa.array(np.flatnonzero(odd))))]
-        place = place.copy()
         place[fresh[plain]] = len(self.ids) + np.arange(len(plain))
         place[fresh[odd]] = len(self.ids) + len(plain) + np.arange(len(fresh) - len(plain))
         ids = pa.concat_arrays([self.ids, *coded]).take(pa.array(place))
-        up = pa.array(np.flatnonzero((place >= self.young) & (pc.binary_length(words).to_numpy() <= LONGEST)))
+        up = np.flatnonzero((place >= self.young) & (pc.binary_length(words).to_numpy() <= LONGEST))
         rest = np.arange(len(self.known)) >= self.young  # of the older generation, less what moves up
         rest[place[place < len(rest)]] = False
-        rest = pa.array(np.flatnonzero(rest))
-        self.known, self.ids = (pa.concat_arrays([a.slice(0, self.young), b.take(up), a.take(rest)])
+        rest = np.flatnonzero(rest)
+        self.known, self.ids = (pa.concat_arrays([a.slice(0, self.young), b.take(pa.array(up)), a.take(pa.array(rest))])
                                 for a, b in ((self.known, words), (self.ids, ids)))
+        self.hashes = np.concatenate((self.hashes[:self.young], hashes[up], self.hashes[rest]))
         self.young += len(up)
         return ids
 
@@ -306,14 +353,17 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def tokenized(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0) -> DataFrame:
-    """(part, seq, doc_id, n, ids): documents in order, ids with the end id."""
+    """(part, seq, doc_id, n, width, ids, seen): documents in order, ids with the end id, and after
+    those of a partition a row with ``seen``: how often each id occurs in it (8 bytes for each)."""
     path = tokenizer or default_tokenizer()
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-size // (128 << 20)))
+    schema = pa.schema([("part", pa.int32()), ("seq", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()),
+                        ("width", pa.int32()), ("ids", pa.binary()), ("seen", pa.binary())])
 
     def run(batches):
         enc = _ENCODERS.get(path) or _ENCODERS.setdefault(path, Encoder(path))
-        part, seq, width = TaskContext.get().partitionId(), 0, enc.dtype.itemsize
+        part, seq, width, seen = TaskContext.get().partitionId(), 0, enc.dtype.itemsize, np.zeros(0, np.int64)
         end = np.array([end_id], enc.dtype).tobytes()
         for b in batches:
             texts = b.column("text").cast(pa.large_string())
@@ -321,34 +371,33 @@ def tokenized(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0) ->
             while at < len(texts):            # some millions of bytes at a time
                 to = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + CHUNK)) + 1
                 ids = enc.encode_array(texts.slice(at, to - at), end)
-                n = len(ids)
+                n, c = len(ids), np.bincount(_bytes_of(ids)[1].view(enc.dtype), minlength=len(seen))
+                c[:len(seen)] += seen
+                seen = c
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(n, part, np.int32)), pa.array(np.arange(seq, seq + n)), b.column("doc_id").slice(at, n),
-                    pc.divide(pc.binary_length(ids), width), pa.array(np.full(n, width, np.int32)), ids.cast(pa.binary())],
-                    ["part", "seq", "doc_id", "n", "width", "ids"])
+                    pc.divide(pc.binary_length(ids), width), pa.array(np.full(n, width, np.int32)), ids.cast(pa.binary()),
+                    pa.nulls(n, pa.binary())], schema=schema)
                 seq, at, ids = seq + n, at + n, None
                 give_back()
+        if seq:
+            yield pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "seen": seen.astype("<i8").tobytes()}], schema)
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).repartitionByRange(
         parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(run, "part int, seq long, doc_id long, n long, width int, ids binary")
+    return ordered.mapInArrow(run, "part int, seq long, doc_id long, n long, width int, ids binary, seen binary")
 
 
 def counts(tokens: DataFrame) -> DataFrame:
     """(id, n): how often each id occurs in the whole corpus."""
     def run(batches):
-        total = np.zeros(0, np.int64)
         for b in batches:
-            if not len(b):
-                continue
-            width = b.column("width")[0].as_py()          # the tokenizer's, one for all rows
-            c = np.bincount(_bytes_of(b.column("ids").cast(pa.large_binary()))[1].view(f"<u{width}"), minlength=len(total))
-            c[:len(total)] += total
-            total = c
-        seen = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
-        give_back()
-    return tokens.select("ids", "width").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+            for raw in b.column("seen"):
+                n = np.frombuffer(raw.as_buffer(), "<i8")
+                ids = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n[ids])], ["id", "n"])
+    return tokens.select("seen").where("seen IS NOT NULL").mapInArrow(run, "id long, n long").groupBy("id").agg(
+        F.sum("n").alias("n"))
 
 
 # -- coding -----------------------------------------------------------------------
@@ -394,59 +443,55 @@ def encode_blocks(table: Table, ids: np.ndarray) -> list[bytes]:
     steps = min(BLOCK, len(ids) + LANES - 1) // LANES if n_blocks == 1 else BLOCK // LANES
     grid = np.zeros(n_blocks * BLOCK, ids.dtype)
     grid[:len(ids)] = ids
-    grid = grid.reshape(n_blocks, BLOCK // LANES, LANES)
+    grid = grid.reshape(n_blocks, BLOCK // LANES, LANES)[:, :steps].swapaxes(0, 1).reshape(steps, -1)
     size = np.full(n_blocks, BLOCK)
     size[-1] = len(ids) - BLOCK * (n_blocks - 1)
-    x = np.full((n_blocks, LANES), LOW, np.uint64)
-    cap = 2 * BLOCK                           # words, written from the end
-    words = np.zeros(n_blocks * cap, np.uint32)
-    at = (np.arange(1, n_blocks + 1) * cap).astype(np.int64)
+    x = np.full(n_blocks * LANES, LOW, np.uint64)
+    words = np.zeros((steps, n_blocks * LANES), np.uint32)      # the low half of every state
+    put = np.zeros(words.shape, bool)                           # does it go into the stream?
     lane, full = np.arange(LANES), int(size.min()) // LANES     # every lane is in use up to there
+    rest, shift = np.uint64(1 << SCALE) - table.freq, np.uint64(63 - SCALE)
     for k in range(steps - 1, -1, -1):
-        s = grid[:, k]
+        s, out = grid[k], put[k]
         f = table.freq[s]
-        out = (x >> np.uint64(63 - SCALE)) >= f
+        np.greater_equal(x >> shift, f, out=out)
         if k >= full:
-            live = (k * LANES + lane)[None, :] < size[:, None]
+            live = ((k * LANES + lane)[None, :] < size[:, None]).ravel()
             f = np.where(live, f, np.uint64(1))
             out &= live
-        total = out.sum(axis=1)
-        place = (at - total)[:, None] + np.cumsum(out, axis=1) - 1
-        words[place[out]] = x[out].astype(np.uint32)
-        at -= total
-        x = np.where(out, x >> U32, x)
-        q = x // f
-        y = (q << np.uint64(SCALE)) + (x - q * f) + table.start[s]
+        words[k] = x
+        y = x >> (out * U32)
+        y += y // f * rest[s] + table.start[s]                  # (y // f << SCALE) + y % f + start
         x = y if k < full else np.where(live, y, x)
-    return [x[i].astype("<u8").tobytes() + words[at[i]:(i + 1) * cap].astype("<u4").tobytes() for i in range(n_blocks)]
+    x, words, put = x.reshape(n_blocks, LANES), words.reshape(steps, n_blocks, LANES), put.reshape(steps, n_blocks, LANES)
+    return [x[i].astype("<u8").tobytes() + words[:, i][put[:, i]].astype("<u4").tobytes() for i in range(n_blocks)]
 
 
 def decode_blocks(table: Table, blocks: list[bytes], sizes: list[int]) -> np.ndarray:
     """The ids of some blocks, one after the other; any choice of blocks will do."""
-    x = np.stack([np.frombuffer(b, "<u8", LANES) for b in blocks]).astype(np.uint64)
+    x = np.concatenate([np.frombuffer(b, "<u8", LANES) for b in blocks]).astype(np.uint64)
     streams = [np.frombuffer(b, "<u4", offset=8 * LANES) for b in blocks]
-    words = np.concatenate([*streams, np.zeros(LANES, np.uint32)]).astype(np.uint64)
+    words = np.concatenate(streams)
     at = np.concatenate(([0], np.cumsum([len(s) for s in streams])[:-1])).astype(np.int64)
     size, lane = np.array(sizes), np.arange(LANES)
     steps, full = -(-int(size.max()) // LANES), int(size.min()) // LANES
-    out = np.zeros((len(blocks), steps, LANES), np.uint32)
-    mask, slots = np.uint64((1 << SCALE) - 1), table.slots
+    out = np.zeros((steps, len(blocks) * LANES), np.uint32)
+    mask, slots, edges = np.uint64((1 << SCALE) - 1), table.slots, np.arange(len(blocks) + 1) * LANES
     for k in range(steps):
         slot = x & mask
-        s = slots[slot.astype(np.int64)]
-        out[:, k] = s
+        s = out[k] = slots[slot.view(np.int64)]
         y = table.freq[s] * (x >> np.uint64(SCALE)) + slot - table.start[s]
         need = y < LOW
         if k >= full:
-            live = (k * LANES + lane)[None, :] < size[:, None]
+            live = ((k * LANES + lane)[None, :] < size[:, None]).ravel()
             y, need = np.where(live, y, x), need & live
-        x = y
-        n = np.cumsum(need, axis=1)
-        place = at[:, None] + n - 1
-        x = np.where(need, (x << U32) | words[np.where(need, place, 0)], x)
-        at += n[:, -1]
-    flat = out.reshape(len(blocks), -1)
-    return np.concatenate([flat[i, :n] for i, n in enumerate(sizes)])
+        x, need = y, np.flatnonzero(need)
+        first = np.searchsorted(need, edges)                    # of each block
+        n = np.diff(first)
+        x[need] = (x[need] << U32) | words[np.arange(len(need)) + np.repeat(at - first[:-1], n)]
+        at += n
+    flat = out.reshape(steps, len(blocks), LANES)
+    return np.concatenate([flat[:, i].ravel()[:n] for i, n in enumerate(sizes)])
 
 
 # -- files -----------------------------------------------------------------------
@@ -562,8 +607,9 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
             yield close()
         give_back()
 
+    rows = tokens.where("seen IS NULL").drop("seen")
     with small_batches(spark):
-        return staged(tokens.mapInPandas(run, INDEX), "token-index"), folder
+        return staged(rows.mapInPandas(run, INDEX), "token-index"), folder
 
 
 def read_token_files(spark: SparkSession, index: DataFrame, folder: str, with_ids: bool = False) -> DataFrame:
